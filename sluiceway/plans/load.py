@@ -1,0 +1,434 @@
+"""The load: message log in, published tables and bookmark out."""
+
+from __future__ import annotations
+
+import datetime as dt
+import json
+import warnings
+from collections.abc import Mapping
+from dataclasses import dataclass, field, fields, replace
+from typing import Any
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..functions.names import NameRules, key_names, rename_struct, table_name_of
+from ..functions.numbers import json_value
+from ..functions.selection import is_selected
+from ..functions.types import METADATA_COLUMNS, StreamSpec, resolve_schema, to_struct
+from ..operators.envelope import HIDDEN, PAYLOAD, REJECT, SEQ, Watch, project_denormalized, project_fixed
+from ..operators.mapping import ALIAS, KEYS, apply_stream_map, flatten
+from ..operators.merge import dedupe_latest
+from ..operators.views import view_columns, view_statement
+from ..session import quoted, quoted_table, remove_folder, scratch_root, use_utc
+from ..sources.messages import HEAD, as_messages, latest_state, parsed_once, read_lines, stream_specs, with_order
+from .lake import lake_load, stage_to_lake
+from .tables import STAGING_HOURS, STAGING_TEMPLATE, LandingTable, cluster_layout, expire_partitions, staging_name
+
+_ASIDE = "__aside"
+
+
+class LoadError(RuntimeError):
+    """A load was stopped before it became visible; the bookmark has not moved."""
+
+
+@dataclass(frozen=True)
+class LoadConfig:
+    """Settings of a load. ``of`` accepts a plain mapping with these names."""
+
+    database: str = "default"
+    denormalized: bool = False
+    method: str = "batch_job"  # or "lake_stage"
+    upsert: Any = False
+    overwrite: Any = False
+    dedupe_before_upsert: Any = False
+    only_if_newer: bool = False
+    fail_fast: bool = True
+    generate_view: bool = False
+    strict_view: bool = True
+    timestamp_format: str | None = None
+    column_name_transforms: Mapping[str, bool] = field(default_factory=dict)
+    schema_resolver_version: int = 1
+    partition_granularity: str = "month"
+    partition_expiration_days: int | None = None
+    cluster_on_key_properties: bool = False
+    clustering_fields: tuple[str, ...] = ()
+    stream_maps: Mapping[str, Any] = field(default_factory=dict)
+    stream_map_config: Mapping[str, Any] = field(default_factory=dict)
+    flattening_enabled: bool = False
+    flattening_max_depth: int = 0
+    lake_root: str | None = None
+    staging_root: str | None = None
+    state_path: str | None = None
+    temporary_table_expiration_hours: int = STAGING_HOURS
+    temporary_table_name_template: str = STAGING_TEMPLATE
+    direct_streams: int = 3  # more streams than this are split into one folder each first
+
+    @classmethod
+    def of(cls, settings: LoadConfig | Mapping[str, Any]) -> LoadConfig:
+        if isinstance(settings, LoadConfig):
+            return settings
+        unknown = sorted(set(settings) - {f.name for f in fields(cls)})
+        if unknown:
+            raise ValueError(f"unknown settings: {', '.join(unknown)}")
+        return cls(**settings)
+
+    def __post_init__(self) -> None:
+        if self.method not in ("batch_job", "lake_stage"):
+            raise ValueError(f"Unknown method: {self.method}")
+
+    @property
+    def rules(self) -> NameRules:
+        return NameRules.of(self.column_name_transforms)
+
+    @property
+    def shape(self) -> str:
+        return "denormalized" if self.denormalized else "fixed"
+
+    def staging_folder(self, spark: SparkSession) -> str:
+        return self.staging_root or f"{scratch_root(spark)}/sluiceway-staging"
+
+
+@dataclass(frozen=True)
+class LoadResult:
+    stream: str
+    table: str
+    mode: str
+    load_id: int
+    rows: int
+    rejected: int
+
+
+def resolve_mode(spec: StreamSpec, config: LoadConfig) -> str:
+    """``upsert`` needs keys and typed columns, and goes before ``overwrite``; else ``append``."""
+    if is_selected(config.upsert, spec.name):
+        if spec.key_properties and config.denormalized:
+            return "upsert"
+        warnings.warn(f"{spec.name}: upsert needs key properties and denormalized=true, ignored", stacklevel=2)
+    return "overwrite" if is_selected(config.overwrite, spec.name) else "append"
+
+
+def clustering(spec: StreamSpec, config: LoadConfig) -> tuple[str, ...]:
+    """Columns a load is sorted by, at most four. Explicit fields go before keys.
+
+    The default, the batch time, is one value per load and needs no sort.
+    """
+    if config.clustering_fields:
+        return tuple(config.clustering_fields[:4])
+    if spec.key_properties and config.cluster_on_key_properties and config.denormalized:
+        return tuple(key_names(spec.key_properties, config.rules)[:4])
+    return ()
+
+
+def table_comment(spec: StreamSpec, config: LoadConfig) -> str:
+    """Table description: the stream's schema and the table shape."""
+    text = json.dumps(spec.json_schema)
+    return f"Loaded from a message stream.\nStream schema\n{text[:16000]}\nShape: {config.shape}"
+
+
+def mapped_spec(spec: StreamSpec, config: LoadConfig) -> StreamSpec:
+    """Name and keys of a stream after its map."""
+    settings = config.stream_maps.get(spec.name) or {}
+    keys = settings.get(KEYS, spec.key_properties) or ()
+    return replace(spec, name=settings.get(ALIAS, spec.name), key_properties=tuple(keys))
+
+
+def stream_rows(
+    msgs: DataFrame,
+    spec: StreamSpec,
+    config: LoadConfig,
+    as_of: dt.datetime,
+    prefilter: bool = True,
+    watch: Watch | None = None,
+) -> tuple[DataFrame, T.StructType]:
+    """Table rows of a stream with hidden columns beside them, and the table's schema."""
+    resolver, settings = config.schema_resolver_version, config.stream_maps.get(spec.name) or {}
+    if settings or config.flattening_enabled:
+        typed = project_denormalized(msgs, spec, None, resolver, as_of, True, prefilter, watch)
+        rows = _reshaped(typed, settings, config)
+        return rows, T.StructType([f for f in rows.schema.fields if f.name not in HIDDEN])
+    schema = resolve_schema(spec, config.shape, resolver, config.rules)
+    if config.denormalized:
+        return project_denormalized(msgs, spec, config.rules, resolver, as_of, True, prefilter, watch), schema
+    return project_fixed(msgs, spec, as_of, True, prefilter, watch), schema
+
+
+def _reshaped(typed: DataFrame, settings: Mapping[str, Any], config: LoadConfig) -> DataFrame:
+    """Apply a stream map, flattening and the name rules to the record's own columns.
+
+    Metadata and hidden columns ride along in an array, which none of the three
+    looks into.
+    """
+    aside = [c for c in typed.columns if c in HIDDEN or c in METADATA_COLUMNS]
+    df = typed.withColumn(_ASIDE, F.array(F.struct(*aside))).drop(*aside)
+    if settings:
+        df = apply_stream_map(df, {**settings, _ASIDE: _ASIDE}, config.stream_map_config)
+    if config.flattening_enabled:
+        df = flatten(df, config.flattening_max_depth)
+    record = [f for f in df.schema.fields if f.name != _ASIDE]
+    columns: list[Column] = [F.col(quoted(f.name)) for f in record]
+    if config.denormalized:
+        target = rename_struct(T.StructType(record), config.rules)
+        columns = [c.cast(f.dataType).alias(f.name) for c, f in zip(columns, target.fields)]
+    else:
+        columns = [json_value(F.struct(*columns)).alias("data")]
+    named = df.select(*columns, F.col(_ASIDE)[0].alias(_ASIDE))
+    return named.select(*[quoted(c) for c in named.columns if c != _ASIDE], f"{_ASIDE}.*")
+
+
+def _stage(
+    spark: SparkSession, df: DataFrame, config: LoadConfig, table: str, as_of: dt.datetime
+) -> tuple[DataFrame, str]:
+    """Write rows once, so that what follows reads files instead of parsing again.
+
+    Spark also learns their size, which decides whether a merge broadcasts them.
+    """
+    name = staging_name(table, as_of, config.temporary_table_name_template)
+    path = f"{config.staging_folder(spark)}/{name}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def _quarantine(spark: SparkSession, rows: DataFrame, stream: str, config: LoadConfig, load: str) -> None:
+    """Keep rejected ``(raw, reason)`` rows by stream and load. A retry replaces its own rows."""
+    name = quoted_table(f"{config.database}.quarantine")
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} (raw STRING, reason STRING, stream STRING, load STRING)"
+        " USING parquet PARTITIONED BY (stream, load)"
+    )
+    out = rows.select("raw", "reason", F.lit(stream).alias("stream"), F.lit(load).alias("load"))
+    out.write.option("partitionOverwriteMode", "dynamic").insertInto(f"{config.database}.quarantine", overwrite=True)
+
+
+class _Watcher:
+    """Counts every parsed line that belongs nowhere, while the first stream is written."""
+
+    def __init__(self, known: list[str]) -> None:
+        self.seen = Observation()
+        self.known = known
+
+    def __call__(self, parsed: DataFrame) -> DataFrame:
+        return parsed.observe(self.seen, F.count(F.when(stray_reason(self.known).isNotNull(), 1)).alias("stray"))
+
+    def count(self) -> int:
+        return self.seen.get["stray"]
+
+
+def stray_reason(known: list[str]) -> Column:
+    """Why a parsed line belongs to no stream; null if it does."""
+    declared = F.coalesce(F.col("stream").isin(*known), F.lit(False)) if known else F.lit(False)
+    return F.when(F.col("type").isNull(), F.lit("not a message")).when(
+        (F.col("type") == "RECORD") & ~declared, F.lit("a record without a schema")
+    )
+
+
+def stray_lines(lines: DataFrame, known: list[str]) -> DataFrame:
+    """Lines that are no message, or records of a stream without a schema: ``(raw, reason)``."""
+    heads = lines.filter(F.trim("payload") != "").select("payload", parsed_once(F.col("payload"), HEAD))
+    return heads.select(F.col("payload").alias("raw"), stray_reason(known).alias("reason")).filter(
+        "reason IS NOT NULL"
+    )
+
+
+@dataclass
+class _StreamLoad:
+    """One stream on its way into its table. The log is parsed once."""
+
+    spark: SparkSession
+    spec: StreamSpec
+    config: LoadConfig
+    as_of: dt.datetime
+    rows: DataFrame
+    schema: T.StructType
+    stray: _Watcher | None = None
+
+    def __post_init__(self) -> None:
+        self.mapped = mapped_spec(self.spec, self.config)
+        self.table_id = table_name_of(self.mapped.name)
+        self.name = f"{self.config.database}.{self.table_id}"
+        self.mode = resolve_mode(self.mapped, self.config)
+        self.keys = key_names(self.mapped.key_properties, self.config.rules)
+        self.key = f"{self.table_id}-{int(self.as_of.timestamp() * 1000)}"
+        self.staged: list[str] = []
+        self.counts = Observation()
+        counted = self.rows.observe(
+            self.counts,
+            F.count(F.lit(1)).alias("rows"),
+            F.count(F.when(F.col(REJECT).isNotNull(), 1)).alias("rejected"),
+        )
+        self.good = counted.filter(F.col(REJECT).isNull()).drop(PAYLOAD, REJECT)
+
+    def judge(self) -> tuple[int, int]:
+        """After the rows were written, and before they show: decide on the rejected ones."""
+        if self.stray and self.stray.count() and self.config.fail_fast:
+            raise LoadError(f"{self.stray.count()} lines are no message, or records of a stream without a schema")
+        found = self.counts.get
+        if found["rejected"]:
+            if self.config.fail_fast:
+                raise LoadError(f"{self.spec.name}: {found['rejected']} of {found['rows']} records were rejected")
+            bad = self.rows.filter(F.col(REJECT).isNotNull())
+            named = bad.select(F.col(PAYLOAD).alias("raw"), F.col(REJECT).alias("reason"))
+            _quarantine(self.spark, named, self.spec.name, self.config, self.key)
+        return found["rows"] - found["rejected"], found["rejected"]
+
+    def stage(self, df: DataFrame) -> DataFrame:
+        rows, path = _stage(self.spark, df, self.config, self.table_id, self.as_of)
+        self.staged.append(path)
+        return rows
+
+    def merge_source(self, staged: DataFrame, table: LandingTable) -> DataFrame:
+        """Staged rows that are unique on the keys, as far as the target can tell."""
+        if is_selected(self.config.dedupe_before_upsert, self.spec.name):
+            latest = ("_sdc_extracted_at", "_sdc_received_at", "_sdc_sequence", SEQ)
+            return self.stage(dedupe_latest(staged, self.keys, [c for c in latest if c in staged.columns]).drop(SEQ))
+        source = staged.drop(SEQ)
+        clash = table.conflicts(self.spark, source, self.keys).select(*[quoted(k) for k in self.keys])
+        if clash.isEmpty():
+            return source
+        if self.config.fail_fast:
+            raise LoadError(f"{self.spec.name}: several records update one row; set dedupe_before_upsert")
+        doubled = source.join(clash, self.keys, "left_semi")
+        as_text = F.to_json(F.struct(*[quoted(c) for c in source.columns])).alias("raw")
+        reason = F.lit("several records update one row").alias("reason")
+        _quarantine(self.spark, doubled.select(as_text, reason), self.spec.name, self.config, f"{self.key}-conflicts")
+        kept = source.join(clash, self.keys, "left_anti")
+        return self.stage(kept.select(*[quoted(c) for c in source.columns]))
+
+    def run(self, facts: Mapping[str, str] | None = None) -> LoadResult:
+        spark, config = self.spark, self.config
+        comment = table_comment(self.spec, config)
+        schema = self.schema
+        grain = config.partition_granularity
+        table = LandingTable.create(spark, self.name, schema, grain, comment).begin(spark)
+        table = replace(table, facts={**table.facts, **(facts or {})})
+        layout = clustering(self.mapped, config)
+        judged = None
+        plain = self.good.drop(SEQ)
+        if self.mode == "upsert":
+            staged = self.stage(self.good)
+            judged = self.judge()
+            source = self.merge_source(staged, table)
+            schema = table.evolve(spark, schema)
+            table = table.merge(spark, source, self.keys, config.only_if_newer)
+        else:
+            if config.method == "lake_stage":
+                root = config.lake_root or f"{scratch_root(spark)}/sluiceway-lake"
+                stage_to_lake(plain, root, self.mapped.name, self.key, self.as_of, config.database)
+                judged = self.judge()
+                plain = lake_load(spark, root, self.mapped.name, schema, [self.key], dataset=config.database)
+            elif layout:  # a range sort reads its input twice
+                plain = self.stage(plain)
+                judged = self.judge()
+            if layout:
+                plain = cluster_layout(plain, layout)
+            if self.mode == "overwrite":
+                table = table.overwrite(spark, plain, schema, comment)
+            else:
+                schema = table.evolve(spark, schema)
+                table = table.append(spark, plain)
+            judged = judged or self.judge()
+        table.publish(spark, schema, comment)
+        for path in self.staged:  # a load that fails leaves its folder to ``expire_staging``
+            remove_folder(spark, path)
+        if config.partition_expiration_days is not None:
+            expire_partitions(spark, self.name, config.partition_expiration_days, self.as_of)
+        if config.generate_view and not config.denormalized:
+            struct = to_struct(self.spec.json_schema, config.schema_resolver_version)
+            columns = view_columns(struct, config.rules, config.timestamp_format, config.strict_view)
+            spark.sql(view_statement(f"{self.name}_view", self.name, columns))
+        return LoadResult(self.spec.name, self.name, self.mode, table.load_id, *judged)
+
+
+def load_stream(
+    spark: SparkSession,
+    msgs: DataFrame,
+    spec: StreamSpec,
+    config: LoadConfig | Mapping[str, Any],
+    as_of: dt.datetime,
+    facts: Mapping[str, str] | None = None,
+    prefilter: bool = True,
+    stray: _Watcher | None = None,
+) -> LoadResult:
+    """Load one stream of a message frame and publish its table.
+
+    Rejected rows are counted while the good ones are written; nothing shows
+    until the count has been judged.
+    """
+    config = LoadConfig.of(config)
+    rows, schema = stream_rows(msgs, spec, config, as_of, prefilter, stray)
+    return _StreamLoad(spark, spec, config, as_of, rows, schema, stray).run(facts)
+
+
+def split_streams(
+    spark: SparkSession, lines: DataFrame, config: LoadConfig, as_of: dt.datetime, stray: _Watcher
+) -> DataFrame:
+    """Parse the envelope once and write one folder per stream, for logs of many streams.
+
+    No shuffle: every task writes the streams it meets, so one stream that is a
+    third of the log is spread over all tasks.
+    """
+    path = f"{config.staging_folder(spark)}/{staging_name('messages', as_of, config.temporary_table_name_template)}"
+    msgs = as_messages(lines).filter(F.trim("payload") != "")
+    records = stray(msgs).filter("type = 'RECORD'").drop("type")
+    records.write.partitionBy("stream").parquet(path)
+    return spark.read.schema(records.schema).parquet(path), path
+
+
+def load_messages(
+    spark: SparkSession,
+    source: str | list[str] | DataFrame,
+    config: LoadConfig | Mapping[str, Any],
+    as_of: dt.datetime,
+    specs: Mapping[str, StreamSpec] | None = None,
+    facts: Mapping[str, str] | None = None,
+) -> tuple[list[LoadResult], str | None]:
+    """Load every stream of a log. Returns the results and the bookmark.
+
+    The bookmark is returned (and written, with ``state_path``) only after every
+    table is published. Records without a schema, and lines that are no message,
+    stop the load under ``fail_fast`` and are set aside otherwise. A map of
+    ``None`` leaves a stream out.
+    """
+    use_utc(spark)
+    config = LoadConfig.of(config)
+    lines = with_order(source) if isinstance(source, DataFrame) else read_lines(spark, source)
+    lines = lines.filter(F.trim("payload") != "")
+    specs = dict(stream_specs(lines) if specs is None else specs)
+    chosen = {n: s for n, s in specs.items() if config.stream_maps.get(n, {}) is not None}
+    stray = _Watcher(list(specs))
+    split = len(chosen) > config.direct_streams
+    if split:
+        msgs, folder = split_streams(spark, lines, config, as_of, stray)
+        if stray.count() and config.fail_fast:
+            raise LoadError(f"{stray.count()} lines are no message, or records of a stream without a schema")
+    elif not chosen and config.fail_fast and not stray_lines(lines, list(specs)).isEmpty():
+        raise LoadError("the log declares no stream to load, but holds other lines")
+    results = []
+    for at, (name, spec) in enumerate(chosen.items()):
+        if split:
+            part, first = msgs.filter(F.col("stream") == name).drop("stream"), None
+        else:
+            part, first = lines, stray if at == 0 else None
+        results.append(
+            load_stream(spark, part, spec, config, as_of, facts, prefilter=not split and at > 0, stray=first)
+        )
+    if split:
+        remove_folder(spark, folder)
+    if not config.fail_fast and (stray.count() if chosen else True):
+        strays = stray_lines(lines, list(specs))
+        _quarantine(spark, strays, "unassigned", config, f"log-{int(as_of.timestamp() * 1000)}")
+    found = latest_state(lines).collect()
+    bookmark = found[0].state if found else None
+    if bookmark and config.state_path:
+        stamp = int(as_of.timestamp() * 1000)
+        spark.createDataFrame([(bookmark,)], "state STRING").coalesce(1).write.mode("overwrite").parquet(
+            f"{config.state_path}/load={stamp}"
+        )
+    return results, bookmark
+
+
+def read_state(spark: SparkSession, path: str) -> str | None:
+    """The bookmark of the newest finished load."""
+    newest = spark.read.parquet(path).orderBy(F.col("load").desc()).limit(1).collect()
+    return newest[0].state if newest else None
