@@ -12,7 +12,8 @@ from pyspark.sql import types as T
 from ..sources.files import CORRUPT, lake_folder, read_lake
 
 # JSON timestamps with microseconds; the writer's default keeps milliseconds.
-TIMESTAMP_PATTERN = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+WALL_CLOCK_PATTERN = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+TIMESTAMP_PATTERN = WALL_CLOCK_PATTERN + "XXX"
 
 
 def batch_exists(spark: SparkSession, folder: str, batch_id: str) -> bool:
@@ -51,6 +52,7 @@ def stage_to_lake(
         .partitionBy("extracted_date", "batch_id")
         .option("compression", "gzip")
         .option("timestampFormat", TIMESTAMP_PATTERN)
+        .option("timestampNTZFormat", WALL_CLOCK_PATTERN)
         .option("maxRecordsPerFile", max_records_per_file)
         .json(folder)
     )

@@ -284,11 +284,16 @@ class LandingTable:
         """Write ``df`` as a new physical table, with the same layout and its own schema."""
         base, _, version = self.physical.rpartition("__v")
         fresh = replace(
-            self, physical=f"{base}__v{int(version) + 1}", load_id=1, floor=0, superseded=(), retired=self.physical
+            self,
+            physical=f"{base}__v{int(version) + 1}",
+            load_id=self.load_id + 1,
+            floor=0,
+            superseded=(),
+            retired=self.physical,
         )
         spark.sql(f"DROP TABLE IF EXISTS {quoted_table(fresh.physical)}")
         fresh._make(spark, schema, comment)
-        fresh.write(spark, df, 1)
+        fresh.write(spark, df, fresh.load_id)
         return fresh
 
     def touched(self, spark: SparkSession, source: DataFrame, keys: Sequence[str]) -> list[tuple[int, str]]:
