@@ -10,7 +10,8 @@ How the plans scale:
   small source nor have a skewed key split by adaptive execution. A small staged
   source is broadcast by Spark's own size check, and the target is not shuffled.
 * Source rows with a null key can never match, so they skip the joins instead of
-  meeting in one task.
+  meeting in one task. Only source rows whose key the target has enter the left
+  join, so a key that is hot in the source alone does not either.
 """
 
 from __future__ import annotations
@@ -67,16 +68,22 @@ def _same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], renamed:
 
 
 def matched_keys(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Distinct keys that occur on both sides. Reads only key columns of the target."""
-    columns = [F.col(quoted(k)) for k in keys]
-    return target.select(*columns).join(source.select(*columns), list(keys), "left_semi").distinct()
+    """Distinct keys that occur on both sides. Reads only key columns of the target.
+
+    Both sides lose their repeats before they can pile up: the source's by a
+    partial ``distinct``, the target's by the semi join's skew split and another.
+    """
+    columns = _all(keys)
+    return target.select(*columns).join(source.select(*columns).distinct(), list(keys), "left_semi").distinct()
 
 
-def new_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Source rows without a counterpart in the target, null keys included."""
+def split_source(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Source rows whose key the target has, and the others, null keys included."""
     keyed = source.filter(~any_null(keys))
-    fresh = keyed.join(matched_keys(target, keyed, keys), list(keys), "left_anti").select(*_all(source.columns))
-    return fresh.unionByName(source.filter(any_null(keys)))
+    matched = matched_keys(target, keyed, keys)
+    known = keyed.join(matched, list(keys), "left_semi").select(*_all(source.columns))
+    fresh = keyed.join(matched, list(keys), "left_anti").select(*_all(source.columns))
+    return known, fresh.unionByName(source.filter(any_null(keys)))
 
 
 def _all(columns: Sequence[str]) -> list[Column]:
@@ -97,9 +104,7 @@ def updated_rows(
     """
     changed = [c for c in shared if c not in keys]
     there = {c: f"__src_{c}" for c in shared}
-    incoming = source.filter(~any_null(keys)).select(
-        *[F.col(quoted(c)).alias(there[c]) for c in shared], F.lit(True).alias(_HIT)
-    )
+    incoming = source.select(*[F.col(quoted(c)).alias(there[c]) for c in shared], F.lit(True).alias(_HIT))
     joined = target.join(incoming, _same_keys(target, incoming, keys, there), "left")
     take = F.col(_HIT).isNotNull()
     if only_if_newer:
@@ -130,9 +135,9 @@ def upsert(
     shared = merge_columns(target.columns, source.columns, keys)
     types = {f.name: f.dataType for f in target.schema.fields}
     source = source.select(*[F.col(quoted(c)).cast(types[c]).alias(c) for c in shared])
+    known, fresh = split_source(target, source, keys)
     has_updates = any(c not in keys for c in shared)
-    kept = updated_rows(target, source, keys, shared, only_if_newer) if has_updates else target
-    fresh = new_rows(target, source, keys)
+    kept = updated_rows(target, known, keys, shared, only_if_newer) if has_updates else target
     padded = fresh.select(
         *[
             (F.col(quoted(f.name)) if f.name in shared else F.lit(None).cast(f.dataType)).alias(f.name)
@@ -153,9 +158,9 @@ def conflicts(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Data
         .agg(F.count("*").alias("source_rows"))
         .filter("source_rows > 1")
     )
-    return repeated.join(target.select(*_all(keys)), list(keys), "left_semi")
+    return repeated.join(matched_keys(target, repeated, keys), list(keys), "left_semi")
 
 
 __all__ = [
-    "conflicts", "dedupe_latest", "matched_keys", "merge_columns", "new_rows", "updated_rows", "upsert",
+    "conflicts", "dedupe_latest", "matched_keys", "merge_columns", "split_source", "updated_rows", "upsert",
 ]

@@ -22,7 +22,7 @@ from ..operators.mapping import ALIAS, KEYS, apply_stream_map, flatten
 from ..operators.merge import dedupe_latest
 from ..operators.views import view_columns, view_statement
 from ..session import quoted, quoted_table, remove_folder, scratch_root, use_utc
-from ..sources.messages import HEAD, as_messages, latest_state, parsed_once, read_lines, stream_specs, with_order
+from ..sources.messages import HEAD, as_messages, latest_state, log_facts, parsed_once, read_lines, with_order
 from .lake import lake_load, stage_to_lake
 from .tables import STAGING_HOURS, STAGING_TEMPLATE, LandingTable, cluster_layout, expire_partitions, staging_name
 
@@ -394,7 +394,11 @@ def load_messages(
     config = LoadConfig.of(config)
     lines = with_order(source) if isinstance(source, DataFrame) else read_lines(spark, source)
     lines = lines.filter(F.trim("payload") != "")
-    specs = dict(stream_specs(lines) if specs is None else specs)
+    if specs is None:
+        specs, bookmark = log_facts(lines)
+    else:
+        found = latest_state(lines).collect()
+        bookmark = found[0].state if found else None
     chosen = {n: s for n, s in specs.items() if config.stream_maps.get(n, {}) is not None}
     stray = _Watcher(list(specs))
     split = len(chosen) > config.direct_streams
@@ -418,8 +422,6 @@ def load_messages(
     if not config.fail_fast and (stray.count() if chosen else True):
         strays = stray_lines(lines, list(specs))
         _quarantine(spark, strays, "unassigned", config, f"log-{int(as_of.timestamp() * 1000)}")
-    found = latest_state(lines).collect()
-    bookmark = found[0].state if found else None
     if bookmark and config.state_path:
         stamp = int(as_of.timestamp() * 1000)
         spark.createDataFrame([(bookmark,)], "state STRING").coalesce(1).write.mode("overwrite").parquet(

@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from ..operators.evolve import column_ddl, evolve_table, missing_fields
 from ..operators.merge import conflicts, merge_columns, upsert
-from ..session import quoted, quoted_table, sql_text
+from ..session import is_small, quoted, quoted_table, sql_text
 
 LOAD_ID = "_load_id"
 GRAINS = ("hour", "day", "month", "year")
@@ -178,22 +178,21 @@ class LandingTable:
         return T.StructType([*public.fields, *missing_fields(public, incoming)])
 
     def begin(self, spark: SparkSession) -> LandingTable:
-        """Drop what earlier loads replaced, and any half-written load."""
+        """Drop what the last load replaced. One writer per table at a time."""
         if self.retired:
             spark.sql(f"DROP TABLE IF EXISTS {quoted_table(self.retired)}")
-        if self.superseded or self.floor or self._leftovers(spark):
-            listed = dict.fromkeys(self.superseded)
+        for load, value in self.superseded:
+            self.drop_partition(spark, load, value)
+        if self.floor:
             for load, value in self.partitions(spark):
-                if load > self.load_id or load <= self.floor or (load, value) in listed:
+                if load <= self.floor:
                     self.drop_partition(spark, load, value)
         return replace(self, superseded=(), retired=None)
 
-    def _leftovers(self, spark: SparkSession) -> bool:
-        return any(load > self.load_id for load, _ in self.partitions(spark))
-
-    def partitions(self, spark: SparkSession) -> list[tuple[int, str]]:
-        """``(load id, partition value)`` of every partition, from the catalog alone."""
-        rows = spark.sql(f"SHOW PARTITIONS {quoted_table(self.physical)}").collect()
+    def partitions(self, spark: SparkSession, load_id: int | None = None) -> list[tuple[int, str]]:
+        """``(load id, partition value)`` of the partitions, from the catalog alone."""
+        which = "" if load_id is None else f" PARTITION ({LOAD_ID}={load_id})"
+        rows = spark.sql(f"SHOW PARTITIONS {quoted_table(self.physical)}{which}").collect()
         pairs = [re.fullmatch(rf"{LOAD_ID}=(\d+)/{self.part}=(.*)", r.partition) for r in rows]
         return [(int(p[1]), _unescape(p[2])) for p in pairs if p]
 
@@ -259,8 +258,12 @@ class LandingTable:
         """Published rows with their partition columns."""
         return spark.table(self.physical).filter(self.visible())
 
-    def write(self, spark: SparkSession, df: DataFrame, load_id: int) -> None:
-        """Write the rows of one load, unseen. A retry replaces what a dead attempt left."""
+    def write(self, spark: SparkSession, df: DataFrame, load_id: int, gather: bool = False) -> None:
+        """Write the rows of one load, unseen. A retry replaces what a dead attempt left.
+
+        ``gather`` brings the rows of a partition together first, in pieces of even
+        size, where every task holds rows of every partition.
+        """
         have = {c.lower() for c in df.columns}
         fields = [f for f in spark.table(self.physical).schema.fields if f.name not in (LOAD_ID, self.part)]
         columns = [
@@ -269,10 +272,9 @@ class LandingTable:
         ]
         at = F.col("_sdc_batched_at") if "_sdc_batched_at" in have else F.lit(None).cast("timestamp")
         out = df.select(*columns, F.lit(load_id).alias(LOAD_ID), partition_value(self.grain, at).alias(self.part))
-        for load, value in self.partitions(spark):
-            if load == load_id:
-                self.drop_partition(spark, load, value)
-        out.write.insertInto(self.physical)
+        for load, value in self.partitions(spark, load_id):
+            self.drop_partition(spark, load, value)
+        (out.hint("rebalance", self.part) if gather else out).write.insertInto(self.physical)
 
     def append(self, spark: SparkSession, df: DataFrame) -> LandingTable:
         """Write ``df`` as the next load, ready to publish."""
@@ -299,8 +301,9 @@ class LandingTable:
     def touched(self, spark: SparkSession, source: DataFrame, keys: Sequence[str]) -> list[tuple[int, str]]:
         """Partitions that hold a key of the source. Reads key columns; collects partition values only."""
         rows = self.rows(spark)
-        hit = rows.select(*[F.col(quoted(k)) for k in keys], LOAD_ID, self.part).join(
-            source.select(*[F.col(quoted(k)) for k in keys]), list(keys), "left_semi"
+        columns = [F.col(quoted(k)) for k in keys]
+        hit = rows.select(*columns, LOAD_ID, self.part).join(
+            source.select(*columns).distinct(), list(keys), "left_semi"
         )
         text = F.coalesce(F.col(self.part).cast("string"), F.lit(_NO_VALUE))
         return [(r[0], r[1]) for r in hit.select(LOAD_ID, text).distinct().collect()]
@@ -326,7 +329,7 @@ class LandingTable:
         else:
             target = self.rows(spark).filter("false")
         merged = upsert(target.select(*[F.col(quoted(c)) for c in columns]), source, keys, only_if_newer)
-        self.write(spark, merged, load)
+        self.write(spark, merged, load, gather=len(touched) > 1 and not is_small(source))
         if whole:
             return replace(self, load_id=load, floor=self.load_id, superseded=())
         return replace(self, load_id=load, superseded=(*self.superseded, *touched))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_SCRATCH: dict[str, str] = {}
 
@@ -36,6 +36,17 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def is_small(df: DataFrame) -> bool:
+    """Whether Spark's own estimate puts a frame below its broadcast limit.
+
+    Meant for frames over files, whose size Spark knows.
+    """
+    spark = df.sparkSession
+    limit = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return size <= limit
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder this library wrote."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -17,7 +17,7 @@ import json
 import re
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.types import StreamSpec
@@ -123,17 +123,35 @@ def declared_schemas(msgs: DataFrame) -> DataFrame:
     )
 
 
+def _spec(stream: str, row: Row) -> StreamSpec:
+    return StreamSpec(
+        stream,
+        json.loads(row.schema or "{}"),
+        tuple(row.key_properties or ()),
+        tuple(row.bookmark_properties or ()),
+    )
+
+
 def stream_specs(msgs: DataFrame) -> dict[str, StreamSpec]:
     """The streams a log declares. Collects one row per stream: metadata only."""
-    return {
-        row.stream: StreamSpec(
-            row.stream,
-            json.loads(row.schema or "{}"),
-            tuple(row.key_properties or ()),
-            tuple(row.bookmark_properties or ()),
+    return {row.stream: _spec(row.stream, row) for row in declared_schemas(msgs).collect()}
+
+
+def log_facts(msgs: DataFrame) -> tuple[dict[str, StreamSpec], str | None]:
+    """The declared streams and the last STATE, in a single pass over the log."""
+    found = (
+        msgs.filter(mentions("SCHEMA") | mentions("STATE"))
+        .select("seq", parsed_once(F.col("payload"), f"{SCHEMA_BODY}, value STRING"))
+        .filter("type = 'STATE' OR (type = 'SCHEMA' AND stream IS NOT NULL)")
+        .groupBy("type", F.when(F.col("type") == "SCHEMA", F.col("stream")).alias("stream"))
+        .agg(
+            F.min_by(F.struct("schema", "key_properties", "bookmark_properties"), "seq").alias("first"),
+            F.max_by("value", "seq").alias("last"),
         )
-        for row in declared_schemas(msgs).collect()
-    }
+        .collect()
+    )
+    specs = {row.stream: _spec(row.stream, row.first) for row in found if row.type == "SCHEMA"}
+    return specs, next((row.last for row in found if row.type == "STATE"), None)
 
 
 def unknown_streams(msgs: DataFrame, known: Iterable[str]) -> DataFrame:
