@@ -21,7 +21,7 @@ from ..operators.envelope import HIDDEN, PAYLOAD, REJECT, SEQ, Watch, project_de
 from ..operators.mapping import ALIAS, KEYS, apply_stream_map, flatten
 from ..operators.merge import dedupe_latest
 from ..operators.views import view_columns, view_statement
-from ..session import quoted, quoted_table, remove_folder, scratch_root, use_utc
+from ..session import quoted, quoted_table, remove_folder, scratch_root, sql_text, use_utc
 from ..sources.messages import HEAD, as_messages, latest_state, log_facts, parsed_once, read_lines, with_order
 from .lake import lake_load, stage_to_lake
 from .tables import STAGING_HOURS, STAGING_TEMPLATE, LandingTable, cluster_layout, expire_partitions, staging_name
@@ -197,8 +197,10 @@ def _quarantine(spark: SparkSession, rows: DataFrame, stream: str, config: LoadC
         f"CREATE TABLE IF NOT EXISTS {name} (raw STRING, reason STRING, stream STRING, load STRING)"
         " USING parquet PARTITIONED BY (stream, load)"
     )
+    own = f"PARTITION (stream={sql_text(stream)}, load={sql_text(load)})"
+    spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {own}")
     out = rows.select("raw", "reason", F.lit(stream).alias("stream"), F.lit(load).alias("load"))
-    out.write.option("partitionOverwriteMode", "dynamic").insertInto(f"{config.database}.quarantine", overwrite=True)
+    out.write.insertInto(f"{config.database}.quarantine")
 
 
 class _Watcher:

@@ -43,7 +43,7 @@ def is_small(df: DataFrame) -> bool:
     """
     spark = df.sparkSession
     limit = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return size <= limit
 
 
