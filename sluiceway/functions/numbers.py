@@ -34,6 +34,24 @@ def normalize_numbers(df: DataFrame) -> DataFrame:
     )
 
 
+def _has_variant(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.StructType):
+        return any(_has_variant(f.dataType) for f in dtype.fields)
+    if isinstance(dtype, T.ArrayType):
+        return _has_variant(dtype.elementType)
+    return isinstance(dtype, T.VariantType)
+
+
+def json_text(df: DataFrame) -> DataFrame:
+    """Columns that hold JSON, at any depth, as JSON text: for sinks that know no VARIANT."""
+    return df.select(
+        *[
+            F.to_json(F.col(quoted(f.name))).alias(f.name) if _has_variant(f.dataType) else F.col(quoted(f.name))
+            for f in df.schema.fields
+        ]
+    )
+
+
 def json_value(column: Column) -> Column:
     """Any column as VARIANT, by way of its JSON text; explicit nulls are kept."""
     wrapped = F.to_json(F.struct(column.alias("v")), {"ignoreNullFields": "false"})

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,6 +21,24 @@ def evolve_frame(df: DataFrame, incoming: T.StructType) -> DataFrame:
     return df.select(*[F.col(quoted(c)) for c in df.columns], *added)
 
 
+def conform(column: Column, have: T.DataType, want: T.DataType) -> Column:
+    """A column in the type its table has. Nested fields the table lacks are dropped, absent ones null."""
+    if have.simpleString() == want.simpleString():
+        return column
+    if isinstance(have, T.StructType) and isinstance(want, T.StructType):
+        there = {f.name.lower(): f for f in have.fields}
+        parts = [
+            conform(column.getField(there[f.name.lower()].name), there[f.name.lower()].dataType, f.dataType)
+            if f.name.lower() in there
+            else F.lit(None).cast(f.dataType)
+            for f in want.fields
+        ]
+        return F.when(column.isNotNull(), F.struct(*[p.alias(f.name) for p, f in zip(parts, want.fields)]))
+    if isinstance(have, T.ArrayType) and isinstance(want, T.ArrayType):
+        return F.transform(column, lambda e: conform(e, have.elementType, want.elementType))
+    return column.cast(want)
+
+
 def column_ddl(field: T.StructField) -> str:
     """One column of a DDL statement, with nested names quoted and its comment kept."""
     return T.StructType([T.StructField(field.name, field.dataType, True, field.metadata)]).toDDL()

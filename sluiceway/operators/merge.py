@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import quoted
+from .evolve import conform
 
 DEFAULT_ORDER = ("_sdc_extracted_at", "_sdc_received_at", "_sdc_sequence")
 _HIT = "__hit"
@@ -133,8 +134,9 @@ def upsert(
     ``conflicts``) and cheap to read twice: stage it first.
     """
     shared = merge_columns(target.columns, source.columns, keys)
-    types = {f.name: f.dataType for f in target.schema.fields}
-    source = source.select(*[F.col(quoted(c)).cast(types[c]).alias(c) for c in shared])
+    source = source.select(
+        *[conform(F.col(quoted(c)), source.schema[c].dataType, target.schema[c].dataType).alias(c) for c in shared]
+    )
     known, fresh = split_source(target, source, keys)
     has_updates = any(c not in keys for c in shared)
     kept = updated_rows(target, known, keys, shared, only_if_newer) if has_updates else target

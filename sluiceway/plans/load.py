@@ -22,9 +22,17 @@ from ..operators.mapping import ALIAS, KEYS, apply_stream_map, flatten
 from ..operators.merge import dedupe_latest
 from ..operators.views import view_columns, view_statement
 from ..session import quoted, quoted_table, remove_folder, scratch_root, sql_text, use_utc
-from ..sources.messages import HEAD, as_messages, latest_state, log_facts, parsed_once, read_lines, with_order
+from ..sources.messages import HEAD, as_messages, batch_lines, log_facts, parsed_once, read_lines, with_order
 from .lake import lake_load, stage_to_lake
-from .tables import STAGING_HOURS, STAGING_TEMPLATE, LandingTable, cluster_layout, expire_partitions, staging_name
+from .tables import (
+    STAGING_HOURS,
+    STAGING_TEMPLATE,
+    LandingTable,
+    cluster_layout,
+    expire_partitions,
+    expire_staging,
+    staging_name,
+)
 
 _ASIDE = "__aside"
 
@@ -244,6 +252,7 @@ class _StreamLoad:
     rows: DataFrame
     schema: T.StructType
     stray: _Watcher | None = None
+    facts: Mapping[str, str] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         self.mapped = mapped_spec(self.spec, self.config)
@@ -251,7 +260,7 @@ class _StreamLoad:
         self.name = f"{self.config.database}.{self.table_id}"
         self.mode = resolve_mode(self.mapped, self.config)
         self.keys = key_names(self.mapped.key_properties, self.config.rules)
-        self.key = f"{self.table_id}-{int(self.as_of.timestamp() * 1000)}"
+        self.key = "-".join([self.table_id, str(int(self.as_of.timestamp() * 1000)), *filter(None, [self.facts.get("batch")])])
         self.staged: list[str] = []
         self.counts = Observation()
         counted = self.rows.observe(
@@ -297,17 +306,19 @@ class _StreamLoad:
         kept = source.join(clash, self.keys, "left_anti")
         return self.stage(kept.select(*[quoted(c) for c in source.columns]))
 
-    def run(self, facts: Mapping[str, str] | None = None) -> LoadResult:
+    def run(self) -> LoadResult:
         spark, config = self.spark, self.config
         comment = table_comment(self.spec, config)
         schema = self.schema
         grain = config.partition_granularity
         table = LandingTable.create(spark, self.name, schema, grain, comment).begin(spark)
-        table = replace(table, facts={**table.facts, **(facts or {})})
+        same_query = "query" in self.facts and table.facts.get("query") == self.facts["query"]
+        mode = "append" if self.mode == "overwrite" and same_query else self.mode  # a stream replaces a table once
+        table = replace(table, facts={**table.facts, **self.facts})
         layout = clustering(self.mapped, config)
         judged = None
         plain = self.good.drop(SEQ)
-        if self.mode == "upsert":
+        if mode == "upsert":
             staged = self.stage(self.good)
             judged = self.judge()
             source = self.merge_source(staged, table)
@@ -324,7 +335,7 @@ class _StreamLoad:
                 judged = self.judge()
             if layout:
                 plain = cluster_layout(plain, layout)
-            if self.mode == "overwrite":
+            if mode == "overwrite":
                 table = table.overwrite(spark, plain, schema, comment)
             else:
                 schema = table.evolve(spark, schema)
@@ -339,7 +350,7 @@ class _StreamLoad:
             struct = to_struct(self.spec.json_schema, config.schema_resolver_version)
             columns = view_columns(struct, config.rules, config.timestamp_format, config.strict_view)
             spark.sql(view_statement(f"{self.name}_view", self.name, columns))
-        return LoadResult(self.spec.name, self.name, self.mode, table.load_id, *judged)
+        return LoadResult(self.spec.name, self.name, mode, table.load_id, *judged)
 
 
 def load_stream(
@@ -359,7 +370,7 @@ def load_stream(
     """
     config = LoadConfig.of(config)
     rows, schema = stream_rows(msgs, spec, config, as_of, prefilter, stray)
-    return _StreamLoad(spark, spec, config, as_of, rows, schema, stray).run(facts)
+    return _StreamLoad(spark, spec, config, as_of, rows, schema, stray, facts or {}).run()
 
 
 def split_streams(
@@ -388,7 +399,7 @@ def load_messages(
     """Load every stream of a log. Returns the results and the bookmark.
 
     The bookmark is returned (and written, with ``state_path``) only after every
-    table is published. Records without a schema, and lines that are no message,
+    table is published. Files named by BATCH messages are part of the log. Records without a schema, and lines that are no message,
     stop the load under ``fail_fast`` and are set aside otherwise. A map of
     ``None`` leaves a stream out.
     """
@@ -396,11 +407,10 @@ def load_messages(
     config = LoadConfig.of(config)
     lines = with_order(source) if isinstance(source, DataFrame) else read_lines(spark, source)
     lines = lines.filter(F.trim("payload") != "")
-    if specs is None:
-        specs, bookmark = log_facts(lines)
-    else:
-        found = latest_state(lines).collect()
-        bookmark = found[0].state if found else None
+    found = log_facts(lines)
+    specs, bookmark = specs or found.specs, found.state
+    for stream, files in found.batches.items():
+        lines = lines.unionByName(batch_lines(spark, stream, files))
     chosen = {n: s for n, s in specs.items() if config.stream_maps.get(n, {}) is not None}
     stray = _Watcher(list(specs))
     split = len(chosen) > config.direct_streams
@@ -424,6 +434,7 @@ def load_messages(
     if not config.fail_fast and (stray.count() if chosen else True):
         strays = stray_lines(lines, list(specs))
         _quarantine(spark, strays, "unassigned", config, f"log-{int(as_of.timestamp() * 1000)}")
+    expire_staging(spark, config.staging_folder(spark), as_of, config.temporary_table_expiration_hours)
     if bookmark and config.state_path:
         stamp = int(as_of.timestamp() * 1000)
         spark.createDataFrame([(bookmark,)], "state STRING").coalesce(1).write.mode("overwrite").parquet(

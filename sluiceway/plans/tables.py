@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.evolve import column_ddl, evolve_table, missing_fields
+from ..operators.evolve import column_ddl, conform, evolve_table, missing_fields
 from ..operators.merge import conflicts, merge_columns, upsert
 from ..session import is_small, quoted, quoted_table, sql_text
 
@@ -264,10 +264,10 @@ class LandingTable:
         ``gather`` brings the rows of a partition together first, in pieces of even
         size, where every task holds rows of every partition.
         """
-        have = {c.lower() for c in df.columns}
+        have = {f.name.lower(): f.dataType for f in df.schema.fields}
         fields = [f for f in spark.table(self.physical).schema.fields if f.name not in (LOAD_ID, self.part)]
         columns = [
-            (F.col(quoted(f.name)).cast(f.dataType) if f.name.lower() in have else F.lit(None).cast(f.dataType)).alias(f.name)
+            (conform(F.col(quoted(f.name)), have[f.name.lower()], f.dataType) if f.name.lower() in have else F.lit(None).cast(f.dataType)).alias(f.name)
             for f in fields
         ]
         at = F.col("_sdc_batched_at") if "_sdc_batched_at" in have else F.lit(None).cast("timestamp")

@@ -16,6 +16,8 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterable
+from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -28,16 +30,16 @@ SCHEMA_BODY = f"{HEAD}, schema STRING, key_properties ARRAY<STRING>, bookmark_pr
 STATE_BODY = "type STRING, value STRING"
 
 
-def mentions(word: str, payload: Column | str = "payload") -> Column:
-    """True for every line whose JSON can contain ``word`` (and maybe for others).
+def mentions(*words: str) -> Column:
+    """True for every ``payload`` whose JSON can contain one of the words (and maybe for others).
 
     JSON may write any character as ``\\uXXXX``, so lines with an escape always
     pass. Words with characters JSON escapes in other ways are not tested at all.
     """
-    line = F.col(payload) if isinstance(payload, str) else payload
-    if not re.fullmatch(r"[A-Za-z0-9_.\- ]+", word):
+    if not all(re.fullmatch(r"[A-Za-z0-9_.\- ]+", word) for word in words):
         return F.lit(True)
-    return line.contains(word) | line.contains("\\u")
+    line = F.col("payload")
+    return reduce(lambda a, b: a | b, [line.contains(word) for word in (*words, "\\u")])
 
 
 def parsed_once(payload: Column, schema: str, options: dict[str, str] | None = None) -> Column:
@@ -137,21 +139,45 @@ def stream_specs(msgs: DataFrame) -> dict[str, StreamSpec]:
     return {row.stream: _spec(row.stream, row) for row in declared_schemas(msgs).collect()}
 
 
-def log_facts(msgs: DataFrame) -> tuple[dict[str, StreamSpec], str | None]:
-    """The declared streams and the last STATE, in a single pass over the log."""
+@dataclass
+class LogFacts:
+    """What a log says about itself: schemas, batch files by stream, and the last state."""
+
+    specs: dict[str, StreamSpec] = field(default_factory=dict)
+    batches: dict[str, list[str]] = field(default_factory=dict)
+    state: str | None = None
+
+
+def log_facts(msgs: DataFrame) -> LogFacts:
+    """All facts in a single pass over the log. Collects a row per stream and kind of message."""
     found = (
-        msgs.filter(mentions("SCHEMA") | mentions("STATE"))
-        .select("seq", parsed_once(F.col("payload"), f"{SCHEMA_BODY}, value STRING"))
-        .filter("type = 'STATE' OR (type = 'SCHEMA' AND stream IS NOT NULL)")
-        .groupBy("type", F.when(F.col("type") == "SCHEMA", F.col("stream")).alias("stream"))
+        msgs.filter(mentions("SCHEMA", "STATE", "BATCH"))
+        .select("seq", parsed_once(F.col("payload"), f"{SCHEMA_BODY}, value STRING, manifest ARRAY<STRING>"))
+        .filter("type = 'STATE' OR (type IN ('SCHEMA', 'BATCH') AND stream IS NOT NULL)")
+        .groupBy("type", F.when(F.col("type") != "STATE", F.col("stream")).alias("stream"))
         .agg(
             F.min_by(F.struct("schema", "key_properties", "bookmark_properties"), "seq").alias("first"),
             F.max_by("value", "seq").alias("last"),
+            F.flatten(F.collect_list("manifest")).alias("files"),
         )
         .collect()
     )
-    specs = {row.stream: _spec(row.stream, row.first) for row in found if row.type == "SCHEMA"}
-    return specs, next((row.last for row in found if row.type == "STATE"), None)
+    facts = LogFacts()
+    for row in found:
+        if row.type == "SCHEMA":
+            facts.specs[row.stream] = _spec(row.stream, row.first)
+        elif row.type == "BATCH":
+            facts.batches[row.stream] = sorted(row.files)
+        else:
+            facts.state = row.last
+    return facts
+
+
+def batch_lines(spark: SparkSession, stream: str, files: list[str]) -> DataFrame:
+    """Records of batch files as the RECORD lines a source would have written."""
+    lines = read_lines(spark, files).filter(F.trim("payload") != "")
+    head = json.dumps({"type": "RECORD", "stream": stream})[:-1] + ', "record": '
+    return lines.select("seq", F.concat(F.lit(head), F.col("payload"), F.lit("}")).alias("payload"))
 
 
 def unknown_streams(msgs: DataFrame, known: Iterable[str]) -> DataFrame:

@@ -306,3 +306,43 @@ def test_tables_of_others_are_left_alone(spark, database):
     spark.sql(f"CREATE TABLE {database}.people (id INT) USING parquet")
     with pytest.raises(ValueError, match="not created by a load"):
         load(spark, database, people((1, "a")))
+
+
+def test_batch_files_are_part_of_the_log(spark, database, tmp_path):
+    path = tmp_path / "b.jsonl.gz"
+    with gzip.open(path, "wt") as out:
+        out.write('{"id": 1, "name": "a"}\n\n{"id": 2.0, "name": "b"}\n')
+    batch = {"type": "BATCH", "stream": "people", "encoding": {"format": "jsonl", "compression": "gzip"}, "manifest": [str(path)]}
+    [result], _ = load(spark, database, people((3, "c")) + [batch])
+    assert result.rows == 3 and names(spark, database) == [(1, "a"), (2, "b"), (3, "c")]
+    path.write_bytes(gzip.compress(b'{"id": "x"}\n{broken\n'))
+    with pytest.raises(LoadError):
+        load(spark, database, people((4, "d")) + [batch], day(2))
+    assert len(names(spark, database)) == 3
+
+
+def test_nested_fields_the_table_lacks_are_dropped(spark, database):
+    def nested(**fields):
+        return {"id": {"type": "integer"}, "home": {"type": "object", "properties": {n: {"type": k} for n, k in fields.items()}},
+                "list": {"type": "array", "items": {"type": "object", "properties": {n: {"type": k} for n, k in fields.items()}}}}
+
+    first = [schema("people", nested(city="string", zip="integer"), ["id"]), record("people", {"id": 1, "home": {"city": "a", "zip": 1}, "list": [{"city": "l", "zip": 2}]})]
+    later = [schema("people", nested(street="string", city="string"), ["id"]), record("people", {"id": 2, "home": {"city": "b", "street": "s"}, "list": [{"street": "x"}]}),
+             record("people", {"id": 1})]
+    for settings in ({}, {"upsert": True}):
+        table = "people"
+        spark.sql(f"DROP VIEW IF EXISTS {database}.{table}")
+        spark.sql(f"DROP TABLE IF EXISTS {database}.{table}__v1")
+        load(spark, database, first, day(1), **settings)
+        load(spark, database, later, day(2), **settings)
+        df = spark.table(f"{database}.people")
+        assert df.schema["home"].dataType.simpleString() == "struct<city:string,zip:bigint>"
+        got = [r.asDict(True) for r in df.filter("id = 2").select("home", "list").collect()]
+        assert got == [{"home": {"city": "b", "zip": None}, "list": [{"city": None, "zip": None}]}]
+        assert df.filter("id = 1 AND home IS NULL").count() == 1
+
+
+def test_old_staging_is_swept_by_loads(spark, database, tmp_path):
+    (tmp_path / staging_name("people", day(1))).mkdir()
+    load(spark, database, people((1, "a")), day(20), staging_root=str(tmp_path))
+    assert list(tmp_path.iterdir()) == []

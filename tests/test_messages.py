@@ -7,7 +7,7 @@ from sluiceway.sources import (
     as_messages, batch_manifest, latest_state, read_batch_files, read_lines, read_messages, records_of, stream_specs, unknown_streams,
 )
 from sluiceway.functions import StreamSpec
-from sluiceway.sources.messages import log_facts
+from sluiceway.sources.messages import LogFacts, log_facts
 
 from .conftest import lines, record, rows, schema, state, write_log
 
@@ -39,8 +39,8 @@ def test_first_schema_and_last_state_by_file_then_line(spark, tmp_path):
     msgs = read_messages(spark, paths)
     assert stream_specs(msgs)["s"].key_properties == ("k1",)
     assert [json.loads(r.state) for r in latest_state(msgs).collect()] == [{"at": 20}]
-    specs, bookmark = log_facts(read_lines(spark, paths))
-    assert specs == stream_specs(msgs) and json.loads(bookmark) == {"at": 20}
+    facts = log_facts(read_lines(spark, paths))
+    assert facts.specs == stream_specs(msgs) and json.loads(facts.state) == {"at": 20}
 
 
 def test_order_holds_across_splits_of_a_file(spark, tmp_path):
@@ -67,7 +67,7 @@ def test_escaped_words_are_still_found(spark):
 def test_a_log_without_state(spark):
     msgs = as_messages(lines(spark, [schema("s", ID)]))
     assert latest_state(msgs).count() == 0
-    assert log_facts(msgs) == ({"s": StreamSpec("s", {"properties": ID})}, None)
+    assert log_facts(msgs) == LogFacts({"s": StreamSpec("s", {"properties": ID})})
 
 
 def test_records_without_a_schema(spark):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -173,6 +174,19 @@ def bulk_load(spark: SparkSession, sf: str) -> DataFrame:
     return rows.withColumn("s_nationkey", F.col("s_nationkey").cast("int"))
 
 
+@query("SELECT p_partkey, p_name, p_brand FROM part")
+def bulk_load_batch_files(spark: SparkSession, sf: str) -> DataFrame:
+    """A log that names gzip files of records instead of holding them."""
+    part, folder = table(spark, sf, "part").select("p_partkey", "p_name", "p_brand"), scratch_path(spark, "batch")
+    part.write.option("compression", "gzip").json(folder)
+    files = sorted(spark.read.text(folder).inputFiles())
+    batch = {"type": "BATCH", "stream": "part", "encoding": {"format": "jsonl", "compression": "gzip"}, "manifest": files}
+    lines = schema_line(spark, spec_of(part, "part", ["p_partkey"])).union(
+        spark.createDataFrame([(json.dumps(batch),)], "payload STRING")
+    )
+    return _plain_table(spark, _load(spark, scratch_database(spark), lines, denormalized=True))
+
+
 @query("""
 SELECT o_orderkey, o_orderstatus, TIMESTAMP '2024-03-01 12:00:00' AS _sdc_batched_at FROM orders
 """)

@@ -209,6 +209,18 @@ def fixed_envelope(spark: SparkSession, sf: str) -> DataFrame:
     return plain(fixed(spark, events, "events").withColumn("data", F.to_json("data")))
 
 
+@query("""
+SELECT event_id, '{"event_id":' || event_id || ',"tags":["' || event_type || '"]}' AS data, '[{"k":' || json_extract_string(props, '$.k') || '}]' AS list
+FROM events
+""")
+def serialize_json(spark: SparkSession, sf: str) -> DataFrame:
+    """JSON columns as text, also inside arrays."""
+    events = table(spark, sf, "events").select("event_id", F.array("event_type").alias("tags"))
+    rows = fixed(spark, events, "events").select(F.expr("variant_get(data, '$.event_id', 'bigint')").alias("event_id"), "data")
+    lists = table(spark, sf, "events").select("event_id", F.array(F.parse_json("props")).alias("list"))
+    return sw.json_text(rows.join(lists, "event_id"))
+
+
 @query("""
 SELECT event_id, value, ts AS _sdc_extracted_at, TIMESTAMP '2024-03-01 12:00:00' AS _sdc_received_at,
        TIMESTAMP '2024-03-01 12:00:00' AS _sdc_batched_at, CAST(NULL AS TIMESTAMP) AS _sdc_deleted_at,
