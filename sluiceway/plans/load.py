@@ -21,7 +21,7 @@ from ..operators.envelope import HIDDEN, PAYLOAD, REJECT, SEQ, Watch, project_de
 from ..operators.mapping import ALIAS, KEYS, apply_stream_map, flatten
 from ..operators.merge import dedupe_latest
 from ..operators.views import view_columns, view_statement
-from ..session import quoted, quoted_table, remove_folder, scratch_root, sql_text, use_utc
+from ..session import quoted, quoted_table, remove_folder, scratch_root, sql_text, prepare_session
 from ..sources.messages import HEAD, as_messages, batch_lines, log_facts, parsed_once, read_lines, with_order
 from .lake import lake_load, stage_to_lake
 from .tables import (
@@ -36,6 +36,19 @@ from .tables import (
 
 _ASIDE = "__aside"
 
+# Setting and method names of other loaders' configurations, and what they are here.
+METHODS = {
+    "batch_job": "batch_job",
+    "lake_stage": "lake_stage",
+    "gcs_stage": "lake_stage",
+    "storage_write_api": "batch_job",
+    "streaming_insert": "batch_job",
+}
+RENAMED_SETTINGS = {"dataset": "database", "bucket": "lake_root"}
+UNUSED_SETTINGS = {
+    "project", "location", "credentials_path", "credentials_json", "batch_size", "timeout", "options",
+}
+
 
 class LoadError(RuntimeError):
     """A load was stopped before it became visible; the bookmark has not moved."""
@@ -43,7 +56,12 @@ class LoadError(RuntimeError):
 
 @dataclass(frozen=True)
 class LoadConfig:
-    """Settings of a load. ``of`` accepts a plain mapping with these names."""
+    """Settings of a load.
+
+    ``of`` accepts a plain mapping with these names, and the configuration of a
+    loader that ran outside Spark: settings about its workers and credentials
+    have no meaning here and are passed over.
+    """
 
     database: str = "default"
     denormalized: bool = False
@@ -77,14 +95,17 @@ class LoadConfig:
     def of(cls, settings: LoadConfig | Mapping[str, Any]) -> LoadConfig:
         if isinstance(settings, LoadConfig):
             return settings
-        unknown = sorted(set(settings) - {f.name for f in fields(cls)})
+        known = {f.name for f in fields(cls)}
+        chosen = {RENAMED_SETTINGS.get(k, k): v for k, v in settings.items() if k not in UNUSED_SETTINGS}
+        unknown = sorted(set(chosen) - known)
         if unknown:
             raise ValueError(f"unknown settings: {', '.join(unknown)}")
-        return cls(**settings)
+        return cls(**{k: v for k, v in chosen.items() if v is not None})
 
     def __post_init__(self) -> None:
-        if self.method not in ("batch_job", "lake_stage"):
+        if self.method not in METHODS:
             raise ValueError(f"Unknown method: {self.method}")
+        object.__setattr__(self, "method", METHODS[self.method])
 
     @property
     def rules(self) -> NameRules:
@@ -288,15 +309,17 @@ class _StreamLoad:
         self.staged.append(path)
         return rows
 
-    def merge_source(self, staged: DataFrame, table: LandingTable) -> DataFrame:
-        """Staged rows that are unique on the keys, as far as the target can tell."""
+    def merge_source(self, table: LandingTable) -> tuple[DataFrame, tuple[int, int]]:
+        """Staged rows that are unique on the keys, as far as the target can tell, and their counts."""
         if is_selected(self.config.dedupe_before_upsert, self.spec.name):
             latest = ("_sdc_extracted_at", "_sdc_received_at", "_sdc_sequence", SEQ)
-            return self.stage(dedupe_latest(staged, self.keys, [c for c in latest if c in staged.columns]).drop(SEQ))
-        source = staged.drop(SEQ)
+            present = [c for c in latest if c in self.good.columns]
+            return self.stage(dedupe_latest(self.good, self.keys, present).drop(SEQ)), self.judge()
+        source = self.stage(self.good.drop(SEQ))
+        judged = self.judge()
         clash = table.conflicts(self.spark, source, self.keys).select(*[quoted(k) for k in self.keys])
         if clash.isEmpty():
-            return source
+            return source, judged
         if self.config.fail_fast:
             raise LoadError(f"{self.spec.name}: several records update one row; set dedupe_before_upsert")
         doubled = source.join(clash, self.keys, "left_semi")
@@ -304,7 +327,7 @@ class _StreamLoad:
         reason = F.lit("several records update one row").alias("reason")
         _quarantine(self.spark, doubled.select(as_text, reason), self.spec.name, self.config, f"{self.key}-conflicts")
         kept = source.join(clash, self.keys, "left_anti")
-        return self.stage(kept.select(*[quoted(c) for c in source.columns]))
+        return self.stage(kept.select(*[quoted(c) for c in source.columns])), judged
 
     def run(self) -> LoadResult:
         spark, config = self.spark, self.config
@@ -319,9 +342,7 @@ class _StreamLoad:
         judged = None
         plain = self.good.drop(SEQ)
         if mode == "upsert":
-            staged = self.stage(self.good)
-            judged = self.judge()
-            source = self.merge_source(staged, table)
+            source, judged = self.merge_source(table)
             schema = table.evolve(spark, schema)
             table = table.merge(spark, source, self.keys, config.only_if_newer)
         else:
@@ -403,7 +424,7 @@ def load_messages(
     stop the load under ``fail_fast`` and are set aside otherwise. A map of
     ``None`` leaves a stream out.
     """
-    use_utc(spark)
+    prepare_session(spark)
     config = LoadConfig.of(config)
     lines = with_order(source) if isinstance(source, DataFrame) else read_lines(spark, source)
     lines = lines.filter(F.trim("payload") != "")

@@ -359,7 +359,7 @@ def read_between(spark: SparkSession, name: str, start: dt.datetime, end: dt.dat
 def expire_partitions(
     spark: SparkSession, name: str, days: int, as_of: dt.datetime
 ) -> list[str]:
-    """Drop partitions whose period began more than ``days`` before ``as_of``.
+    """Drop partitions whose period began ``days`` or more before ``as_of``.
 
     Planned from partition values in the catalog; no data is read. Returns the
     dropped values.
@@ -370,7 +370,7 @@ def expire_partitions(
     cutoff = as_of.replace(tzinfo=None) - dt.timedelta(days=days)
     gone = []
     for load, value in table.partitions(spark):
-        if value != _NO_VALUE and dt.datetime.fromisoformat(value) < cutoff:
+        if value != _NO_VALUE and dt.datetime.fromisoformat(value) <= cutoff:
             table.drop_partition(spark, load, value)
             gone.append(value)
     return sorted(set(gone))

@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 _LOCAL_SCRATCH: dict[str, str] = {}
 
 
-def use_utc(spark: SparkSession) -> SparkSession:
-    """Pin the session time zone, so instants render the same on every cluster."""
+def prepare_session(spark: SparkSession) -> SparkSession:
+    """Settings the loads rely on: UTC instants, and the last of repeated JSON keys."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     return spark
 
 

@@ -16,7 +16,7 @@ from ..functions.types import StreamSpec
 from ..operators.envelope import REJECT, SEQ, PAYLOAD
 from ..plans.load import LoadConfig, LoadResult, load_messages, mapped_spec, stream_rows
 from ..plans.tables import LandingTable, partition_column, partition_value
-from ..session import use_utc
+from ..session import prepare_session
 from ..sources.messages import stream_lines, stream_specs, with_order
 
 Clock = Callable[[], dt.datetime]
@@ -47,7 +47,7 @@ def stream_append(
     stop the query under ``fail_fast`` and are left out otherwise; use
     ``stream_load`` to keep them.
     """
-    use_utc(spark)
+    prepare_session(spark)
     config = LoadConfig.of(config)
     lines = stream_lines(spark, source, max_files)
     rows, _ = stream_rows(lines, spec, config, clock(), prefilter=True)
@@ -111,7 +111,7 @@ def stream_load(
     and writes over what a dead attempt left in the others. The bookmark follows
     the tables.
     """
-    use_utc(spark)
+    prepare_session(spark)
     config = LoadConfig.of(config)
     declared = _DeclaredStreams(spark, checkpoint)
 

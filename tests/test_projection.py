@@ -8,6 +8,7 @@ from sluiceway.operators import (
     flatten, map_stream, parse_records, project_denormalized, project_fixed, split_valid, stamp_metadata, typed_view, view_columns,
 )
 from sluiceway.operators.mapping import apply_stream_map
+from sluiceway.session import prepare_session
 from sluiceway.sources import as_messages
 
 from .conftest import day, lines, plan, record, rows
@@ -111,6 +112,13 @@ def test_metadata_keys_written_with_escapes(spark):
     assert tuple(row) == ('{"a":1}', 5)
 
 
+def test_the_last_of_repeated_keys_counts(spark):
+    prepare_session(spark)
+    line = '{"type":"RECORD","stream":"s","record":{"a":1,"a":2}}'
+    assert project_fixed(as_messages(lines(spark, [line])), "s").select(F.to_json("data")).first()[0] == '{"a":2}'
+    assert project_denormalized(as_messages(lines(spark, [line])), spec({"a": {"type": "integer"}})).first().a == 2
+
+
 def test_nested_metadata_names_stay(spark):
     body = {"a": {"_sdc_sequence": 1}, "t": "_sdc_sequence"}
     assert project_fixed(frame(spark, [body]), "s").select(F.to_json("data")).first()[0] == '{"a":{"_sdc_sequence":1},"t":"_sdc_sequence"}'

@@ -46,6 +46,11 @@ def test_settings_are_checked():
         LoadConfig.of({"method": "carrier_pigeon"})
 
 
+def test_settings_of_other_loaders():
+    config = LoadConfig.of({"dataset": "d", "bucket": "/lake", "method": "gcs_stage", "batch_size": 500, "project": "p", "clustering_fields": None})
+    assert (config.database, config.lake_root, config.method, config.clustering_fields) == ("d", "/lake", "lake_stage", ())
+
+
 def test_timestamp_patterns(spark):
     assert java_pattern("%Y-%m-%d %H:%M:%S %z") == "yyyy-MM-dd HH:mm:ss Z"
     assert java_pattern("%FT%T") == "yyyy-MM-dd'T'HH:mm:ss"

@@ -13,14 +13,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluiceway.functions import StreamSpec
-from sluiceway.session import scratch_path, use_utc
+from sluiceway.session import scratch_path, prepare_session
 
 _MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 AS_OF = dt.datetime(2024, 3, 1, 12, 0, tzinfo=dt.timezone.utc)
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    use_utc(spark)
+    prepare_session(spark)
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
