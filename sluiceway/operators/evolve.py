@@ -21,6 +21,15 @@ def evolve_frame(df: DataFrame, incoming: T.StructType) -> DataFrame:
     return df.select(*[F.col(quoted(c)) for c in df.columns], *added)
 
 
+def evolve(target: DataFrame | str, incoming: T.StructType, spark: SparkSession | None = None) -> DataFrame:
+    """Append the missing columns to a frame, or to a table by name; returns it in its new shape."""
+    if isinstance(target, DataFrame):
+        return evolve_frame(target, incoming)
+    spark = spark or SparkSession.active()
+    evolve_table(spark, target, incoming)
+    return spark.table(target)
+
+
 def conform(column: Column, have: T.DataType, want: T.DataType) -> Column:
     """A column in the type its table has. Nested fields the table lacks are dropped, absent ones null."""
     if have.simpleString() == want.simpleString():

@@ -1,5 +1,15 @@
 from .lake import lake_load, stage_to_lake
-from .load import LoadConfig, LoadError, LoadResult, load_messages, load_stream, read_state, resolve_mode
+from .loads import (
+    LoadConfig,
+    LoadError,
+    LoadResult,
+    create_view,
+    load,
+    load_messages,
+    load_stream,
+    read_state,
+    resolve_mode,
+)
 from .tables import (
     LandingTable,
     cluster_layout,
@@ -12,7 +22,7 @@ from .tables import (
 )
 
 __all__ = [
-    "LandingTable", "LoadConfig", "LoadError", "LoadResult", "cluster_layout", "expire_partitions",
-    "expire_staging", "lake_load", "load_messages", "load_stream", "partition_column", "partition_value",
+    "LandingTable", "LoadConfig", "LoadError", "LoadResult", "cluster_layout", "create_view",
+    "expire_partitions", "expire_staging", "lake_load", "load", "load_messages", "load_stream", "partition_column", "partition_value",
     "read_between", "read_state", "resolve_mode", "stage_to_lake", "staging_name",
 ]

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import threading
 import warnings
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, fields, replace
+from functools import partial
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -35,6 +38,7 @@ from .tables import (
 )
 
 _ASIDE = "__aside"
+_QUARANTINE = threading.Lock()
 
 # Setting and method names of other loaders' configurations, and what they are here.
 METHODS = {
@@ -90,6 +94,7 @@ class LoadConfig:
     temporary_table_expiration_hours: int = STAGING_HOURS
     temporary_table_name_template: str = STAGING_TEMPLATE
     direct_streams: int = 3  # more streams than this are split into one folder each first
+    concurrent_streams: int = 4  # tables loaded at a time, so that small ones do not idle a cluster
 
     @classmethod
     def of(cls, settings: LoadConfig | Mapping[str, Any]) -> LoadConfig:
@@ -226,10 +231,11 @@ def _quarantine(spark: SparkSession, rows: DataFrame, stream: str, config: LoadC
         f"CREATE TABLE IF NOT EXISTS {name} (raw STRING, reason STRING, stream STRING, load STRING)"
         " USING parquet PARTITIONED BY (stream, load)"
     )
-    own = f"PARTITION (stream={sql_text(stream)}, load={sql_text(load)})"
-    spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {own}")
     out = rows.select("raw", "reason", F.lit(stream).alias("stream"), F.lit(load).alias("load"))
-    out.write.insertInto(f"{config.database}.quarantine")
+    own = f"PARTITION (stream={sql_text(stream)}, load={sql_text(load)})"
+    with _QUARANTINE:  # two jobs cannot commit to one folder at a time
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {own}")
+        out.write.insertInto(f"{config.database}.quarantine")
 
 
 class _Watcher:
@@ -369,11 +375,52 @@ class _StreamLoad:
             expire_partitions(spark, self.name, config.partition_expiration_days, self.as_of)
         if config.generate_view and not config.denormalized:
             struct = to_struct(self.spec.json_schema, config.schema_resolver_version)
-            columns = view_columns(struct, config.rules, config.timestamp_format, config.strict_view)
-            spark.sql(view_statement(f"{self.name}_view", self.name, columns))
+            create_view(spark, self.name, struct, config.rules, config.timestamp_format, config.strict_view)
         return LoadResult(self.spec.name, self.name, mode, table.load_id, *judged)
 
 
+def create_view(
+    spark: SparkSession,
+    table: str,
+    struct: T.StructType,
+    rules: NameRules | Mapping[str, bool] | None = None,
+    ts_format: str | None = None,
+    strict: bool = True,
+) -> str:
+    """Store the typed view ``<table>_view`` over a fixed table."""
+    spark.sql(view_statement(f"{table}_view", table, view_columns(struct, rules, ts_format, strict)))
+    return f"{table}_view"
+
+
+def load(
+    df: DataFrame,
+    table: str,
+    mode: str = "append",
+    keys: Sequence[str] | None = None,
+    partition: str = "month",
+    cluster: Sequence[str] | None = None,
+    only_if_newer: bool = False,
+    comment: str = "",
+) -> LandingTable:
+    """Load any frame into a table, created if missing, and publish it.
+
+    The frame is read more than once by an upsert and by clustering, so it
+    should come from files. ``_sdc_batched_at``, if there, decides the partition.
+    """
+    if mode not in ("append", "overwrite", "upsert"):
+        raise ValueError(f"Unknown write mode: {mode}")
+    spark, schema = df.sparkSession, df.schema
+    landing = LandingTable.create(spark, table, schema, partition, comment).begin(spark)
+    rows = cluster_layout(df, cluster) if cluster else df
+    if mode == "overwrite":
+        landing = landing.overwrite(spark, rows, schema, comment)
+    else:
+        schema = landing.evolve(spark, schema)
+        landing = landing.append(spark, rows) if mode == "append" else landing.merge(spark, rows, keys or (), only_if_newer)
+    landing.publish(spark, schema, comment or None)
+    return landing
+
+
 def load_stream(
     spark: SparkSession,
     msgs: DataFrame,
@@ -409,6 +456,19 @@ def split_streams(
     return spark.read.schema(records.schema).parquet(path), path
 
 
+def _by_table(tasks: Mapping[str, Any], specs: Mapping[str, StreamSpec], config: LoadConfig, as_of, facts) -> dict[str, LoadResult]:
+    """Load several tables at a time; streams that share a table take turns."""
+    shared: dict[str, list[str]] = {}
+    for name in tasks:
+        shared.setdefault(table_name_of(mapped_spec(specs[name], config).name), []).append(name)
+
+    def load_table(names: list[str]) -> list[tuple[str, LoadResult]]:
+        return [(n, tasks[n](specs[n], config, as_of, facts)) for n in names]
+
+    with ThreadPoolExecutor(max(1, config.concurrent_streams)) as pool:
+        return dict(pair for pairs in pool.map(load_table, shared.values()) for pair in pairs)
+
+
 def load_messages(
     spark: SparkSession,
     source: str | list[str] | DataFrame,
@@ -441,15 +501,17 @@ def load_messages(
             raise LoadError(f"{stray.count()} lines are no message, or records of a stream without a schema")
     elif not chosen and config.fail_fast and not stray_lines(lines, list(specs)).isEmpty():
         raise LoadError("the log declares no stream to load, but holds other lines")
-    results = []
-    for at, (name, spec) in enumerate(chosen.items()):
-        if split:
-            part, first = msgs.filter(F.col("stream") == name).drop("stream"), None
-        else:
-            part, first = lines, stray if at == 0 else None
-        results.append(
-            load_stream(spark, part, spec, config, as_of, facts, prefilter=not split and at > 0, stray=first)
-        )
+    if split:
+        tasks = {n: partial(load_stream, spark, msgs.filter(F.col("stream") == n).drop("stream"), prefilter=False) for n in chosen}
+        done = {}
+    else:  # the first stream's pass also counts stray lines, so it goes before the others
+        tasks = {n: partial(load_stream, spark, lines) for n in chosen}
+        done = {
+            n: tasks.pop(n)(spec, config, as_of, facts, prefilter=False, stray=stray)
+            for n, spec in list(chosen.items())[:1]
+        }
+    done.update(_by_table(tasks, chosen, config, as_of, facts))
+    results = [done[n] for n in chosen]
     if split:
         remove_folder(spark, folder)
     if not config.fail_fast and (stray.count() if chosen else True):

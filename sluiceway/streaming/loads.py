@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.types import StreamSpec
 from ..operators.envelope import REJECT, SEQ, PAYLOAD
-from ..plans.load import LoadConfig, LoadResult, load_messages, mapped_spec, stream_rows
+from ..plans.loads import LoadConfig, LoadResult, load_messages, mapped_spec, stream_rows
 from ..plans.tables import LandingTable, partition_column, partition_value
 from ..session import prepare_session
 from ..sources.messages import stream_lines, stream_specs, with_order

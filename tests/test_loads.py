@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from sluiceway import LoadConfig, LoadError, load_messages, read_between, read_state
 from sluiceway.plans import LandingTable, cluster_layout, expire_partitions, expire_staging, partition_column, stage_to_lake, staging_name
-from sluiceway.plans.load import clustering, load_stream
+from sluiceway.plans.loads import clustering, load_stream
+from sluiceway.plans.loads import load as load_frame
 from sluiceway.functions import StreamSpec
 
 from .conftest import day, lines, plan, record, rows, schema, state
@@ -278,9 +279,9 @@ def test_unknown_grain():
 def test_expiry_of_partitions(spark, database):
     for n in (1, 10, 20):
         load(spark, database, people((n, "x")), day(n), partition_granularity="day")
-    assert expire_partitions(spark, f"{database}.people", 12, day(22)) == ["2024-01-01"]
+    assert expire_partitions(spark, f"{database}.people", 13, day(22)) == ["2024-01-01"]
     assert names(spark, database) == [(10, "x"), (20, "x")]
-    load(spark, database, people((30, "x")), day(30), partition_granularity="day", partition_expiration_days=10)
+    load(spark, database, people((30, "x")), day(30), partition_granularity="day", partition_expiration_days=11)
     assert names(spark, database) == [(20, "x"), (30, "x")]
     assert expire_partitions(spark, f"{database}.absent", 1, day(1)) == []
 
@@ -346,3 +347,40 @@ def test_old_staging_is_swept_by_loads(spark, database, tmp_path):
     (tmp_path / staging_name("people", day(1))).mkdir()
     load(spark, database, people((1, "a")), day(20), staging_root=str(tmp_path))
     assert list(tmp_path.iterdir()) == []
+
+
+def test_loading_a_frame(spark, database):
+    name = f"{database}.plain"
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "id INT, v STRING")
+    load_frame(df, name)
+    load_frame(df.withColumn("w", F.lit(1)), name, cluster=["id"])
+    assert rows(spark.table(name)) == [(1, "a", 1), (1, "a", None), (2, "b", 1), (2, "b", None)]
+    load_frame(df, name, "overwrite")
+    load_frame(spark.createDataFrame([(2, "B"), (3, "c")], "id INT, v STRING"), name, "upsert", keys=["id"])
+    assert rows(spark.table(name)) == [(1, "a"), (2, "B"), (3, "c")]
+    with pytest.raises(ValueError, match="Unknown write mode"):
+        load_frame(df, name, "replace")
+    with pytest.raises(ValueError, match="needs key properties"):
+        load_frame(df, name, "upsert")
+
+
+def test_streams_that_share_a_table(spark, database):
+    messages = [m for s in ("a-b", "a.b", "c", "d", "e") for m in (schema(s, PEOPLE, ["id"]), record(s, {"id": 1, "name": s}))]
+    results, _ = load(spark, database, messages, fail_fast=False)
+    assert [r.table.split(".")[1] for r in results] == ["a_b", "a_b", "c", "d", "e"]
+    assert names(spark, database, "a_b") == [(1, "a-b"), (1, "a.b")]
+
+
+def test_many_tables_reject_rows_at_the_same_time(spark, database):
+    messages = [m for s in "abcdef" for m in (schema(s, PEOPLE, ["id"]), record(s, {"id": "bad"}), record(s, {"id": 1, "name": s}))]
+    results, _ = load(spark, database, messages, fail_fast=False)
+    assert [(r.rows, r.rejected) for r in results] == [(1, 1)] * 6
+    assert rows(spark.table(f"{database}.quarantine"), "stream") == [(s,) for s in "abcdef"]
+
+
+def test_one_bad_stream_leaves_the_bookmark(spark, database, tmp_path):
+    messages = [m for s in "abcde" for m in (schema(s, PEOPLE, ["id"]), record(s, {"id": 1 if s != "d" else "bad"}))]
+    with pytest.raises(LoadError, match="d: 1 of 1 records"):
+        load(spark, database, messages + [state({"n": 1})], state_path=str(tmp_path / "state"))
+    assert not (tmp_path / "state").exists()
+    assert spark.table(f"{database}.d").count() == 0

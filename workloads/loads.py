@@ -123,6 +123,28 @@ def upsert_matched_keys(spark: SparkSession, sf: str) -> DataFrame:
     return matched_keys(landed, fresh, ["o_orderkey"])
 
 
+@query("SELECT conv_id, turn, role, text FROM conversations")
+def upsert_two_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """A composite key: opening turns landed with no text, then all turns merged."""
+    turns, name = table(spark, sf, "conversations"), f"{scratch_database(spark)}.turns"
+    sw.load(turns.filter("turn < 2").withColumn("text", F.lit("")), name, keys=["conv_id", "turn"])
+    sw.load(turns, name, "upsert", keys=["conv_id", "turn"])
+    return spark.table(name)
+
+
+@query("""
+SELECT event_type, user_id, count(*) AS n, CAST(sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS k
+FROM events GROUP BY event_type, user_id
+""")
+def typed_view_over_shredded_files(spark: SparkSession, sf: str) -> DataFrame:
+    """An aggregate over a stored view: the scan reads three paths of the VARIANT."""
+    events, database = table(spark, sf, "events").select("event_id", "user_id", "event_type", "value", F.parse_json("props").alias("props")), scratch_database(spark)
+    properties = {"props": {"type": "object", "properties": {"k": {"type": "integer"}}}}
+    name = _load(spark, database, log_of(spark, events, spec_of(events, "events", **properties)), generate_view=True)
+    rows = spark.table(f"{name}_view")
+    return rows.groupBy("event_type", "user_id").agg(F.count("*").alias("n"), F.sum("props.k").alias("k"))
+
+
 # ---- table loads ----------------------------------------------------------
 
 
