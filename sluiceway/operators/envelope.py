@@ -37,6 +37,7 @@ def _envelope(record: T.DataType) -> T.StructType:
             _text("stream"),
             T.StructField("time_extracted", T.TimestampType()),
             T.StructField("version", T.LongType()),
+            _text("value"),
             T.StructField("record", record),
             _text(CORRUPT),
         ]

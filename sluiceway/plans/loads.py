@@ -25,7 +25,16 @@ from ..operators.mapping import ALIAS, KEYS, apply_stream_map, flatten
 from ..operators.merge import dedupe_latest
 from ..operators.views import view_columns, view_statement
 from ..session import quoted, quoted_table, remove_folder, scratch_root, sql_text, prepare_session
-from ..sources.messages import HEAD, as_messages, batch_lines, log_facts, parsed_once, read_lines, with_order
+from ..sources.messages import (
+    HEAD,
+    LogFacts,
+    as_messages,
+    batch_lines,
+    log_facts,
+    parsed_once,
+    read_lines,
+    with_order,
+)
 from .lake import lake_load, stage_to_lake
 from .tables import (
     STAGING_HOURS,
@@ -238,19 +247,38 @@ def _quarantine(spark: SparkSession, rows: DataFrame, stream: str, config: LoadC
         out.write.insertInto(f"{config.database}.quarantine")
 
 
-class _Watcher:
-    """Counts every parsed line that belongs nowhere, while the first stream is written."""
+class LogWatch:
+    """What the pass that writes the first stream learns about all the other lines."""
 
-    def __init__(self, known: list[str]) -> None:
+    def __init__(self, known: list[str], expect_batches: bool) -> None:
         self.seen = Observation()
         self.known = known
+        self.expect_batches = expect_batches
 
     def __call__(self, parsed: DataFrame) -> DataFrame:
-        return parsed.observe(self.seen, F.count(F.when(stray_reason(self.known).isNotNull(), 1)).alias("stray"))
+        facts = [
+            F.count(F.when(stray_reason(self.known).isNotNull(), 1)).alias("stray"),
+            F.count(F.when(F.col("type") == "BATCH", 1)).alias("batches"),
+        ]
+        if {"value", SEQ} <= set(parsed.columns):
+            is_state = F.col("type") == "STATE"
+            facts.append(F.max_by(F.when(is_state, F.col("value")), F.when(is_state, F.col(SEQ))).alias("state"))
+        return parsed.observe(self.seen, *facts)
 
-    def count(self) -> int:
+    @property
+    def stray(self) -> int:
         return self.seen.get["stray"]
 
+    @property
+    def state(self) -> str | None:
+        return self.seen.get["state"]
+
+    def judge(self, fail_fast: bool) -> None:
+        if self.seen.get["batches"] and not self.expect_batches:
+            raise LoadError("the log names batch files; load it without giving its streams")
+        if self.stray and fail_fast:
+            raise LoadError(f"{self.stray} lines are no message, or records of a stream without a schema")
+
 
 def stray_reason(known: list[str]) -> Column:
     """Why a parsed line belongs to no stream; null if it does."""
@@ -278,7 +306,7 @@ class _StreamLoad:
     as_of: dt.datetime
     rows: DataFrame
     schema: T.StructType
-    stray: _Watcher | None = None
+    log: LogWatch | None = None
     facts: Mapping[str, str] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
@@ -299,8 +327,8 @@ class _StreamLoad:
 
     def judge(self) -> tuple[int, int]:
         """After the rows were written, and before they show: decide on the rejected ones."""
-        if self.stray and self.stray.count() and self.config.fail_fast:
-            raise LoadError(f"{self.stray.count()} lines are no message, or records of a stream without a schema")
+        if self.log:
+            self.log.judge(self.config.fail_fast)
         found = self.counts.get
         if found["rejected"]:
             if self.config.fail_fast:
@@ -429,7 +457,7 @@ def load_stream(
     as_of: dt.datetime,
     facts: Mapping[str, str] | None = None,
     prefilter: bool = True,
-    stray: _Watcher | None = None,
+    log: LogWatch | None = None,
 ) -> LoadResult:
     """Load one stream of a message frame and publish its table.
 
@@ -437,12 +465,12 @@ def load_stream(
     until the count has been judged.
     """
     config = LoadConfig.of(config)
-    rows, schema = stream_rows(msgs, spec, config, as_of, prefilter, stray)
-    return _StreamLoad(spark, spec, config, as_of, rows, schema, stray, facts or {}).run()
+    rows, schema = stream_rows(msgs, spec, config, as_of, prefilter, log)
+    return _StreamLoad(spark, spec, config, as_of, rows, schema, log, facts or {}).run()
 
 
 def split_streams(
-    spark: SparkSession, lines: DataFrame, config: LoadConfig, as_of: dt.datetime, stray: _Watcher
+    spark: SparkSession, lines: DataFrame, config: LoadConfig, as_of: dt.datetime, log: LogWatch
 ) -> DataFrame:
     """Parse the envelope once and write one folder per stream, for logs of many streams.
 
@@ -451,7 +479,7 @@ def split_streams(
     """
     path = f"{config.staging_folder(spark)}/{staging_name('messages', as_of, config.temporary_table_name_template)}"
     msgs = as_messages(lines).filter(F.trim("payload") != "")
-    records = stray(msgs).filter("type = 'RECORD'").drop("type")
+    records = log(msgs).filter("type = 'RECORD'").drop("type")
     records.write.partitionBy("stream").parquet(path)
     return spark.read.schema(records.schema).parquet(path), path
 
@@ -476,47 +504,55 @@ def load_messages(
     as_of: dt.datetime,
     specs: Mapping[str, StreamSpec] | None = None,
     facts: Mapping[str, str] | None = None,
+    found: LogFacts | None = None,
 ) -> tuple[list[LoadResult], str | None]:
     """Load every stream of a log. Returns the results and the bookmark.
 
     The bookmark is returned (and written, with ``state_path``) only after every
-    table is published. Files named by BATCH messages are part of the log. Records without a schema, and lines that are no message,
-    stop the load under ``fail_fast`` and are set aside otherwise. A map of
-    ``None`` leaves a stream out.
+    table is published. Files named by BATCH messages are part of the log.
+    Records without a schema, and lines that are no message, stop the load under
+    ``fail_fast`` and are set aside otherwise. A map of ``None`` leaves a stream out.
+
+    With the streams given as ``specs`` a log of one stream is read once: the
+    bookmark is picked up by the pass that writes it. ``found`` takes facts the
+    caller has looked up already.
     """
     prepare_session(spark)
     config = LoadConfig.of(config)
     lines = with_order(source) if isinstance(source, DataFrame) else read_lines(spark, source)
     lines = lines.filter(F.trim("payload") != "")
-    found = log_facts(lines)
-    specs, bookmark = specs or found.specs, found.state
-    for stream, files in found.batches.items():
-        lines = lines.unionByName(batch_lines(spark, stream, files))
+    if specs is None and found is None:
+        found = log_facts(lines)
+    specs = found.specs if specs is None else specs
     chosen = {n: s for n, s in specs.items() if config.stream_maps.get(n, {}) is not None}
-    stray = _Watcher(list(specs))
     split = len(chosen) > config.direct_streams
+    if found is None and (split or not chosen):
+        found = log_facts(lines)
+    for stream, files in (found.batches if found else {}).items():
+        lines = lines.unionByName(batch_lines(spark, stream, files))
+    log = LogWatch(list(specs), expect_batches=found is not None)
     if split:
-        msgs, folder = split_streams(spark, lines, config, as_of, stray)
-        if stray.count() and config.fail_fast:
-            raise LoadError(f"{stray.count()} lines are no message, or records of a stream without a schema")
+        msgs, folder = split_streams(spark, lines, config, as_of, log)
+        log.judge(config.fail_fast)
     elif not chosen and config.fail_fast and not stray_lines(lines, list(specs)).isEmpty():
         raise LoadError("the log declares no stream to load, but holds other lines")
     if split:
         tasks = {n: partial(load_stream, spark, msgs.filter(F.col("stream") == n).drop("stream"), prefilter=False) for n in chosen}
         done = {}
-    else:  # the first stream's pass also counts stray lines, so it goes before the others
+    else:  # the first stream's pass also looks after the other lines, so it goes before the others
         tasks = {n: partial(load_stream, spark, lines) for n in chosen}
         done = {
-            n: tasks.pop(n)(spec, config, as_of, facts, prefilter=False, stray=stray)
+            n: tasks.pop(n)(spec, config, as_of, facts, prefilter=False, log=log)
             for n, spec in list(chosen.items())[:1]
         }
     done.update(_by_table(tasks, chosen, config, as_of, facts))
     results = [done[n] for n in chosen]
     if split:
         remove_folder(spark, folder)
-    if not config.fail_fast and (stray.count() if chosen else True):
+    if not config.fail_fast and (log.stray if chosen else True):
         strays = stray_lines(lines, list(specs))
         _quarantine(spark, strays, "unassigned", config, f"log-{int(as_of.timestamp() * 1000)}")
+    bookmark = found.state if found else log.state
     expire_staging(spark, config.staging_folder(spark), as_of, config.temporary_table_expiration_hours)
     if bookmark and config.state_path:
         stamp = int(as_of.timestamp() * 1000)

@@ -5,19 +5,20 @@ from __future__ import annotations
 import datetime as dt
 import json
 from collections.abc import Callable, Mapping
-from dataclasses import asdict
+from dataclasses import asdict, replace
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.names import table_name_of
 from ..functions.types import StreamSpec
 from ..operators.envelope import REJECT, SEQ, PAYLOAD
 from ..plans.loads import LoadConfig, LoadResult, load_messages, mapped_spec, stream_rows
 from ..plans.tables import LandingTable, partition_column, partition_value
 from ..session import prepare_session
-from ..sources.messages import stream_lines, stream_specs, with_order
+from ..sources.messages import LogFacts, log_facts, stream_lines, with_order
 
 Clock = Callable[[], dt.datetime]
 
@@ -83,15 +84,17 @@ class _DeclaredStreams:
                 )
                 self.specs.setdefault(spec.name, spec)
 
-    def learn(self, lines: DataFrame, batch_id: int) -> None:
-        """Keep the first schema of every stream that is new."""
-        fresh = [s for n, s in stream_specs(lines).items() if n not in self.specs]
+    def learn(self, lines: DataFrame, batch_id: int) -> LogFacts:
+        """Facts of a batch, with the first schema ever seen of every stream."""
+        found = log_facts(lines)
+        fresh = [s for n, s in found.specs.items() if n not in self.specs]
         if fresh:
             rows = [(json.dumps(asdict(s)),) for s in fresh]
             self.spark.createDataFrame(rows, "spec STRING").coalesce(1).write.mode("overwrite").parquet(
                 f"{self.path}/batch={batch_id}"
             )
             self.specs.update({s.name: s for s in fresh})
+        return replace(found, specs=dict(self.specs))
 
 
 def stream_load(
@@ -117,15 +120,15 @@ def stream_load(
 
     def commit(batch: DataFrame, batch_id: int) -> None:
         lines = with_order(batch)
-        declared.learn(lines, batch_id)
+        found = declared.learn(lines, batch_id)
         query = checkpoint.rstrip("/")
         maps = dict(config.stream_maps)
         for name, spec in declared.specs.items():
             if _committed(spark, spec, config, query) >= batch_id:
                 maps[name] = None
-        settings = {**{k: getattr(config, k) for k in config.__dataclass_fields__}, "stream_maps": maps}
+        settings = replace(config, stream_maps=maps)
         results, bookmark = load_messages(
-            spark, lines, settings, clock(), declared.specs, {"query": query, "batch": str(batch_id)}
+            spark, lines, settings, clock(), facts={"query": query, "batch": str(batch_id)}, found=found
         )
         if on_commit:
             on_commit(batch_id, results, bookmark)
@@ -143,8 +146,6 @@ def _committed(spark: SparkSession, spec: StreamSpec, config: LoadConfig, query:
     """The last batch of this query that a stream's table was published for, or -1."""
     if config.stream_maps.get(spec.name, {}) is None:
         return -1
-    from ..functions.names import table_name_of
-
     table = LandingTable.find(spark, f"{config.database}.{table_name_of(mapped_spec(spec, config).name)}")
     if table is None or table.facts.get("query") != query:
         return -1

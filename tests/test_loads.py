@@ -384,3 +384,27 @@ def test_one_bad_stream_leaves_the_bookmark(spark, database, tmp_path):
         load(spark, database, messages + [state({"n": 1})], state_path=str(tmp_path / "state"))
     assert not (tmp_path / "state").exists()
     assert spark.table(f"{database}.d").count() == 0
+
+
+@pytest.mark.parametrize("denormalized", [True, False])
+def test_given_streams_need_one_pass(spark, database, monkeypatch, denormalized):
+    def refuse(_):
+        raise AssertionError("the log was read for its facts")
+
+    monkeypatch.setattr("sluiceway.plans.loads.log_facts", refuse)
+    spec = StreamSpec("people", {"properties": PEOPLE}, ("id",))
+    messages = [record("people", {"id": 1}), state({"n": 1}), state({"n": 2}), record("people", {"id": 2})]
+    settings = {"database": database, "denormalized": denormalized}
+    [result], bookmark = load_messages(spark, lines(spark, messages), settings, day(1), {"people": spec})
+    assert result.rows == 2 and json.loads(bookmark) == {"n": 2}
+    batch = {"type": "BATCH", "stream": "people", "manifest": ["x"]}
+    with pytest.raises(LoadError, match="names batch files"):
+        load_messages(spark, lines(spark, [batch]), {**settings, "fail_fast": False}, day(2), {"people": spec})
+    with pytest.raises(LoadError, match="1 lines are no message"):
+        load_messages(spark, lines(spark, ["garbage"]), settings, day(2), {"people": spec})
+
+
+def test_key_order_in_a_message_does_not_matter(spark, database):
+    turned = ['{"record":{"id":"bad","name":"x"},"stream":"people","type":"RECORD"}', '{"record":{"name":"y","id":5},"stream":"people","type":"RECORD"}']
+    [result], _ = load(spark, database, people() + turned, fail_fast=False)
+    assert (result.rows, result.rejected) == (1, 1) and names(spark, database) == [(5, "y")]
