@@ -35,7 +35,7 @@ def comparable(names, tuples):
     return sorted((tuple(value(t[i]) for i in order) for t in tuples), key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(spark_entry.queries()))
+@pytest.mark.parametrize("name", sorted(spark_entry.QUERIES))
 def test_query(spark, duck, name):
     df = spark_entry.queries()[name](spark, SF)
     sql = spark_entry.oracle_sql()[name]
