@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from sluiceway.llm.decontaminate import decontaminate
 from sluiceway.llm.line_dedup import dedup_lines
 from sluiceway.llm.mixing import mix
-from sluiceway.llm.ngram_join import jaccard_join
+from sluiceway.llm.ngram_join import one_of_each
 from sluiceway.llm.quality import score_quality
-from sluiceway.llm.staging import numbered, stage
+from sluiceway.llm.staging import stage
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -29,15 +29,8 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked at five words and a similarity of 0.8, the one with the smallest id; those without words stay.
-
-    Rows that share that id (repeated rows, null ids) are told apart by a row number.
-    """
-    joined = stage(numbered(jaccard_join(docs, 5, 80), "__row"), "pipeline-joined")
-    lone = F.col("n_shingles") == 0
-    first = joined.where(~lone & F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("component_id").agg(F.min("__row").alias("__row"))
-    kept = joined.where(~lone).join(first.select("__row"), "__row", "left_semi")
-    return kept.union(joined.where(lone)).select(*COLUMNS)
+    """One document of each group linked at five words and a similarity of 0.8: the one with the smallest id."""
+    return one_of_each(docs, 5, 80).select(*COLUMNS)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

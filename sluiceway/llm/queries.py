@@ -13,7 +13,7 @@ from sluiceway.llm.licenses import DICE, TEMPLATES, bigrams_of, scan_licenses
 from sluiceway.llm.line_dedup import LONG_LINE, MEAN_LINES, MIN_WORDS, dedup_lines
 from sluiceway.llm.maxent import score_texts
 from sluiceway.llm.mixing import mix
-from sluiceway.llm.ngram_join import jaccard_join
+from sluiceway.llm.ngram_join import jaccard_components
 from sluiceway.llm.quality import score_quality
 from sluiceway.session import scratch_path
 
@@ -99,7 +99,7 @@ FROM reach r LEFT JOIN n ON n.doc_id = r.a GROUP BY r.a
 @query(JOIN_SQL)
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    return jaccard_join(docs, 3, 90).select("doc_id", "n_shingles", "component_id")
+    return jaccard_components(docs, 3, 90).select("doc_id", "n_shingles", "component_id")
 
 
 def _license_sql() -> str:
