@@ -81,7 +81,9 @@ def dedup_lines(
     ``lines_removed`` is replaced.
     """
     source = without(docs, [*OUTPUT, "__uid"])
-    kept = stage(chunked(numbered(source, "__uid"), col("text"), long_line, mean_lines), "lines-docs")
+    # the chunks hold the text from here on, so that it is written and moved once
+    cut = chunked(numbered(source, "__uid"), col("text"), long_line, mean_lines).withColumn("__null", col("text").isNull()).drop("text")
+    kept = stage(cut, "lines-docs")
     place = F.struct(col("doc_id").alias("doc_id"), F.col("__uid").alias("uid"), F.col("pos"))
     told = kept.select(
         col("doc_id"), "__uid", F.posexplode(F.transform(F.arrays_zip("__chunks", "__words"), lambda x: F.struct(F.xxhash64(x["__chunks"]).alias("hash"), x["__words"].alias("words"))))
@@ -113,7 +115,8 @@ def dedup_lines(
     joined = kept.join(gone, "__uid", "left")
     left = F.array_except(F.sequence(F.lit(0), F.size("__chunks") - 1), F.col("__gone"))
     joined = _own(joined, ("__left", F.when(F.col("__gone").isNotNull(), left)))
-    text = F.when(F.col("__gone").isNull(), col("text")).otherwise(F.array_join(F.transform("__left", lambda i: F.get("__chunks", i)), "\n"))
+    rest = F.when(F.col("__gone").isNull(), F.col("__chunks")).otherwise(F.transform("__left", lambda i: F.get("__chunks", i)))
+    text = F.when(~F.col("__null"), F.array_join(rest, "\n"))
     removed = F.aggregate(F.coalesce(F.col("__gone"), F.array().cast("array<int>")), F.lit(0), lambda a, i: a + F.get("__counts", i))
     return joined.select(*[(text.alias(c) if c.lower() == "text" else F.col(quoted(c))) for c in source.columns], removed.alias("lines_removed"))
 
