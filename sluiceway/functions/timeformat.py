@@ -12,7 +12,7 @@ DIRECTIVES = {
     "%F": "yyyy-MM-dd", "%T": "HH:mm:ss", "%R": "HH:mm", "%D": "MM/dd/yy",
     "%z": "Z", "%Ez": "XXX", "%Z": "z", "%E6S": "ss.SSSSSS", "%E3S": "ss.SSS", "%%": "%",
 }
-_TOKEN = re.compile(r"%E?\d?[A-Za-z%]|[A-Za-z]+|'|[^%]")
+_TOKEN = re.compile(r"%E?\d?[A-Za-z%]|[A-Za-z]+|.", re.DOTALL)
 
 
 def java_pattern(fmt: str) -> str:
@@ -26,5 +26,5 @@ def java_pattern(fmt: str) -> str:
         elif token == "'":
             out.append("''")
         else:
-            out.append(f"'{token}'" if token.isalpha() else token)
+            out.append(f"'{token}'" if token.isalpha() or token in "[]{}#" else token)
     return "".join(out)

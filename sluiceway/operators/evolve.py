@@ -31,7 +31,11 @@ def evolve(target: DataFrame | str, incoming: T.StructType, spark: SparkSession
 
 
 def conform(column: Column, have: T.DataType, want: T.DataType) -> Column:
-    """A column in the type its table has. Nested fields the table lacks are dropped, absent ones null."""
+    """A column in the type its table has, without any silent change of values.
+
+    Absent nested fields are null. A value that the table's type cannot hold (a fraction under an integer, a time of
+    day under a date) and a value under a nested field that the table lacks stop the query with an error that names both types.
+    """
     if have.simpleString() == want.simpleString():
         return column
     if isinstance(have, T.StructType) and isinstance(want, T.StructType):
@@ -42,10 +46,21 @@ def conform(column: Column, have: T.DataType, want: T.DataType) -> Column:
             else F.lit(None).cast(f.dataType)
             for f in want.fields
         ]
-        return F.when(column.isNotNull(), F.struct(*[p.alias(f.name) for p, f in zip(parts, want.fields)]))
+        made = F.struct(*[p.alias(f.name) for p, f in zip(parts, want.fields)])
+        known = {f.name.lower() for f in want.fields}
+        for f in have.fields:
+            if f.name.lower() not in known:
+                lost = F.raise_error(F.lit(f"the table has no nested field {f.name!r} to hold a value")).cast(want)
+                made = F.when(column.getField(f.name).isNull(), made).otherwise(lost)
+        return F.when(column.isNotNull(), made)
     if isinstance(have, T.ArrayType) and isinstance(want, T.ArrayType):
         return F.transform(column, lambda e: conform(e, have.elementType, want.elementType))
-    return column.cast(want)
+    if isinstance(want, T.StringType) and isinstance(have, T.AtomicType):
+        return column.cast(want)
+    changed = column.try_cast(want)
+    same = column.isNull() | changed.cast(have).eqNullSafe(column)
+    told = F.raise_error(F.lit(f"a {have.simpleString()} value does not fit a {want.simpleString()} column")).cast(want)
+    return F.when(same, changed).otherwise(told)
 
 
 def column_ddl(field: T.StructField) -> str:

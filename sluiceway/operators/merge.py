@@ -46,13 +46,14 @@ def _column(item: str | Column) -> Column:
 
 
 def merge_columns(target: Sequence[str], source: Sequence[str], keys: Sequence[str]) -> list[str]:
-    """Columns a merge writes: those both sides have, in target order. Checks the keys."""
+    """Columns a merge writes: those both sides have, without regard to case, in target order. Checks the keys."""
     if not keys:
         raise ValueError("an upsert needs key properties")
-    shared = [c for c in target if c in set(source)]
+    there = {c.lower() for c in source}
+    shared = [c for c in target if c.lower() in there]
     if not shared:
         raise ValueError("source and target share no columns")
-    absent = [k for k in keys if k not in shared]
+    absent = [k for k in keys if k.lower() not in {c.lower() for c in shared}]
     if absent:
         raise ValueError(f"key properties missing from the shared columns: {', '.join(absent)}")
     return shared
@@ -134,8 +135,13 @@ def upsert(
     ``conflicts``) and cheap to read twice: stage it first.
     """
     shared = merge_columns(target.columns, source.columns, keys)
+    wanted = {k.lower() for k in keys}
+    keys = [c for c in shared if c.lower() in wanted]
+    if only_if_newer and DEFAULT_ORDER[0] not in shared:
+        raise ValueError(f"only_if_newer needs {DEFAULT_ORDER[0]!r} on both sides")
+    given = {f.name.lower(): f for f in source.schema.fields}
     source = source.select(
-        *[conform(F.col(quoted(c)), source.schema[c].dataType, target.schema[c].dataType).alias(c) for c in shared]
+        *[conform(F.col(quoted(given[c.lower()].name)), given[c.lower()].dataType, target.schema[c].dataType).alias(c) for c in shared]
     )
     known, fresh = split_source(target, source, keys)
     has_updates = any(c not in keys for c in shared)

@@ -153,21 +153,21 @@ def resolve_mode(spec: StreamSpec, config: LoadConfig) -> str:
 
 
 def clustering(spec: StreamSpec, config: LoadConfig) -> tuple[str, ...]:
-    """Columns a load is sorted by, at most four. Explicit fields go before keys.
+    """Columns a load is sorted by. Explicit fields go before keys.
 
     The default, the batch time, is one value per load and needs no sort.
     """
     if config.clustering_fields:
-        return tuple(config.clustering_fields[:4])
+        return tuple(config.clustering_fields)
     if spec.key_properties and config.cluster_on_key_properties and config.denormalized:
-        return tuple(key_names(spec.key_properties, config.rules)[:4])
+        return tuple(key_names(spec.key_properties, config.rules))
     return ()
 
 
 def table_comment(spec: StreamSpec, config: LoadConfig) -> str:
     """Table description: the stream's schema and the table shape."""
     text = json.dumps(spec.json_schema)
-    return f"Loaded from a message stream.\nStream schema\n{text[:16000]}\nShape: {config.shape}"
+    return f"Loaded from a message stream.\nStream schema\n{text}\nShape: {config.shape}"
 
 
 def mapped_spec(spec: StreamSpec, config: LoadConfig) -> StreamSpec:
@@ -474,13 +474,13 @@ def split_streams(
 ) -> DataFrame:
     """Parse the envelope once and write one folder per stream, for logs of many streams.
 
-    No shuffle: every task writes the streams it meets, so one stream that is a
-    third of the log is spread over all tasks.
+    Rows are rebalanced by stream before the write, so files do not grow with tasks times streams;
+    adaptive execution splits a stream that is a third of the log over many tasks.
     """
     path = f"{config.staging_folder(spark)}/{staging_name('messages', as_of, config.temporary_table_name_template)}"
     msgs = as_messages(lines).filter(F.trim("payload") != "")
     records = log(msgs).filter("type = 'RECORD'").drop("type")
-    records.write.partitionBy("stream").parquet(path)
+    records.hint("rebalance", "stream").write.partitionBy("stream").parquet(path)
     return spark.read.schema(records.schema).parquet(path), path
 
 

@@ -28,13 +28,12 @@ from pyspark.sql import types as T
 
 from ..operators.evolve import column_ddl, conform, evolve_table, missing_fields
 from ..operators.merge import conflicts, merge_columns, upsert
-from ..session import is_small, quoted, quoted_table, sql_text
+from ..session import quoted, quoted_table, sql_text
 
 LOAD_ID = "_load_id"
 GRAINS = ("hour", "day", "month", "year")
 _PROPERTY = "sluiceway."
 _NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
-_MAX_LISTED = 2000  # partitions named one by one in a view before the whole table is rewritten
 
 # How staging folders are named, and how long they live.
 STAGING_TEMPLATE = "{table_name}__{timestamp}__{uuid}"
@@ -62,10 +61,10 @@ def cluster_layout(df: DataFrame, columns: Sequence[str], partitions: int | None
     split over many files instead of filling one task.
     """
     salt = "__salt"
-    by = [*[F.col(quoted(c)) for c in columns[:4]], F.col(salt)]
+    by = [*[F.col(quoted(c)) for c in columns], F.col(salt)]
     salted = df.withColumn(salt, F.monotonically_increasing_id())
     ranged = salted.repartitionByRange(partitions, *by) if partitions else salted.repartitionByRange(*by)
-    return ranged.sortWithinPartitions(*[quoted(c) for c in columns[:4]]).drop(salt)
+    return ranged.sortWithinPartitions(*[quoted(c) for c in columns]).drop(salt)
 
 
 def staging_name(table: str, at: dt.datetime, template: str = STAGING_TEMPLATE, token: str | None = None) -> str:
@@ -320,18 +319,13 @@ class LandingTable:
         merge_columns(columns, source.columns, keys)
         touched = self.touched(spark, source, keys)
         load = self.load_id + 1
-        whole = len(touched) > _MAX_LISTED
-        if whole:
-            target = self.rows(spark)
-        elif touched:
+        if touched:
             only = replace(self, superseded=tuple(touched), floor=0)
             target = self.rows(spark).filter(f"NOT (true{only._excluded()})")
         else:
             target = self.rows(spark).filter("false")
         merged = upsert(target.select(*[F.col(quoted(c)) for c in columns]), source, keys, only_if_newer)
-        self.write(spark, merged, load, gather=len(touched) > 1 and not is_small(source))
-        if whole:
-            return replace(self, load_id=load, floor=self.load_id, superseded=())
+        self.write(spark, merged, load, gather=len(touched) > 1)
         return replace(self, load_id=load, superseded=(*self.superseded, *touched))
 
     def conflicts(self, spark: SparkSession, source: DataFrame, keys: Sequence[str]) -> DataFrame:

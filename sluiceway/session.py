@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 _LOCAL_SCRATCH: dict[str, str] = {}
 
@@ -20,12 +20,15 @@ def prepare_session(spark: SparkSession) -> SparkSession:
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder that survives the loss of an executor.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only where that is unset
-    (unit tests) a temporary folder stands in.
+    The cluster names it in ``spark.checkpoint.dir``. Only where that is unset and Spark
+    runs in this process (unit tests) a temporary folder stands in; on a cluster each
+    executor would write to a disk of its own, so that is refused.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared.rstrip("/")
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL_SCRATCH:
         _LOCAL_SCRATCH[app] = tempfile.mkdtemp(prefix="sluiceway-")
@@ -37,17 +40,6 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def is_small(df: DataFrame) -> bool:
-    """Whether Spark's own estimate puts a frame below its broadcast limit.
-
-    Meant for frames over files, whose size Spark knows.
-    """
-    spark = df.sparkSession
-    limit = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return size <= limit
-
-
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder this library wrote."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -116,3 +116,17 @@ def test_conflicts(spark):
     s = spark.createDataFrame([(1,), (1,), (2,), (9,), (9,), (None,), (None,)], "id INT")
     assert rows(conflicts(t, s, ["id"])) == [(1, 2)]
     assert rows(matched_keys(t, s, ["id"])) == [(1,), (2,)]
+
+
+def test_columns_that_differ_in_case_are_one(spark):
+    target = spark.createDataFrame([(1, "old"), (2, "kept")], "Id INT, Val STRING")
+    source = spark.createDataFrame([(1, "new"), (3, "added")], "id INT, val STRING")
+    merged = upsert(target, source, ["id"])
+    assert merged.columns == ["Id", "Val"]
+    assert sorted(map(tuple, merged.collect())) == [(1, "new"), (2, "kept"), (3, "added")]
+
+
+def test_newer_needs_the_time_on_both_sides(spark):
+    frame = spark.createDataFrame([(1, "a")], "id INT, v STRING")
+    with pytest.raises(ValueError, match="_sdc_extracted_at"):
+        upsert(frame, frame, ["id"], only_if_newer=True)

@@ -59,3 +59,10 @@ def test_timestamp_patterns(spark):
     df = spark.createDataFrame([("at 2024-02-03 'n 04:05 100%",)], "s STRING")
     got = df.select(F.to_timestamp("s", java_pattern("at %F 'n %R 100%%")).alias("t")).first().t
     assert (got.year, got.month, got.day, got.hour, got.minute) == (2024, 2, 3, 4, 5)
+
+
+def test_literals_of_formats_are_quoted_and_a_lone_percent_is_refused():
+    assert java_pattern("%Y [%m]") == "yyyy '['MM']'"
+    for wrong in ("%Y %", "%"):
+        with pytest.raises(ValueError, match="unsupported directive"):
+            java_pattern(wrong)

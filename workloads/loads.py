@@ -436,11 +436,11 @@ def _event_log(spark: SparkSession, sf: str) -> tuple[str, StreamSpec]:
     spec = spec_of(events, "events", ["user_id"])
     root = scratch_path(spark, "incoming")
     schema_line(spark, spec).coalesce(1).write.text(f"{root}/0")
-    bounds = ["2024-01-01", "2024-01-11", "2024-01-21", "2024-02-01"]
-    for at, (low, high) in enumerate(zip(bounds, bounds[1:]), 1):
-        part = events.filter(f"ts >= TIMESTAMP_NTZ '{low}' AND ts < TIMESTAMP_NTZ '{high}'")
-        lines = record_lines(part, "events", "ts").union(state_line(spark, {"upto": high}))
-        lines.coalesce(1).write.text(f"{root}/{at}")
+    first, second = (f"TIMESTAMP_NTZ '{day}'" for day in ("2024-01-11", "2024-01-21"))
+    parts = [f"ts < {first} OR ts IS NULL", f"ts >= {first} AND ts < {second}", f"ts >= {second}"]
+    for at, part in enumerate(parts, 1):
+        lines = record_lines(events.filter(part), "events", "ts").union(state_line(spark, {"upto": at}))
+        lines.coalesce(1).write.text(f"{root}/{at}")  # one file a part: micro-batches follow time
     return f"{root}/*", spec
 
 
