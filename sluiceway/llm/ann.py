@@ -24,6 +24,8 @@ CLOSURE, REPLICAS = 1.10, 4
 AIM = 0.98
 #: Links of a centroid in the search graph.
 LINKS = 24
+#: So many nearest lists are scanned first; their k-th score is the floor for what further lists report.
+FIRST_LISTS = 4
 #: Rows and queries of one cell of the scan.
 CELL_ROWS, CELL_QUERIES = 4_096, 1_024
 
@@ -138,7 +140,7 @@ def walk(q: np.ndarray, index: Index, slack: float = 1.03, least: int = 8) -> li
                 best = min(best, dist)
                 known.append((dist, j))
                 heapq.heappush(queue, (dist, j))
-    return [j for dist, j in known if dist <= best * index.ratio]
+    return [j for dist, j in sorted(known) if dist <= best * index.ratio]
 
 
 def fit(sample: np.ndarray, rows: int, top: float, k: int) -> Index:
@@ -186,8 +188,10 @@ def nearest_neighbours(rows: DataFrame, queries: DataFrame, k: int = 20, sample_
     and all rows of those lists are compared, in double precision. Equal scores go to the smaller vec_id. A row with the query's
     own vec_id is no candidate. Fewer rows than ``k`` are all returned, if their lists are scanned.
 
-    A list is scanned in cells of bounded rows and queries, so many equal vectors make more cells, not a longer task; a
-    cell gives ``k`` rows a query. Only the index of bounded size is sent to tasks.
+    A list is scanned in cells of bounded rows and queries, so many equal vectors make more cells, not a longer task. The
+    nearest lists go first: a cell gives ``k`` rows a query. Their k-th score is the query's floor, and cells of further
+    lists give only rows that reach it, so what is ranked does not grow with the number of lists. Only the index of
+    bounded size is sent to tasks.
 
     Vectors that are null, empty, zero, or hold null or non-finite components take no part, nor do those whose length
     is not the most common one (ties: the shorter). Repeated ids: copies of a row count once, different vectors under one id by
@@ -236,13 +240,14 @@ def nearest_neighbours(rows: DataFrame, queries: DataFrame, k: int = 20, sample_
                 at = np.repeat(np.arange(len(q)), [len(ls) for ls in lists])
                 ids = part.column("query_id").to_numpy()
                 packed = [r.tobytes() for r in q]
+                later = np.concatenate([np.arange(len(ls)) >= FIRST_LISTS for ls in lists])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(lists).astype(np.int32)), pa.array(ids[at]), pa.array([packed[j] for j in at], pa.binary())],
-                    ["list", "query_id", "q"],
+                    [pa.array(np.concatenate(lists).astype(np.int32)), pa.array(later), pa.array(ids[at]), pa.array([packed[j] for j in at], pa.binary())],
+                    ["list", "later", "query_id", "q"],
                 )
 
     postings = stage(base.mapInArrow(post, "list int, vec_id long, v binary"), "ann-lists")
-    probes = stage(asked.mapInArrow(search, "list int, query_id long, q binary"), "ann-probes")
+    probes = stage(asked.mapInArrow(search, "list int, later boolean, query_id long, q binary"), "ann-probes")
 
     def parts(df: DataFrame, each: int) -> Column:
         """Parts of each list, from at most one count a centroid."""
@@ -250,13 +255,7 @@ def nearest_neighbours(rows: DataFrame, queries: DataFrame, k: int = 20, sample_
         every = [F.lit(counts.get(i, 1)) for i in range(len(index.centroids))]
         return F.get(F.array(*every), F.col("list"))
 
-    row_parts, query_parts = parts(postings, CELL_ROWS), parts(probes, CELL_QUERIES)
-    cells_x = postings.select(
-        "list", F.pmod(F.xxhash64("vec_id"), row_parts).alias("p"), F.explode(F.sequence(F.lit(0), query_parts - 1)).alias("s"), "vec_id", "v"
-    )
-    cells_q = probes.select(
-        "list", F.explode(F.sequence(F.lit(0), row_parts - 1).cast("array<bigint>")).alias("p"), F.pmod(F.xxhash64("query_id"), query_parts).cast("int").alias("s"), "query_id", "q"
-    )
+    row_parts = parts(postings, CELL_ROWS)
 
     def scan(x: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
         if not len(x) or not len(q):
@@ -266,27 +265,44 @@ def nearest_neighbours(rows: DataFrame, queries: DataFrame, k: int = 20, sample_
         ids = ids[order]
         a = np.frombuffer(b"".join(x["v"]), np.float64).reshape(len(x), -1)[order]
         b = np.frombuffer(b"".join(q["q"]), np.float64).reshape(len(q), -1)
-        asked_ids = q["query_id"].to_numpy()
+        asked_ids, floors = q["query_id"].to_numpy(), q["floor"].to_numpy()
         out_q, out_x, out_s = [], [], []
         for i in range(0, len(b), 64):
             rough = b[i : i + 64] @ a.T
-            for row, vec, own in zip(rough, b[i : i + 64], asked_ids[i : i + 64]):
+            for row, vec, own, floor in zip(rough, b[i : i + 64], asked_ids[i : i + 64], floors[i : i + 64]):
                 row[ids == own] = -np.inf
-                if len(row) > k:
-                    least = np.partition(row, len(row) - k)[len(row) - k]
-                    some = np.flatnonzero(row >= least - 1e-9 * (1 + abs(least))) if np.isfinite(least) else np.flatnonzero(np.isfinite(row))
-                else:
-                    some = np.flatnonzero(np.isfinite(row))
+                least = max(floor, np.partition(row, len(row) - k)[len(row) - k]) if len(row) > k else floor
+                some = np.flatnonzero(np.isfinite(row))
+                if np.isfinite(least):
+                    some = some[row[some] >= least - 1e-9 * (1 + abs(least))]
                 # row by row in one fixed order, so that equal vectors have equal scores
                 exact = (a[some] * vec).sum(1)
                 best = np.lexsort((ids[some], -exact))[:k]
+                best = best[exact[best] >= floor]
                 out_q.append(np.full(len(best), own))
                 out_x.append(ids[some][best])
                 out_s.append(exact[best])
         return pd.DataFrame({"query_id": np.concatenate(out_q), "vec_id": np.concatenate(out_x), "score": np.concatenate(out_s)})
 
-    cell = ["list", "p", "s"]
-    found = cells_x.groupBy(*cell).cogroup(cells_q.groupBy(*cell)).applyInPandas(scan, "query_id long, vec_id long, score double")
-    place = F.dense_rank().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    best = found.withColumn("rank", place).where(F.col("rank") <= k)  # replicas of a row share a place
-    return best.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score").distinct()
+    def scanned(some: DataFrame) -> DataFrame:
+        """What the lists of some probes give, cell by cell."""
+        query_parts = parts(some, CELL_QUERIES)
+        wanted = postings.join(F.broadcast(some.select("list").distinct()), "list", "left_semi")  # at most one row a centroid
+        cells_x = wanted.select(
+            "list", F.pmod(F.xxhash64("vec_id"), row_parts).alias("p"), F.explode(F.sequence(F.lit(0), query_parts - 1)).alias("s"), "vec_id", "v"
+        )
+        cells_q = some.select(
+            "list", F.explode(F.sequence(F.lit(0), row_parts - 1).cast("array<bigint>")).alias("p"), F.pmod(F.xxhash64("query_id"), query_parts).cast("int").alias("s"), "query_id", "q", "floor"
+        )
+        cell = ["list", "p", "s"]
+        return cells_x.groupBy(*cell).cogroup(cells_q.groupBy(*cell)).applyInPandas(scan, "query_id long, vec_id long, score double")
+
+    def ranked(found: DataFrame) -> DataFrame:
+        place = F.dense_rank().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+        best = found.withColumn("rank", place).where(F.col("rank") <= k)  # replicas of a row share a place
+        return best.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score").distinct()
+
+    first = stage(ranked(scanned(probes.where("not later").withColumn("floor", F.lit(-float("inf"))))), "ann-first")
+    floors = first.where(F.col("rank") == k).groupBy("query_id").agg(F.min("score").alias("floor"))
+    further = probes.where("later").join(floors, "query_id", "left").withColumn("floor", F.coalesce("floor", F.lit(-float("inf"))))
+    return ranked(first.select("query_id", "vec_id", "score").union(scanned(stage(further, "ann-further"))))
