@@ -88,7 +88,9 @@ def _instant(value: dt.datetime | str) -> dt.datetime:
     return moment if moment.tzinfo else moment.replace(tzinfo=dt.timezone.utc)
 
 
-def _as_timestamp(value: dt.datetime | str) -> Column:
+def _as_timestamp(value: dt.datetime | str | Column) -> Column:
+    if isinstance(value, Column):
+        return value
     return F.lit(_instant(value).isoformat()).cast("timestamp")
 
 
@@ -101,7 +103,7 @@ def _stamps(
         "_sdc_received_at": _as_timestamp(as_of),
         "_sdc_batched_at": _as_timestamp(batch_started or as_of),
         "_sdc_deleted_at": found["_sdc_deleted_at"],
-        "_sdc_sequence": F.lit(int(_instant(as_of).timestamp() * 1000)).cast("long"),
+        "_sdc_sequence": F.unix_millis(as_of) if isinstance(as_of, Column) else F.lit(int(_instant(as_of).timestamp() * 1000)).cast("long"),
         "_sdc_table_version": F.coalesce(version, found["_sdc_table_version"]),
     }
 

@@ -13,6 +13,7 @@ from .loads import (
 from .tables import (
     LandingTable,
     cluster_layout,
+    compact,
     expire_partitions,
     expire_staging,
     partition_column,
@@ -22,7 +23,7 @@ from .tables import (
 )
 
 __all__ = [
-    "LandingTable", "LoadConfig", "LoadError", "LoadResult", "cluster_layout", "create_view",
+    "LandingTable", "LoadConfig", "LoadError", "LoadResult", "cluster_layout", "compact", "create_view",
     "expire_partitions", "expire_staging", "lake_load", "load", "load_messages", "load_stream", "partition_column", "partition_value",
     "read_between", "read_state", "resolve_mode", "stage_to_lake", "staging_name",
 ]

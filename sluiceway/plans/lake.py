@@ -23,6 +23,14 @@ def batch_exists(spark: SparkSession, folder: str, batch_id: str) -> bool:
     return found is not None and len(found) > 0
 
 
+def drop_batch(spark: SparkSession, folder: str, batch_id: str) -> None:
+    """Delete a batch that was refused, so that a corrected retry can be staged."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/extracted_date=*/batch_id={batch_id}")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in fs.globStatus(path) or []:
+        fs.delete(status.getPath(), True)
+
+
 def stage_to_lake(
     df: DataFrame,
     root: str,
@@ -35,8 +43,9 @@ def stage_to_lake(
     """Write rows to ``<root>/<dataset>/<table>/extracted_date=…/batch_id=…`` and return the folder.
 
     The date is the record's own extraction date, or that of ``as_of`` if it has
-    none. Every task writes the dates it meets, without a shuffle. A batch that
-    is there already is never written over. gzip cannot be split on reading, so
+    none. Rows are rebalanced by date before the write, so files do not grow with
+    tasks times dates, and a date that holds most rows is split. A batch that is there already is
+    never written over. gzip cannot be split on reading, so
     the rows per file are bounded.
     """
     spark = df.sparkSession
@@ -48,6 +57,7 @@ def stage_to_lake(
     (
         df.withColumn("extracted_date", date)
         .withColumn("batch_id", F.lit(batch_id))
+        .hint("rebalance", "extracted_date")
         .write.mode("append")
         .partitionBy("extracted_date", "batch_id")
         .option("compression", "gzip")

@@ -9,7 +9,6 @@ import warnings
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, fields, replace
-from functools import partial
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -35,7 +34,7 @@ from ..sources.messages import (
     read_lines,
     with_order,
 )
-from .lake import lake_load, stage_to_lake
+from .lake import drop_batch, lake_load, stage_to_lake
 from .tables import (
     STAGING_HOURS,
     STAGING_TEMPLATE,
@@ -43,6 +42,7 @@ from .tables import (
     cluster_layout,
     expire_partitions,
     expire_staging,
+    folder_values,
     staging_name,
 )
 
@@ -58,9 +58,8 @@ METHODS = {
     "streaming_insert": "batch_job",
 }
 RENAMED_SETTINGS = {"dataset": "database", "bucket": "lake_root"}
-UNUSED_SETTINGS = {
-    "project", "location", "credentials_path", "credentials_json", "batch_size", "timeout", "options",
-}
+IGNORED_SETTINGS = {"batch_size", "timeout", "options"}  # a user may count on these: they are told
+UNUSED_SETTINGS = {"project", "location", "credentials_path", "credentials_json", *IGNORED_SETTINGS}
 
 
 class LoadError(RuntimeError):
@@ -102,7 +101,6 @@ class LoadConfig:
     state_path: str | None = None
     temporary_table_expiration_hours: int = STAGING_HOURS
     temporary_table_name_template: str = STAGING_TEMPLATE
-    direct_streams: int = 3  # more streams than this are split into one folder each first
     concurrent_streams: int = 4  # tables loaded at a time, so that small ones do not idle a cluster
 
     @classmethod
@@ -110,6 +108,9 @@ class LoadConfig:
         if isinstance(settings, LoadConfig):
             return settings
         known = {f.name for f in fields(cls)}
+        idle = sorted(k for k in settings if k in IGNORED_SETTINGS and settings[k] is not None)
+        if idle:
+            warnings.warn(f"settings without effect here: {', '.join(idle)}", stacklevel=2)
         chosen = {RENAMED_SETTINGS.get(k, k): v for k, v in settings.items() if k not in UNUSED_SETTINGS}
         unknown = sorted(set(chosen) - known)
         if unknown:
@@ -220,15 +221,21 @@ def _reshaped(typed: DataFrame, settings: Mapping[str, Any], config: LoadConfig)
     return named.select(*[quoted(c) for c in named.columns if c != _ASIDE], f"{_ASIDE}.*")
 
 
-def _stage(
-    spark: SparkSession, df: DataFrame, config: LoadConfig, table: str, as_of: dt.datetime
-) -> tuple[DataFrame, str]:
+def _wall_clock() -> dt.datetime:
+    return dt.datetime.now(dt.timezone.utc)
+
+
+def _staging_path(spark: SparkSession, config: LoadConfig, table: str) -> str:
+    """A new staging folder. It is named, and later expired, by the wall clock, whatever date a load is for."""
+    return f"{config.staging_folder(spark)}/{staging_name(table, _wall_clock(), config.temporary_table_name_template)}"
+
+
+def _stage(spark: SparkSession, df: DataFrame, config: LoadConfig, table: str) -> tuple[DataFrame, str]:
     """Write rows once, so that what follows reads files instead of parsing again.
 
     Spark also learns their size, which decides whether a merge broadcasts them.
     """
-    name = staging_name(table, as_of, config.temporary_table_name_template)
-    path = f"{config.staging_folder(spark)}/{name}"
+    path = _staging_path(spark, config, table)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
@@ -339,7 +346,7 @@ class _StreamLoad:
         return found["rows"] - found["rejected"], found["rejected"]
 
     def stage(self, df: DataFrame) -> DataFrame:
-        rows, path = _stage(self.spark, df, self.config, self.table_id, self.as_of)
+        rows, path = _stage(self.spark, df, self.config, self.table_id)
         self.staged.append(path)
         return rows
 
@@ -364,6 +371,23 @@ class _StreamLoad:
         return self.stage(kept.select(*[quoted(c) for c in source.columns])), judged
 
     def run(self) -> LoadResult:
+        self.write()
+        return self.show()
+
+    def staged_in_lake(self, rows: DataFrame) -> tuple[DataFrame, tuple[int, int]]:
+        """Rows read back from the lake, once they are judged. A batch that is refused leaves the lake again."""
+        spark, config = self.spark, self.config
+        root = config.lake_root or f"{scratch_root(spark)}/sluiceway-lake"
+        folder = stage_to_lake(rows, root, self.mapped.name, self.key, self.as_of, config.database)
+        try:
+            judged = self.judge()
+        except LoadError:
+            drop_batch(spark, folder, self.key)
+            raise
+        return lake_load(spark, root, self.mapped.name, self.schema, [self.key], dataset=config.database), judged
+
+    def write(self) -> None:
+        """Write the rows unseen and judge the rejected ones. Nothing shows before ``show``."""
         spark, config = self.spark, self.config
         comment = table_comment(self.spec, config)
         schema = self.schema
@@ -381,10 +405,7 @@ class _StreamLoad:
             table = table.merge(spark, source, self.keys, config.only_if_newer)
         else:
             if config.method == "lake_stage":
-                root = config.lake_root or f"{scratch_root(spark)}/sluiceway-lake"
-                stage_to_lake(plain, root, self.mapped.name, self.key, self.as_of, config.database)
-                judged = self.judge()
-                plain = lake_load(spark, root, self.mapped.name, schema, [self.key], dataset=config.database)
+                plain, judged = self.staged_in_lake(plain)
             elif layout:  # a range sort reads its input twice
                 plain = self.stage(plain)
                 judged = self.judge()
@@ -396,6 +417,12 @@ class _StreamLoad:
                 schema = table.evolve(spark, schema)
                 table = table.append(spark, plain)
             judged = judged or self.judge()
+        self.written = (table, schema, comment, mode, judged)
+
+    def show(self) -> LoadResult:
+        """Publish what was written."""
+        spark, config = self.spark, self.config
+        table, schema, comment, mode, judged = self.written
         table.publish(spark, schema, comment)
         for path in self.staged:  # a load that fails leaves its folder to ``expire_staging``
             remove_folder(spark, path)
@@ -444,7 +471,7 @@ def load(
         landing = landing.overwrite(spark, rows, schema, comment)
     else:
         schema = landing.evolve(spark, schema)
-        landing = landing.append(spark, rows) if mode == "append" else landing.merge(spark, rows, keys or (), only_if_newer)
+        landing = landing.append(spark, rows, gather=not cluster) if mode == "append" else landing.merge(spark, rows, keys or (), only_if_newer)
     landing.publish(spark, schema, comment or None)
     return landing
 
@@ -464,37 +491,48 @@ def load_stream(
     Rejected rows are counted while the good ones are written; nothing shows
     until the count has been judged.
     """
-    config = LoadConfig.of(config)
+    return _loading(spark, msgs, spec, LoadConfig.of(config), as_of, facts, prefilter, log).run()
+
+
+def _loading(spark, msgs, spec, config, as_of, facts=None, prefilter=True, log=None) -> _StreamLoad:
     rows, schema = stream_rows(msgs, spec, config, as_of, prefilter, log)
-    return _StreamLoad(spark, spec, config, as_of, rows, schema, log, facts or {}).run()
+    return _StreamLoad(spark, spec, config, as_of, rows, schema, log, facts or {})
+
+
+def _has_table(spark: SparkSession, spec: StreamSpec, config: LoadConfig) -> bool:
+    return spark.catalog.tableExists(f"{config.database}.{table_name_of(mapped_spec(spec, config).name)}")
 
 
 def split_streams(
-    spark: SparkSession, lines: DataFrame, config: LoadConfig, as_of: dt.datetime, log: LogWatch
-) -> DataFrame:
-    """Parse the envelope once and write one folder per stream, for logs of many streams.
+    spark: SparkSession, lines: DataFrame, config: LoadConfig, log: LogWatch
+) -> tuple[DataFrame, str]:
+    """Parse the envelope once and write one folder per stream, for logs of several streams.
 
     Rows are rebalanced by stream before the write, so files do not grow with tasks times streams;
     adaptive execution splits a stream that is a third of the log over many tasks.
     """
-    path = f"{config.staging_folder(spark)}/{staging_name('messages', as_of, config.temporary_table_name_template)}"
+    path = _staging_path(spark, config, "messages")
     msgs = as_messages(lines).filter(F.trim("payload") != "")
     records = log(msgs).filter("type = 'RECORD'").drop("type")
     records.hint("rebalance", "stream").write.partitionBy("stream").parquet(path)
     return spark.read.schema(records.schema).parquet(path), path
 
 
-def _by_table(tasks: Mapping[str, Any], specs: Mapping[str, StreamSpec], config: LoadConfig, as_of, facts) -> dict[str, LoadResult]:
-    """Load several tables at a time; streams that share a table take turns."""
-    shared: dict[str, list[str]] = {}
-    for name in tasks:
-        shared.setdefault(table_name_of(mapped_spec(specs[name], config).name), []).append(name)
-
-    def load_table(names: list[str]) -> list[tuple[str, LoadResult]]:
-        return [(n, tasks[n](specs[n], config, as_of, facts)) for n in names]
+def _run_all(loads: Mapping[str, _StreamLoad], at_a_time: int) -> dict[str, LoadResult]:
+    """Write and judge every stream, then show them all: one that fails leaves no table moved.
 
-    with ThreadPoolExecutor(max(1, config.concurrent_streams)) as pool:
-        return dict(pair for pairs in pool.map(load_table, shared.values()) for pair in pairs)
+    Streams that share a table take turns in between, as each builds on what the one before has shown.
+    """
+    shared: dict[str, list[str]] = {}
+    for name, one in loads.items():
+        shared.setdefault(one.name, []).append(name)
+    alone = [names[0] for names in shared.values() if len(names) == 1]
+    turns = [names for names in shared.values() if len(names) > 1]
+    with ThreadPoolExecutor(max(1, at_a_time)) as pool:
+        list(pool.map(lambda n: loads[n].write(), alone))
+        done = dict(pair for pairs in pool.map(lambda names: [(n, loads[n].run()) for n in names], turns) for pair in pairs)
+        done.update(zip(alone, pool.map(lambda n: loads[n].show(), alone)))
+    return done
 
 
 def load_messages(
@@ -508,8 +546,8 @@ def load_messages(
 ) -> tuple[list[LoadResult], str | None]:
     """Load every stream of a log. Returns the results and the bookmark.
 
-    The bookmark is returned (and written, with ``state_path``) only after every
-    table is published. Files named by BATCH messages are part of the log.
+    All streams are written and judged before any table is published, and the bookmark is
+    returned (and written, with ``state_path``) only after every table is. Files named by BATCH messages are part of the log.
     Records without a schema, and lines that are no message, stop the load under
     ``fail_fast`` and are set aside otherwise. A map of ``None`` leaves a stream out.
 
@@ -525,27 +563,28 @@ def load_messages(
         found = log_facts(lines)
     specs = found.specs if specs is None else specs
     chosen = {n: s for n, s in specs.items() if config.stream_maps.get(n, {}) is not None}
-    split = len(chosen) > config.direct_streams
+    split = len(chosen) > 1  # a log of one stream has nothing to split
     if found is None and (split or not chosen):
         found = log_facts(lines)
     for stream, files in (found.batches if found else {}).items():
         lines = lines.unionByName(batch_lines(spark, stream, files))
     log = LogWatch(list(specs), expect_batches=found is not None)
     if split:
-        msgs, folder = split_streams(spark, lines, config, as_of, log)
+        msgs, folder = split_streams(spark, lines, config, log)
         log.judge(config.fail_fast)
+        if "batch" in (facts or {}):  # a micro-batch leaves the tables of idle streams alone
+            there = folder_values(spark, folder, "stream")
+            chosen = {n: s for n, s in chosen.items() if n in there or not _has_table(spark, s, config)}
     elif not chosen and config.fail_fast and not stray_lines(lines, list(specs)).isEmpty():
         raise LoadError("the log declares no stream to load, but holds other lines")
     if split:
-        tasks = {n: partial(load_stream, spark, msgs.filter(F.col("stream") == n).drop("stream"), prefilter=False) for n in chosen}
-        done = {}
-    else:  # the first stream's pass also looks after the other lines, so it goes before the others
-        tasks = {n: partial(load_stream, spark, lines) for n in chosen}
-        done = {
-            n: tasks.pop(n)(spec, config, as_of, facts, prefilter=False, log=log)
-            for n, spec in list(chosen.items())[:1]
+        loads = {
+            n: _loading(spark, msgs.filter(F.col("stream") == n).drop("stream"), s, config, as_of, facts, False)
+            for n, s in chosen.items()
         }
-    done.update(_by_table(tasks, chosen, config, as_of, facts))
+    else:  # the one stream's pass also looks after the other lines
+        loads = {n: _loading(spark, lines, s, config, as_of, facts, False, log) for n, s in chosen.items()}
+    done = _run_all(loads, config.concurrent_streams)
     results = [done[n] for n in chosen]
     if split:
         remove_folder(spark, folder)
@@ -553,7 +592,7 @@ def load_messages(
         strays = stray_lines(lines, list(specs))
         _quarantine(spark, strays, "unassigned", config, f"log-{int(as_of.timestamp() * 1000)}")
     bookmark = found.state if found else log.state
-    expire_staging(spark, config.staging_folder(spark), as_of, config.temporary_table_expiration_hours)
+    expire_staging(spark, config.staging_folder(spark), _wall_clock(), config.temporary_table_expiration_hours)
     if bookmark and config.state_path:
         stamp = int(as_of.timestamp() * 1000)
         spark.createDataFrame([(bookmark,)], "state STRING").coalesce(1).write.mode("overwrite").parquet(

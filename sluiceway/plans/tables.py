@@ -34,6 +34,7 @@ LOAD_ID = "_load_id"
 GRAINS = ("hour", "day", "month", "year")
 _PROPERTY = "sluiceway."
 _NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+_SPECS = 500  # partitions of one DROP statement
 
 # How staging folders are named, and how long they live.
 STAGING_TEMPLATE = "{table_name}__{timestamp}__{uuid}"
@@ -84,6 +85,13 @@ def staged_at(name: str) -> dt.datetime | None:
         return None
 
 
+def folder_values(spark: SparkSession, path: str, column: str) -> set[str]:
+    """Values of a partition column below a folder, from folder names alone."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    names = [s.getPath().getName() for s in root.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(root)]
+    return {_unescape(n.removeprefix(f"{column}=")) for n in names if n.startswith(f"{column}=")}
+
+
 def expire_staging(spark: SparkSession, root: str, as_of: dt.datetime, hours: int = STAGING_HOURS) -> list[str]:
     """Delete staging folders older than ``hours``. Only folder names are read."""
     path = spark._jvm.org.apache.hadoop.fs.Path(root)
@@ -180,12 +188,10 @@ class LandingTable:
         """Drop what the last load replaced. One writer per table at a time."""
         if self.retired:
             spark.sql(f"DROP TABLE IF EXISTS {quoted_table(self.retired)}")
-        for load, value in self.superseded:
-            self.drop_partition(spark, load, value)
+        gone = list(self.superseded)
         if self.floor:
-            for load, value in self.partitions(spark):
-                if load <= self.floor:
-                    self.drop_partition(spark, load, value)
+            gone += [(load, value) for load, value in self.partitions(spark) if load <= self.floor]
+        self.drop_partitions(spark, gone)
         return replace(self, superseded=(), retired=None)
 
     def partitions(self, spark: SparkSession, load_id: int | None = None) -> list[tuple[int, str]]:
@@ -195,11 +201,11 @@ class LandingTable:
         pairs = [re.fullmatch(rf"{LOAD_ID}=(\d+)/{self.part}=(.*)", r.partition) for r in rows]
         return [(int(p[1]), _unescape(p[2])) for p in pairs if p]
 
-    def drop_partition(self, spark: SparkSession, load: int, value: str) -> None:
-        spark.sql(
-            f"ALTER TABLE {quoted_table(self.physical)} DROP IF EXISTS PARTITION"
-            f" ({LOAD_ID}={load}, {self.part}={self._value(value)})"
-        )
+    def drop_partitions(self, spark: SparkSession, pairs: Sequence[tuple[int, str]]) -> None:
+        """Drop partitions, many to a statement."""
+        for i in range(0, len(pairs), _SPECS):
+            specs = ", ".join(f"PARTITION ({LOAD_ID}={load}, {self.part}={self._value(v)})" for load, v in pairs[i : i + _SPECS])
+            spark.sql(f"ALTER TABLE {quoted_table(self.physical)} DROP IF EXISTS {specs}")
 
     def _value(self, value: str) -> str:
         kind = "TIMESTAMP" if self.grain == "hour" else "DATE"
@@ -209,12 +215,15 @@ class LandingTable:
         by_load: dict[int, list[str]] = {}
         for load, value in self.superseded:
             by_load.setdefault(load, []).append(value)
-        tests = []
+        alike: dict[tuple[str, ...], list[int]] = {}  # loads that lose the same partitions share a test
         for load, values in by_load.items():
+            alike.setdefault(tuple(sorted(set(values))), []).append(load)
+        tests = []
+        for values, loads in alike.items():
             named = [self._value(v) for v in values if v != _NO_VALUE]
             which = [f"{self.part} IN ({', '.join(named)})"] if named else []
             which += [f"{self.part} IS NULL"] if _NO_VALUE in values else []
-            tests.append(f"NOT ({LOAD_ID} = {load} AND ({' OR '.join(which)}))")
+            tests.append(f"NOT ({LOAD_ID} IN ({', '.join(map(str, loads))}) AND ({' OR '.join(which)}))")
         return "".join(f" AND coalesce({t}, true)" for t in tests)
 
     def visible(self) -> str:
@@ -271,16 +280,34 @@ class LandingTable:
         ]
         at = F.col("_sdc_batched_at") if "_sdc_batched_at" in have else F.lit(None).cast("timestamp")
         out = df.select(*columns, F.lit(load_id).alias(LOAD_ID), partition_value(self.grain, at).alias(self.part))
-        for load, value in self.partitions(spark, load_id):
-            self.drop_partition(spark, load, value)
+        self.drop_partitions(spark, self.partitions(spark, load_id))
         (out.hint("rebalance", self.part) if gather else out).write.insertInto(self.physical)
 
-    def append(self, spark: SparkSession, df: DataFrame) -> LandingTable:
-        """Write ``df`` as the next load, ready to publish."""
+    def append(self, spark: SparkSession, df: DataFrame, gather: bool = False) -> LandingTable:
+        """Write ``df`` as the next load, ready to publish. Rows of many periods in no order should be gathered."""
         load = self.load_id + 1
-        self.write(spark, df, load)
+        self.write(spark, df, load, gather)
         return replace(self, load_id=load)
 
+    def compact(self, spark: SparkSession, at_least: int = 2) -> LandingTable:
+        """Fold the partitions of each period that ``at_least`` loads wrote into one, ready to publish.
+
+        Only those periods are read and rewritten. Readers keep the old partitions until the next load begins.
+        """
+        by_value: dict[str, list[int]] = {}
+        gone = set(self.superseded)
+        for load, value in self.partitions(spark):
+            if self.floor < load <= self.load_id and (load, value) not in gone:
+                by_value.setdefault(value, []).append(load)
+        folded = tuple((load, value) for value, loads in by_value.items() if len(loads) >= at_least for load in loads)
+        if not folded:
+            return self
+        only = replace(self, superseded=folded, floor=0)
+        kept = self.rows(spark).filter(f"NOT (true{only._excluded()})").drop(LOAD_ID)
+        load = self.load_id + 1
+        self.write(spark, kept, load, gather=True)
+        return replace(self, load_id=load, superseded=(*self.superseded, *folded))
+
     def overwrite(self, spark: SparkSession, df: DataFrame, schema: T.StructType, comment: str = "") -> LandingTable:
         """Write ``df`` as a new physical table, with the same layout and its own schema."""
         base, _, version = self.physical.rpartition("__v")
@@ -325,7 +352,7 @@ class LandingTable:
         else:
             target = self.rows(spark).filter("false")
         merged = upsert(target.select(*[F.col(quoted(c)) for c in columns]), source, keys, only_if_newer)
-        self.write(spark, merged, load, gather=len(touched) > 1)
+        self.write(spark, merged, load, gather=True)
         return replace(self, load_id=load, superseded=(*self.superseded, *touched))
 
     def conflicts(self, spark: SparkSession, source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -362,15 +389,26 @@ def expire_partitions(
     if table is None:
         return []
     cutoff = as_of.replace(tzinfo=None) - dt.timedelta(days=days)
-    gone = []
-    for load, value in table.partitions(spark):
-        if value != _NO_VALUE and dt.datetime.fromisoformat(value) <= cutoff:
-            table.drop_partition(spark, load, value)
-            gone.append(value)
-    return sorted(set(gone))
+    old = [(n, v) for n, v in table.partitions(spark) if v != _NO_VALUE and dt.datetime.fromisoformat(v) <= cutoff]
+    table.drop_partitions(spark, old)
+    return sorted({v for _, v in old})
+
+
+def compact(spark: SparkSession, name: str, at_least: int = 2) -> int:
+    """Fold a table's periods that many loads wrote, and publish. Returns how many partitions were folded.
+
+    One writer per table at a time, as for loads.
+    """
+    found = LandingTable.find(spark, name)
+    if found is None:
+        raise ValueError(f"no table {name}")
+    table = found.begin(spark)
+    done = table.compact(spark, at_least)
+    done.publish(spark)
+    return len(done.superseded)
 
 
 __all__ = [
-    "LandingTable", "cluster_layout", "expire_partitions", "expire_staging",
+    "LandingTable", "cluster_layout", "compact", "expire_partitions", "expire_staging", "folder_values",
     "partition_column", "partition_value", "read_between", "staged_at", "staging_name",
 ]

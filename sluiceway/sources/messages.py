@@ -152,13 +152,14 @@ def log_facts(msgs: DataFrame) -> LogFacts:
     """All facts in a single pass over the log. Collects a row per stream and kind of message."""
     found = (
         msgs.filter(mentions("SCHEMA", "STATE", "BATCH"))
-        .select("seq", parsed_once(F.col("payload"), f"{SCHEMA_BODY}, value STRING, manifest ARRAY<STRING>"))
+        .select("seq", parsed_once(F.col("payload"), f"{SCHEMA_BODY}, value STRING, manifest ARRAY<STRING>, encoding STRUCT<format: STRING>"))
         .filter("type = 'STATE' OR (type IN ('SCHEMA', 'BATCH') AND stream IS NOT NULL)")
         .groupBy("type", F.when(F.col("type") != "STATE", F.col("stream")).alias("stream"))
         .agg(
             F.min_by(F.struct("schema", "key_properties", "bookmark_properties"), "seq").alias("first"),
             F.max_by("value", "seq").alias("last"),
             F.flatten(F.collect_list("manifest")).alias("files"),
+            F.collect_set("encoding.format").alias("formats"),
         )
         .collect()
     )
@@ -167,6 +168,9 @@ def log_facts(msgs: DataFrame) -> LogFacts:
         if row.type == "SCHEMA":
             facts.specs[row.stream] = _spec(row.stream, row.first)
         elif row.type == "BATCH":
+            other = sorted(set(row.formats) - {"jsonl"})
+            if other:
+                raise ValueError(f"{row.stream}: batch files in format {', '.join(other)}; only jsonl is read")
             facts.batches[row.stream] = sorted(row.files)
         else:
             facts.state = row.last

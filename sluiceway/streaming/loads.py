@@ -40,18 +40,19 @@ def stream_append(
     checkpoint: str,
     max_files: int | None = None,
     every: str | None = None,
-    clock: Clock = _now,
+    clock: Clock | None = None,
 ) -> StreamingQuery:
     """Append one declared stream to a Parquet folder, visible batch by batch.
 
     Spark's file sink makes each batch exactly-once. Rows that cannot be loaded
     stop the query under ``fail_fast`` and are left out otherwise; use
-    ``stream_load`` to keep them.
+    ``stream_load`` to keep them. Rows carry the time of their micro-batch, which Spark keeps
+    in the checkpoint, so a replay stamps alike; ``clock`` gives all rows of a run one time instead.
     """
     prepare_session(spark)
     config = LoadConfig.of(config)
     lines = stream_lines(spark, source, max_files)
-    rows, _ = stream_rows(lines, spec, config, clock(), prefilter=True)
+    rows, _ = stream_rows(lines, spec, config, clock() if clock else F.current_timestamp(), prefilter=True)
     if config.fail_fast:
         refuse = F.raise_error(F.concat(F.lit(f"{spec.name}: "), F.col(REJECT), F.lit(": "), F.col(PAYLOAD)))
         good = rows.filter(F.when(F.col(REJECT).isNull(), F.lit(True)).otherwise(refuse.cast("boolean")))

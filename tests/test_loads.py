@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sluiceway import LoadConfig, LoadError, load_messages, read_between, read_state
-from sluiceway.plans import LandingTable, cluster_layout, expire_partitions, expire_staging, partition_column, stage_to_lake, staging_name
+from sluiceway.plans import LandingTable, cluster_layout, compact, expire_partitions, expire_staging, partition_column, stage_to_lake, staging_name
 from sluiceway.plans.loads import clustering, load_stream
 from sluiceway.plans.loads import load as load_frame
 from sluiceway.functions import StreamSpec
@@ -132,20 +132,20 @@ def test_bad_rows_are_kept_without_fail_fast(spark, database, settings):
 
 
 @pytest.mark.parametrize("stray", ["garbage", "[1]", json.dumps(record("nobody", {"x": 1}))])
-@pytest.mark.parametrize("direct", [0, 3])
-def test_stray_lines_stop_the_load(spark, database, stray, direct):
+@pytest.mark.parametrize("streams", [1, 2])
+def test_stray_lines_stop_the_load(spark, database, stray, streams):
+    more = [schema("other", PEOPLE, ["id"])][: streams - 1]
     with pytest.raises(LoadError, match="1 lines are no message, or records of a stream without a schema"):
-        load(spark, database, people((1, "a")) + [stray, ""], direct_streams=direct)
+        load(spark, database, people((1, "a")) + more + [stray, ""])
     assert not spark.catalog.tableExists(f"{database}.people") or names(spark, database) == []
 
 
 def test_many_streams_are_split_once(spark, database):
     streams = [f"S-{i}" for i in range(5)]
     messages = [m for s in streams for m in (schema(s, PEOPLE, ["id"]), record(s, {"id": 1, "name": s}))]
-    direct = load(spark, database, messages, day(1), direct_streams=99)
-    split = load(spark, database, messages, day(2), direct_streams=0)
-    assert [r.rows for r in direct[0]] == [r.rows for r in split[0]] == [1] * 5
-    assert names(spark, database, "s_3") == [(1, "S-3"), (1, "S-3")]
+    split = load(spark, database, messages, day(2))
+    assert [r.rows for r in split[0]] == [1] * 5
+    assert names(spark, database, "s_3") == [(1, "S-3")]
 
 
 def test_a_dead_attempt_is_written_over(spark, database):
@@ -232,6 +232,54 @@ def test_a_staged_batch_is_never_written_over(spark, tmp_path):
     stage_to_lake(df, str(tmp_path), "s", "b2", day(2))
 
 
+def test_a_refused_batch_leaves_the_lake_and_can_be_retried(spark, database, tmp_path):
+    settings = {"method": "lake_stage", "lake_root": str(tmp_path)}
+    with pytest.raises(LoadError, match="rejected"):
+        load(spark, database, people((1, "a")) + BAD, day(2), **settings)
+    assert glob.glob(f"{tmp_path}/{database}/people/extracted_date=*/batch_id=*") == []
+    load(spark, database, people((1, "a")), day(2), **settings)
+    assert names(spark, database) == [(1, "a")]
+
+
+def test_compaction_folds_the_loads_of_a_period(spark, database):
+    for n in (1, 2, 3):
+        load(spark, database, people((n, "x")), day(n))
+    load(spark, database, people((4, "feb")), dt.datetime(2024, 2, 1, tzinfo=dt.timezone.utc))
+    name = f"{database}.people"
+    assert compact(spark, name) == 3 and names(spark, database) == [(1, "x"), (2, "x"), (3, "x"), (4, "feb")]
+    load(spark, database, people((5, "y")), dt.datetime(2024, 2, 2, tzinfo=dt.timezone.utc))
+    assert LandingTable.find(spark, name).partitions(spark) == [(4, "2024-02-01"), (5, "2024-01-01"), (6, "2024-02-01")]
+    assert names(spark, database) == [(1, "x"), (2, "x"), (3, "x"), (4, "feb"), (5, "y")]
+    assert compact(spark, name, at_least=3) == 0 and len(names(spark, database)) == 5
+
+
+def test_a_frame_of_many_periods_makes_few_files(spark, database):
+    at = F.timestamp_seconds(F.lit(1704067200) + F.col("id") % 5 * 86400 * 31)
+    df = spark.range(0, 4000, 1, 8).select(F.col("id"), at.alias("_sdc_batched_at"))
+    load_frame(df, f"{database}.many")
+    assert len(spark.table(f"{database}.many__v1").inputFiles()) <= 10
+    assert spark.table(f"{database}.many").count() == 4000
+
+
+def test_batch_files_of_another_format_are_refused(spark, database):
+    batch = {"type": "BATCH", "stream": "people", "encoding": {"format": "parquet"}, "manifest": ["x"]}
+    with pytest.raises(ValueError, match="format parquet"):
+        load(spark, database, people() + [batch])
+
+
+def test_settings_without_effect_are_told():
+    with pytest.warns(UserWarning, match="batch_size"):
+        LoadConfig.of({"batch_size": 500})
+
+
+def test_staging_of_a_backfill_outlives_newer_loads(spark, database, tmp_path):
+    from sluiceway.plans.loads import _stage
+    config = LoadConfig(staging_root=str(tmp_path))
+    _, path = _stage(spark, spark.range(1), config, "backfill")
+    load(spark, database, people((1, "a")), dt.datetime(2040, 1, 1, tzinfo=dt.timezone.utc), staging_root=str(tmp_path))
+    assert [p.name for p in tmp_path.iterdir()] == [path.rsplit("/", 1)[1]]
+
+
 # ---- layout ---------------------------------------------------------------
 
 
@@ -296,7 +344,8 @@ def test_staging_names_and_expiry(spark, tmp_path):
 
 
 def test_finished_loads_leave_no_staging(spark, database, tmp_path):
-    load(spark, database, people((1, "a")), upsert=True, dedupe_before_upsert=True, staging_root=str(tmp_path), direct_streams=0)
+    load(spark, database, people((1, "a")), upsert=True, dedupe_before_upsert=True, staging_root=str(tmp_path))
+    load(spark, database, people((2, "b")) + [schema("other", PEOPLE, ["id"])], upsert=True, staging_root=str(tmp_path))
     assert list(tmp_path.iterdir()) == []
 
 
@@ -380,7 +429,10 @@ def test_one_bad_stream_leaves_the_bookmark(spark, database, tmp_path):
     with pytest.raises(LoadError, match="d: 1 of 1 records"):
         load(spark, database, messages + [state({"n": 1})], state_path=str(tmp_path / "state"))
     assert not (tmp_path / "state").exists()
-    assert spark.table(f"{database}.d").count() == 0
+    assert [spark.table(f"{database}.{s}").count() for s in "abcde"] == [0] * 5  # no table moved
+    fixed = [m for m in messages if m.get("record") != {"id": "bad"}]
+    load(spark, database, fixed + [state({"n": 1})], day(2), state_path=str(tmp_path / "state"))
+    assert [spark.table(f"{database}.{s}").count() for s in "abcde"] == [1, 1, 1, 0, 1]
 
 
 @pytest.mark.parametrize("denormalized", [True, False])

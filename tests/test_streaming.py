@@ -98,3 +98,20 @@ def test_a_bad_batch_stops_the_query_before_it_shows(spark, database, tmp_path):
     with pytest.raises(Exception, match="rejected"):
         stream_load(spark, source, config, str(tmp_path / "cp"), 1, clock=lambda: day(1)).awaitTermination()
     assert spark.table(f"{database}.people").count() == 3
+
+
+def test_append_stamps_each_batch_with_its_own_time(spark, tmp_path):
+    config, out = LoadConfig(denormalized=True), str(tmp_path / "out")
+    stream_append(spark, batches(tmp_path / "in"), SPEC, config, out, str(tmp_path / "cp"), 1).awaitTermination()
+    stamps = rows(spark.read.parquet(out).groupBy("_sdc_batched_at").count(), "count")
+    assert stamps == [(1,), (2,)]
+
+
+def test_idle_streams_get_no_load(spark, database, tmp_path):
+    other = StreamSpec("other", SPEC.json_schema, ("id",))
+    write_log(tmp_path / "in" / "b1", [schema(s, PROPS, ["id"]) for s in ("people", "other")] + [record(s, {"id": 1}) for s in ("people", "other")])
+    write_log(tmp_path / "in" / "b2", [record("people", {"id": 2})])
+    config = {"database": database, "denormalized": True}
+    stream_load(spark, str(tmp_path / "in" / "*"), config, str(tmp_path / "cp"), 1, clock=lambda: day(1)).awaitTermination()
+    assert LandingTable.find(spark, f"{database}.people").load_id == 2
+    assert LandingTable.find(spark, f"{database}.{other.name}").load_id == 1
