@@ -427,6 +427,18 @@ def lake_load(spark: SparkSession, sf: str) -> DataFrame:
     return _plain_table(spark, _load(spark, scratch_database(spark), lines, denormalized=True, method="lake_stage", lake_root=root))
 
 
+@query("SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders")
+def compact_loads(spark: SparkSession, sf: str) -> DataFrame:
+    """Four loads of one period, folded into one partition; every row stays."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    name = f"{scratch_database(spark)}.orders"
+    quarter = F.pmod(F.xxhash64("o_orderkey"), F.lit(4))
+    for n in range(4):
+        sw.load(orders.filter(quarter == n), name)
+    sw.compact(spark, name)
+    return plain(spark.table(name))
+
+
 # ---- streaming ------------------------------------------------------------
 
 

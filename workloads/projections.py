@@ -399,20 +399,21 @@ def stream_map_expr(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("""
 SELECT c_custkey AS "CustKey", c_name AS "Profile__FullName",
-       '{"NationKey":' || c_nationkey || ',"MktSegment":"' || c_mktsegment || '"}' AS "Profile__HomeMarket" FROM customer
+       '{"NationKey":' || c_nationkey || ',"MktSegment":"' || c_mktsegment || '"}' AS "Profile__HomeMarket",
+       c_acctbal AS "Profile__AccountList" FROM customer
 """)
 def flatten_depth1(spark: SparkSession, sf: str) -> DataFrame:
-    df = _nested_customer(spark, sf)
-    return sw.flatten(df.withColumn("Profile", F.col("Profile").dropFields("AccountList")), 1)
+    flat = sw.flatten(_nested_customer(spark, sf), 1)
+    return flat.withColumn("Profile__AccountList", F.col("Profile__AccountList")[0]["AcctBal"])  # arrays stay as they are
 
 
 @query("""
 SELECT c_custkey AS "CustKey", c_name AS "Profile__FullName", c_nationkey AS "Profile__HomeMarket__NationKey",
-       c_mktsegment AS "Profile__HomeMarket__MktSegment" FROM customer
+       c_mktsegment AS "Profile__HomeMarket__MktSegment", c_acctbal AS "Profile__AccountList" FROM customer
 """)
 def flatten_depth2(spark: SparkSession, sf: str) -> DataFrame:
-    df = _nested_customer(spark, sf)
-    return sw.flatten(df.withColumn("Profile", F.col("Profile").dropFields("AccountList")), 2)
+    flat = sw.flatten(_nested_customer(spark, sf), 2)
+    return flat.withColumn("Profile__AccountList", F.col("Profile__AccountList")[0]["AcctBal"])  # arrays stay as they are
 
 
 # ---- row checks -----------------------------------------------------------
