@@ -29,15 +29,16 @@ def typed(spark, properties, bodies, rules=None, resolver=1):
     return [r.asDict(True) for r in out.collect()]
 
 
-NESTED = {"NestedLevelOne": {"type": "object", "properties": {"NestedLevelTwo": {"type": "object", "properties": {
-    "ArrayColumn": {"type": "array", "items": {"type": "object", "properties": {"IntColumn": {"type": "integer"}}}}}}}}}
+LINES = {"type": "array", "items": {"type": "object", "properties": {"LineNumber": {"type": "integer"}, "ShipMode": {"type": "string"}}}}
+NESTED = {"Customer": {"type": "object", "properties": {"CustKey": {"type": "integer"}, "LastOrder": {"type": "object", "properties": {"OrderLines": LINES}}}}}
 
 
 @pytest.mark.parametrize("count", [1, 3])
 def test_nested_names_change_in_data_and_schema(spark, count):
-    items = [{"IntColumn": i} for i in range(count)]
-    got = typed(spark, NESTED, [{"NestedLevelOne": {"NestedLevelTwo": {"ArrayColumn": items}}}], {"snake_case": True})
-    assert got == [{"nested_level_one": {"nested_level_two": {"array_column": [{"int_column": i} for i in range(count)]}}}]
+    sent = [{"LineNumber": i, "ShipMode": "RAIL"} for i in range(count)]
+    kept = [{"line_number": i, "ship_mode": "RAIL"} for i in range(count)]
+    got = typed(spark, NESTED, [{"Customer": {"CustKey": 7, "LastOrder": {"OrderLines": sent}}}], {"snake_case": True})
+    assert got == [{"customer": {"cust_key": 7, "last_order": {"order_lines": kept}}}]
 
 
 def test_names_with_dots_and_case_twins(spark):
@@ -101,9 +102,9 @@ def test_each_line_is_parsed_once(spark):
 
 
 def test_metadata_keys_move_out_of_data(spark):
-    body = {"id": 1, "name": "Ada", "_sdc_extracted_at": "2026-07-05T00:00:00Z", "_sdc_sequence": 42, "_sdc_other": 1}
+    body = {"id": 1, "name": "Clerk#7", "_sdc_extracted_at": "1996-03-13T06:30:00Z", "_sdc_sequence": 1996, "_sdc_other": 1}
     row = project_fixed(frame(spark, [body]), "s").withColumn("data", F.to_json("data")).first()
-    assert tuple(row) == ('{"_sdc_other":1,"id":1,"name":"Ada"}', dt.datetime(2026, 7, 5), None, None, None, 42, None)
+    assert tuple(row) == ('{"_sdc_other":1,"id":1,"name":"Clerk#7"}', dt.datetime(1996, 3, 13, 6, 30), None, None, None, 1996, None)
 
 
 def test_metadata_keys_written_with_escapes(spark):
@@ -186,15 +187,15 @@ def test_text_that_looks_like_json_is_text(spark):
 
 
 def test_arrays_of_records(spark):
-    item = {"type": "object", "properties": {"InnerColumn": {"type": "integer"}, "deep": {"type": "object", "properties": {"x": {"type": "integer"}}},
+    item = {"type": "object", "properties": {"PartKey": {"type": "integer"}, "deep": {"type": "object", "properties": {"x": {"type": "integer"}}},
                                              "list": {"type": "array", "items": {"type": "object", "properties": {"y": {"type": "integer"}}}}}}
-    body = {"ArrayColumn": [{"InnerColumn": 1, "deep": {"x": 2}, "list": [{"y": 3}, None]}, None]}
-    got = seen(spark, {"ArrayColumn": {"type": "array", "items": item}}, [body, {}, {"ArrayColumn": "no array"}], rules={"snake_case": True})
-    assert got[0]["array_column"] == [
-        {"inner_column": 1, "deep": {"x": 2}, "list": [{"y": 3}, {"y": None}]},
-        {"inner_column": None, "deep": {"x": None}, "list": []},
+    body = {"SupplierRows": [{"PartKey": 1, "deep": {"x": 2}, "list": [{"y": 3}, None]}, None]}
+    got = seen(spark, {"SupplierRows": {"type": "array", "items": item}}, [body, {}, {"SupplierRows": "no array"}], rules={"snake_case": True})
+    assert got[0]["supplier_rows"] == [
+        {"part_key": 1, "deep": {"x": 2}, "list": [{"y": 3}, {"y": None}]},
+        {"part_key": None, "deep": {"x": None}, "list": []},
     ]
-    assert got[1]["array_column"] == [] and got[2]["array_column"] == []
+    assert got[1]["supplier_rows"] == [] and got[2]["supplier_rows"] == []
 
 
 def test_json_columns(spark):
