@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluiceway.llm.staging import WORD, col, numbered, quoted, stage, without
@@ -28,7 +28,8 @@ def line_number(line: Column) -> Column:
 
 
 def chunked(df: DataFrame, text: Column, long_line: int, mean_lines: int) -> DataFrame:
-    """Add ``__chunks`` and ``__words``: a text's chunks of lines and their word counts.
+    """Add ``__chunks``, ``__words`` and ``__starts``, a text's chunks of lines, their word counts and first lines, and
+    ``__w``, the words of each line.
 
     A line ends a chunk when it or the next line is long, or when the rolling hash of it and the line before is
     0 modulo ``mean_lines``. That depends on neighbouring lines only, so lines put in or taken out elsewhere do not
@@ -60,8 +61,8 @@ def chunked(df: DataFrame, text: Column, long_line: int, mean_lines: int) -> Dat
         df,
         ("__chunks", F.transform("__spans", lambda x: F.array_join(F.slice("__lines", x["s"] + 1, x["n"]), "\n"))),
         ("__words", F.transform("__spans", lambda x: F.aggregate(F.slice("__w", x["s"] + 1, x["n"]), F.lit(0), lambda a, b: a + b))),
-        ("__counts", F.transform("__spans", lambda x: x["n"])),
-    ).drop("__lines", "__h", "__w", "__n", "__ends", "__spans")
+        ("__starts", F.transform("__spans", lambda x: x["s"])),
+    ).drop("__lines", "__h", "__n", "__ends", "__spans")
 
 
 def dedup_lines(
@@ -72,8 +73,9 @@ def dedup_lines(
     Texts are cut into chunks at content-defined boundaries (see :func:`chunked`). Of equal chunks, the one with the
     smallest (doc_id, row, place) stays; every other one is removed where it stands in a run of repeated chunks of
     together at least ``min_words`` words. A hash picks what may be equal, then bytes are compared: chunks are grouped
-    by their text. A single short line that many documents share (a heading, a greeting) therefore stays, and so does
-    a passage's first copy. Every row stays: a text of nothing but repeats becomes empty.
+    by their text. Lines without words neither count nor end a run, and those inside a removed run go with it. A single
+    short line that many documents share (a heading, a greeting) therefore stays, and so does a passage's first copy.
+    Every row stays: a text of nothing but repeats becomes empty.
 
     Only functions of Spark run. A passage in a third of all documents is counted before the shuffle and
     found again by joins that adaptive execution can split. Null text: stays null. Null ids sort first. Repeated rows:
@@ -94,37 +96,77 @@ def dedup_lines(
         (F.col("__uid") != F.col("head.uid")) | (F.col("pos") != F.col("head.pos"))
     )
     # candidates by hash: runs long enough, per row; then their bytes and those of the chunks that would stay
-    by_row = marks.groupBy("__uid").agg(F.sort_array(F.collect_list(F.struct("pos", "words", "hash"))).alias("marks"))
-    runs = stage(_own(by_row, ("long", _long_runs(F.col("marks"), min_words))).where(F.size("long") > 0).select("__uid", "long"), "lines-runs")
+    by_row = marks.groupBy("__uid").agg(F.sort_array(F.collect_list(F.struct("pos", "hash"))).alias("marks"))
+    by_row = by_row.join(kept.select("__uid", "__words"), "__uid")
+    runs = stage(_own(by_row, ("long", _long_runs(min_words))).where(F.size("long") > 0).select("__uid", "long"), "lines-runs")
     wanted = runs.select(F.explode(F.transform("long", lambda x: x["hash"])).alias("hash")).distinct()
     heads = repeated.join(wanted, "hash", "left_semi").select(F.col("head.uid").alias("__uid"), F.col("head.pos").alias("pos"))
     asked = runs.select("__uid", F.explode(F.transform("long", lambda x: x["pos"])).alias("pos")).union(heads)
     asked = asked.groupBy("__uid").agg(F.collect_set("pos").alias("asked"))
-    texts = (
-        kept.select(col("doc_id"), "__uid", "__chunks", "__words")
-        .join(asked, "__uid")
-        .select("doc_id", "__uid", F.explode("asked").alias("pos"), "__chunks", "__words")
-        .select("doc_id", "__uid", "pos", F.get("__chunks", F.col("pos")).alias("chunk"), F.get("__words", F.col("pos")).alias("words"))
-    )
-    texts = stage(texts, "lines-texts")
+
+    def one(p: Column) -> Column:
+        last = F.coalesce(F.get("__starts", p + 1), F.size("__w")) - 1
+        return F.struct(p.alias("pos"), F.get("__chunks", p).alias("chunk"), F.get("__starts", p).alias("first"), last.alias("last"))
+
+    texts = kept.select(col("doc_id"), "__uid", "__chunks", "__starts", "__w").join(asked, "__uid")
+    texts = stage(texts.select("doc_id", "__uid", F.inline(F.transform("asked", one))), "lines-texts")
     equal = texts.groupBy("chunk").agg(F.min(place).alias("head"))
     later = texts.join(equal, "chunk").where((F.col("__uid") != F.col("head.uid")) | (F.col("pos") != F.col("head.pos")))
-    gone = later.groupBy("__uid").agg(F.sort_array(F.collect_list(F.struct("pos", "words", F.lit(0).cast("long").alias("hash")))).alias("marks"))
-    gone = _own(gone, ("long", _long_runs(F.col("marks"), min_words))).where(F.size("long") > 0)
-    gone = stage(gone.select("__uid", F.transform("long", lambda x: x["pos"]).alias("__gone")), "lines-gone")
-    joined = kept.join(gone, "__uid", "left")
-    left = F.array_except(F.sequence(F.lit(0), F.size("__chunks") - 1), F.col("__gone"))
-    joined = _own(joined, ("__left", F.when(F.col("__gone").isNotNull(), left)))
-    rest = F.when(F.col("__gone").isNull(), F.col("__chunks")).otherwise(F.transform("__left", lambda i: F.get("__chunks", i)))
-    text = F.when(~F.col("__null"), F.array_join(rest, "\n"))
-    removed = F.aggregate(F.coalesce(F.col("__gone"), F.array().cast("array<int>")), F.lit(0), lambda a, i: a + F.get("__counts", i))
+    before = F.max("last").over(Window.partitionBy("__uid").orderBy("first", "last").rowsBetween(Window.unboundedPreceding, -1))
+    spans = later.select("__uid", "first", "last", before.alias("before"))
+    spans = spans.groupBy("__uid").agg(F.sort_array(F.collect_list(F.struct("first", "last", "before"))).alias("__spans"))
+    joined = _own(kept.join(spans, "__uid", "left"), ("__gone", _gone(min_words)))
+    lines = F.split(F.array_join("__chunks", "\n"), "\n", -1)
+    joined = _own(joined, ("__lines", F.when(F.size("__gone") > 0, lines)))
+
+    def stay(i: Column) -> Column:
+        begin = F.coalesce(F.get("__gone", i - 1)["last"] + 1, F.lit(0))
+        return F.slice("__lines", begin + 1, F.coalesce(F.get("__gone", i)["first"], F.size("__lines")) - begin)
+
+    rest = F.flatten(F.transform(F.sequence(F.lit(0), F.size("__gone")), stay))
+    text = F.when(~F.col("__null"), F.array_join(F.when(F.col("__lines").isNull(), F.col("__chunks")).otherwise(rest), "\n"))
+    removed = F.aggregate("__gone", F.lit(0), lambda a, g: a + g["last"] - g["first"] + 1)
     return joined.select(*[(text.alias(c) if c.lower() == "text" else F.col(quoted(c))) for c in source.columns], removed.alias("lines_removed"))
 
 
-def _long_runs(marks: Column, min_words: int) -> Column:
-    """Of a row's marked chunks, sorted by place, those in runs of neighbours with enough words together."""
-    # runs are told by where they begin: a mark begins one when its place does not follow the one before
-    begins = F.filter(F.sequence(F.lit(0), F.size(marks)), lambda i: (i == F.size(marks)) | (i == 0) | (F.get(marks, i)["pos"] != F.get(marks, i - 1)["pos"] + 1))
-    spans = F.zip_with(begins, F.slice(begins, 2, F.greatest(F.size(begins), F.lit(1))), lambda a, b: F.struct(a.alias("a"), (b - a).alias("n")))
-    parts = F.transform(F.filter(spans, lambda x: x["n"].isNotNull()), lambda x: F.slice(marks, x["a"] + 1, x["n"]))
-    return F.flatten(F.filter(parts, lambda part: F.aggregate(part, F.lit(0), lambda a, m: a + m["words"]) >= min_words))
+def _parts(items: Column, begins) -> Column:
+    """A sorted array cut before each place where ``begins`` holds."""
+    cuts = F.filter(F.sequence(F.lit(0), F.size(items)), lambda i: (i == F.size(items)) | (i == 0) | begins(i))
+    spans = F.zip_with(cuts, F.slice(cuts, 2, F.greatest(F.size(cuts), F.lit(1))), lambda a, b: F.struct(a.alias("a"), (b - a).alias("n")))
+    return F.transform(F.filter(spans, lambda x: x["n"].isNotNull()), lambda x: F.slice(items, x["a"] + 1, x["n"]))
+
+
+def _total(words: Column) -> Column:
+    return F.aggregate(words, F.lit(0), lambda a, w: a + w)
+
+
+def _between(values: str, left: Column, right: Column) -> Column:
+    """What stands after place ``left`` and before place ``right``."""
+    return F.slice(values, left + 2, F.greatest(right - left - 1, F.lit(0)))
+
+
+def _long_runs(min_words: int) -> Column:
+    """Of a row's ``marks``, sorted by place, those in runs with enough words together; only wordless chunks may lie between."""
+
+    def begins(i: Column) -> Column:
+        return F.exists(_between("__words", F.get("marks", i - 1)["pos"], F.get("marks", i)["pos"]), lambda w: w > 0)
+
+    def enough(part: Column) -> Column:
+        return _total(F.transform(part, lambda m: F.get("__words", m["pos"]))) >= min_words
+
+    return F.flatten(F.filter(_parts(F.col("marks"), begins), enough))
+
+
+def _gone(min_words: int) -> Column:
+    """The first and last lines of a row's runs of repeated spans that have enough words together."""
+
+    def begins(i: Column) -> Column:
+        span = F.get("__spans", i)
+        return F.exists(_between("__w", span["before"], span["first"]), lambda w: w > 0)
+
+    spans = F.coalesce("__spans", F.array().cast("array<struct<first:int,last:int,before:int>>"))
+    runs = F.transform(
+        F.filter(_parts(spans, begins), lambda part: F.size(part) > 0),
+        lambda part: F.struct(F.get(part, F.lit(0))["first"].alias("first"), F.array_max(F.transform(part, lambda x: x["last"])).alias("last")),
+    )
+    return F.filter(runs, lambda r: _total(F.slice("__w", r["first"] + 1, r["last"] - r["first"] + 1)) >= min_words)

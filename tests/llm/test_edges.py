@@ -165,6 +165,15 @@ def test_lines(spark):
     assert dedup_lines(docs(spark, [])).collect() == []
 
 
+def test_lines_of_a_passage_with_blank_lines(spark):
+    words = [f"w{i}" for i in range(120)]
+    paragraphs = [" ".join(words[i : i + 40]) for i in (0, 40, 80)]
+    passage = "\n\n".join(paragraphs[:2]) + "\n \n\n" + paragraphs[2]
+    rows = [(1, passage, "x"), (2, f"some\n\n{passage}\n\nother", "x"), (3, f"{paragraphs[0]}\n\nown words\n\n{paragraphs[1]}", "x")]
+    found = {r.doc_id: (r.text, r.lines_removed) for r in dedup_lines(docs(spark, rows)).collect()}
+    assert found == {1: (passage, 0), 2: ("some\n\n\nother", 6), 3: (rows[2][1], 0)}
+
+
 EVENTS = "conv_id long, seq long, message_id long, part int, event string, role string, text string"
 
 
