@@ -66,13 +66,15 @@ def chunked(df: DataFrame, text: Column, long_line: int, mean_lines: int) -> Dat
 
 
 def dedup_lines(
-    docs: DataFrame, min_words: int = MIN_WORDS, long_line: int = LONG_LINE, mean_lines: int = MEAN_LINES
+    docs: DataFrame, min_words: int = MIN_WORDS, long_line: int = LONG_LINE, mean_lines: int = MEAN_LINES, extend: bool = True
 ) -> DataFrame:
     """Take out of ``text`` the chunks of lines that stand elsewhere already, and add ``lines_removed``.
 
     Texts are cut into chunks at content-defined boundaries (see :func:`chunked`). Of equal chunks, the one with the
     smallest (doc_id, row, place) stays; every other one is removed where it stands in a run of repeated chunks of
-    together at least ``min_words`` words. A hash picks what may be equal, then bytes are compared: chunks are grouped
+    together at least ``min_words`` words. With ``extend``, lines beside a repeated chunk that equal those beside the
+    copy that stays belong to the run as well, on either side up to ``min_words`` words from the chunk, so a passage's
+    first and last lines count and go though their chunks hold other lines too. A hash picks what may be equal, then bytes are compared: chunks are grouped
     by their text. Lines without words neither count nor end a run, and those inside a removed run go with it. A single
     short line that many documents share (a heading, a greeting) therefore stays, and so does a passage's first copy.
     Every row stays: a text of nothing but repeats becomes empty.
@@ -86,7 +88,8 @@ def dedup_lines(
     # the chunks hold the text from here on, so that it is written and moved once
     cut = chunked(numbered(source, "__uid"), col("text"), long_line, mean_lines).withColumn("__null", col("text").isNull()).drop("text")
     kept = stage(cut, "lines-docs")
-    place = F.struct(col("doc_id").alias("doc_id"), F.col("__uid").alias("uid"), F.col("pos"))
+    place_fields = (col("doc_id").alias("doc_id"), F.col("__uid").alias("uid"), F.col("pos"))
+    place = F.struct(*place_fields)
     told = kept.select(
         col("doc_id"), "__uid", F.posexplode(F.transform(F.arrays_zip("__chunks", "__words"), lambda x: F.struct(F.xxhash64(x["__chunks"]).alias("hash"), x["__words"].alias("words"))))
     ).select("doc_id", "__uid", "pos", "col.hash", "col.words")
@@ -97,21 +100,27 @@ def dedup_lines(
     )
     # candidates by hash: runs long enough, per row; then their bytes and those of the chunks that would stay
     by_row = marks.groupBy("__uid").agg(F.sort_array(F.collect_list(F.struct("pos", "hash"))).alias("marks"))
-    by_row = by_row.join(kept.select("__uid", "__words"), "__uid")
+    by_row = by_row.join(kept.select("__uid", "__words", _room(long_line, extend).alias("__room")), "__uid")
     runs = stage(_own(by_row, ("long", _long_runs(min_words))).where(F.size("long") > 0).select("__uid", "long"), "lines-runs")
-    wanted = runs.select(F.explode(F.transform("long", lambda x: x["hash"])).alias("hash")).distinct()
-    heads = repeated.join(wanted, "hash", "left_semi").select(F.col("head.uid").alias("__uid"), F.col("head.pos").alias("pos"))
-    asked = runs.select("__uid", F.explode(F.transform("long", lambda x: x["pos"])).alias("pos")).union(heads)
-    asked = asked.groupBy("__uid").agg(F.collect_set("pos").alias("asked"))
-
-    def one(p: Column) -> Column:
-        last = F.coalesce(F.get("__starts", p + 1), F.size("__w")) - 1
-        return F.struct(p.alias("pos"), F.get("__chunks", p).alias("chunk"), F.get("__starts", p).alias("first"), last.alias("last"))
+    wanted = runs.select(F.inline(F.transform("long", lambda x: F.struct(x["hash"].alias("hash"), x["edge"].alias("edge")))))
+    wanted = wanted.groupBy("hash").agg(F.max("edge").alias("edge"))
+    heads = repeated.join(wanted, "hash").select(F.col("head.uid").alias("__uid"), F.col("head.pos").alias("pos"), "edge")
+    asked = runs.select("__uid", F.inline(F.transform("long", lambda x: F.struct(x["pos"].alias("pos"), x["edge"].alias("edge"))))).union(heads)
+    asked = asked.groupBy("__uid", "pos").agg(F.max("edge").alias("edge")).groupBy("__uid").agg(F.collect_list(F.struct("pos", "edge")).alias("asked"))
 
     texts = kept.select(col("doc_id"), "__uid", "__chunks", "__starts", "__w").join(asked, "__uid")
-    texts = stage(texts.select("doc_id", "__uid", F.inline(F.transform("asked", one))), "lines-texts")
-    equal = texts.groupBy("chunk").agg(F.min(place).alias("head"))
+    edged = F.exists("asked", lambda m: m["edge"])
+    texts = _own(
+        texts,
+        ("__lines", F.when(edged, F.split(F.array_join("__chunks", "\n"), "\n", -1))),
+        ("__worded", F.when(edged, F.filter(F.sequence(F.lit(0), F.size("__w") - 1), lambda i: F.get("__w", i) > 0))),
+    )
+    texts = stage(texts.select("doc_id", "__uid", F.inline(F.transform("asked", lambda m: _asked(m, min_words)))), "lines-texts")
+    sides = F.struct(*place_fields, "above", "below")
+    equal = texts.groupBy("chunk").agg(F.min(sides).alias("head"))
     later = texts.join(equal, "chunk").where((F.col("__uid") != F.col("head.uid")) | (F.col("pos") != F.col("head.pos")))
+    first, last = _reach("above"), _reach("below")
+    later = later.select("__uid", F.coalesce(first, "first").alias("first"), F.coalesce(last, "last").alias("last"))
     before = F.max("last").over(Window.partitionBy("__uid").orderBy("first", "last").rowsBetween(Window.unboundedPreceding, -1))
     spans = later.select("__uid", "first", "last", before.alias("before"))
     spans = spans.groupBy("__uid").agg(F.sort_array(F.collect_list(F.struct("first", "last", "before"))).alias("__spans"))
@@ -145,16 +154,76 @@ def _between(values: str, left: Column, right: Column) -> Column:
     return F.slice(values, left + 2, F.greatest(right - left - 1, F.lit(0)))
 
 
+def _room(long_line: int, extend: bool) -> Column:
+    """Of each chunk, the words that a run may take from it if it is no repeat, or -1 if it ends the run.
+
+    A long line is a chunk wherever it stands: one that equals a line of the copy that stays is a repeat itself.
+    """
+
+    def room(words: Column, p: Column) -> Column:
+        lines = F.coalesce(F.get("__starts", p + 1), F.size("__w")) - F.get("__starts", p)
+        ends = ((words >= long_line) & (lines == 1)) if extend else words > 0
+        return F.when(ends, -1).otherwise(words)
+
+    return F.transform("__words", room)
+
+
 def _long_runs(min_words: int) -> Column:
-    """Of a row's ``marks``, sorted by place, those in runs with enough words together; only wordless chunks may lie between."""
+    """Of a row's ``marks``, sorted by place, those in runs that may have enough words together.
+
+    ``edge`` tells those of runs whose neighbours or gaps hold words, which have to be compared line by line.
+    """
+
+    def at(i: Column) -> Column:
+        return F.coalesce(F.when(i >= 0, F.get("marks", i)["pos"]), F.when(i < 0, -1).otherwise(F.size("__words")))
 
     def begins(i: Column) -> Column:
-        return F.exists(_between("__words", F.get("marks", i - 1)["pos"], F.get("marks", i)["pos"]), lambda w: w > 0)
+        return F.exists(_between("__room", at(i - 1), at(i)), lambda w: w < 0)
+
+    def taken(room: Column) -> Column:
+        """Words after the last chunk that ends a run."""
+        return F.aggregate(room, F.lit(0), lambda a, w: F.when(w < 0, 0).otherwise(a + w))
+
+    def judged(part: Column) -> Column:
+        first, last = F.get(part, F.lit(0)), F.get(part, F.size(part) - 1)
+        inner = F.slice("__words", first["pos"] + 1, last["pos"] - first["pos"] + 1)
+        beside = taken(_between("__room", at(first["i"] - 1), first["pos"])) + taken(F.reverse(_between("__room", last["pos"], at(last["i"] + 1))))
+        edge = (beside > 0) | (F.size(F.filter(inner, lambda w: w > 0)) > F.size(part))
+        own = F.transform(part, lambda m: F.struct(m["pos"].alias("pos"), m["hash"].alias("hash"), edge.alias("edge")))
+        return F.when(_total(inner) + beside >= min_words, own)
+
+    marks = F.transform("marks", lambda m, i: F.struct(m["pos"].alias("pos"), m["hash"].alias("hash"), i.alias("i")))
+    return F.flatten(F.filter(F.transform(F.filter(_parts(marks, begins), lambda part: F.size(part) > 0), judged), lambda part: part.isNotNull()))
+
+
+def _asked(mark: Column, min_words: int) -> Column:
+    """A chunk, its first and last lines and, at an edge, the lines with words around it, nearest first."""
+    p = mark["pos"]
+    first = F.get("__starts", p)
+    last = F.coalesce(F.get("__starts", p + 1), F.size("__w")) - 1
+    own = F.slice("__w", first + 1, last - first + 1)
+    top = F.array_position("__worded", first + F.array_position(F.transform(own, lambda w: w > 0), True).cast("int") - 1).cast("int")
+    bottom = top + F.size(F.filter(own, lambda w: w > 0)) - 1
+
+    def lines(places: Column) -> Column:
+        near = F.transform(places, lambda i: F.struct(i.alias("i"), F.get("__lines", i).alias("line"), F.get("__w", i).alias("w")))
+        # every line has a word, so min_words lines are enough; those beyond min_words words go
+        near = F.filter(near, lambda x, i: F.aggregate(F.slice(near, 1, i), F.lit(0), lambda a, y: a + y["w"]) < min_words)
+        return F.when(mark["edge"], F.transform(near, lambda x: F.struct(x["i"].alias("i"), x["line"].alias("line"))))
+
+    above = lines(F.reverse(F.slice("__worded", F.greatest(top - min_words, F.lit(1)), F.least(top - 1, F.lit(min_words)))))
+    below = lines(F.slice("__worded", bottom + 1, min_words))
+    return F.struct(
+        p.alias("pos"), F.get("__chunks", p).alias("chunk"), first.alias("first"), last.alias("last"), above.alias("above"), below.alias("below")
+    )
 
-    def enough(part: Column) -> Column:
-        return _total(F.transform(part, lambda m: F.get("__words", m["pos"]))) >= min_words
 
-    return F.flatten(F.filter(_parts(F.col("marks"), begins), enough))
+def _reach(side: str) -> Column:
+    """The last line of a side that is equal, and all before it, to the head's; null if the first is not."""
+    own, other = F.col(side), F.col(f"head.{side}")
+    equal = F.zip_with(own, other, lambda a, b: F.coalesce(a["line"] == b["line"], F.lit(False)))
+    stop = F.array_position(equal, False).cast("int")
+    return F.get(own, F.when(stop > 0, stop - 1).otherwise(F.size(equal)) - 1)["i"]
 
 
 def _gone(min_words: int) -> Column:

@@ -174,6 +174,64 @@ def test_lines_of_a_passage_with_blank_lines(spark):
     assert found == {1: (passage, 0), 2: ("some\n\n\nother", 6), 3: (rows[2][1], 0)}
 
 
+def plain_line_spans(texts, least=50, long_line=8):
+    """The lines that go, by a plain program: repeated chunks, and equal lines beside them and the copy that stays."""
+    cut, heads = [], {}
+    for u, text in enumerate(texts):
+        lines = text.split("\n")
+        w = [len(x.split()) for x in lines]
+        h = [int(hashlib.md5(x.encode()).hexdigest()[:7], 16) for x in lines]
+        last = len(lines) - 1
+        ends = [i for i in range(last + 1) if i == last or max(w[i], w[i + 1]) >= long_line or (h[i] * 31 + (h[i - 1] if i else 0)) % 2 == 0]
+        chunks = list(zip([0, *(e + 1 for e in ends)], ends))
+        cut.append((lines, w, chunks))
+        for a, b in chunks:
+            heads.setdefault("\n".join(lines[a : b + 1]), (u, a, b))
+    for u, (lines, w, chunks) in enumerate(cut):
+        spans = []
+        for a, b in chunks:
+            head, a2, b2 = heads["\n".join(lines[a : b + 1])]
+            if (head, a2) == (u, a) or not sum(w[a : b + 1]):
+                continue
+            own, other = [i for i in range(len(lines)) if w[i]], [i for i in range(len(cut[head][0])) if cut[head][1][i]]
+            for mine, theirs in (
+                ([i for i in reversed(own) if i < a], [i for i in reversed(other) if i < a2]), ([i for i in own if i > b], [i for i in other if i > b2])
+            ):
+                words = 0
+                for i, j in zip(mine, theirs):
+                    if words >= least or lines[i] != cut[head][0][j]:
+                        break
+                    words += w[i]
+                    spans.append((i, i))
+            spans.append((a, b))
+        runs = []
+        for a, b in sorted(spans):
+            if runs and not sum(w[runs[-1][1] + 1 : a]):
+                runs[-1][1] = max(b, runs[-1][1])
+            else:
+                runs.append([a, b])
+        yield {i for a, b in runs if sum(w[a : b + 1]) >= least for i in range(a, b + 1)}
+
+
+def test_lines_of_a_passage_in_short_lines(spark):
+    fresh = (f"w{i}" for i in itertools.count())
+    pick = random.Random(3)
+    texts, passages = [], []
+    for k in range(60):
+        n, size, blank = pick.choice([(9, 6), (10, 6), (12, 6), (10, 7), (30, 3)]) + (pick.random() < 0.3,)
+        passage = [" ".join(next(fresh) for _ in range(size)) for _ in range(n)]
+        passages.append(passage)
+        for copy in range(3):
+            around = [["Thanks."] * (k % 3) + [" ".join(next(fresh) for _ in range(size)) for _ in range(3)] for _ in range(2)]
+            texts.append("\n".join([*around[0], *("\n\n" if blank and copy else "\n").join(passage).split("\n"), *around[1]]))
+    texts += ["\n".join(pick.choice(["a b c", "d e f g", "", "h i", "j k l m n o"]) for _ in range(40)) for _ in range(20)]
+    found = {r.doc_id: (r.text, r.lines_removed) for r in dedup_lines(docs(spark, [(i, t, "x") for i, t in enumerate(texts)])).collect()}
+    for i, gone in enumerate(plain_line_spans(texts)):
+        assert found[i] == ("\n".join(x for j, x in enumerate(texts[i].split("\n")) if j not in gone), len(gone))
+    whole = [not set(p) & set(found[3 * k + c][0].split("\n")) for k, p in enumerate(passages) for c in (1, 2)]
+    assert sum(whole) >= 0.9 * len(whole)
+
+
 EVENTS = "conv_id long, seq long, message_id long, part int, event string, role string, text string"
 
 
