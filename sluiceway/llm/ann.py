@@ -22,6 +22,8 @@ LIST_ROWS, ROWS_PER_CENTROID = 512, 16
 CLOSURE, REPLICAS = 1.10, 4
 #: Share of the sample's neighbours that the pruning ratio must reach.
 AIM = 0.98
+#: Least nearest distance that the ratio is applied to, as a share of the centroids' median spacing.
+FLOOR = 0.25
 #: Links of a centroid in the search graph.
 LINKS = 24
 #: So many nearest lists are scanned first; their k-th score is the floor for what further lists report.
@@ -38,6 +40,10 @@ class Index:
     links: list[np.ndarray]
     top: float  # largest squared norm of any row
     ratio: float  # lists up to this many times the nearest centroid's distance are scanned
+    floor: float = 0.0  # a nearest distance below this counts as this
+
+    def reach(self, nearest: float) -> float:
+        return max(nearest, self.floor) * self.ratio
 
 
 def lifted(x: np.ndarray, top: float) -> np.ndarray:
@@ -130,7 +136,7 @@ def walk(q: np.ndarray, index: Index, slack: float = 1.03, least: int = 8) -> li
     expanded = 0
     while queue:
         d, at = heapq.heappop(queue)
-        if expanded >= least and d > best * index.ratio * slack:
+        if expanded >= least and d > index.reach(best) * slack:
             break
         expanded += 1
         new = index.links[at][~seen[index.links[at]]]
@@ -140,7 +146,7 @@ def walk(q: np.ndarray, index: Index, slack: float = 1.03, least: int = 8) -> li
                 best = min(best, dist)
                 known.append((dist, j))
                 heapq.heappush(queue, (dist, j))
-    return [j for dist, j in sorted(known) if dist <= best * index.ratio]
+    return [j for dist, j in sorted(known) if dist <= index.reach(best)]
 
 
 def fit(sample: np.ndarray, rows: int, top: float, k: int) -> Index:
@@ -155,6 +161,9 @@ def fit(sample: np.ndarray, rows: int, top: float, k: int) -> Index:
     if len(centres) == 1:
         return Index(centres, [np.zeros(0, np.int64)], top, 2.0)
     gaps = distances(centres, centres)
+    # copies of a centroid say nothing of the spacing
+    apart = np.where(gaps > 1e-6 * np.sqrt(max(top, 0.0)), gaps, np.inf).min(1)
+    floor = FLOOR * float(np.median(apart[np.isfinite(apart)])) if np.isfinite(apart).any() else 0.0
     lists = [ls for i in range(0, len(x), 2048) for ls in closure(distances(x[i : i + 2048], centres), gaps)]
     asked = np.linspace(0, len(x) - 1, min(SAMPLE_QUERIES, len(x))).astype(int)
     q = sample[asked]
@@ -164,8 +173,11 @@ def fit(sample: np.ndarray, rows: int, top: float, k: int) -> Index:
     need = []
     for row, d in zip(scores, dq):
         for j in np.argpartition(-row, min(k, len(row) - 1))[:k]:
-            need.append(min(d[c] for c in lists[j]) / d.min())
-    return Index(centres, graph(centres), top, float(np.quantile(need, AIM)) + 1e-9)
+            far, near = min(d[c] for c in lists[j]), max(d.min(), floor)
+            if near > 0:
+                need.append(far / near)
+    ratio = max(1.0, float(np.quantile(need, AIM))) if need else 2.0
+    return Index(centres, graph(centres), top, ratio + 1e-9, floor)
 
 
 def _packed(vectors: pa.Array) -> np.ndarray:

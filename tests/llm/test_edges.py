@@ -274,6 +274,28 @@ def test_neighbours(spark):
     assert nearest_neighbours(everything.limit(0), asked).collect() == []
 
 
+def unit_rows(spark, n, width=8):
+    """Rows of short random vectors, of which every third is the same unit vector; and the id of each."""
+    few = np.random.default_rng(1).normal(size=(n, width))
+    few *= 0.9 / np.sqrt((few * few).sum(1)).max()
+    few[::3] = np.eye(width)[2]
+    return spark.createDataFrame([(i, v) for i, v in enumerate(few.tolist())], "vec_id long, embedding array<double>"), few
+
+
+def test_neighbours_of_a_vector_in_a_third_of_all_rows(spark):
+    rows, vectors = unit_rows(spark, 20_000)
+    found = collections.defaultdict(list)
+    for r in nearest_neighbours(rows, rows.where("vec_id % 500 = 0"), 20).collect():
+        found[r.query_id].append((r.rank, r.vec_id))
+    assert {q: len(got) for q, got in found.items()} == {q: 20 for q in range(0, 20_000, 500)}
+    assert [i for _, i in sorted(found[1500])] == list(range(0, 60, 3))
+    hits = 0
+    for q, got in found.items():
+        best = np.lexsort((np.arange(len(vectors)), -(vectors * vectors[q]).sum(1)))
+        hits += len({i for _, i in got} & set(best[best != q][:20].tolist()))
+    assert hits >= 0.9 * 20 * len(found)
+
+
 def test_quality_on_held_out_labels(spark):
     table, labels = (spark.read.parquet(f"{SF}/{n}.parquet") for n in ("documents", "labels"))
     found = score_quality(table, labels).join(labels.select("doc_id", "quality"), "doc_id").where("held_out").collect()
