@@ -123,30 +123,42 @@ def graph(centroids: np.ndarray) -> list[np.ndarray]:
     return [np.array(sorted(s), np.int64) for s in near]
 
 
-def walk(q: np.ndarray, index: Index, slack: float = 1.03, least: int = 8) -> list[int]:
-    """Centroids within the index's ratio of the nearest, found over the graph, best first.
+def walk(q: np.ndarray, index: Index, rows: np.ndarray, k: int, slack: float = 1.03, least: int = 8) -> list[int]:
+    """Centroids within the index's ratio of the nearest, found over the graph, and further ones until their lists
+    have ``k`` rows by ``rows`` (of each list, rows that no other list counts); best first.
 
-    The walk ends when the nearest centroid not yet expanded lies beyond the ratio with some slack.
+    The walk ends when the nearest centroid not yet expanded lies beyond the ratio with some slack and those expanded
+    have enough rows. If the graph ends before, all other centroids are taken in.
     """
     c = index.centroids
     first = float(np.sqrt(((c[0] - q) ** 2).sum()))
     seen = np.zeros(len(c), bool)
     seen[0] = True
     queue, known, best = [(first, 0)], [(first, 0)], first
-    expanded = 0
+    expanded, held = 0, 0
     while queue:
         d, at = heapq.heappop(queue)
-        if expanded >= least and d > index.reach(best) * slack:
+        if expanded >= least and held >= k and d > index.reach(best) * slack:
             break
         expanded += 1
+        held += int(rows[at])
         new = index.links[at][~seen[index.links[at]]]
+        if not queue and not len(new) and held < k:
+            new = np.flatnonzero(~seen)
         if len(new):
             seen[new] = True
             for dist, j in zip(np.sqrt(((c[new] - q) ** 2).sum(1)).tolist(), new.tolist()):
                 best = min(best, dist)
                 known.append((dist, j))
                 heapq.heappush(queue, (dist, j))
-    return [j for dist, j in sorted(known) if dist <= index.reach(best)]
+    known.sort()
+    taken, held = [], 0
+    for dist, j in known:
+        if held >= k and dist > index.reach(best):
+            break
+        taken.append(j)
+        held += int(rows[j])
+    return taken
 
 
 def fit(sample: np.ndarray, rows: int, top: float, k: int) -> Index:
@@ -197,8 +209,8 @@ def nearest_neighbours(rows: DataFrame, queries: DataFrame, k: int = 20, sample_
     Both frames have ``vec_id`` and ``embedding``. Index: centroids fitted on at most ``sample_rows`` rows (those of
     smallest id hash); every row goes to the list of its nearest centroid and, near a boundary, to further ones. Query:
     a walk over a graph of the centroids gives the lists whose centroid is within a ratio of the nearest one's distance,
-    and all rows of those lists are compared, in double precision. Equal scores go to the smaller vec_id. A row with the query's
-    own vec_id is no candidate. Fewer rows than ``k`` are all returned, if their lists are scanned.
+    further lists follow until they hold ``k`` rows, and all rows of those lists are compared, in double precision. Equal scores go to the smaller vec_id. A row with the query's
+    own vec_id is no candidate. Fewer rows than ``k`` are all returned.
 
     A list is scanned in cells of bounded rows and queries, so many equal vectors make more cells, not a longer task. The
     nearest lists go first: a cell gives ``k`` rows a query. Their k-th score is the query's floor, and cells of further
@@ -235,11 +247,12 @@ def nearest_neighbours(rows: DataFrame, queries: DataFrame, k: int = 20, sample_
                 x = _packed(part.column("v"))
                 lists = list(closure(distances(lifted(x, ix.top), ix.centroids), gaps))
                 at = np.repeat(np.arange(len(x)), [len(ls) for ls in lists])
+                nearest = np.concatenate([np.arange(len(ls)) == 0 for ls in lists])
                 ids = part.column("vec_id").to_numpy()
                 packed = [r.tobytes() for r in x]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(lists).astype(np.int32)), pa.array(ids[at]), pa.array([packed[j] for j in at], pa.binary())],
-                    ["list", "vec_id", "v"],
+                    [pa.array(np.concatenate(lists).astype(np.int32)), pa.array(nearest), pa.array(ids[at]), pa.array([packed[j] for j in at], pa.binary())],
+                    ["list", "nearest", "vec_id", "v"],
                 )
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -248,7 +261,7 @@ def nearest_neighbours(rows: DataFrame, queries: DataFrame, k: int = 20, sample_
             for i in range(0, batch.num_rows, 512):
                 part = batch.slice(i, 512)
                 q = _packed(part.column("v"))
-                lists = [walk(row, ix) for row in lifted_queries(q, ix.top)]
+                lists = [walk(row, ix, held, k) for row in lifted_queries(q, ix.top)]
                 at = np.repeat(np.arange(len(q)), [len(ls) for ls in lists])
                 ids = part.column("query_id").to_numpy()
                 packed = [r.tobytes() for r in q]
@@ -258,7 +271,11 @@ def nearest_neighbours(rows: DataFrame, queries: DataFrame, k: int = 20, sample_
                     ["list", "later", "query_id", "q"],
                 )
 
-    postings = stage(base.mapInArrow(post, "list int, vec_id long, v binary"), "ann-lists")
+    postings = stage(base.mapInArrow(post, "list int, nearest boolean, vec_id long, v binary"), "ann-lists")
+    # ids of each list, at most one count a centroid: each row in its nearest list, and one less in case it is the query's own
+    held = np.zeros(len(index.centroids), np.int64)
+    for r in postings.where("nearest").groupBy("list").agg(F.count_distinct("vec_id").alias("n")).collect():
+        held[r["list"]] = r["n"] - 1
     probes = stage(asked.mapInArrow(search, "list int, later boolean, query_id long, q binary"), "ann-probes")
 
     def parts(df: DataFrame, each: int) -> Column:

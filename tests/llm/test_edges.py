@@ -296,6 +296,30 @@ def test_neighbours_of_a_vector_in_a_third_of_all_rows(spark):
     assert hits >= 0.9 * 20 * len(found)
 
 
+def test_neighbours_beyond_a_small_tight_cluster(spark, monkeypatch):
+    from sluiceway.llm import ann
+
+    rng = np.random.default_rng(2)
+    base = np.abs(rng.normal(size=(6_000, 8)))
+    base[:, 7] = 0
+    base /= np.sqrt((base * base).sum(1))[:, None]
+    tight = np.eye(8)[7] + 1e-6 * rng.normal(size=(18, 8))
+    rows = [(i, v) for i, v in enumerate([*base.tolist(), *tight.tolist()])]
+    fitted = ann.balanced_centroids
+
+    def with_the_cluster(x, k, *more):
+        """A centroid of its own for the cluster, whatever k-means draws."""
+        own = x[:, 7] > 0.5
+        return np.vstack([fitted(x[~own], k, *more), x[own].mean(0)])
+
+    monkeypatch.setattr(ann, "balanced_centroids", with_the_cluster)
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = nearest_neighbours(table, table.where("vec_id >= 6000 or vec_id % 1000 = 0"), 20).groupBy("query_id").count().collect()
+    assert {r.query_id: r["count"] for r in found} == {q: 20 for q in [*range(0, 6_000, 1000), *range(6_000, 6_018)]}
+    few = nearest_neighbours(table.where("vec_id >= 6000 or vec_id < 1"), table.where("vec_id = 6000"), 20)
+    assert few.count() == 18
+
+
 def test_quality_on_held_out_labels(spark):
     table, labels = (spark.read.parquet(f"{SF}/{n}.parquet") for n in ("documents", "labels"))
     found = score_quality(table, labels).join(labels.select("doc_id", "quality"), "doc_id").where("held_out").collect()
