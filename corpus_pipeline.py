@@ -51,7 +51,7 @@ STAGES = [
     ("mixing sources to target weights", weigh_sources),
 ]
 
-#: The classifier is fitted, which SQL cannot express; the stages are tested against brute force instead.
+#: The classifier is fitted, which SQL cannot express; line dedup and the n-gram join are compared with plain programs instead.
 ORACLE_SQL = None
 
 

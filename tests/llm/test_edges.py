@@ -372,6 +372,18 @@ def test_loser_tree():
         assert list(warc.LoserTree(lists, lambda x: x)) == sorted(itertools.chain(*lists))
 
 
+def test_pipeline_line_stage(spark):
+    import corpus_pipeline
+
+    rows = spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id")
+    given = rows.collect()
+    found = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.drop_lines(spark, rows, SF).collect()}
+    assert len(found) == len(given)
+    for r, gone in zip(given, plain_line_spans([r.text or "" for r in given])):
+        left = "\n".join(x for i, x in enumerate((r.text or "").split("\n")) if i not in gone)
+        assert found[r.doc_id] == ((left, len(left)) if gone else (r.text, r.n_chars))
+
+
 def test_pipeline_stages(spark, tmp_path):
     import corpus_pipeline
 
