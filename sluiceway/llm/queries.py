@@ -5,14 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sluiceway.llm import chat, warc
 from sluiceway.llm.ann import nearest_neighbours
+from sluiceway.llm.bond import mine_negatives
 from sluiceway.llm.decontaminate import find_leaks
 from sluiceway.llm.licenses import DICE, TEMPLATES, bigrams_of, scan_licenses
 from sluiceway.llm.line_dedup import LONG_LINE, MEAN_LINES, MIN_WORDS, dedup_lines
 from sluiceway.llm.maxent import score_texts
 from sluiceway.llm.mixing import mix
+from sluiceway.llm.mtree import exact_top
 from sluiceway.llm.ngram_join import jaccard_components
 from sluiceway.llm.quality import score_quality
 from sluiceway.session import scratch_path
@@ -231,3 +234,46 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     warc.write_warc(read(spark, sf_dir, "pages"), archives)
     index = warc.merge_index(warc.read_runs(spark, archives))
     return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+TOP_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT DISTINCT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0)
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INT AS rank, vec_id, score
+FROM s QUALIFY rank <= 10
+"""
+
+
+@query(TOP_SQL)
+def op11_exact_top(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "embeddings")
+    return exact_top(rows, rows.where("vec_id % 100 = 0"), 10, 1024)
+
+
+NEGATIVES_SQL = """
+WITH v AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id AS id, a.label = c.label AS same, list_inner_product(a.v, c.v)::BIGINT AS score
+  FROM v a JOIN v c ON a.vec_id <> c.vec_id WHERE a.vec_id % 50 = 0),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, p.id AS positive_id, (row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id))::INT AS rank,
+  n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM p JOIN s n ON n.anchor_id = p.anchor_id AND NOT n.same AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+QUALIFY rank <= 3
+"""
+
+
+@query(NEGATIVES_SQL)
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "embeddings")
+    moved = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return mine_negatives(moved, F.col("vec_id") % 50 == 0, 5, 3, (50, 95), 256)
