@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluiceway.llm import chat, warc
+from sluiceway.llm import chat, repair, warc
 from sluiceway.llm.ann import nearest_neighbours
 from sluiceway.llm.bond import mine_negatives
 from sluiceway.llm.decontaminate import find_leaks
@@ -18,6 +18,7 @@ from sluiceway.llm.mixing import mix
 from sluiceway.llm.mtree import exact_top
 from sluiceway.llm.ngram_join import jaccard_components
 from sluiceway.llm.quality import score_quality
+from sluiceway.llm.staging import stage
 from sluiceway.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -254,6 +255,100 @@ def op11_exact_top(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top(rows, rows.where("vec_id % 100 = 0"), 10, 1024)
 
 
+REPAIR_SQL = r"""
+WITH RECURSIVE tab AS (
+  SELECT list(c ORDER BY b) AS t FROM (
+    SELECT b, list_reduce([b] || range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS c
+    FROM (SELECT unnest(range(256)) AS b))),
+raw AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k
+  FROM conversations),
+crc AS (
+  SELECT raw.*, xor(list_reduce([4294967295] || list_transform(string_split(k, ''), lambda x: ord(x)::BIGINT),
+    lambda c, b: xor(t[(xor(c, b) & 255) + 1], c // 256)), 4294967295) % 20 AS kind
+  FROM raw, tab),
+d AS (
+  SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE kind WHEN 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM crc WHERE kind <> 0),
+o AS (
+  SELECT *, row_number() OVER w AS i,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again,
+    substr(role, 1, 1) AS c, substr(lag(role) OVER w, 1, 1) AS p,
+    regexp_extract(text, '([^ 	-])[ 	-]*$', 1) AS last_char
+  FROM d
+  WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(strlen(role) || ':' || role || ':' || text), copy)),
+r AS (
+  SELECT *, last_char = '' AS blank, last_char <> '' AND again AS dup, last_char NOT IN ('', '.', '!', '?') AND NOT again AS cut FROM o),
+-- costs by row and state: nothing yet, after a system, user, assistant row
+e AS (
+  SELECT conv_id, i, role, text, blank OR dup AS bad, 3 * cut::INT AS more, c FROM r),
+n AS (SELECT conv_id, max(i) AS n FROM e GROUP BY conv_id),
+b(conv_id, i, b0, b1, b2, b3) AS (
+  SELECT conv_id, n + 1, 0, 6, 3, 0 FROM n
+  UNION ALL
+  SELECT conv_id, i, least(r0, 3 + r2, 6 + r3), least(r1, 3 + r2, 6 + r3), least(r2, 3 + r3), least(r3, 3 + r2)
+  FROM (
+    SELECT e.conv_id, e.i,
+      least(4 + b0, CASE WHEN bad THEN 999999999 ELSE more + least(CASE c WHEN 's' THEN b1 WHEN 'u' THEN b2 ELSE 999999999 END, 3 + b2) END) AS r0,
+      least(4 + b1, CASE WHEN bad THEN 999999999 ELSE more + least(CASE c WHEN 'u' THEN b2 ELSE 999999999 END, 3 + b2) END) AS r1,
+      least(4 + b2, CASE WHEN bad THEN 999999999 ELSE more + least(CASE c WHEN 'a' THEN b3 ELSE 999999999 END, 3 + b3) END) AS r2,
+      least(4 + b3, CASE WHEN bad THEN 999999999 ELSE more + least(CASE c WHEN 'u' THEN b2 ELSE 999999999 END, 3 + b2) END) AS r3
+    FROM b JOIN e ON e.conv_id IS NOT DISTINCT FROM b.conv_id AND e.i = b.i - 1)),
+l AS (SELECT conv_id, i, [b0, b1, b2, b3] AS cost FROM b),
+x AS (
+  SELECT l.conv_id, l.i, l.cost, z.cost AS after, e.role, e.text, e.bad, e.more, e.c
+  FROM l LEFT JOIN e ON e.conv_id IS NOT DISTINCT FROM l.conv_id AND e.i = l.i
+  LEFT JOIN l z ON z.conv_id IS NOT DISTINCT FROM l.conv_id AND z.i = l.i + 1),
+-- the least initial of an optimal edit, step by step; states are 1 to 4
+f(conv_id, i, s, audit, said) AS (
+  SELECT conv_id, 1::BIGINT, 1, '', ''::VARCHAR FROM n
+  UNION ALL
+  SELECT conv_id, CASE WHEN edit = 'I' THEN i ELSE i + 1 END,
+    CASE edit WHEN 'D' THEN s WHEN 'K' THEN CASE WHEN c = 's' THEN 2 ELSE nx END ELSE nx END,
+    audit || edit,
+    CASE edit WHEN 'D' THEN said ELSE said || chr(10) || CASE WHEN edit = 'K' THEN role WHEN nx = 3 THEN 'user' ELSE 'assistant' END || ':'
+      || CASE edit WHEN 'I' THEN '' ELSE text END END
+  FROM (
+    SELECT *, CASE
+      WHEN after IS NOT NULL AND 4 + after[s] = cost[s] THEN 'D'
+      WHEN 3 + cost[nx] = cost[s] THEN 'I'
+      WHEN NOT bad AND c = 's' AND s = 1 AND more + after[2] = cost[s] THEN 'K'
+      WHEN NOT bad AND c = CASE nx WHEN 3 THEN 'u' ELSE 'a' END AND more + after[nx] = cost[s] THEN 'K'
+      ELSE 'R' END AS edit
+    FROM (
+      SELECT f.*, CASE f.s WHEN 3 THEN 4 ELSE 3 END AS nx, x.cost, x.after, x.role, x.text, x.bad, x.more, x.c
+      FROM f JOIN x ON x.conv_id IS NOT DISTINCT FROM f.conv_id AND x.i = f.i)
+    WHERE after IS NOT NULL OR cost[s] > 0)),
+-- a conversation's last step is its longest audit
+done AS (SELECT conv_id, arg_max(audit, len(audit)) AS audit, arg_max(said, len(audit)) AS said FROM f GROUP BY conv_id),
+a AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count(*) FILTER (blank) AS blank,
+    count(*) FILTER (dup) AS duplicate, count(*) FILTER (cut) AS truncated,
+    count(*) FILTER (i > 1 AND coalesce(p, '') || c NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM r GROUP BY conv_id)
+SELECT q.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, coalesce(l.cost[1], 0)::BIGINT AS cost, coalesce(done.audit, '') AS audit, sha256(coalesce(substr(done.said, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) q
+LEFT JOIN a ON a.conv_id IS NOT DISTINCT FROM q.conv_id
+LEFT JOIN done ON done.conv_id IS NOT DISTINCT FROM q.conv_id
+LEFT JOIN l ON l.conv_id IS NOT DISTINCT FROM q.conv_id AND l.i = 1
+"""
+
+
+@query(REPAIR_SQL)
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read(spark, sf_dir, "conversations")
+    rows = repair.damaged(turns)
+    audits = stage(repair.audit_conversations(rows, turns), "repair-audits")
+    texts = repair.digests(repair.repaired(rows, audits)).withColumnRenamed("conv_id", "of")
+    nothing = F.sha2(F.lit("").cast("binary"), 256)
+    told = audits.join(texts, F.col("conv_id").eqNullSafe(F.col("of")), "left").drop("of")
+    return told.withColumn("repaired_sha256", F.coalesce("repaired_sha256", nothing))
+
+
 NEGATIVES_SQL = """
 WITH v AS (
   SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
