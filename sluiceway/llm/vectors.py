@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from sluiceway.llm.staging import col
 
 #: Vectors whose squared length reaches this take no part: sums of their products may not fit 64 bits.
-LARGEST = 2.0**54
+LARGEST = 2.0**57
 
 
 def squared_length(v: Column) -> Column:
