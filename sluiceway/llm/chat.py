@@ -113,8 +113,8 @@ class Conversation:
 def format_conversations(events: DataFrame) -> DataFrame:
     """``conv_id, formatted, loss`` from ``events(conv_id, seq, message_id, part, event, role, text)``.
 
-    Events are dealt by conversation, sorted by seq, message and part, and folded as they pass (see
-    :class:`Conversation`); a task holds one conversation, which is one row of the result. ``formatted`` marks turns and escapes control
+    Events are dealt by conversation, sorted by seq, message (or a column ``tie``, if there is one) and part, and folded as
+    they pass (see :class:`Conversation`); a task holds one conversation, which is one row of the result. ``formatted`` marks turns and escapes control
     strings in texts; :func:`parse` gives the messages back. ``loss`` has a span for each assistant text.
 
     Null role: an empty role. Null text: empty. Null conv_id: one conversation of its own. Null seq sorts first. Null
@@ -149,27 +149,62 @@ def format_conversations(events: DataFrame) -> DataFrame:
         if done:
             yield out()
 
-    picked = events.select(*[col(n).alias(n) for n in EVENTS.split(", ")])
-    dealt = picked.repartition("conv_id").sortWithinPartitions("conv_id", "seq", "message_id", "part")
+    tie = "tie" if any(c.lower() == "tie" for c in events.columns) else "message_id"
+    picked = events.select(*[col(n).alias(n) for n in EVENTS.split(", ")], col(tie).alias("__tie"))
+    dealt = picked.repartition("conv_id").sortWithinPartitions("conv_id", "seq", "__tie", "part", "message_id")
     return dealt.mapInArrow(fold, FORMATTED)
 
 
+#: What a turn's log holds before its text is right, by a hash of conversation and turn.
+DRAFT = "~ draft [INST] ~"
+
+
 def turn_events(turns: DataFrame) -> DataFrame:
-    """Rows ``(conv_id, turn, role, text)`` as a log: a start, and the text as two streamed deltas."""
-    text = F.coalesce(col("text"), F.lit(""))
+    """Rows ``(conv_id, turn, role, text)`` as a log of what may have led to them.
+
+    By a hash of conversation and turn a message is streamed in two deltas as it is; or begun wrongly and edited; or streamed
+    wrongly, regenerated and streamed anew; or answered by a message of its own, which goes when it is regenerated. Only
+    a fold that applies edits and regenerations gives the turns back.
+
+    Turns stand in the order of ``turn``, nulls first; those of one turn in the order of a digest of role and text, so
+    the layout does not matter; wholly equal rows are messages of their own. Null role or text: empty. Other columns
+    are left out, no rows give no events.
+    """
+    text, role = F.coalesce(col("text"), F.lit("")), F.coalesce(col("role"), F.lit(""))
     half = F.floor(F.char_length(text) / 2).cast("int")
+    first, second = F.substring(text, F.lit(1), half), F.substring(text, half + 1, F.char_length(text))
     null = F.lit(None).cast("string")
-    steps = F.array(
-        F.struct(F.lit(0).alias("part"), F.lit("start").alias("event"), col("role").alias("role"), null.alias("text")),
-        F.struct(F.lit(1).alias("part"), F.lit("delta").alias("event"), null.alias("role"), F.substring(text, F.lit(1), half).alias("text")),
-        F.struct(F.lit(2).alias("part"), F.lit("delta").alias("event"), null.alias("role"), F.substring(text, half + 1, F.char_length(text)).alias("text")),
+    of = F.concat(F.md5(F.concat(role, F.lit("\n"), text)), F.lit("-"), F.lpad(F.monotonically_increasing_id().cast("string"), 20, "0"))
+
+    def log(*steps: tuple[str, Column, Column, str]) -> Column:
+        """Events ``(event, role, text, message)`` in order; the message is the turn's own, or one that follows from it."""
+        return F.array(
+            *[
+                F.struct(F.concat(of, F.lit(m)).alias("message_id"), F.lit(i).alias("part"), F.lit(e).alias("event"), r.alias("role"), t.alias("text"))
+                for i, (e, r, t, m) in enumerate(steps)
+            ]
+        )
+
+    start, draft = ("start", role, null, ""), ("delta", null, F.lit(DRAFT), "")
+    streamed = (("delta", null, first, ""), ("delta", null, second, ""))
+    answered = (("start", F.lit("assistant"), F.lit(DRAFT), "+"), ("delta", null, F.lit(DRAFT), "+"))
+    again = ("regenerate", null, null, "")
+    kind = F.pmod(F.xxhash64(col("conv_id"), col("turn")), F.lit(4))
+    steps = (
+        F.when(kind == 1, log(start, draft, ("edit", null, text, "")))
+        .when(kind == 2, log(start, draft, again, *streamed))
+        .when(kind == 3, log(start, draft, *answered, again, *streamed))
+        .otherwise(log(start, *streamed))
     )
-    rows = turns.select(col("conv_id").cast("long").alias("conv_id"), col("turn").cast("long").alias("seq"), F.monotonically_increasing_id().alias("message_id"), F.inline(steps))
-    return rows.select(*[col(n) for n in EVENTS.split(", ")])
+    rows = turns.select(col("conv_id").cast("long").alias("conv_id"), col("turn").cast("long").alias("seq"), of.alias("of"), F.inline(steps))
+    return rows.select(*EVENTS.split(", "), F.col("of").alias("tie"))  # a message that follows from another one sorts with it
 
 
 def digests(formatted: DataFrame) -> DataFrame:
-    """What :func:`format_conversations` wrote, read back: turns, loss text and length, with their SHA-256."""
+    """What :func:`format_conversations` wrote, read back: turns, loss text and length, with their SHA-256.
+
+    A conversation without messages has no turns and the digests of an empty text. No rows: no rows. Other columns are left out.
+    """
     import hashlib
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -181,8 +181,8 @@ WITH c AS (
   UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
   UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
 l AS (
-  SELECT conv_id, string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn) AS loss,
-    string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn) AS turns, count(*) AS n,
+  SELECT conv_id, string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn NULLS FIRST, md5(role || chr(10) || text)) AS loss,
+    string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, md5(role || chr(10) || text)) AS turns, count(*) AS n,
     sum(length({_escaped("text")}) + CASE role WHEN 'assistant' THEN 5 WHEN 'user' THEN 15 ELSE 14 + length({_escaped("role")}) END) + 3 AS f
   FROM c GROUP BY conv_id)
 SELECT conv_id, n::BIGINT AS n_turns, sha256(turns) AS turns_sha256, length(loss)::BIGINT AS loss_chars, sha256(loss) AS loss_sha256,
@@ -277,7 +277,9 @@ o AS (
   SELECT *, row_number() OVER w AS i,
     row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again,
     substr(role, 1, 1) AS c, substr(lag(role) OVER w, 1, 1) AS p,
-    regexp_extract(text, '([^ 	-])[ 	-]*$', 1) AS last_char
+    regexp_extract(text, '([^ 	-
+])[ 	-
+]*$', 1) AS last_char
   FROM d
   WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(strlen(role) || ':' || role || ':' || text), copy)),
 r AS (

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import itertools
 import re
+import zlib
 from collections.abc import Callable, Iterator, Sequence
 from urllib.parse import urlsplit
 
@@ -41,8 +43,10 @@ def write_warc(pages: DataFrame, path: str, least_revisit: int = 0, captured: Co
     Null html: empty payload. Null url: no target. Line breaks in a url are percent-encoded. Without ``captured``
     a record's date is the first of 2024 plus page_id seconds. Other columns are left out.
 
-    The choice is an aggregate over digests, which combines before the shuffle, and is joined back; no group of equal
-    payloads meets in one place. Spark's text writer puts the blank lines that end a record between records.
+    The rows are numbered and written once; the choice and the records read that one frame, so they agree on the numbers
+    whatever the input's layout, also when a lost executor's part is computed again. The choice is an aggregate over digests,
+    which combines before the shuffle, and is joined back; no group of equal payloads meets in one place. Spark's text
+    writer puts the blank lines that end a record between records.
     """
     body = F.coalesce(col("html"), F.lit(""))
     when = captured if captured is not None else F.timestamp_seconds(F.lit(1704067200) + F.coalesce(col("page_id"), F.lit(0)) % (1 << 31))
@@ -55,6 +59,7 @@ def write_warc(pages: DataFrame, path: str, least_revisit: int = 0, captured: Co
         F.date_format(when, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("date"),
         F.monotonically_increasing_id().alias("uid"),
     )
+    rows = stage(rows, "warc-pages")
     heads = rows.where(F.col("bytes") >= least_revisit).groupBy("digest").agg(F.max(F.struct("page_id", "uid")).alias("head"), F.count("*").alias("n"))
     heads = stage(heads.where("n > 1").select(F.col("digest").alias("of"), "head"), "warc-heads")
     joined = rows.join(heads, (F.col("digest") == F.col("of")) & (F.col("bytes") >= least_revisit), "left")
@@ -105,9 +110,9 @@ def url_key(url: str | None) -> str:
     return ",".join(reversed(host.split("."))) + ")" + (parts.path or "/") + (f"?{parts.query}" if parts.query else "")
 
 
-def parse_records(chunks: Iterator[bytes]) -> Iterator[tuple[dict[bytes, bytes], bytes]]:
-    """(header fields in lower case, block) of a stream of bytes; only the current record is held."""
-    held = bytearray()
+def parse_records(chunks: Iterator[bytes]) -> Iterator[tuple[dict[bytes, bytes], bytes, int, int]]:
+    """(header fields in lower case, block, offset, length) of a stream of bytes; only the current record is held."""
+    held, passed = bytearray(), 0
     chunks = iter(chunks)
 
     def fill(upto: Callable[[], bool]) -> bool:
@@ -127,14 +132,43 @@ def parse_records(chunks: Iterator[bytes]) -> Iterator[tuple[dict[bytes, bytes],
         end = at + 4 + int(fields[b"content-length"])
         if not fill(lambda: len(held) >= end + 4):
             raise ValueError("a WARC record is cut short")
-        yield fields, bytes(held[at + 4 : end])
+        yield fields, bytes(held[at + 4 : end]), passed, end + 4
         del held[: end + 4]
+        passed += end + 4
 
 
-CAPTURE = "url_key string, captured string, page_id long, uid long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
+CAPTURE = (
+    "url_key string, captured string, page_id long, uid long, url string, payload_bytes long, payload_digest string, record_type string, "
+    "refers_to long, archive string, offset long, length long"
+)
 _ORDER = ("url_key", "captured", "page_id", "uid")
 
 
+def fetch(spark: SparkSession, captures: DataFrame) -> DataFrame:
+    """``page_id, uid, payload`` of captures (rows of an index): each archive is read to the offsets asked of it, and no further.
+
+    Revisits carry no payload; ask for the capture they refer to. The captures of an archive are a bounded number.
+    """
+    asked = captures.groupBy("archive").agg(F.collect_list(F.struct("offset", "length", "page_id", "uid")).alias("asked"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for data, wanted in zip(batch.column("content"), batch.column("asked").to_pylist()):
+                text, got = zlib.decompressobj(wbits=31), []
+                end = max(w["offset"] + w["length"] for w in wanted)
+                plain = text.decompress(data.as_buffer(), end)
+                for w in wanted:
+                    fields, block, _, _ = next(parse_records(iter([plain[w["offset"] : w["offset"] + w["length"]]])))
+                    got.append((w["page_id"], w["uid"], block.partition(b"\r\n\r\n")[2]))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*got), (pa.int64(), pa.int64(), pa.binary()))], ["page_id", "uid", "payload"])
+
+    paths = [r["archive"] for r in asked.select("archive").toLocalIterator()]
+    if not paths:
+        return spark.createDataFrame([], "page_id long, uid long, payload binary")
+    files = spark.read.format("binaryFile").load(paths).select(F.col("_metadata.file_path").alias("archive"), "content")
+    return files.join(asked, "archive").mapInArrow(cut, "page_id long, uid long, payload binary")
+
+
 def _arrow(rows: Sequence[tuple], extra: Sequence[tuple[str, pa.DataType]] = ()) -> pa.RecordBatch:
     kinds = {"string": pa.string(), "long": pa.int64()}
     fields = [(n, kinds[t]) for n, t in (f.split() for f in CAPTURE.split(", "))] + list(extra)
@@ -166,27 +200,31 @@ def read_runs(spark: SparkSession, path: str, run_captures: int = RUN_CAPTURES)
     """The captures of the archives below ``path`` as sorted runs: ``run, seq`` and the capture's columns.
 
     A gzip file is read by one task from front to back. Its text parts are joined again to the bytes that were
-    written, and records are cut by their lengths, so blank lines inside a payload do no harm.
+    written, and records are cut by their lengths, so blank lines inside a payload do no harm. ``archive``, ``offset`` and
+    ``length`` say where a record stands in the unpacked file; :func:`fetch` reads it from there.
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, number, run = TaskContext.get().partitionId(), 0, []
-        chunks = (v.as_buffer().to_pybytes() + b"\r\n\r\n" for b in batches for v in b.column(0).cast(pa.binary()))
+        pieces = ((name, v) for b in batches for name, v in zip(b.column("archive").to_pylist(), b.column("value").cast(pa.binary())))
+        archives = itertools.groupby(pieces, key=lambda piece: piece[0])  # a task may read several files, one after the other
 
         def out() -> pa.RecordBatch:
             run.sort(key=_sort_key)
             name = f"{task}-{number}"
             return _arrow([(*row, name, i) for i, row in enumerate(run)], (("run", pa.string()), ("seq", pa.int32())))
 
-        for fields, block in parse_records(chunks):
-            run.append(capture_of(fields, block))
-            if len(run) >= run_captures:
-                yield out()
-                number, run = number + 1, []
+        for name, parts in archives:
+            for fields, block, offset, length in parse_records(v.as_buffer().to_pybytes() + b"\r\n\r\n" for _, v in parts):
+                run.append((*capture_of(fields, block), name, offset, length))
+                if len(run) >= run_captures:
+                    yield out()
+                    number, run = number + 1, []
         if run:
             yield out()
 
-    return spark.read.option("lineSep", _BREAK).text(path).mapInArrow(read, CAPTURE + ", run string, seq int")
+    lines = spark.read.option("lineSep", _BREAK).text(path).select("value", F.col("_metadata.file_path").alias("archive"))
+    return lines.mapInArrow(read, CAPTURE + ", run string, seq int")
 
 
 class LoserTree:

@@ -251,6 +251,34 @@ def test_events_fold(spark):
     assert chat.format_conversations(spark.createDataFrame([], EVENTS)).collect() == []
 
 
+@pytest.mark.parametrize("parts", [1, 2, 4])
+def test_tied_turns_do_not_depend_on_the_layout(spark, parts):
+    rows = [(1, 0, "user", "b"), (1, 0, "user", "a"), (1, 0, "assistant", "c"), (1, 0, "user", "a"), (1, None, "system", "s"), (2, 1, None, None)]
+    turns = spark.createDataFrame([(*r, "x", 7) for r in rows], "conv_id long, turn long, role string, text string, tie string, seq int")
+    found = {r.conv_id: r for r in chat.digests(chat.format_conversations(chat.turn_events(turns.repartition(parts)))).collect()}
+    order = sorted(rows[:4], key=lambda r: hashlib.md5(f"{r[2]}\n{r[3]}".encode()).hexdigest())
+    told = "".join(f"{r}\n{t}\n" for _, _, r, t in [rows[4], *order])
+    assert (found[1].n_turns, found[1].turns_sha256) == (5, hashlib.sha256(told.encode()).hexdigest())
+    assert (found[2].n_turns, found[2].turns_sha256) == (1, hashlib.sha256(b"\n\n").hexdigest())
+
+
+def test_a_log_with_drafts_gives_the_turns_back(spark):
+    turns = spark.createDataFrame([(c, t, ("user", "assistant")[t % 2], f"said {c} {t} " * (t + 1)) for c in range(40) for t in range(6)], "conv_id long, turn long, role string, text string")
+    events = chat.turn_events(turns)
+    kinds = {r.event: r["count"] for r in events.groupBy("event").count().collect()}
+    assert kinds["edit"] > 30 and kinds["regenerate"] > 60 and events.where(F.col("text") == chat.DRAFT).count() > 150
+    for r in chat.format_conversations(events.repartition(3)).collect():
+        assert chat.parse(r.formatted) == [(("user", "assistant")[t % 2], f"said {r.conv_id} {t} " * (t + 1)) for t in range(6)]
+    assert chat.digests(chat.format_conversations(chat.turn_events(turns.limit(0)))).collect() == []
+
+
+def test_long_and_repeated_events(spark):
+    rows = [(1, 1, "m", 0, "start", "user", "é " * 200_000, "x")] + [(1, 2, "m", 0, "delta", None, "!", "x")] * 2 + [(1, 3, "n", 0, "start", "assistant", None, "y")] * 2
+    events = spark.createDataFrame(rows, "conv_id long, seq long, message_id string, part int, event string, role string, text string, formatted string")
+    [found] = chat.format_conversations(events).collect()
+    assert chat.parse(found.formatted) == [("user", "é " * 200_000 + "!!"), ("assistant", ""), ("assistant", "")]
+
+
 def test_neighbours(spark):
     rows = spark.read.parquet(f"{SF}/embeddings.parquet").select("vec_id", "embedding")
     vectors = {r.vec_id: np.array(r.embedding, np.float64) for r in rows.collect()}
@@ -365,6 +393,21 @@ def test_archives(spark):
     assert warc.merge_index(warc.read_runs(spark, empty)).collect() == []
 
 
+def test_archives_of_pages_out_of_a_shuffle(spark):
+    pages = spark.range(8_000).select(F.col("id").alias("page_id"), F.lit("http://a.org/").alias("url"), F.concat(F.lit("page "), (F.col("id") / 2).cast("int")).alias("html"))
+    path = scratch_path(spark, "archive")
+    same = spark.createDataFrame([(9_000, "http://b.org/", "same", "x")] * 300, "page_id long, url string, html string, digest string")
+    warc.write_warc(pages.withColumn("digest", F.lit("x")).union(same).repartition("page_id"), path)
+    found = warc.merge_index(warc.read_runs(spark, path))
+    kinds = {tuple(r) for r in found.groupBy(F.col("page_id") < 9_000, "record_type").count().collect()}
+    assert kinds == {(True, "response", 4_000), (True, "revisit", 4_000), (False, "response", 1), (False, "revisit", 299)}
+    assert found.where("record_type = 'revisit' and page_id < 9000 and refers_to <> page_id + 1").count() == 0
+    # any capture can be read from its archive
+    some = found.where("record_type = 'response' and page_id % 997 = 1")
+    assert {(r.page_id, bytes(r.payload).decode()) for r in warc.fetch(spark, some).collect()} == {(i, f"page {i // 2}") for i in range(8_000) if i % 997 == 1 and i % 2}
+    assert warc.fetch(spark, some.where("false")).collect() == []
+
+
 def test_loser_tree():
     rng = random.Random(5)
     for k in range(9):
