@@ -1,4 +1,8 @@
-"""Additive schema evolution: new top-level columns are appended, nothing else changes."""
+"""Additive schema evolution: new columns and new nested fields are appended, nothing else changes.
+
+Parquet keeps a schema in every file. A table whose schema has grown reads older files by name, at
+every depth: a field that a file lacks is null. So evolution touches the catalog alone, no data.
+"""
 
 from __future__ import annotations
 
@@ -15,14 +19,36 @@ def missing_fields(existing: T.StructType, incoming: T.StructType) -> list[T.Str
     return [f for f in incoming.fields if f.name.lower() not in have]
 
 
+def merged_type(have: T.DataType, incoming: T.DataType) -> T.DataType:
+    """The type of a column after evolution: fields that only ``incoming`` has follow those of ``have``, at every depth.
+
+    Types that differ otherwise stay as they are.
+    """
+    if isinstance(have, T.StructType) and isinstance(incoming, T.StructType):
+        return merged_struct(have, incoming)
+    if isinstance(have, T.ArrayType) and isinstance(incoming, T.ArrayType):
+        return T.ArrayType(merged_type(have.elementType, incoming.elementType), True)
+    return have
+
+
+def merged_struct(have: T.StructType, incoming: T.StructType) -> T.StructType:
+    """Fields of both, those of ``have`` first. Names compare without case."""
+    given = {f.name.lower(): f.dataType for f in incoming.fields}
+    kept = [T.StructField(f.name, merged_type(f.dataType, given.get(f.name.lower(), f.dataType)), True, f.metadata) for f in have.fields]
+    return T.StructType([*kept, *missing_fields(have, incoming)])
+
+
 def evolve_frame(df: DataFrame, incoming: T.StructType) -> DataFrame:
-    """Append the missing columns as nulls."""
-    added = [F.lit(None).cast(f.dataType).alias(f.name) for f in missing_fields(df.schema, incoming)]
-    return df.select(*[F.col(quoted(c)) for c in df.columns], *added)
+    """Append the missing columns, and missing fields of nested records, as nulls."""
+    wide = merged_struct(df.schema, incoming)
+    have = {f.name: f.dataType for f in df.schema.fields}
+    return df.select(
+        *[(conform(F.col(quoted(f.name)), have[f.name], f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name) for f in wide.fields]
+    )
 
 
 def evolve(target: DataFrame | str, incoming: T.StructType, spark: SparkSession | None = None) -> DataFrame:
-    """Append the missing columns to a frame, or to a table by name; returns it in its new shape."""
+    """Append the missing columns and nested fields to a frame, or to a table by name; returns it in its new shape."""
     if isinstance(target, DataFrame):
         return evolve_frame(target, incoming)
     spark = spark or SparkSession.active()
@@ -69,9 +95,25 @@ def column_ddl(field: T.StructField) -> str:
 
 
 def evolve_table(spark: SparkSession, table: str, incoming: T.StructType) -> list[str]:
-    """Add the missing columns to a table; rows written before read as null. Returns their names."""
-    added = missing_fields(spark.table(table).schema, incoming)
-    if added:
+    """Add the missing columns and nested fields to a table; rows written before read as null. Returns the changed columns."""
+    have = spark.table(table).schema
+    added = missing_fields(have, incoming)
+    wide = merged_struct(have, incoming)
+    deeper = [f.name for f, old in zip(wide.fields, have.fields) if f.dataType.simpleString() != old.dataType.simpleString()]
+    if deeper:
+        _set_columns(spark, table, wide)
+    elif added:
         columns = ", ".join(column_ddl(f) for f in added)
         spark.sql(f"ALTER TABLE {quoted_table(table)} ADD COLUMNS ({columns})")
-    return [f.name for f in added]
+    return [*deeper, *[f.name for f in added]]
+
+
+def _set_columns(spark: SparkSession, table: str, wide: T.StructType) -> None:
+    """Give a Parquet table wider columns. Spark's SQL can append columns but not fields of a struct; this is the catalog
+    call behind ``ADD COLUMNS``. Partition columns stay as they are."""
+    parts = {c.name for c in spark.catalog.listColumns(table) if c.isPartition}
+    data = T.StructType([f for f in wide.fields if f.name not in parts])
+    session = spark._jsparkSession
+    state = session.sessionState()
+    state.catalog().alterTableDataSchema(state.sqlParser().parseTableIdentifier(quoted_table(table)), session.parseDataType(data.json()))
+    spark.catalog.refreshTable(table)

@@ -11,7 +11,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, fields, replace
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,25 +19,42 @@ from ..functions.names import NameRules, key_names, rename_struct, table_name_of
 from ..functions.numbers import json_value
 from ..functions.selection import is_selected
 from ..functions.types import METADATA_COLUMNS, StreamSpec, resolve_schema, to_struct
-from ..operators.envelope import HIDDEN, PAYLOAD, REJECT, SEQ, Watch, project_denormalized, project_fixed
-from ..operators.mapping import ALIAS, KEYS, apply_stream_map, flatten
+from ..operators.envelope import (
+    BATCH,
+    GOOD,
+    HIDDEN,
+    OUTCOME,
+    PAYLOAD,
+    REJECT,
+    REJECTED,
+    SEQ,
+    STATE,
+    STRAY,
+    batch_records,
+    project_denormalized,
+    project_fixed,
+    stray_reason,
+)
+from ..operators.mapping import ALIAS, FILTER, KEYS, apply_stream_map, flatten
 from ..operators.merge import dedupe_latest
 from ..operators.views import view_columns, view_statement
-from ..session import quoted, quoted_table, remove_folder, scratch_root, sql_text, prepare_session
+from ..session import files_of, prepare_session, quoted, quoted_table, remove_folder, scratch_root, sql_text
+from ..sources.files import batch_files, lake_folder
 from ..sources.messages import (
     HEAD,
     LogFacts,
     as_messages,
-    batch_lines,
     log_facts,
+    log_identity,
     parsed_once,
     read_lines,
     with_order,
 )
-from .lake import drop_batch, lake_load, stage_to_lake
+from .lake import batch_exists, drop_batch, lake_load, stage_to_lake
 from .tables import (
     STAGING_HOURS,
     STAGING_TEMPLATE,
+    KeyMatch,
     LandingTable,
     cluster_layout,
     expire_partitions,
@@ -46,7 +63,8 @@ from .tables import (
     staging_name,
 )
 
-_ASIDE = "__aside"
+_ASIDE, _OWN = "__aside", "__own"
+_STRAYS = "__stray"  # where a log that is split by stream keeps the lines of none
 _QUARANTINE = threading.Lock()
 
 # Setting and method names of other loaders' configurations, and what they are here.
@@ -58,7 +76,7 @@ METHODS = {
     "streaming_insert": "batch_job",
 }
 RENAMED_SETTINGS = {"dataset": "database", "bucket": "lake_root"}
-IGNORED_SETTINGS = {"batch_size", "timeout", "options"}  # a user may count on these: they are told
+IGNORED_SETTINGS = {"timeout", "options"}  # a user may count on these: they are told
 UNUSED_SETTINGS = {"project", "location", "credentials_path", "credentials_json", *IGNORED_SETTINGS}
 
 
@@ -102,6 +120,9 @@ class LoadConfig:
     temporary_table_expiration_hours: int = STAGING_HOURS
     temporary_table_name_template: str = STAGING_TEMPLATE
     concurrent_streams: int = 4  # tables loaded at a time, so that small ones do not idle a cluster
+    batch_size: int | None = None  # most rows of a written file
+    batch_bytes: int | None = None  # most bytes of log that a micro-batch takes in
+    load_again: bool = False  # load a log although its tables have it
 
     @classmethod
     def of(cls, settings: LoadConfig | Mapping[str, Any]) -> LoadConfig:
@@ -184,18 +205,24 @@ def stream_rows(
     config: LoadConfig,
     as_of: dt.datetime,
     prefilter: bool = True,
-    watch: Watch | None = None,
+    known: Sequence[str] | None = None,
+    files: Mapping[str, list[str]] | None = None,
 ) -> tuple[DataFrame, T.StructType]:
-    """Table rows of a stream with hidden columns beside them, and the table's schema."""
+    """Table rows of a stream with hidden columns beside them, and the table's schema.
+
+    With the ``known`` streams of the log its other lines stay, under their outcome. ``files`` are batch files by format.
+    """
     resolver, settings = config.schema_resolver_version, config.stream_maps.get(spec.name) or {}
+    typed_files = bool(settings) or config.flattening_enabled or config.denormalized
+    more = batch_records(msgs.sparkSession, files, spec, resolver if typed_files else None) if files else None
     if settings or config.flattening_enabled:
-        typed = project_denormalized(msgs, spec, None, resolver, as_of, True, prefilter, watch)
+        typed = project_denormalized(msgs, spec, None, resolver, as_of, True, prefilter, known, more)
         rows = _reshaped(typed, settings, config)
         return rows, T.StructType([f for f in rows.schema.fields if f.name not in HIDDEN])
     schema = resolve_schema(spec, config.shape, resolver, config.rules)
     if config.denormalized:
-        return project_denormalized(msgs, spec, config.rules, resolver, as_of, True, prefilter, watch), schema
-    return project_fixed(msgs, spec, as_of, True, prefilter, watch), schema
+        return project_denormalized(msgs, spec, config.rules, resolver, as_of, True, prefilter, known, more), schema
+    return project_fixed(msgs, spec, as_of, True, prefilter, known, more), schema
 
 
 def _reshaped(typed: DataFrame, settings: Mapping[str, Any], config: LoadConfig) -> DataFrame:
@@ -207,6 +234,8 @@ def _reshaped(typed: DataFrame, settings: Mapping[str, Any], config: LoadConfig)
     aside = [c for c in typed.columns if c in HIDDEN or c in METADATA_COLUMNS]
     df = typed.withColumn(_ASIDE, F.array(F.struct(*aside))).drop(*aside)
     if settings:
+        if settings.get(FILTER):  # the user's filter is about rows that can be loaded
+            settings = {**settings, FILTER: f"({settings[FILTER]}) OR {_ASIDE}[0].{OUTCOME} <> '{GOOD}'"}
         df = apply_stream_map(df, {**settings, _ASIDE: _ASIDE}, config.stream_map_config)
     if config.flattening_enabled:
         df = flatten(df, config.flattening_max_depth)
@@ -230,16 +259,6 @@ def _staging_path(spark: SparkSession, config: LoadConfig, table: str) -> str:
     return f"{config.staging_folder(spark)}/{staging_name(table, _wall_clock(), config.temporary_table_name_template)}"
 
 
-def _stage(spark: SparkSession, df: DataFrame, config: LoadConfig, table: str) -> tuple[DataFrame, str]:
-    """Write rows once, so that what follows reads files instead of parsing again.
-
-    Spark also learns their size, which decides whether a merge broadcasts them.
-    """
-    path = _staging_path(spark, config, table)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path), path
-
-
 def _quarantine(spark: SparkSession, rows: DataFrame, stream: str, config: LoadConfig, load: str) -> None:
     """Keep rejected ``(raw, reason)`` rows by stream and load. A retry replaces its own rows."""
     name = quoted_table(f"{config.database}.quarantine")
@@ -254,47 +273,6 @@ def _quarantine(spark: SparkSession, rows: DataFrame, stream: str, config: LoadC
         out.write.insertInto(f"{config.database}.quarantine")
 
 
-class LogWatch:
-    """What the pass that writes the first stream learns about all the other lines."""
-
-    def __init__(self, known: list[str], expect_batches: bool) -> None:
-        self.seen = Observation()
-        self.known = known
-        self.expect_batches = expect_batches
-
-    def __call__(self, parsed: DataFrame) -> DataFrame:
-        facts = [
-            F.count(F.when(stray_reason(self.known).isNotNull(), 1)).alias("stray"),
-            F.count(F.when(F.col("type") == "BATCH", 1)).alias("batches"),
-        ]
-        if {"value", SEQ} <= set(parsed.columns):
-            is_state = F.col("type") == "STATE"
-            facts.append(F.max_by(F.when(is_state, F.col("value")), F.when(is_state, F.col(SEQ))).alias("state"))
-        return parsed.observe(self.seen, *facts)
-
-    @property
-    def stray(self) -> int:
-        return self.seen.get["stray"]
-
-    @property
-    def state(self) -> str | None:
-        return self.seen.get["state"]
-
-    def judge(self, fail_fast: bool) -> None:
-        if self.seen.get["batches"] and not self.expect_batches:
-            raise LoadError("the log names batch files; load it without giving its streams")
-        if self.stray and fail_fast:
-            raise LoadError(f"{self.stray} lines are no message, or records of a stream without a schema")
-
-
-def stray_reason(known: list[str]) -> Column:
-    """Why a parsed line belongs to no stream; null if it does."""
-    declared = F.coalesce(F.col("stream").isin(*known), F.lit(False)) if known else F.lit(False)
-    return F.when(F.col("type").isNull(), F.lit("not a message")).when(
-        (F.col("type") == "RECORD") & ~declared, F.lit("a record without a schema")
-    )
-
-
 def stray_lines(lines: DataFrame, known: list[str]) -> DataFrame:
     """Lines that are no message, or records of a stream without a schema: ``(raw, reason)``."""
     heads = lines.filter(F.trim("payload") != "").select("payload", parsed_once(F.col("payload"), HEAD))
@@ -305,7 +283,11 @@ def stray_lines(lines: DataFrame, known: list[str]) -> DataFrame:
 
 @dataclass
 class _StreamLoad:
-    """One stream on its way into its table. The log is parsed once."""
+    """One stream on its way into its table.
+
+    The log is parsed once: one job writes good rows, rejected ones, lines of no stream and bookmarks to folders of
+    their own. What is counted is what was written, so a task that ran twice counts once.
+    """
 
     spark: SparkSession
     spec: StreamSpec
@@ -313,8 +295,10 @@ class _StreamLoad:
     as_of: dt.datetime
     rows: DataFrame
     schema: T.StructType
-    log: LogWatch | None = None
     facts: Mapping[str, str] = field(default_factory=dict)
+    follows_batches: bool = True  # files that BATCH lines name are among the rows
+    state: str | None = None  # the last bookmark among the lines
+    strays: int = 0
 
     def __post_init__(self) -> None:
         self.mapped = mapped_spec(self.spec, self.config)
@@ -324,108 +308,116 @@ class _StreamLoad:
         self.keys = key_names(self.mapped.key_properties, self.config.rules)
         self.key = "-".join([self.table_id, str(int(self.as_of.timestamp() * 1000)), *filter(None, [self.facts.get("batch")])])
         self.staged: list[str] = []
-        self.counts = Observation()
-        counted = self.rows.observe(
-            self.counts,
-            F.count(F.lit(1)).alias("rows"),
-            F.count(F.when(F.col(REJECT).isNotNull(), 1)).alias("rejected"),
-        )
-        self.good = counted.filter(F.col(REJECT).isNull()).drop(PAYLOAD, REJECT)
-
-    def judge(self) -> tuple[int, int]:
-        """After the rows were written, and before they show: decide on the rejected ones."""
-        if self.log:
-            self.log.judge(self.config.fail_fast)
-        found = self.counts.get
-        if found["rejected"]:
-            if self.config.fail_fast:
-                raise LoadError(f"{self.spec.name}: {found['rejected']} of {found['rows']} records were rejected")
-            bad = self.rows.filter(F.col(REJECT).isNotNull())
-            named = bad.select(F.col(PAYLOAD).alias("raw"), F.col(REJECT).alias("reason"))
-            _quarantine(self.spark, named, self.spec.name, self.config, self.key)
-        return found["rows"] - found["rejected"], found["rejected"]
-
-    def stage(self, df: DataFrame) -> DataFrame:
-        rows, path = _stage(self.spark, df, self.config, self.table_id)
-        self.staged.append(path)
-        return rows
+        self.lake_folder: str | None = None
+
+    @property
+    def dedupes(self) -> bool:
+        return self.mode == "upsert" and is_selected(self.config.dedupe_before_upsert, self.spec.name)
 
-    def merge_source(self, table: LandingTable) -> tuple[DataFrame, tuple[int, int]]:
-        """Staged rows that are unique on the keys, as far as the target can tell, and their counts."""
-        if is_selected(self.config.dedupe_before_upsert, self.spec.name):
+    def route(self) -> tuple[DataFrame, tuple[int, int]]:
+        """Good rows, staged and judged, and the counts of good and rejected ones."""
+        rows = self.rows
+        if self.dedupes:  # a line that is not loaded is alone under its key
             latest = ("_sdc_extracted_at", "_sdc_received_at", "_sdc_sequence", SEQ)
-            present = [c for c in latest if c in self.good.columns]
-            return self.stage(dedupe_latest(self.good, self.keys, present).drop(SEQ)), self.judge()
-        source = self.stage(self.good.drop(SEQ))
-        judged = self.judge()
-        clash = table.conflicts(self.spark, source, self.keys).select(*[quoted(k) for k in self.keys])
+            alone = rows.withColumn(_OWN, F.when(F.col(OUTCOME) != GOOD, F.col(SEQ)))
+            rows = dedupe_latest(alone, [*self.keys, _OWN], [c for c in latest if c in rows.columns]).drop(_OWN)
+        beside = [F.when(F.col(OUTCOME) != GOOD, F.col(c)).alias(c) for c in (SEQ, PAYLOAD)]
+        out = rows.select(*[F.col(quoted(c)) for c in rows.columns if c not in (SEQ, PAYLOAD, OUTCOME)], *beside, OUTCOME)
+        path = _staging_path(self.spark, self.config, self.table_id)
+        self.staged.append(path)
+        out.write.partitionBy(OUTCOME).parquet(path)
+        written = self.spark.read.schema(out.schema).parquet(path)
+        counts = {r[OUTCOME]: r["count"] for r in written.groupBy(OUTCOME).count().collect()}  # from file footers
+        self.judge(written, counts)
+        good = written.filter(F.col(OUTCOME) == GOOD).drop(*HIDDEN)
+        return good, (counts.get(GOOD, 0), counts.get(REJECTED, 0))
+
+    def judge(self, written: DataFrame, counts: Mapping[str, int]) -> None:
+        """Before anything shows: decide on the lines that cannot be loaded."""
+        fail_fast = self.config.fail_fast
+        if counts.get(BATCH) and not self.follows_batches:
+            raise LoadError("the log names batch files; load it without giving its streams")
+        self.strays = counts.get(STRAY, 0)
+        if self.strays and fail_fast:
+            raise LoadError(f"{self.strays} lines are no message, or records of a stream without a schema")
+        rejected = counts.get(REJECTED, 0)
+        if rejected and fail_fast:
+            raise LoadError(f"{self.spec.name}: {rejected} of {counts.get(GOOD, 0) + rejected} records were rejected")
+        set_aside = {REJECTED: (self.spec.name, self.key), STRAY: ("unassigned", f"log-{int(self.as_of.timestamp() * 1000)}")}
+        for outcome, (stream, load) in set_aside.items():
+            if counts.get(outcome):
+                bad = written.filter(F.col(OUTCOME) == outcome)
+                _quarantine(self.spark, bad.select(F.col(PAYLOAD).alias("raw"), F.col(REJECT).alias("reason")), stream, self.config, load)
+        if counts.get(STATE):
+            bookmarks = written.filter(F.col(OUTCOME) == STATE)
+            self.state = bookmarks.agg(F.max_by(REJECT, SEQ).alias("state")).first()["state"]
+
+    def without_conflicts(self, match: KeyMatch, source: DataFrame) -> DataFrame:
+        """The source, once the rows are set aside that would update one row together."""
+        clash = match.conflicts().select(*[quoted(k) for k in match.keys])
         if clash.isEmpty():
-            return source, judged
+            return source
         if self.config.fail_fast:
             raise LoadError(f"{self.spec.name}: several records update one row; set dedupe_before_upsert")
-        doubled = source.join(clash, self.keys, "left_semi")
+        doubled = source.join(clash, list(match.keys), "left_semi")
         as_text = F.to_json(F.struct(*[quoted(c) for c in source.columns])).alias("raw")
         reason = F.lit("several records update one row").alias("reason")
         _quarantine(self.spark, doubled.select(as_text, reason), self.spec.name, self.config, f"{self.key}-conflicts")
-        kept = source.join(clash, self.keys, "left_anti")
-        return self.stage(kept.select(*[quoted(c) for c in source.columns])), judged
+        kept = source.join(clash, list(match.keys), "left_anti").select(*[quoted(c) for c in source.columns])
+        path = _staging_path(self.spark, self.config, self.table_id)
+        self.staged.append(path)
+        kept.write.parquet(path)
+        return self.spark.read.schema(kept.schema).parquet(path)
 
     def run(self) -> LoadResult:
         self.write()
         return self.show()
 
-    def staged_in_lake(self, rows: DataFrame) -> tuple[DataFrame, tuple[int, int]]:
-        """Rows read back from the lake, once they are judged. A batch that is refused leaves the lake again."""
+    def through_lake(self, rows: DataFrame) -> DataFrame:
+        """Good rows staged as a batch of the lake, read back from there."""
         spark, config = self.spark, self.config
         root = config.lake_root or f"{scratch_root(spark)}/sluiceway-lake"
-        folder = stage_to_lake(rows, root, self.mapped.name, self.key, self.as_of, config.database)
-        try:
-            judged = self.judge()
-        except LoadError:
-            drop_batch(spark, folder, self.key)
-            raise
-        return lake_load(spark, root, self.mapped.name, self.schema, [self.key], dataset=config.database), judged
+        folder = lake_folder(root, self.mapped.name, config.database)
+        if batch_exists(spark, folder, self.key):
+            raise FileExistsError(f"batch {self.key} is already staged under {folder}")
+        self.lake_folder = folder
+        stage_to_lake(rows, root, self.mapped.name, self.key, self.as_of, config.database, config.batch_size)
+        return lake_load(spark, root, self.mapped.name, self.schema, [self.key], dataset=config.database)
 
     def write(self) -> None:
-        """Write the rows unseen and judge the rejected ones. Nothing shows before ``show``."""
+        """Stage the rows, judge them, and prepare what ``show`` does. No table is touched but for new columns."""
         spark, config = self.spark, self.config
         comment = table_comment(self.spec, config)
-        schema = self.schema
-        grain = config.partition_granularity
-        table = LandingTable.create(spark, self.name, schema, grain, comment).begin(spark)
+        table = LandingTable.create(spark, self.name, self.schema, config.partition_granularity, comment).begin(spark)
+        if "log" in self.facts and table.facts.get("log") == self.facts["log"] and not config.load_again:
+            self.written = (table, self.schema, comment, "loaded before", None, (0, 0))
+            return
         same_query = "query" in self.facts and table.facts.get("query") == self.facts["query"]
         mode = "append" if self.mode == "overwrite" and same_query else self.mode  # a stream replaces a table once
-        table = replace(table, facts={**table.facts, **self.facts})
-        layout = clustering(self.mapped, config)
-        judged = None
-        plain = self.good.drop(SEQ)
+        rows, judged = self.route()
+        if config.method == "lake_stage":
+            rows = self.through_lake(rows)
+        schema = self.schema if mode == "overwrite" else table.evolve(spark, self.schema)
+        known = {k: v for k, v in table.facts.items() if k != "log"}
+        table = replace(table, facts={**known, **self.facts})
         if mode == "upsert":
-            source, judged = self.merge_source(table)
-            schema = table.evolve(spark, schema)
-            table = table.merge(spark, source, self.keys, config.only_if_newer)
-        else:
-            if config.method == "lake_stage":
-                plain, judged = self.staged_in_lake(plain)
-            elif layout:  # a range sort reads its input twice
-                plain = self.stage(plain)
-                judged = self.judge()
-            if layout:
-                plain = cluster_layout(plain, layout)
-            if mode == "overwrite":
-                table = table.overwrite(spark, plain, schema, comment)
-            else:
-                schema = table.evolve(spark, schema)
-                table = table.append(spark, plain)
-            judged = judged or self.judge()
-        self.written = (table, schema, comment, mode, judged)
+            match = table.match(spark, rows, self.keys)
+            source = rows if self.dedupes else self.without_conflicts(match, rows)
+            table = table.merge(spark, source, self.keys, config.only_if_newer, match)
+        self.written = (table, schema, comment, mode, rows, judged)
 
     def show(self) -> LoadResult:
-        """Publish what was written."""
+        """Write what is staged into the table, and publish it."""
         spark, config = self.spark, self.config
-        table, schema, comment, mode, judged = self.written
-        table.publish(spark, schema, comment)
-        for path in self.staged:  # a load that fails leaves its folder to ``expire_staging``
-            remove_folder(spark, path)
+        table, schema, comment, mode, rows, judged = self.written
+        if mode in ("append", "overwrite"):
+            layout = clustering(self.mapped, config)
+            rows = cluster_layout(rows, layout) if layout else rows
+            table = table.append(spark, rows) if mode == "append" else table.overwrite(spark, rows, schema, comment)
+        if mode != "loaded before":
+            table = table.publish(spark, schema, comment)
+        self.lake_folder = None
+        self.clear()
         if config.partition_expiration_days is not None:
             expire_partitions(spark, self.name, config.partition_expiration_days, self.as_of)
         if config.generate_view and not config.denormalized:
@@ -433,6 +425,13 @@ class _StreamLoad:
             create_view(spark, self.name, struct, config.rules, config.timestamp_format, config.strict_view)
         return LoadResult(self.spec.name, self.name, mode, table.load_id, *judged)
 
+    def clear(self) -> None:
+        """Remove what was staged. A batch that no table has taken in leaves the lake, so that it can be staged again."""
+        for path in self.staged:
+            remove_folder(self.spark, path)
+        if self.lake_folder:
+            drop_batch(self.spark, self.lake_folder, self.key)
+
 
 def create_view(
     spark: SparkSession,
@@ -472,8 +471,7 @@ def load(
     else:
         schema = landing.evolve(spark, schema)
         landing = landing.append(spark, rows, gather=not cluster) if mode == "append" else landing.merge(spark, rows, keys or (), only_if_newer)
-    landing.publish(spark, schema, comment or None)
-    return landing
+    return landing.publish(spark, schema, comment or None)
 
 
 def load_stream(
@@ -484,42 +482,38 @@ def load_stream(
     as_of: dt.datetime,
     facts: Mapping[str, str] | None = None,
     prefilter: bool = True,
-    log: LogWatch | None = None,
 ) -> LoadResult:
-    """Load one stream of a message frame and publish its table.
-
-    Rejected rows are counted while the good ones are written; nothing shows
-    until the count has been judged.
-    """
-    return _loading(spark, msgs, spec, LoadConfig.of(config), as_of, facts, prefilter, log).run()
+    """Load one stream of a message frame and publish its table; nothing shows until the rejected rows have been judged."""
+    config = LoadConfig.of(config)
+    with files_of(spark, config.batch_size):
+        return _run_all({spec.name: _loading(spark, with_order(msgs), spec, config, as_of, facts, prefilter)}, 1)[spec.name]
 
 
-def _loading(spark, msgs, spec, config, as_of, facts=None, prefilter=True, log=None) -> _StreamLoad:
-    rows, schema = stream_rows(msgs, spec, config, as_of, prefilter, log)
-    return _StreamLoad(spark, spec, config, as_of, rows, schema, log, facts or {})
+def _loading(spark, msgs, spec, config, as_of, facts=None, prefilter=True, known=None, files=None, follows=True) -> _StreamLoad:
+    rows, schema = stream_rows(msgs, spec, config, as_of, prefilter, known, files)
+    return _StreamLoad(spark, spec, config, as_of, rows, schema, facts or {}, follows)
 
 
 def _has_table(spark: SparkSession, spec: StreamSpec, config: LoadConfig) -> bool:
     return spark.catalog.tableExists(f"{config.database}.{table_name_of(mapped_spec(spec, config).name)}")
 
 
-def split_streams(
-    spark: SparkSession, lines: DataFrame, config: LoadConfig, log: LogWatch
-) -> tuple[DataFrame, str]:
-    """Parse the envelope once and write one folder per stream, for logs of several streams.
+def split_streams(spark: SparkSession, lines: DataFrame, config: LoadConfig, known: Sequence[str]) -> tuple[DataFrame, str]:
+    """Parse the envelope once and write one folder per stream, for logs of several streams; one more holds lines of no stream.
 
     Rows are rebalanced by stream before the write, so files do not grow with tasks times streams;
     adaptive execution splits a stream that is a third of the log over many tasks.
     """
     path = _staging_path(spark, config, "messages")
-    msgs = as_messages(lines).filter(F.trim("payload") != "")
-    records = log(msgs).filter("type = 'RECORD'").drop("type")
+    msgs = as_messages(lines).filter(F.trim("payload") != "").withColumn("reason", stray_reason(known))
+    stream = F.when(F.col("reason").isNotNull(), F.lit(_STRAYS)).when(F.col("type") == "RECORD", F.col("stream"))
+    records = msgs.withColumn("stream", stream).filter(F.col("stream").isNotNull()).drop("type")
     records.hint("rebalance", "stream").write.partitionBy("stream").parquet(path)
     return spark.read.schema(records.schema).parquet(path), path
 
 
 def _run_all(loads: Mapping[str, _StreamLoad], at_a_time: int) -> dict[str, LoadResult]:
-    """Write and judge every stream, then show them all: one that fails leaves no table moved.
+    """Stage and judge every stream, then show them all: one that fails leaves no table moved, and nothing in the lake.
 
     Streams that share a table take turns in between, as each builds on what the one before has shown.
     """
@@ -528,10 +522,15 @@ def _run_all(loads: Mapping[str, _StreamLoad], at_a_time: int) -> dict[str, Load
         shared.setdefault(one.name, []).append(name)
     alone = [names[0] for names in shared.values() if len(names) == 1]
     turns = [names for names in shared.values() if len(names) > 1]
-    with ThreadPoolExecutor(max(1, at_a_time)) as pool:
-        list(pool.map(lambda n: loads[n].write(), alone))
-        done = dict(pair for pairs in pool.map(lambda names: [(n, loads[n].run()) for n in names], turns) for pair in pairs)
-        done.update(zip(alone, pool.map(lambda n: loads[n].show(), alone)))
+    try:
+        with ThreadPoolExecutor(max(1, at_a_time)) as pool:
+            list(pool.map(lambda n: loads[n].write(), alone))
+            done = dict(pair for pairs in pool.map(lambda names: [(n, loads[n].run()) for n in names], turns) for pair in pairs)
+            done.update(zip(alone, pool.map(lambda n: loads[n].show(), alone)))
+    except BaseException:
+        for one in loads.values():
+            one.clear()
+        raise
     return done
 
 
@@ -546,18 +545,26 @@ def load_messages(
 ) -> tuple[list[LoadResult], str | None]:
     """Load every stream of a log. Returns the results and the bookmark.
 
-    All streams are written and judged before any table is published, and the bookmark is
+    All streams are staged and judged before any table is published, and the bookmark is
     returned (and written, with ``state_path``) only after every table is. Files named by BATCH messages are part of the log.
     Records without a schema, and lines that are no message, stop the load under
     ``fail_fast`` and are set aside otherwise. A map of ``None`` leaves a stream out.
 
+    A table remembers the files it was last loaded from. A load that died between its tables and its bookmark can be
+    repeated: tables that have the log are left as they are. ``load_again`` loads it nevertheless.
+
     With the streams given as ``specs`` a log of one stream is read once: the
-    bookmark is picked up by the pass that writes it. ``found`` takes facts the
+    bookmark is picked up by the pass that parses it. ``found`` takes facts the
     caller has looked up already.
     """
     prepare_session(spark)
     config = LoadConfig.of(config)
-    lines = with_order(source) if isinstance(source, DataFrame) else read_lines(spark, source)
+    facts = dict(facts or {})
+    if isinstance(source, DataFrame):
+        lines = with_order(source)
+    else:
+        lines = read_lines(spark, source)
+        facts.setdefault("log", log_identity(spark, source))
     lines = lines.filter(F.trim("payload") != "")
     if specs is None and found is None:
         found = log_facts(lines)
@@ -566,32 +573,40 @@ def load_messages(
     split = len(chosen) > 1  # a log of one stream has nothing to split
     if found is None and (split or not chosen):
         found = log_facts(lines)
-    for stream, files in (found.batches if found else {}).items():
-        lines = lines.unionByName(batch_lines(spark, stream, files))
-    log = LogWatch(list(specs), expect_batches=found is not None)
+    files = batch_files(lines) if found and found.batches else {}
+    known = list(specs)
+    folder, set_aside = None, 0
     if split:
-        msgs, folder = split_streams(spark, lines, config, log)
-        log.judge(config.fail_fast)
-        if "batch" in (facts or {}):  # a micro-batch leaves the tables of idle streams alone
-            there = folder_values(spark, folder, "stream")
+        msgs, folder = split_streams(spark, lines, config, known)
+        strays = msgs.filter(F.col("stream") == _STRAYS)
+        set_aside = strays.count() if _STRAYS in folder_values(spark, folder, "stream") else 0
+        if set_aside and config.fail_fast:
+            remove_folder(spark, folder)
+            raise LoadError(f"{set_aside} lines are no message, or records of a stream without a schema")
+        if "batch" in facts:  # a micro-batch leaves the tables of idle streams alone
+            there = folder_values(spark, folder, "stream") | set(files)
             chosen = {n: s for n, s in chosen.items() if n in there or not _has_table(spark, s, config)}
-    elif not chosen and config.fail_fast and not stray_lines(lines, list(specs)).isEmpty():
-        raise LoadError("the log declares no stream to load, but holds other lines")
+    elif not chosen:
+        strays = stray_lines(lines, known)
+        if config.fail_fast and not strays.isEmpty():
+            raise LoadError("the log declares no stream to load, but holds other lines")
+        set_aside = 0 if config.fail_fast else strays.count()
     if split:
         loads = {
-            n: _loading(spark, msgs.filter(F.col("stream") == n).drop("stream"), s, config, as_of, facts, False)
+            n: _loading(spark, msgs.filter(F.col("stream") == n).drop("stream", "reason"), s, config, as_of, facts, False, None, files.get(n))
             for n, s in chosen.items()
         }
     else:  # the one stream's pass also looks after the other lines
-        loads = {n: _loading(spark, lines, s, config, as_of, facts, False, log) for n, s in chosen.items()}
-    done = _run_all(loads, config.concurrent_streams)
+        loads = {n: _loading(spark, lines, s, config, as_of, facts, False, known, files.get(n), found is not None) for n, s in chosen.items()}
+    with files_of(spark, config.batch_size):
+        done = _run_all(loads, config.concurrent_streams)
     results = [done[n] for n in chosen]
-    if split:
+    if set_aside:
+        raw = strays.select(F.col("payload").alias("raw"), "reason") if split else strays
+        _quarantine(spark, raw, "unassigned", config, f"log-{int(as_of.timestamp() * 1000)}")
+    if folder:
         remove_folder(spark, folder)
-    if not config.fail_fast and (log.stray if chosen else True):
-        strays = stray_lines(lines, list(specs))
-        _quarantine(spark, strays, "unassigned", config, f"log-{int(as_of.timestamp() * 1000)}")
-    bookmark = found.state if found else log.state
+    bookmark = found.state if found else next((one.state for one in loads.values() if one.state), None)
     expire_staging(spark, config.staging_folder(spark), _wall_clock(), config.temporary_table_expiration_hours)
     if bookmark and config.state_path:
         stamp = int(as_of.timestamp() * 1000)

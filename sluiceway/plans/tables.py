@@ -1,16 +1,19 @@
-"""Tables that change in one step, with plain Parquet and the session catalog.
+"""Tables of plain Parquet in the session catalog, partitioned by batch period.
 
-The public name is a view. Behind it lies an ordinary partitioned Parquet table
-whose first partition column is the id of the load that wrote a row::
+The public name is a view. Behind it lies an ordinary partitioned Parquet table,
+with the id of the load that brought a row in one more column::
 
     orders      VIEW   SELECT … FROM orders__v1 WHERE _load_id <= 7
-    orders__v1  TABLE  PARTITIONED BY (_load_id, _sdc_batched_month)
+    orders__v1  TABLE  PARTITIONED BY (_sdc_batched_month)
 
-A load writes its own ``_load_id`` folder, which no reader sees, and is
-published by replacing the view: one catalog update that moves data, bookmark
-and batch id together. A load that dies is written over by its retry. What a
-published load replaces is dropped when the next one begins, so queries that
-started before the switch can finish.
+An append is an ``INSERT INTO``; its rows show when the view is replaced, one
+catalog update that moves data, bookmark and batch id together. An overwrite
+writes a new table and repoints the view. An upsert rewrites the partitions it
+touches with dynamic partition overwrite.
+
+A load notes in the view what it is about to do. If it dies, the next one first
+takes out the rows of a broken append, or finishes a broken upsert from its
+staged rows, which can be written any number of times.
 """
 
 from __future__ import annotations
@@ -26,9 +29,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.evolve import column_ddl, conform, evolve_table, missing_fields
-from ..operators.merge import conflicts, merge_columns, upsert
-from ..session import quoted, quoted_table, sql_text
+from ..operators.evolve import column_ddl, conform, evolve_table, merged_struct
+from ..operators.merge import conflicting, key_matches, key_range, merge_columns, shared_rows, upsert
+from ..session import prepare_session, quoted, quoted_table, remove_folder, scratch_path, sql_text
 
 LOAD_ID = "_load_id"
 GRAINS = ("hour", "day", "month", "year")
@@ -108,6 +111,28 @@ def expire_staging(spark: SparkSession, root: str, as_of: dt.datetime, hours: in
     return sorted(gone)
 
 
+@dataclass(frozen=True)
+class Merge:
+    """An upsert that is staged: its rows, and the values of the partitions to replace and of all that it writes."""
+
+    path: str
+    replaced: tuple[str, ...]
+    written: tuple[str, ...]
+
+
+@dataclass(frozen=True)
+class KeyMatch:
+    """Which rows of a table have a key of a source, staged: keys, ``source_rows`` and the partition."""
+
+    frame: DataFrame
+    path: str
+    keys: tuple[str, ...]
+
+    def conflicts(self) -> DataFrame:
+        """Keys that several source rows would update."""
+        return conflicting(self.frame, self.keys)
+
+
 @dataclass(frozen=True)
 class LandingTable:
     """What the catalog knows about a published table."""
@@ -116,9 +141,9 @@ class LandingTable:
     physical: str
     grain: str
     load_id: int = 0
-    floor: int = 0
-    superseded: tuple[tuple[int, str], ...] = ()
     retired: str | None = None
+    pending: str = ""  # what a load that has not finished was doing
+    merge_of: Merge | None = None  # applied when published
     facts: Mapping[str, str] = field(default_factory=dict)
 
     # ---- catalog ----------------------------------------------------------
@@ -137,9 +162,9 @@ class LandingTable:
             known.pop("physical"),
             known.pop("grain"),
             int(known.pop("load_id")),
-            int(known.pop("floor")),
-            tuple((int(a), b) for a, b in json.loads(known.pop("superseded"))),
             known.pop("retired") or None,
+            known.pop("pending", ""),
+            None,
             known,
         )
 
@@ -167,7 +192,7 @@ class LandingTable:
         ddl = ", ".join(column_ddl(f) for f in columns)
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {quoted_table(self.physical)} ({ddl}) USING parquet"
-            f" PARTITIONED BY ({LOAD_ID}, {self.part}) COMMENT {sql_text(comment)}"
+            f" PARTITIONED BY ({self.part}) COMMENT {sql_text(comment)}"
         )
 
     @property
@@ -179,62 +204,79 @@ class LandingTable:
         return spark.table(self.name).schema
 
     def evolve(self, spark: SparkSession, incoming: T.StructType) -> T.StructType:
-        """Append missing columns; the view shows them from the next publish on."""
+        """Append missing columns and nested fields; the view shows them from the next publish on."""
         evolve_table(spark, self.physical, incoming)
-        public = self.schema(spark)
-        return T.StructType([*public.fields, *missing_fields(public, incoming)])
+        return merged_struct(self.schema(spark), incoming)
 
     def begin(self, spark: SparkSession) -> LandingTable:
-        """Drop what the last load replaced. One writer per table at a time."""
-        if self.retired:
-            spark.sql(f"DROP TABLE IF EXISTS {quoted_table(self.retired)}")
-        gone = list(self.superseded)
-        if self.floor:
-            gone += [(load, value) for load, value in self.partitions(spark) if load <= self.floor]
-        self.drop_partitions(spark, gone)
-        return replace(self, superseded=(), retired=None)
-
-    def partitions(self, spark: SparkSession, load_id: int | None = None) -> list[tuple[int, str]]:
-        """``(load id, partition value)`` of the partitions, from the catalog alone."""
-        which = "" if load_id is None else f" PARTITION ({LOAD_ID}={load_id})"
-        rows = spark.sql(f"SHOW PARTITIONS {quoted_table(self.physical)}{which}").collect()
-        pairs = [re.fullmatch(rf"{LOAD_ID}=(\d+)/{self.part}=(.*)", r.partition) for r in rows]
-        return [(int(p[1]), _unescape(p[2])) for p in pairs if p]
-
-    def drop_partitions(self, spark: SparkSession, pairs: Sequence[tuple[int, str]]) -> None:
+        """Clear up after the last load. One writer per table at a time."""
+        prepare_session(spark)
+        table = self
+        if self.pending:
+            table = self._recover(spark)
+        if table.retired:
+            spark.sql(f"DROP TABLE IF EXISTS {quoted_table(table.retired)}")
+        return replace(table, retired=None)
+
+    def _recover(self, spark: SparkSession) -> LandingTable:
+        """Finish an upsert whose rows are staged; take the rows of any other dead load out again."""
+        noted = json.loads(self.pending)
+        if "path" not in noted:
+            self._take_out(spark, None)
+            return replace(self, pending="")
+        merge = Merge(noted["path"], tuple(noted["replaced"]), tuple(noted["written"]))
+        self._take_out(spark, [v for v in merge.written if v not in merge.replaced])
+        done = replace(self, load_id=self.load_id + 1, merge_of=merge, pending="", facts={**self.facts, **noted["facts"]})
+        done.publish(spark)
+        return replace(done, merge_of=None)
+
+    def _take_out(self, spark: SparkSession, values: Sequence[str] | None) -> None:
+        """Rewrite partitions (all, or those of the given values) without the rows of a load that was never published."""
+        every = spark.table(self.physical)
+        mine = every if values is None else every.filter(self._in(values))
+        dead = [r[0] for r in mine.filter(F.col(LOAD_ID) > self.load_id).select(self._text()).distinct().collect()]
+        if dead:
+            kept = every.filter(self._in(dead) & (F.col(LOAD_ID) <= self.load_id))
+            left = [r[0] for r in kept.select(self._text()).distinct().collect()]
+            kept.write.insertInto(self.physical, overwrite=True)
+            self.drop_partitions(spark, [v for v in dead if v not in left])
+
+    def _note(self, spark: SparkSession, what: Mapping[str, object]) -> None:
+        """Write into the view what is about to happen, before anything does."""
+        text = sql_text(json.dumps(what))
+        spark.sql(f"ALTER VIEW {quoted_table(self.name)} SET TBLPROPERTIES ({sql_text(_PROPERTY + 'pending')} = {text})")
+
+    def partitions(self, spark: SparkSession) -> list[str]:
+        """Values of the partitions, from the catalog alone."""
+        rows = spark.sql(f"SHOW PARTITIONS {quoted_table(self.physical)}").collect()
+        return [_unescape(r.partition.removeprefix(f"{self.part}=")) for r in rows]
+
+    def drop_partitions(self, spark: SparkSession, values: Sequence[str]) -> None:
         """Drop partitions, many to a statement."""
-        for i in range(0, len(pairs), _SPECS):
-            specs = ", ".join(f"PARTITION ({LOAD_ID}={load}, {self.part}={self._value(v)})" for load, v in pairs[i : i + _SPECS])
+        for i in range(0, len(values), _SPECS):
+            specs = ", ".join(f"PARTITION ({self.part}={self._value(v)})" for v in values[i : i + _SPECS])
             spark.sql(f"ALTER TABLE {quoted_table(self.physical)} DROP IF EXISTS {specs}")
 
     def _value(self, value: str) -> str:
         kind = "TIMESTAMP" if self.grain == "hour" else "DATE"
         return "NULL" if value == _NO_VALUE else f"{kind} {sql_text(value)}"
 
-    def _excluded(self) -> str:
-        by_load: dict[int, list[str]] = {}
-        for load, value in self.superseded:
-            by_load.setdefault(load, []).append(value)
-        alike: dict[tuple[str, ...], list[int]] = {}  # loads that lose the same partitions share a test
-        for load, values in by_load.items():
-            alike.setdefault(tuple(sorted(set(values))), []).append(load)
-        tests = []
-        for values, loads in alike.items():
-            named = [self._value(v) for v in values if v != _NO_VALUE]
-            which = [f"{self.part} IN ({', '.join(named)})"] if named else []
-            which += [f"{self.part} IS NULL"] if _NO_VALUE in values else []
-            tests.append(f"NOT ({LOAD_ID} IN ({', '.join(map(str, loads))}) AND ({' OR '.join(which)}))")
-        return "".join(f" AND coalesce({t}, true)" for t in tests)
-
-    def visible(self) -> str:
-        """The condition that picks published rows. It reads partition columns only."""
-        floor = f"{LOAD_ID} > {self.floor} AND " if self.floor else ""
-        return f"{floor}{LOAD_ID} <= {self.load_id}{self._excluded()}"
+    def _text(self) -> Column:
+        return F.coalesce(F.col(self.part).cast("string"), F.lit(_NO_VALUE))
+
+    def _in(self, values: Sequence[str]) -> Column:
+        """A test on the partition column alone, so that other partitions are not opened."""
+        named = [self._value(v) for v in values if v != _NO_VALUE]
+        tests = [f"{self.part} IN ({', '.join(named)})"] if named else []
+        tests += [f"{self.part} IS NULL"] if _NO_VALUE in values else []
+        return F.expr(f"coalesce({' OR '.join(tests) or 'false'}, false)")
 
     def publish(
         self, spark: SparkSession, schema: T.StructType | None = None, comment: str | None = None
-    ) -> None:
-        """Make the current state public, in one catalog update."""
+    ) -> LandingTable:
+        """Make the current state public, in one catalog update; an upsert replaces its partitions first."""
+        if self.merge_of:
+            self._apply(spark, self.merge_of)
         schema = schema or self.schema(spark)
         if comment is None:
             comment = self.facts.get("comment", "")
@@ -244,9 +286,8 @@ class LandingTable:
             "physical": self.physical,
             "grain": self.grain,
             "load_id": str(self.load_id),
-            "floor": str(self.floor),
-            "superseded": json.dumps(self.superseded),
             "retired": self.retired or "",
+            "pending": "",
         }
         properties = ", ".join(f"{sql_text(_PROPERTY + k)} = {sql_text(v)}" for k, v in facts.items())
         heads = ", ".join(
@@ -256,108 +297,112 @@ class LandingTable:
         columns = ", ".join(quoted(f.name) for f in schema.fields)
         spark.sql(
             f"CREATE OR REPLACE VIEW {quoted_table(self.name)} ({heads}) COMMENT {sql_text(comment)}"
-            f" TBLPROPERTIES ({properties})"
-            f" AS SELECT {columns} FROM {quoted_table(self.physical)} WHERE {self.visible()}"
+            f" TBLPROPERTIES ({properties}) WITH SCHEMA TYPE EVOLUTION"  # a struct may grow before the next publish
+            f" AS SELECT {columns} FROM {quoted_table(self.physical)} WHERE {LOAD_ID} <= {self.load_id}"
         )
+        if self.merge_of:
+            remove_folder(spark, self.merge_of.path)
+        return replace(self, merge_of=None, pending="")
 
     # ---- data -------------------------------------------------------------
 
     def rows(self, spark: SparkSession) -> DataFrame:
-        """Published rows with their partition columns."""
-        return spark.table(self.physical).filter(self.visible())
+        """Published rows with load id and partition."""
+        return spark.table(self.physical).filter(F.col(LOAD_ID) <= self.load_id)
 
-    def write(self, spark: SparkSession, df: DataFrame, load_id: int, gather: bool = False) -> None:
-        """Write the rows of one load, unseen. A retry replaces what a dead attempt left.
-
-        ``gather`` brings the rows of a partition together first, in pieces of even
-        size, where every task holds rows of every partition.
-        """
+    def _laid_out(self, spark: SparkSession, df: DataFrame, load_id: Column) -> DataFrame:
+        """Rows in the columns of the physical table, in their order."""
         have = {f.name.lower(): f.dataType for f in df.schema.fields}
-        fields = [f for f in spark.table(self.physical).schema.fields if f.name not in (LOAD_ID, self.part)]
-        columns = [
-            (conform(F.col(quoted(f.name)), have[f.name.lower()], f.dataType) if f.name.lower() in have else F.lit(None).cast(f.dataType)).alias(f.name)
-            for f in fields
-        ]
         at = F.col("_sdc_batched_at") if "_sdc_batched_at" in have else F.lit(None).cast("timestamp")
-        out = df.select(*columns, F.lit(load_id).alias(LOAD_ID), partition_value(self.grain, at).alias(self.part))
-        self.drop_partitions(spark, self.partitions(spark, load_id))
-        (out.hint("rebalance", self.part) if gather else out).write.insertInto(self.physical)
 
-    def append(self, spark: SparkSession, df: DataFrame, gather: bool = False) -> LandingTable:
-        """Write ``df`` as the next load, ready to publish. Rows of many periods in no order should be gathered."""
-        load = self.load_id + 1
-        self.write(spark, df, load, gather)
-        return replace(self, load_id=load)
+        def column(f: T.StructField) -> Column:
+            if f.name in (LOAD_ID, self.part):
+                return load_id if f.name == LOAD_ID else partition_value(self.grain, at)
+            there = f.name.lower() in have
+            return conform(F.col(quoted(f.name)), have[f.name.lower()], f.dataType) if there else F.lit(None).cast(f.dataType)
 
-    def compact(self, spark: SparkSession, at_least: int = 2) -> LandingTable:
-        """Fold the partitions of each period that ``at_least`` loads wrote into one, ready to publish.
+        return df.select(*[column(f).alias(f.name) for f in spark.table(self.physical).schema.fields])
 
-        Only those periods are read and rewritten. Readers keep the old partitions until the next load begins.
+    def append(self, spark: SparkSession, df: DataFrame, gather: bool = False) -> LandingTable:
+        """Insert ``df`` as the next load, ready to publish.
+
+        ``gather`` brings the rows of a partition together first, in pieces of even size, where
+        every task holds rows of every partition.
         """
-        by_value: dict[str, list[int]] = {}
-        gone = set(self.superseded)
-        for load, value in self.partitions(spark):
-            if self.floor < load <= self.load_id and (load, value) not in gone:
-                by_value.setdefault(value, []).append(load)
-        folded = tuple((load, value) for value, loads in by_value.items() if len(loads) >= at_least for load in loads)
-        if not folded:
-            return self
-        only = replace(self, superseded=folded, floor=0)
-        kept = self.rows(spark).filter(f"NOT (true{only._excluded()})").drop(LOAD_ID)
-        load = self.load_id + 1
-        self.write(spark, kept, load, gather=True)
-        return replace(self, load_id=load, superseded=(*self.superseded, *folded))
+        out = self._laid_out(spark, df, F.lit(self.load_id + 1))
+        self._note(spark, {"load": self.load_id + 1})
+        (out.hint("rebalance", self.part) if gather else out).write.insertInto(self.physical)
+        return replace(self, load_id=self.load_id + 1)
 
     def overwrite(self, spark: SparkSession, df: DataFrame, schema: T.StructType, comment: str = "") -> LandingTable:
         """Write ``df`` as a new physical table, with the same layout and its own schema."""
         base, _, version = self.physical.rpartition("__v")
-        fresh = replace(
-            self,
-            physical=f"{base}__v{int(version) + 1}",
-            load_id=self.load_id + 1,
-            floor=0,
-            superseded=(),
-            retired=self.physical,
-        )
+        fresh = replace(self, physical=f"{base}__v{int(version) + 1}", load_id=self.load_id + 1, retired=self.physical)
         spark.sql(f"DROP TABLE IF EXISTS {quoted_table(fresh.physical)}")
         fresh._make(spark, schema, comment)
-        fresh.write(spark, df, fresh.load_id)
+        fresh._laid_out(spark, df, F.lit(fresh.load_id)).write.insertInto(fresh.physical)
         return fresh
 
-    def touched(self, spark: SparkSession, source: DataFrame, keys: Sequence[str]) -> list[tuple[int, str]]:
-        """Partitions that hold a key of the source. Reads key columns; collects partition values only."""
-        rows = self.rows(spark)
-        columns = [F.col(quoted(k)) for k in keys]
-        hit = rows.select(*columns, LOAD_ID, self.part).join(
-            source.select(*columns).distinct(), list(keys), "left_semi"
-        )
-        text = F.coalesce(F.col(self.part).cast("string"), F.lit(_NO_VALUE))
-        return [(r[0], r[1]) for r in hit.select(LOAD_ID, text).distinct().collect()]
+    def match(self, spark: SparkSession, source: DataFrame, keys: Sequence[str]) -> KeyMatch:
+        """The one pass over the table's keys that conflicts, touched partitions and the merge itself are read off.
+
+        Only key columns of rows between the source's smallest and largest key are read, and what matches is staged.
+        """
+        rows, keys = shared_rows(self._data(spark), source, keys)
+        near = self.rows(spark).filter(key_range(rows, keys))
+        path = scratch_path(spark, "matches")
+        found = key_matches(near, rows, keys, self.part)
+        found.write.parquet(path)
+        return KeyMatch(spark.read.schema(found.schema).parquet(path), path, tuple(keys))
+
+    def _data(self, spark: SparkSession) -> T.StructType:
+        return T.StructType([f for f in spark.table(self.physical).schema.fields if f.name not in (LOAD_ID, self.part)])
 
     def merge(
-        self, spark: SparkSession, source: DataFrame, keys: Sequence[str], only_if_newer: bool = False
+        self,
+        spark: SparkSession,
+        source: DataFrame,
+        keys: Sequence[str],
+        only_if_newer: bool = False,
+        match: KeyMatch | None = None,
     ) -> LandingTable:
-        """Upsert a staged source, ready to publish.
+        """Stage the upsert of a staged source, ready to publish.
 
-        Only partitions that hold a matched key are rewritten: their rows move,
-        merged, into the new load, and the view leaves the old copies out.
+        Only partitions that hold a matched key are read whole and replaced. Rows for other partitions are added to
+        them. ``match`` takes what :meth:`match` found for the same source.
         """
-        columns = [c for c in spark.table(self.physical).columns if c not in (LOAD_ID, self.part)]
+        columns = self._data(spark).fieldNames()
         merge_columns(columns, source.columns, keys)
-        touched = self.touched(spark, source, keys)
-        load = self.load_id + 1
-        if touched:
-            only = replace(self, superseded=tuple(touched), floor=0)
-            target = self.rows(spark).filter(f"NOT (true{only._excluded()})")
-        else:
-            target = self.rows(spark).filter("false")
-        merged = upsert(target.select(*[F.col(quoted(c)) for c in columns]), source, keys, only_if_newer)
-        self.write(spark, merged, load, gather=True)
-        return replace(self, load_id=load, superseded=(*self.superseded, *touched))
+        match = match or self.match(spark, source, keys)
+        touched = [r[0] for r in match.frame.select(self._text()).distinct().collect()]
+        target = self.rows(spark).filter(self._in(touched)).select(*[F.col(quoted(c)) for c in columns], LOAD_ID)
+        matched = match.frame.select(*[F.col(quoted(k)) for k in match.keys]).distinct()
+        merged = upsert(target, source, keys, only_if_newer, matched)
+        load = F.lit(self.load_id + 1)
+        # rows that stay among replaced ones keep their load; what comes to other partitions shows when published
+        out = self._laid_out(spark, merged, F.col(LOAD_ID))
+        out = out.withColumn(LOAD_ID, F.when(self._in(touched), F.coalesce(F.col(LOAD_ID), load)).otherwise(load))
+        path = scratch_path(spark, "merged")
+        out.withColumn("__part", F.col(self.part).cast("string")).write.partitionBy("__part").parquet(path)
+        written = folder_values(spark, path, "__part")
+        remove_folder(spark, match.path)
+        return replace(self, load_id=self.load_id + 1, merge_of=Merge(path, tuple(sorted(touched)), tuple(sorted(written))))
+
+    def _apply(self, spark: SparkSession, merge: Merge) -> None:
+        """Write a staged upsert into the table: what is added first, then what is replaced, then drop what is empty."""
+        self._note(spark, {"path": merge.path, "replaced": merge.replaced, "written": merge.written, "facts": dict(self.facts)})
+        physical = spark.table(self.physical)
+        schema = T.StructType([*physical.schema.fields, T.StructField("__part", T.StringType())])
+        staged = spark.read.schema(schema).parquet(merge.path)
+        for values, replaced in (([v for v in merge.written if v not in merge.replaced], False), ([v for v in merge.written if v in merge.replaced], True)):
+            if values:
+                rows = staged.filter(F.coalesce(F.col("__part"), F.lit(_NO_VALUE)).isin(*values)).drop("__part")
+                rows.hint("rebalance", self.part).write.insertInto(self.physical, overwrite=replaced)
+        self.drop_partitions(spark, [v for v in merge.replaced if v not in merge.written])
 
     def conflicts(self, spark: SparkSession, source: DataFrame, keys: Sequence[str]) -> DataFrame:
         """Keys that several source rows would update."""
-        return conflicts(self.rows(spark), source, keys)
+        return self.match(spark, source, keys).conflicts()
 
 
 def _unescape(value: str) -> str:
@@ -389,26 +434,30 @@ def expire_partitions(
     if table is None:
         return []
     cutoff = as_of.replace(tzinfo=None) - dt.timedelta(days=days)
-    old = [(n, v) for n, v in table.partitions(spark) if v != _NO_VALUE and dt.datetime.fromisoformat(v) <= cutoff]
+    old = [v for v in table.partitions(spark) if v != _NO_VALUE and dt.datetime.fromisoformat(v) <= cutoff]
     table.drop_partitions(spark, old)
-    return sorted({v for _, v in old})
+    return sorted(old)
 
 
 def compact(spark: SparkSession, name: str, at_least: int = 2) -> int:
-    """Fold a table's periods that many loads wrote, and publish. Returns how many partitions were folded.
+    """Rewrite the partitions that ``at_least`` loads have written to in files of even size. Returns how many there were.
 
-    One writer per table at a time, as for loads.
+    A dynamic partition overwrite of the table from itself. One writer per table at a time, as for loads; queries that
+    run meanwhile may find files gone.
     """
     found = LandingTable.find(spark, name)
     if found is None:
         raise ValueError(f"no table {name}")
     table = found.begin(spark)
-    done = table.compact(spark, at_least)
-    done.publish(spark)
-    return len(done.superseded)
+    loads = table.rows(spark).groupBy(table._text().alias("value")).agg(F.count_distinct(LOAD_ID).alias("loads"))
+    values = [r.value for r in loads.filter(F.col("loads") >= at_least).select("value").collect()]
+    if values:
+        rows = spark.table(table.physical).filter(table._in(values))
+        rows.hint("rebalance", table.part).write.insertInto(table.physical, overwrite=True)
+    return len(values)
 
 
 __all__ = [
-    "LandingTable", "cluster_layout", "compact", "expire_partitions", "expire_staging", "folder_values",
+    "KeyMatch", "LandingTable", "cluster_layout", "compact", "expire_partitions", "expire_staging", "folder_values",
     "partition_column", "partition_value", "read_between", "staged_at", "staging_name",
 ]

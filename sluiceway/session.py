@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -11,12 +13,27 @@ _LOCAL_SCRATCH: dict[str, str] = {}
 
 
 def prepare_session(spark: SparkSession) -> SparkSession:
-    """Settings the loads rely on: UTC instants, and the last of repeated JSON keys."""
+    """Settings the loads rely on: UTC instants, the last of repeated JSON keys, and overwrites that replace only the
+    partitions they write to."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     return spark
 
 
+@contextmanager
+def files_of(spark: SparkSession, rows: int | None) -> Iterator[None]:
+    """Within, files are written with so many rows at most."""
+    most = "spark.sql.files.maxRecordsPerFile"
+    before = spark.conf.get(most)
+    if rows:
+        spark.conf.set(most, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(most, before)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder that survives the loss of an executor.
 

@@ -13,6 +13,7 @@ substring test, so that pass over a large log is bound by reading, not parsing.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 from collections.abc import Iterable
@@ -77,15 +78,31 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return with_order(_located(spark.read.text(path)))
 
 
-def stream_lines(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+def log_identity(spark: SparkSession, path: str | list[str]) -> str:
+    """What tells a log on disk from another: its paths, how many files they hold, of how many bytes, and when they changed."""
+    told = []
+    for given in [path] if isinstance(path, str) else path:
+        at = spark._jvm.org.apache.hadoop.fs.Path(given)
+        fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+        for status in fs.globStatus(at) or []:
+            size = fs.getContentSummary(status.getPath())
+            told.append(f"{status.getPath()} {size.getFileCount()} {size.getLength()} {status.getModificationTime()}")
+    return hashlib.sha256("\n".join(sorted(told)).encode()).hexdigest()
+
+
+def stream_lines(spark: SparkSession, path: str, max_files: int | None = None, max_bytes: int | None = None) -> DataFrame:
     """Lines of a growing folder of logs, as a stream: ``(file, block, payload)``.
 
-    ``max_files`` bounds a micro-batch. ``with_order`` completes the order inside
+    ``max_files`` or ``max_bytes`` bounds a micro-batch (it takes one file at least). ``with_order`` completes the order inside
     ``foreachBatch``, where the batch is an ordinary frame.
     """
+    if max_files and max_bytes:
+        raise ValueError("a micro-batch is bounded by files or by bytes, not by both")
     reader = spark.readStream.format("text")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    if max_bytes:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
     return _located(reader.load(path))
 
 
@@ -141,10 +158,10 @@ def stream_specs(msgs: DataFrame) -> dict[str, StreamSpec]:
 
 @dataclass
 class LogFacts:
-    """What a log says about itself: schemas, batch files by stream, and the last state."""
+    """What a log says about itself: schemas, whether it names batch files, and the last state."""
 
     specs: dict[str, StreamSpec] = field(default_factory=dict)
-    batches: dict[str, list[str]] = field(default_factory=dict)
+    batches: bool = False
     state: str | None = None
 
 
@@ -152,14 +169,12 @@ def log_facts(msgs: DataFrame) -> LogFacts:
     """All facts in a single pass over the log. Collects a row per stream and kind of message."""
     found = (
         msgs.filter(mentions("SCHEMA", "STATE", "BATCH"))
-        .select("seq", parsed_once(F.col("payload"), f"{SCHEMA_BODY}, value STRING, manifest ARRAY<STRING>, encoding STRUCT<format: STRING>"))
+        .select("seq", parsed_once(F.col("payload"), f"{SCHEMA_BODY}, value STRING"))
         .filter("type = 'STATE' OR (type IN ('SCHEMA', 'BATCH') AND stream IS NOT NULL)")
-        .groupBy("type", F.when(F.col("type") != "STATE", F.col("stream")).alias("stream"))
+        .groupBy("type", F.when(F.col("type") == "SCHEMA", F.col("stream")).alias("stream"))
         .agg(
             F.min_by(F.struct("schema", "key_properties", "bookmark_properties"), "seq").alias("first"),
             F.max_by("value", "seq").alias("last"),
-            F.flatten(F.collect_list("manifest")).alias("files"),
-            F.collect_set("encoding.format").alias("formats"),
         )
         .collect()
     )
@@ -168,22 +183,12 @@ def log_facts(msgs: DataFrame) -> LogFacts:
         if row.type == "SCHEMA":
             facts.specs[row.stream] = _spec(row.stream, row.first)
         elif row.type == "BATCH":
-            other = sorted(set(row.formats) - {"jsonl"})
-            if other:
-                raise ValueError(f"{row.stream}: batch files in format {', '.join(other)}; only jsonl is read")
-            facts.batches[row.stream] = sorted(row.files)
+            facts.batches = True
         else:
             facts.state = row.last
     return facts
 
 
-def batch_lines(spark: SparkSession, stream: str, files: list[str]) -> DataFrame:
-    """Records of batch files as the RECORD lines a source would have written."""
-    lines = read_lines(spark, files).filter(F.trim("payload") != "")
-    head = json.dumps({"type": "RECORD", "stream": stream})[:-1] + ', "record": '
-    return lines.select("seq", F.concat(F.lit(head), F.col("payload"), F.lit("}")).alias("payload"))
-
-
 def unknown_streams(msgs: DataFrame, known: Iterable[str]) -> DataFrame:
     """Streams that have records but no schema, with their record counts."""
     is_known = F.col("stream").isin(*known) if known else F.lit(False)

@@ -1,3 +1,3 @@
-from .loads import stream_append, stream_load
+from .loads import appended_state, read_appended, read_rejected, stream_append, stream_load
 
-__all__ = ["stream_append", "stream_load"]
+__all__ = ["appended_state", "read_appended", "read_rejected", "stream_append", "stream_load"]

@@ -209,6 +209,21 @@ def bulk_load_batch_files(spark: SparkSession, sf: str) -> DataFrame:
     return _plain_table(spark, _load(spark, scratch_database(spark), lines, denormalized=True))
 
 
+@query("SELECT p_partkey, p_name, p_brand, CAST(p_size AS BIGINT) AS p_size, p_retailprice FROM part")
+def bulk_load_parquet_files(spark: SparkSession, sf: str) -> DataFrame:
+    """A log that names Parquet files; their schemas differ, and their columns are fitted to the declared ones."""
+    part, folder = table(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_size", "p_retailprice"), scratch_path(spark, "batch")
+    odd = F.col("p_partkey") % 2 == 1
+    part.filter(odd).withColumn("undeclared", F.lit(1)).write.parquet(f"{folder}/a")
+    part.filter(~odd).withColumn("p_partkey", F.col("p_partkey").cast("int")).write.parquet(f"{folder}/b")
+    messages = []
+    for at in "ab":
+        files = sorted(spark.read.parquet(f"{folder}/{at}").inputFiles())
+        messages.append((json.dumps({"type": "BATCH", "stream": "part", "encoding": {"format": "parquet"}, "manifest": files}),))
+    lines = schema_line(spark, spec_of(part, "part", ["p_partkey"])).union(spark.createDataFrame(messages, "payload STRING"))
+    return _plain_table(spark, _load(spark, scratch_database(spark), lines, denormalized=True))
+
+
 @query("""
 SELECT o_orderkey, o_orderstatus, TIMESTAMP '2024-03-01 12:00:00' AS _sdc_batched_at FROM orders
 """)
@@ -296,6 +311,58 @@ def evolve_add_column(spark: SparkSession, sf: str) -> DataFrame:
     return _plain_table(spark, name)
 
 
+@query("""
+SELECT c_custkey, c_name AS name, NULL AS acctbal, c_mktsegment AS segment, NULL AS nation FROM customer
+UNION ALL SELECT c_custkey, c_name, c_acctbal, c_mktsegment, CAST(c_nationkey AS BIGINT) FROM customer
+""")
+def evolve_nested_field(spark: SparkSession, sf: str) -> DataFrame:
+    """A struct, and a struct in an array, get new fields; rows loaded before read as null."""
+    customer, database = table(spark, sf, "customer"), scratch_database(spark)
+    nation = F.col("c_nationkey").cast("bigint").alias("nation")
+    shapes = (
+        (F.struct(F.col("c_name").alias("name")), F.array(F.struct(F.col("c_mktsegment").alias("segment")))),
+        (F.struct(F.col("c_name").alias("name"), F.col("c_acctbal").alias("acctbal")), F.array(F.struct(F.col("c_mktsegment").alias("segment"), nation))),
+    )
+    for at, (who, what) in enumerate(shapes):
+        rows = customer.select("c_custkey", who.alias("who"), what.alias("what"))
+        name = _load(spark, database, log_of(spark, rows, spec_of(rows, "customer")), _month(at + 1), denormalized=True)
+    first = F.col("what")[0]
+    return spark.table(name).select("c_custkey", "who.name", "who.acctbal", first["segment"].alias("segment"), first["nation"].alias("nation"))
+
+
+@query("SELECT o_orderkey, o_totalprice, o_orderstatus = 'F' AS finished, CAST(1 AS BIGINT) AS copies, 'done' AS bookmark FROM orders")
+def retry_after_publish(spark: SparkSession, sf: str) -> DataFrame:
+    """A load that is repeated after its table was published and before its bookmark was kept adds nothing."""
+    orders, database = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", (F.col("o_orderstatus") == "F").alias("finished")), scratch_database(spark)
+    parts = [schema_line(spark, spec_of(orders, "orders", ["o_orderkey"])), record_lines(orders, "orders"), state_line(spark, {"at": "done"})]
+    paths, state = log_parts(written_log(spark, parts), 3), scratch_path(spark, "state")
+    for at, more in ((1, {}), (2, {"state_path": state})):
+        sw.load_messages(spark, paths, {"database": database, "denormalized": True, **more}, _month(at))
+    bookmark = F.lit(json.loads(sw.read_state(spark, state))["at"]).alias("bookmark")
+    rows = spark.table(f"{database}.orders").groupBy("o_orderkey", "o_totalprice", "finished").agg(F.count("*").alias("copies"))
+    return rows.withColumn("bookmark", bookmark)
+
+
+@query("SELECT o_orderkey, o_custkey, true AS bounded FROM orders")
+def batch_sizing(spark: SparkSession, sf: str) -> DataFrame:
+    """No file of the table holds more rows than ``batch_size``."""
+    orders, most = table(spark, sf, "orders").select("o_orderkey", "o_custkey"), 500
+    name = _load(spark, scratch_database(spark), log_of(spark, orders, spec_of(orders, "orders")), denormalized=True, batch_size=most)
+    rows = spark.table(f"{name}__v1").select("o_orderkey", "o_custkey", F.input_file_name().alias("file"))
+    files = rows.groupBy("file").agg((F.count("*") <= most).alias("bounded"))
+    return rows.join(files, "file").drop("file")
+
+
+@query("SELECT o_orderkey, o_totalprice, o_orderstatus = 'F' AS finished, o_orderstatus AS status FROM orders")
+def load_quoted_scalars(spark: SparkSession, sf: str) -> DataFrame:
+    """Numbers and booleans that stand in quotes load as what they are declared to be; text stays text."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", (F.col("o_orderstatus") == "F").alias("finished"), F.col("o_orderstatus").alias("status"))
+    price = F.regexp_replace(F.col("o_totalprice").cast("decimal(18,6)").cast("string"), r"\.?0+$", "")
+    quoted = orders.select(F.col("o_orderkey").cast("string"), price.alias("o_totalprice"), F.col("finished").cast("string"), "status")
+    lines = schema_line(spark, spec_of(orders, "orders", ["o_orderkey"])).union(record_lines(quoted, "orders"))
+    return _plain_table(spark, _load(spark, scratch_database(spark), lines, denormalized=True))
+
+
 @query("SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, 1 AS tables FROM customer")
 def create_if_missing(spark: SparkSession, sf: str) -> DataFrame:
     """Creating a table that exists changes nothing."""
@@ -427,6 +494,22 @@ def lake_load(spark: SparkSession, sf: str) -> DataFrame:
     return _plain_table(spark, _load(spark, scratch_database(spark), lines, denormalized=True, method="lake_stage", lake_root=root))
 
 
+@query(LANDED + """
+SELECT coalesce(s.o_orderkey, t.o_orderkey) AS o_orderkey,
+       CASE WHEN s.o_orderkey IS NOT NULL THEN s.o_orderstatus ELSE t.o_orderstatus END AS o_orderstatus,
+       CASE WHEN s.o_orderkey IS NOT NULL THEN s.o_totalprice ELSE t.o_totalprice END AS o_totalprice
+FROM t FULL OUTER JOIN s ON t.o_orderkey = s.o_orderkey
+""")
+def lake_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    """Two extracts staged in the lake, each merged from there."""
+    database, root = scratch_database(spark), scratch_path(spark, "lake")
+    for at, extract in enumerate(_landed_and_new(spark, sf)):
+        rows = extract.select("o_orderkey", "o_orderstatus", "o_totalprice")
+        lines = log_of(spark, rows, spec_of(rows, "orders", ["o_orderkey"]))
+        name = _load(spark, database, lines, _month(at + 1), denormalized=True, upsert=True, method="lake_stage", lake_root=root)
+    return _plain_table(spark, name)
+
+
 @query("SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders")
 def compact_loads(spark: SparkSession, sf: str) -> DataFrame:
     """Four loads of one period, folded into one partition; every row stays."""
@@ -462,7 +545,52 @@ def stream_append(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "appended")
     config = sw.LoadConfig(denormalized=True)
     sw.stream_append(spark, source, spec, config, path, scratch_path(spark, "checkpoint"), 1, clock=lambda: AS_OF).awaitTermination()
-    return plain(spark.read.parquet(path).drop(*METADATA, "_sdc_batched_month"))
+    return plain(sw.read_appended(spark, path).drop(*METADATA, "_sdc_batched_month"))
+
+
+@query("""
+SELECT event_id, CASE WHEN user_id % 7 = 0 THEN 'not JSON, or a value does not fit its declared type' ELSE 'loaded' END AS outcome,
+       CAST(3 AS BIGINT) AS bookmark FROM events
+""")
+def stream_append_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows, rejects and bookmark of an append stream, written together batch by batch; a restart adds nothing."""
+    events = table(spark, sf, "events").select("event_id", "user_id", "ts")
+    spec = spec_of(events.select("event_id", "user_id"), "events", ["event_id"])
+    root, path, checkpoint = (scratch_path(spark, n) for n in ("incoming", "appended", "checkpoint"))
+    bad = F.when(F.col("user_id") % 7 == 0, F.concat(F.lit("user "), F.col("user_id").cast("string"))).otherwise(F.col("user_id").cast("string"))
+    user = F.when(F.col("user_id") % 7 == 0, F.concat(F.lit('"'), bad, F.lit('"'))).otherwise(bad)
+    line = F.format_string('{"type":"RECORD","stream":"events","record":{"event_id":%d,"user_id":%s}}', "event_id", user)
+    days = F.greatest(F.lit(1), F.least(F.lit(3), F.ceil(F.dayofmonth("ts") / 10)))
+    for n in (1, 2, 3):
+        lines = events.filter(F.coalesce(days, F.lit(1)) == n).select(line.alias("payload")).union(state_line(spark, {"upto": n}))
+        lines.coalesce(1).write.text(f"{root}/{n}")
+    config = sw.LoadConfig(denormalized=True, fail_fast=False)
+    for _ in range(2):
+        sw.stream_append(spark, f"{root}/*", spec, config, path, checkpoint, 1, clock=lambda: AS_OF).awaitTermination()
+    bookmark = F.lit(json.loads(sw.appended_state(spark, path))["upto"]).cast("bigint").alias("bookmark")
+    key = F.get_json_object("raw", "$.record.event_id").cast("bigint").alias("event_id")
+    loaded = sw.read_appended(spark, path).select("event_id", F.lit("loaded").alias("outcome"), bookmark)
+    return loaded.union(sw.read_rejected(spark, path).select(key, F.col("reason").alias("outcome"), bookmark))
+
+
+@query("""
+SELECT event_id, user_id, CASE WHEN ts >= TIMESTAMP '2024-01-16' THEN value END AS value,
+       CASE WHEN ts >= TIMESTAMP '2024-01-16' THEN event_type END AS kind
+FROM events
+""")
+def stream_evolve_on_restart(spark: SparkSession, sf: str) -> DataFrame:
+    """A stream whose schema grows between two runs, by a column and by a nested field."""
+    events = table(spark, sf, "events")
+    root, database, checkpoint = scratch_path(spark, "incoming"), scratch_database(spark), scratch_path(spark, "checkpoint")
+    wide = events.select("event_id", "ts", "value", F.struct("user_id", F.col("event_type").alias("kind")).alias("who"))
+    narrow = events.select("event_id", "ts", F.struct("user_id").alias("who"))
+    later = "ts >= TIMESTAMP_NTZ '2024-01-16'"
+    for at, (rows, part) in enumerate(((narrow, f"NOT coalesce({later}, false)"), (wide, later))):
+        rows = rows.filter(part).drop("ts")
+        schema_line(spark, spec_of(rows, "events", ["event_id"])).union(record_lines(rows, "events")).coalesce(1).write.text(f"{root}/{at}")
+        config = sw.LoadConfig(database=database, denormalized=True)
+        sw.stream_load(spark, f"{root}/*", config, checkpoint, 1, clock=lambda: AS_OF).awaitTermination()
+    return spark.table(f"{database}.events").select("event_id", "who.user_id", "value", "who.kind")
 
 
 @query("SELECT event_id, user_id, event_type, value, ts FROM events")
