@@ -8,38 +8,34 @@ from sluiceway.functions import key_names, rename, rename_struct, table_name, ta
 
 from .conftest import rows
 
-SNAKE, DIGIT, LOWER, QUOTE, PERIOD = (
-    "snake_case", "add_underscore_when_invalid", "lower", "quote", "replace_period_with_underscore",
-)
-
-# Names, the rules switched on, and the names they must become.
+# Names, rules, and the names they must become.
 NAMES = [
-    ("TestColumn", [SNAKE], "test_column"),
-    ("_TestColumn", [SNAKE], "_test_column"),
-    ("RANDOMCapsAREHere", [SNAKE], "random_caps_are_here"),
-    ("ALLCAPS", [SNAKE], "allcaps"),
-    ("ALL_CAPS", [SNAKE], "all_caps"),
-    ("SalesforceThing__c", [SNAKE], "salesforce_thing__c"),
-    ("column.with.period", [PERIOD], "column_with_period"),
-    ("TestColumn", [LOWER], "testcolumn"),
-    ("TestColumn", [], "TestColumn"),
-    ("`TestColumn`", [], "`TestColumn`"),
-    ("ValidColumn", [DIGIT], "ValidColumn"),
-    ("123InvalidColumn", [DIGIT], "_123InvalidColumn"),
-    ("Shakespeare", [QUOTE], "`Shakespeare`"),
-    ("`Shakespeare`", [QUOTE], "`Shakespeare`"),
-    ("`ANewWorld`", [SNAKE], "`a_new_world`"),
-    ("123ANewWorld", [SNAKE, DIGIT], "_123_a_new_world"),
-    ("`123ANewWorld`", [SNAKE, DIGIT], "`_123_a_new_world`"),
-    ("123ANewWorld", [SNAKE, LOWER, DIGIT, QUOTE], "`_123_a_new_world`"),
-    ("Nested.Value", [SNAKE, PERIOD], "nested__value"),
-    ("", [SNAKE, DIGIT, LOWER], ""),
+    ("TestColumn", {"snake_case": True}, "test_column"),
+    ("_TestColumn", {"snake_case": True}, "_test_column"),
+    ("RANDOMCapsAREHere", {"snake_case": True}, "random_caps_are_here"),
+    ("ALLCAPS", {"snake_case": True}, "allcaps"),
+    ("ALL_CAPS", {"snake_case": True}, "all_caps"),
+    ("SalesforceThing__c", {"snake_case": True}, "salesforce_thing__c"),
+    ("column.with.period", {"replace_period_with_underscore": True}, "column_with_period"),
+    ("TestColumn", {"lower": True}, "testcolumn"),
+    ("TestColumn", {}, "TestColumn"),
+    ("`TestColumn`", {}, "`TestColumn`"),
+    ("ValidColumn", {"add_underscore_when_invalid": True}, "ValidColumn"),
+    ("123InvalidColumn", {"add_underscore_when_invalid": True}, "_123InvalidColumn"),
+    ("Shakespeare", {"quote": True}, "`Shakespeare`"),
+    ("`Shakespeare`", {"quote": True}, "`Shakespeare`"),
+    ("`ANewWorld`", {"snake_case": True}, "`a_new_world`"),
+    ("123ANewWorld", {"snake_case": True, "add_underscore_when_invalid": True}, "_123_a_new_world"),
+    ("`123ANewWorld`", {"snake_case": True, "add_underscore_when_invalid": True}, "`_123_a_new_world`"),
+    ("123ANewWorld", {"snake_case": True, "lower": True, "add_underscore_when_invalid": True, "quote": True}, "`_123_a_new_world`"),
+    ("Nested.Value", {"snake_case": True, "replace_period_with_underscore": True}, "nested__value"),
+    ("", {"snake_case": True, "add_underscore_when_invalid": True, "lower": True}, ""),
 ]
 
 
-@pytest.mark.parametrize("name, on, expected", NAMES)
-def test_column_names(name, on, expected):
-    assert transform_name(name, dict.fromkeys(on, True)) == expected
+@pytest.mark.parametrize("name, rules, expected", NAMES)
+def test_column_names(name, rules, expected):
+    assert transform_name(name, rules) == expected
 
 
 def test_unknown_rules_are_ignored():

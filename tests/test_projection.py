@@ -58,12 +58,12 @@ def test_values_of_every_type(spark):
         "t": {"type": "string", "format": "date-time"}, "d": {"type": "string", "format": "date"},
         "c": {"type": "string", "format": "time"}, "j": {"type": "object"}, "a": {"type": "array"},
     }
-    body = {"i": 2**53 + 1, "n": 0.1, "b": True, "s": "é\"\\\n", "t": "2022-11-11T13:40:56.806208+02:00", "d": "2024-02-29",
+    body = {"i": 2**53 + 1, "n": 0.1, "b": True, "s": "é\"\\\n", "t": "1998-03-15T23:30:00.250125-05:30", "d": "2024-02-29",
             "c": "10:11:12", "j": {"x": [1]}, "a": [1, "two", None]}
     got = project_denormalized(frame(spark, [body]), spec(properties))
     row = got.select("i", "n", "b", "s", "t", "d", "c", F.to_json("j"), F.transform("a", lambda v: F.to_json(v))).first()
     assert tuple(row) == (
-        2**53 + 1, 0.1, True, "é\"\\\n", dt.datetime(2022, 11, 11, 11, 40, 56, 806208), dt.date(2024, 2, 29),
+        2**53 + 1, 0.1, True, "é\"\\\n", dt.datetime(1998, 3, 16, 5, 0, 0, 250125), dt.date(2024, 2, 29),
         "10:11:12", '{"x":[1]}', ["1", '"two"', "null"],
     )
 
@@ -165,20 +165,20 @@ def seen(spark, properties, bodies, **options):
 
 def test_view_values(spark):
     properties = {
-        "IntCol1": {"type": "integer"}, "text": {"type": "string"}, "when": {"type": "string", "format": "date-time"},
-        "work": {"type": "object", "properties": {"customColumns": {"type": "object", "properties": {
-            "column_1": {"type": "string"}, "column_2": {"type": "array", "items": {"type": "string"}}}},
-            "isManager": {"type": "boolean"}, "years": {"type": "number"}}},
+        "OrderKey": {"type": "integer"}, "priority": {"type": "string"}, "orderDate": {"type": "string", "format": "date-time"},
+        "customer": {"type": "object", "properties": {"address": {"type": "object", "properties": {
+            "nation": {"type": "string"}, "phones": {"type": "array", "items": {"type": "string"}}}},
+            "active": {"type": "boolean"}, "balance": {"type": "number"}}},
     }
-    full = {"IntCol1": 3, "text": 12.50, "when": "2022-01-01T00:00:00Z",
-            "work": {"customColumns": {"column_1": True, "column_2": ["a", None, 5, {"no": 1}]}, "isManager": True, "years": 1}}
+    full = {"OrderKey": 3, "priority": 12.50, "orderDate": "1996-01-02T00:00:00Z",
+            "customer": {"address": {"nation": True, "phones": ["a", None, 5, {"no": 1}]}, "active": True, "balance": 1}}
     got = seen(spark, properties, [full, {}], rules={"snake_case": True})
     assert got[0] == {
-        "int_col1": 3, "text": "12.5", "when": dt.datetime(2022, 1, 1),
-        "work": {"custom_columns": {"column_1": "true", "column_2": ["a", "5"]}, "is_manager": True, "years": 1.0},
+        "order_key": 3, "priority": "12.5", "order_date": dt.datetime(1996, 1, 2),
+        "customer": {"address": {"nation": "true", "phones": ["a", "5"]}, "active": True, "balance": 1.0},
     }
-    assert got[1] == {"int_col1": None, "text": None, "when": None,
-                      "work": {"custom_columns": {"column_1": None, "column_2": []}, "is_manager": None, "years": None}}
+    assert got[1] == {"order_key": None, "priority": None, "order_date": None,
+                      "customer": {"address": {"nation": None, "phones": []}, "active": None, "balance": None}}
 
 
 def test_text_that_looks_like_json_is_text(spark):
@@ -199,9 +199,9 @@ def test_arrays_of_records(spark):
 
 
 def test_json_columns(spark):
-    properties = {"object": {"type": ["object", "null"]}, "sources": {"type": ["array", "null"], "items": {"type": ["string", "null"]}}, "any": {"type": "array"}}
-    out = typed_view(project_fixed(frame(spark, [{"object": {"a": [1]}, "sources": ["x"], "any": [1, None]}]), "s"), to_struct({"properties": properties}))
-    row = out.select(F.to_json("object"), "sources", F.transform("any", lambda v: F.to_json(v))).first()
+    properties = {"props": {"type": "object"}, "tags": {"type": "array", "items": {"type": "string"}}, "rest": {"type": "array"}}
+    out = typed_view(project_fixed(frame(spark, [{"props": {"a": [1]}, "tags": ["x"], "rest": [1, None]}]), "s"), to_struct({"properties": properties}))
+    row = out.select(F.to_json("props"), "tags", F.transform("rest", lambda v: F.to_json(v))).first()
     assert tuple(row) == ('{"a":[1]}', ["x"], ["1", "null"])
 
 
