@@ -65,14 +65,12 @@ def chunked(df: DataFrame, text: Column, long_line: int, mean_lines: int) -> Dat
     ).drop("__lines", "__h", "__n", "__ends", "__spans")
 
 
-def dedup_lines(
-    docs: DataFrame, min_words: int = MIN_WORDS, long_line: int = LONG_LINE, mean_lines: int = MEAN_LINES, extend: bool = True
-) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, long_line: int = LONG_LINE, mean_lines: int = MEAN_LINES) -> DataFrame:
     """Take out of ``text`` the chunks of lines that stand elsewhere already, and add ``lines_removed``.
 
     Texts are cut into chunks at content-defined boundaries (see :func:`chunked`). Of equal chunks, the one with the
     smallest (doc_id, row, place) stays; every other one is removed where it stands in a run of repeated chunks of
-    together at least ``min_words`` words. With ``extend``, lines beside a repeated chunk that equal those beside the
+    together at least ``min_words`` words. Lines beside a repeated chunk that equal those beside the
     copy that stays belong to the run as well, on either side up to ``min_words`` words from the chunk, so a passage's
     first and last lines count and go though their chunks hold other lines too. A hash picks what may be equal, then bytes are compared: chunks are grouped
     by their text. Lines without words neither count nor end a run, and those inside a removed run go with it. A single
@@ -100,7 +98,7 @@ def dedup_lines(
     )
     # candidates by hash: runs long enough, per row; then their bytes and those of the chunks that would stay
     by_row = marks.groupBy("__uid").agg(F.sort_array(F.collect_list(F.struct("pos", "hash"))).alias("marks"))
-    by_row = by_row.join(kept.select("__uid", "__words", _room(long_line, extend).alias("__room")), "__uid")
+    by_row = by_row.join(kept.select("__uid", "__words", _room(long_line).alias("__room")), "__uid")
     runs = stage(_own(by_row, ("long", _long_runs(min_words))).where(F.size("long") > 0).select("__uid", "long"), "lines-runs")
     wanted = runs.select(F.inline(F.transform("long", lambda x: F.struct(x["hash"].alias("hash"), x["edge"].alias("edge")))))
     wanted = wanted.groupBy("hash").agg(F.max("edge").alias("edge"))
@@ -154,7 +152,7 @@ def _between(values: str, left: Column, right: Column) -> Column:
     return F.slice(values, left + 2, F.greatest(right - left - 1, F.lit(0)))
 
 
-def _room(long_line: int, extend: bool) -> Column:
+def _room(long_line: int) -> Column:
     """Of each chunk, the words that a run may take from it if it is no repeat, or -1 if it ends the run.
 
     A long line is a chunk wherever it stands: one that equals a line of the copy that stays is a repeat itself.
@@ -162,8 +160,7 @@ def _room(long_line: int, extend: bool) -> Column:
 
     def room(words: Column, p: Column) -> Column:
         lines = F.coalesce(F.get("__starts", p + 1), F.size("__w")) - F.get("__starts", p)
-        ends = ((words >= long_line) & (lines == 1)) if extend else words > 0
-        return F.when(ends, -1).otherwise(words)
+        return F.when((words >= long_line) & (lines == 1), -1).otherwise(words)
 
     return F.transform("__words", room)
 

@@ -11,7 +11,7 @@ from sluiceway.llm import chat, repair, warc
 from sluiceway.llm.ann import nearest_neighbours
 from sluiceway.llm.bond import mine_negatives
 from sluiceway.llm.decontaminate import find_leaks
-from sluiceway.llm.licenses import DICE, TEMPLATES, bigrams_of, scan_licenses
+from sluiceway.llm.licenses import DICE, RUN_PARAGRAPHS, TEMPLATES, bigrams_of, scan_licenses
 from sluiceway.llm.line_dedup import LONG_LINE, MEAN_LINES, MIN_WORDS, dedup_lines
 from sluiceway.llm.maxent import score_texts
 from sluiceway.llm.mixing import mix
@@ -108,16 +108,20 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _license_sql() -> str:
     known = {n: ps for n, ps in ((n, bigrams_of(t)) for n, t in TEMPLATES.items()) if ps}
-    values = ",\n  ".join("('{}', [{}])".format(n, ", ".join(f"'{p}'" for p in ps)) for n, ps in known.items())
+    long = {n: str("\n\n" in TEMPLATES[n]).lower() for n in known}
+    values = ",\n  ".join("('{}', [{}], {})".format(n, ", ".join(f"'{p}'" for p in ps), long[n]) for n, ps in known.items())
     over, under = DICE
     return rf"""
-WITH t(license, pairs) AS (VALUES {values}),
+WITH t(license, pairs, long) AS (VALUES {values}),
+par AS (SELECT doc_id, regexp_split_to_array(text, '\n[ \t\r]*\n') AS p FROM documents),
 u AS (
   SELECT doc_id, 'text' AS unit, 0 AS unit_no, text AS body FROM documents
   UNION ALL SELECT doc_id, 'line', unnest(range(1, len(p) + 1)), unnest(p)
     FROM (SELECT doc_id, string_split(text, chr(10)) AS p FROM documents) WHERE len(p) > 1
   UNION ALL SELECT doc_id, 'paragraph', unnest(range(1, len(p) + 1)), unnest(p)
-    FROM (SELECT doc_id, regexp_split_to_array(text, '\n[ \t\r]*\n') AS p FROM documents) WHERE len(p) > 1),
+    FROM par WHERE len(p) > 1
+  UNION ALL SELECT doc_id, 'run ' || n, i, array_to_string(p[i:i + n - 1], chr(10))
+    FROM par, range(2, {RUN_PARAGRAPHS + 1}) t(n), range(1, len(p) - n + 2) s(i)),
 w AS (SELECT doc_id, unit, unit_no, list_filter(regexp_split_to_array(lower(body), '[^a-z0-9]+'), lambda x: x <> '') AS w FROM u),
 p AS (
   SELECT doc_id, unit, unit_no, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS pairs
@@ -125,7 +129,7 @@ p AS (
 m AS (
   SELECT doc_id, unit, unit_no::INT AS unit_no, license, len(list_intersect(p.pairs, t.pairs))::INT AS shared,
     len(p.pairs)::INT AS unit_bigrams, len(t.pairs)::INT AS template_bigrams
-  FROM p, t)
+  FROM p, t WHERE long OR unit NOT LIKE 'run%')
 SELECT *, 2 * shared / (unit_bigrams + template_bigrams) AS dice FROM m
 WHERE {2 * under} * shared >= {over} * (unit_bigrams + template_bigrams)
 """
@@ -151,22 +155,53 @@ e AS (
   SELECT *, coalesce(w >= {LONG_LINE} OR lead(w) OVER o >= {LONG_LINE}
     OR (h * 31 + coalesce(lag(h) OVER o, 0)) % {MEAN_LINES} = 0, false) AS last_line
   FROM h WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
-k AS (SELECT *, coalesce(sum(last_line::INT) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos FROM e),
-c AS (SELECT doc_id, pos, string_agg(line, chr(10) ORDER BY i) AS chunk, sum(w) AS w, count(*) AS n FROM k GROUP BY doc_id, pos),
-r AS (SELECT *, w > 0 AND row_number() OVER (PARTITION BY chunk ORDER BY doc_id, pos) > 1 AS again FROM c),
-i AS (SELECT *, pos - row_number() OVER (PARTITION BY doc_id, again ORDER BY pos) AS run FROM r),
-g AS (SELECT *, again AND sum(w) OVER (PARTITION BY doc_id, again, run) >= {MIN_WORDS} AS gone FROM i)
-SELECT g.doc_id,
-  CASE WHEN any_value(d.text) IS NULL THEN NULL ELSE coalesce(string_agg(chunk, chr(10) ORDER BY pos) FILTER (NOT gone), '') END AS text,
-  coalesce(sum(n) FILTER (gone), 0)::INT AS lines_removed
-FROM g JOIN documents d ON d.doc_id = g.doc_id GROUP BY g.doc_id
+-- lines with their chunk, the words up to them, and their place among the lines with words
+k AS (
+  SELECT *, coalesce(sum(last_line::INT) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos,
+    sum(w) OVER (o ROWS UNBOUNDED PRECEDING) AS upto, sum((w > 0)::INT) OVER (o ROWS UNBOUNDED PRECEDING) AS r
+  FROM e WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+c AS (
+  SELECT doc_id, pos, string_agg(line, chr(10) ORDER BY i) AS chunk, min(i) AS a, max(i) AS b, sum(w) AS w,
+    min(r) FILTER (w > 0) AS top, max(r) AS bottom
+  FROM k GROUP BY doc_id, pos),
+o AS (
+  SELECT *, first_value(doc_id) OVER f AS hd, first_value(top) OVER f AS ht, first_value(bottom) OVER f AS hb, row_number() OVER f AS copy
+  FROM c WHERE w > 0 WINDOW f AS (PARTITION BY chunk ORDER BY doc_id, pos)),
+m AS (SELECT * FROM o WHERE copy > 1),
+-- equal lines beside a repeated chunk and the copy that stays, nearest first, up to {MIN_WORDS} words away
+x AS (
+  SELECT m.doc_id, m.pos, s.side, s.d, own.i, own.line = other.line AS same,
+    sum(own.w) OVER (PARTITION BY m.doc_id, m.pos, s.side ORDER BY s.d) - own.w AS nearer,
+    bool_and(coalesce(own.line = other.line, false)) OVER (PARTITION BY m.doc_id, m.pos, s.side ORDER BY s.d) AS so_far
+  FROM m, (SELECT d, side FROM range(1, {MIN_WORDS} + 1) t(d), (VALUES (1), (2)) u(side)) s
+  JOIN k own ON own.doc_id = m.doc_id AND own.w > 0 AND own.r = CASE s.side WHEN 1 THEN m.top - s.d ELSE m.bottom + s.d END
+  LEFT JOIN k other ON other.doc_id = m.hd AND other.w > 0 AND other.r = CASE s.side WHEN 1 THEN m.ht - s.d ELSE m.hb + s.d END),
+z AS (
+  SELECT DISTINCT m.doc_id, least(m.a, coalesce(min(x.i), m.a)) AS a, greatest(m.b, coalesce(max(x.i), m.b)) AS b
+  FROM m LEFT JOIN x ON x.doc_id = m.doc_id AND x.pos = m.pos AND x.so_far AND x.nearer < {MIN_WORDS}
+  GROUP BY m.doc_id, m.pos, m.a, m.b),
+-- spans run together where no words stand between them
+y AS (
+  SELECT doc_id, a, b, max(b) OVER (PARTITION BY doc_id ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM z),
+v AS (
+  SELECT y.*, coalesce(p.upto, 0) - coalesce(q.upto, 0) > 0 OR y.before IS NULL AS opens
+  FROM y LEFT JOIN k p ON p.doc_id = y.doc_id AND p.i = y.a - 1 LEFT JOIN k q ON q.doc_id = y.doc_id AND q.i = y.before),
+n AS (SELECT *, sum((opens)::INT) OVER (PARTITION BY doc_id ORDER BY a, b ROWS UNBOUNDED PRECEDING) AS run FROM v),
+g AS (
+  SELECT n.doc_id, min(a) AS a, max(b) AS b FROM n GROUP BY n.doc_id, run),
+gone AS (
+  SELECT g.* FROM g JOIN k t ON t.doc_id = g.doc_id AND t.i = g.b LEFT JOIN k f ON f.doc_id = g.doc_id AND f.i = g.a - 1
+  WHERE t.upto - coalesce(f.upto, 0) >= {MIN_WORDS}),
+j AS (SELECT k.doc_id, k.i, k.line, gone.a IS NOT NULL AS gone FROM k LEFT JOIN gone ON gone.doc_id = k.doc_id AND k.i BETWEEN gone.a AND gone.b)
+SELECT j.doc_id, CASE WHEN any_value(d.missing) THEN NULL ELSE coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '') END AS text,
+  coalesce(count(*) FILTER (gone), 0)::INT AS lines_removed
+FROM j JOIN (SELECT doc_id, text IS NULL AS missing FROM documents) d ON d.doc_id = j.doc_id GROUP BY j.doc_id
 """
 
 
 @query(LINES_SQL)
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # the SQL counts whole chunks only, and the query has its rows
-    return dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"), extend=False)
+    return dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def _escaped(text: str) -> str:
