@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluiceway.llm.components import components
-from sluiceway.llm.staging import col, stage, without
+from sluiceway.llm.staging import col, release, stage, without
 from sluiceway.llm.textops import mix, shingle_sets
 
 #: One token in so many is counted over all documents.
@@ -328,11 +328,32 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets)), pa.array(nodes)], ["token", "node"])
 
 
-def _alone(sets: DataFrame) -> DataFrame:
-    """``node, alone``: how many tokens of each set no other one of these sets has, where there are any. Exact."""
+#: Parts of the tokens, by hash, whose common ones are counted for each open set.
+PARTS = 64
+
+
+def _common(sets: DataFrame) -> DataFrame:
+    """``node, common, parts``: how many tokens of each set some other one of these sets has, altogether and by part. Exact.
+
+    Two sets share, in each part, at most the smaller of their counts there; so the sum of those bounds what they share, and the
+    more parts there are the closer it comes.
+    """
     tokens = sets.mapInArrow(_tokens, "token long, node long")
     single = tokens.groupBy("token").agg(F.count("*").alias("n"), F.min("node").alias("node")).where("n = 1")
-    return single.groupBy("node").agg(F.count("*").alias("alone"))
+    # as many as the set has tokens at most
+    alone = single.groupBy("node").agg(F.collect_list(F.pmod("token", F.lit(PARTS)).cast("int")).alias("alone"))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            told = []
+            for tokens, alone in zip(batch.column("tokens"), batch.column("alone")):
+                every = np.bincount(np.frombuffer(tokens.as_buffer(), np.int64) % PARTS, minlength=PARTS)
+                told.append(every - np.bincount(np.array(alone.as_py() or [], np.int64), minlength=PARTS))
+            counts = np.array(told, np.int32).reshape(-1, PARTS)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(told) + 1, dtype=np.int32) * PARTS), pa.array(counts.ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(counts.sum(1).astype(np.int64)), lists], ["node", "common", "parts"])
+
+    return sets.join(alone, "node", "left").mapInArrow(count, "node long, common long, parts array<int>")
 
 
 #: Rows of a key that are compared with its others, round by round; the last round takes all that are left.
@@ -347,7 +368,8 @@ def jaccard_links(texts: DataFrame, described: DataFrame, width: int, share: int
     The rows of one key are a star first: the smallest set against all others. Where that leaves a key's sets in
     several components, the tokens of these open sets are counted, all of them and exactly. A token that one open set
     has alone cannot be shared with another, so what a set has besides bounds its intersections: sets that can reach the
-    share with no other are done, and pairs that cannot are passed over. Then sets of each key, those with the least
+    share with no other are done, and pairs that cannot are passed over, in the last round also by what they have in common
+    part by part (see :func:`_common`). Then sets of each key, those with the least
     share of such tokens first and others by hash, are compared with those of other components, more each round, and
     at last all sets of different components. So no link between components is lost, and inside a component none is
     needed: of many near copies of one text, few pairs are looked at before they hang together.
@@ -364,6 +386,7 @@ def jaccard_links(texts: DataFrame, described: DataFrame, width: int, share: int
     rows = stage(buckets.select("key", F.col("b").alias("node"), F.col("nb").alias("n")).union(buckets.select("key", "a", "na").distinct()), "join-rows")
     tested, sets = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), None
     for turn, heads in enumerate(HEADS):
+        release(rows.sparkSession)
         placed = rows.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
         placed = stage(placed, "join-placed")
         mixed = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("key")
@@ -371,20 +394,27 @@ def jaccard_links(texts: DataFrame, described: DataFrame, width: int, share: int
         if sets is None:
             prefixes = _prefixes(described, stage(rows.select("node").distinct(), "join-nodes"))
             sets = _sets(texts, prefixes.select("node"), width)
-            rows = rows.join(stage(_alone(sets), "join-alone"), "node", "left").withColumn("common", F.col("n") - F.coalesce("alone", F.lit(0))).drop("alone")
+            common = stage(_common(sets), "join-common")
+            rows = rows.join(common.select("node", "common"), "node")
             rows = stage(rows.where(f"100 * common >= {share} * n"), "join-open")
             told = rows.groupBy("node").agg(F.slice(F.sort_array(F.collect_set("key")), 1, TOLD).alias("keys"))
             rows = stage(rows.join(told, "node"), "join-open")
-        x = rows.select("key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"), F.col("common").alias("ca"), F.col("keys").alias("ka"))
-        y = rows.select("key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"), F.col("common").alias("cb"), F.col("keys").alias("kb"))
+        sides = rows if heads else rows.join(common.select("node", "parts"), "node")
+
+        def side(name: str) -> DataFrame:
+            told = {"n": "n", "root": "r", "common": "c", "keys": "k", "parts": "p"}
+            return sides.select("key", F.col("node").alias(name), *[F.col(c).alias(told[c] + name) for c in sides.columns if c in told])
+
+        x, y = side("a"), side("b")
         if heads:
             first = F.col("na") / F.col("ca") if turn == 0 else F.xxhash64("a", F.lit(turn))
             x = x.withColumn("place", F.row_number().over(Window.partitionBy("key").orderBy(first, "a"))).where(F.col("place") <= heads)
         # the intersection is at most what both have in common with any other, and at most the smaller set
         most = "least(ca, cb, na, nb)"
         fits = f"ra <> rb and 100 * {most} >= {share} * (na + nb - {most})"
-        if not heads:  # each pair once, under the first of the keys that both have
-            fits = f"a < b and {fits} and key <= coalesce(array_min(array_intersect(ka, kb)), key)"
+        if not heads:  # each pair once, under the first of the keys that both have, if its parts allow it
+            both = "aggregate(zip_with(pa, pb, (x, y) -> least(x, y)), 0, (s, x) -> s + x)"
+            fits = f"a < b and {fits} and key <= coalesce(array_min(array_intersect(ka, kb)), key) and 100 * {both} >= {share} * (na + nb - {both})"
         apart = x.join(y, "key").where(fits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         pairs = stage(apart.join(tested, ["a", "b"], "left_anti"), "join-pairs")
         rows = rows.drop("root")
@@ -405,13 +435,18 @@ def jaccard_components(docs: DataFrame, width: int = 3, share: int = 90) -> Data
     is the smallest ``doc_id`` reachable over links, the row's own included; ``root`` numbers the component and
     ``node`` the set. Rows without words link with nothing and have a null root.
 
+    ``share`` is 50 or more: keys are made for a set's own size class and the next, which hold all sets that can link with it.
+
     Equal sets are one node, and only nodes are joined. Null ids: such rows take part; a component of null ids alone
     has a null ``component_id``. Repeated ids are rows of their own. No rows: no rows. Other columns are left out.
     """
+    if not 50 <= share <= 100:
+        raise ValueError(f"a share of 50 to 100 per cent is supported, not {share}")
     texts = docs.select(col("doc_id").alias("doc_id"), F.coalesce(col("text"), F.lit("")).alias("text"))
     filters = docs.sparkSession.sparkContext.broadcast(token_filters(texts, width))
     kind = texts.schema["doc_id"].dataType.simpleString()
     described = stage(texts.mapInArrow(_described(width, share, filters), f"doc_id {kind}, node long, n long, prefix array<long>"), "join-sets")
+    filters.destroy()
     roots = components(jaccard_links(texts, described, width, share))
     nodes = described.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
     rooted = stage(nodes.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root")), "join-roots")

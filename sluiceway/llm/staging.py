@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import gc
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,6 +25,15 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Have the driver let go of what finished queries leave behind: plans, broadcasts and the records of their shuffles.
+
+    Spark's cleaner follows the garbage collector, which an idle heap seldom calls; many jobs in a row fill it first.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def col(name: str) -> Column:
     """A top-level column, whatever characters its name has."""
     return F.col(quoted(name))
