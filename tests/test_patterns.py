@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from sluiceway import load_messages, stream_append, stream_load
+from sluiceway import load_messages, read_appended, stream_append, stream_load
 from sluiceway.functions import StreamSpec
 
 from .conftest import day, lines, record, rows, schema, state, write_log
@@ -54,6 +54,6 @@ def test_append_stream(spark, tmp_path, denormalized):
     spec = StreamSpec("wide", {"properties": WIDE}, ("id",))
     out = str(tmp_path / "out")
     stream_append(spark, str(tmp_path / "in" / "*"), spec, {"denormalized": denormalized}, out, str(tmp_path / "cp"), 1, clock=lambda: day(1)).awaitTermination()
-    df = spark.read.parquet(out)
+    df = read_appended(spark, out)
     key = "id" if denormalized else "variant_get(data, '$.id', 'bigint')"
     assert rows(df.select(F.expr(key))) == [(i,) for i in sorted([*range(5), *range(3, 8)])]
