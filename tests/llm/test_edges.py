@@ -5,8 +5,10 @@ import hashlib
 import itertools
 import math
 import random
+import textwrap
 import zlib
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -20,6 +22,7 @@ from sluiceway.llm.maxent import score_texts
 from sluiceway.llm.mixing import mix
 from sluiceway.llm.ngram_join import jaccard_components, jaccard_join, one_of_each
 from sluiceway.llm.quality import score_quality
+from sluiceway.llm.queries import LINES_SQL, ORACLES
 from sluiceway.session import scratch_path
 
 SF = "/root/testdata/sf0.01"
@@ -93,6 +96,39 @@ def test_join_finds_every_link(spark, width, share):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i, (_, c) in want.items() if c == i)
 
 
+def test_join_of_near_copies_around_the_threshold(spark):
+    """A large group most of whose pairs lie just under the share: the links that there are have to be found."""
+    rng = random.Random(17)
+    base = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(160):
+        words = list(base)
+        for _ in range(rng.choice([0, 1, 1, 2, 2, 3])):
+            words[rng.randrange(60)] = rng.choice([f"x{rng.randrange(6)}", f"own{i}"])
+        rows.append((i, " ".join(words)))
+    want = components_by_hand(rows, 3, 90)
+    assert 5 < len({c for _, c in want.values()}) < 150
+    got = jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), 3, 90)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == want
+
+
+def test_join_refuses_a_share_it_cannot_keep(spark):
+    rows = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
+    for share in (0, 40, 49, 101):
+        with pytest.raises(ValueError, match="50 to 100"):
+            jaccard_components(rows, 3, share)
+
+
+@pytest.mark.parametrize("share", [50, 60])
+def test_join_at_small_shares(spark, share):
+    rng = random.Random(share)
+    words = [f"w{i}" for i in range(12)]
+    rows = [(i, " ".join(rng.choice(words[: 3 + i % 9]) for _ in range(rng.randrange(4, 24)))) for i in range(80)]
+    rows += [(100 + i, " ".join([*(f"z{j}" for j in range(17 + i)), *(f"q{i}{j}" for j in range(10))])) for i in range(6)]
+    got = jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 1, share)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == components_by_hand(rows, 1, share)
+
+
 def test_join_on_odd_rows(spark):
     found = jaccard_join(docs(spark, ODD)).collect()
     assert len(found) == len(ODD)
@@ -110,6 +146,25 @@ def test_licenses(spark):
     assert scan_licenses(docs(spark, [])).collect() == []
 
 
+def test_each_license_is_found_within_a_longer_text(spark):
+    from sluiceway.llm.licenses import TEMPLATES, bigrams_of
+    rows = []
+    for i, (name, text) in enumerate(TEMPLATES.items()):
+        wrapped = "\n\n".join("\n".join(textwrap.wrap(part, 72)) if "\n\n" in text else part for part in text.split("\n\n"))
+        rows.append((i, f"Some words before it.\nAnd more of them in a second line.\n\nCopyright (c) 2020 Somebody\n\n{wrapped}\n\nThe story goes on here\nfor a while.", "x"))
+    found = scan_licenses(docs(spark, rows)).collect()
+    for i, name in enumerate(TEMPLATES):
+        best = max((r for r in found if r.doc_id == i), key=lambda r: r.dice)
+        assert best.dice > 0.99 and name in {r.license for r in found if r.doc_id == i and r.dice > 0.99}, name
+    # the SQL twin on the same texts
+    duck = duckdb.connect()
+    duck.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    duck.executemany("INSERT INTO documents VALUES (?, ?)", [r[:2] for r in rows])
+    want = duck.execute(ORACLES["op3_licenses"]).fetchall()
+    assert sorted((r.doc_id, r.unit, r.unit_no, r.license, r.shared, r.unit_bigrams, r.template_bigrams) for r in found) == sorted(r[:7] for r in want)
+    assert all(bigrams_of(t) for t in TEMPLATES.values())
+
+
 def edits(item, text):
     """The least edit distance of an item to any substring, by the full matrix."""
     row = list(range(len(item) + 1))
@@ -228,6 +283,10 @@ def test_lines_of_a_passage_in_short_lines(spark):
     found = {r.doc_id: (r.text, r.lines_removed) for r in dedup_lines(docs(spark, [(i, t, "x") for i, t in enumerate(texts)])).collect()}
     for i, gone in enumerate(plain_line_spans(texts)):
         assert found[i] == ("\n".join(x for j, x in enumerate(texts[i].split("\n")) if j not in gone), len(gone))
+    duck = duckdb.connect()  # the SQL twin on the same texts
+    duck.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    duck.executemany("INSERT INTO documents VALUES (?, ?)", list(enumerate(texts)))
+    assert {i: (t, n) for i, t, n in duck.execute(LINES_SQL).fetchall()} == found
     whole = [not set(p) & set(found[3 * k + c][0].split("\n")) for k, p in enumerate(passages) for c in (1, 2)]
     assert sum(whole) >= 0.9 * len(whole)
 
@@ -356,6 +415,34 @@ def test_quality_on_held_out_labels(spark):
     assert len(odd) == len(ODD) and {r.score for r in odd} == {0.5}
 
 
+def test_quality_scores_by_plain_rules(spark):
+    """The compiled column against rules and weights applied one by one, also to odd texts."""
+    from sluiceway.llm import quality
+    table = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    model = quality.fit_rules(table, labels, trees=4, depth=3)
+    assert model.rules and len(model.rules) == len(model.weights)
+    odd = docs(spark, [(100_000 + i if d is not None else None, t, s) for i, (d, t, s) in enumerate(ODD)]).withColumn("score", F.lit("clash"))
+    every = table.union(odd.select("doc_id", "text"))
+    want = collections.Counter()
+    for r in quality.with_statistics(every).collect():
+        total = model.intercept
+        for rule, weight in zip(model.rules, model.weights):
+            if all((r["__q_" + n] <= at) == most for n, most, at in rule):
+                total += weight
+        want[r.doc_id, round(1 / (1 + math.exp(-total)), 9)] += 1
+    got = score_quality(table.union(odd.select("doc_id", "text")), labels, trees=4, depth=3).collect()
+    assert collections.Counter((r.doc_id, round(r.score, 9)) for r in got) == want
+    held = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 4 == 2
+    assert all(r.predicted == (r.score >= 0.7) and r.held_out == (r.doc_id is not None and held(r.doc_id)) for r in got)
+    assert score_quality(table.limit(0), labels).collect() == [] and score_quality(odd, labels).columns[-3:] == ["held_out", "score", "predicted"]
+
+
+def test_empty_documents_leak_nothing(spark):
+    bench = spark.createDataFrame([(1, "a benchmark item of some length")], "item_id long, text string")
+    assert find_leaks(docs(spark, []), bench).collect() == [] and decontaminate(docs(spark, []), bench).collect() == []
+
+
 def test_language_model(spark):
     table = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").union(docs(spark, ODD).select("doc_id", "text"))
     rows = table.collect()
@@ -377,6 +464,52 @@ def test_language_model(spark):
     assert score_texts(table.limit(0)).collect() == []
 
 
+def test_language_model_scores_by_a_plain_program(spark):
+    """Each token's chance, class and word, from the model's parameters; and the chances of all words sum to 1."""
+    from sluiceway.llm import maxent
+    from sluiceway.llm.textops import word_hash
+    rng = random.Random(12)
+    words = [f"{rng.choice('abcdefgh')}{i}{rng.choice(['ing', 'tion', 'er', 'x'])}" for i in range(150)]
+    said = [" ".join(rng.choice(words[: 20 + i % 130]) for _ in range(rng.randrange(1, 30))) for i in range(200)]
+    rows = [(i, t) for i, t in enumerate([*said, *said[:60], None, "", "never Seen words", said[0].upper()])]
+    table = spark.createDataFrame([(*r, 1, "x") for r in rows], "doc_id long, text string, key long, pair string")
+    train = table.where(~maxent.held_out(F.col("doc_id")))
+    model, vocabulary, after = maxent.fit_model(train.select("text"))
+    counts = {r.h: r.n for r in vocabulary.collect()}
+    tied = {(r.pair, r.cls, r.h): (r.lam, r.extra) for r in after.collect()}
+    extras = {k[:2]: v[1] for k, v in tied.items()}
+    assert len(tied) > 50 and any(abs(v[0]) > 0.5 for v in tied.values())
+    known = {h: int(model.scheme.classes(np.array([h], np.int64).view(np.uint64), np.array([r], np.uint32))[0]) for h, r in ((r.h, r.tail) for r in vocabulary.collect())}
+    signed = lambda x: int(np.array([x], np.uint64).view(np.int64)[0])
+
+    def within(pair, cls, h):
+        share = (counts.get(h, 0) + 1) / 10 ** model.class_log[cls]
+        lam = tied.get((pair, cls, h), (0.0, 0.0))[0]
+        return share * math.exp(lam) / (1 + extras.get((pair, cls), 0.0))
+
+    for pair, cls in list(extras)[:25]:
+        everything = sum(within(pair, cls, h) for h, c in known.items() if c == cls)
+        unseen = 1 / 10 ** model.class_log[cls] / (1 + extras[pair, cls]) if cls > maxent.ALONE else 0.0
+        assert everything + unseen == pytest.approx(1, abs=1e-9)
+
+    def score(text):
+        tails = [int.from_bytes(w[::-1][:3].ljust(3, b"\0"), "big") for w in (text or "").lower().encode().split()]
+        h = np.array([*word_hash(text or ""), signed(maxent._END)], np.int64).view(np.uint64)
+        classes = model.scheme.classes(h, np.array([*tails, 0], np.uint32))
+        start = np.array([0])
+        log = maxent.log_chances(model.weights.astype(np.float64), maxent.feature_rows(maxent._contexts(classes, start)))
+        assert np.exp(log).sum(1) == pytest.approx(np.ones(len(h)))
+        pairs = maxent.word_pairs(h, start)
+        chances = (within(signed(p), int(c), signed(x)) for p, c, x in zip(pairs, classes, h))
+        return sum(log[i, c] / math.log(10) + math.log10(w) for i, (c, w) in enumerate(zip(classes, chances)))
+
+    for r in score_texts(table).collect():
+        assert r.score == pytest.approx(score(rows[r.doc_id][1]), rel=1e-4), r
+    twins = [r.score / r.n_tokens for r in score_texts(table).where("doc_id < 60 and not held_out and n_tokens > 5").collect()]
+    alone = [r.score / r.n_tokens for r in score_texts(table).where("doc_id between 60 and 199 and not held_out and n_tokens > 5").collect()]
+    assert np.mean(twins) > np.mean(alone) + 0.1
+
+
 def test_archives(spark):
     nasty = ["hi\r\n\r\n", "hi\r\n\r\n", "\r\n\r\r\n\r\n\r", None, "", "WARC/1.1\r\n\r\n", "é\r\n\r", "x" * 300_000]
     rows = [(i, f"http://www.b.org/{i % 2}?q" if i % 3 else None, h) for i, h in enumerate(nasty)] + [(5, "http://a.org\n", nasty[5]), (None, "?", nasty[5])]
