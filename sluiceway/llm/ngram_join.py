@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,12 +13,14 @@ from pyspark.sql import types as T
 
 from sluiceway.llm.components import components
 from sluiceway.llm.staging import col, release, stage, without
-from sluiceway.llm.textops import mix, shingle_sets
-
-#: One token in so many is counted over all documents.
-COUNTED = 4
-#: Counted tokens that a filter is made for, its bits (4 MB), and how often heavier ones occur.
-LISTED, TOKEN_BITS, HEAVIER = 1 << 22, 1 << 25, 16
+from sluiceway.llm.textops import mix, shingle_sets, text_buffer
+
+#: Tokens are counted by their first 36 bits: those of the block that counts them, and 24 within it.
+BLOCK_BITS, CELL_BITS = 12, 24
+#: Tokens of a batch that are put into blocks at once.
+DEALT = 1 << 21
+#: Tokens that a filter is made for, its bits (4 MB), how often heavier ones occur, and the bits of theirs.
+LISTED, TOKEN_BITS, HEAVIER, HEAVIER_BITS = 1 << 24, 1 << 25, 16, 1 << 23
 #: Frequent tokens are combined within hash groups of about this many tokens of a prefix.
 GROUP_TOKENS = 6
 
@@ -56,24 +59,60 @@ def holds(flags: np.ndarray, values: np.ndarray) -> np.ndarray:
     return (bit(first) & bit(second)).astype(bool)
 
 
+def _cells(tokens: np.ndarray) -> np.ndarray:
+    """What tokens are counted by; two share a cell with a chance of 2**-36, which affects their order only."""
+    return tokens >> np.uint64(64 - BLOCK_BITS - CELL_BITS)
+
+
+def _binary(cuts: np.ndarray, width: int, data: np.ndarray) -> pa.Array:
+    """Runs of items of so many bytes, cut at item numbers."""
+    return pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer((cuts * width).astype(np.int32)), pa.py_buffer(data.tobytes())])
+
+
+def _in_blocks(width: int):
+    """Function of tasks: a row for each block, with the cells of a batch's tokens, three bytes each, and how many texts have them."""
+
+    def deal(sets: list[np.ndarray]) -> pa.RecordBatch:
+        cells, n = np.unique(_cells(np.concatenate(sets)), return_counts=True)
+        cuts = np.searchsorted(cells, np.arange((1 << BLOCK_BITS) + 1, dtype=np.uint64) << np.uint64(CELL_BITS))
+        some = np.flatnonzero(np.diff(cuts))
+        cuts = np.append(cuts[some], len(cells))
+        low = cells.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3]
+        return pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), _binary(cuts, 3, low), _binary(cuts, 4, n.astype(np.uint32))], ["block", "cells", "n"])
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held, sets = 0, []
+            for _, s in shingle_sets(batch.column("text"), width):
+                sets.append(s)
+                held += len(s)
+                if held >= DEALT:
+                    yield deal(sets)
+                    held, sets = 0, []
+            if held:
+                yield deal(sets)
+
+    return emit
+
+
+def _block_counts(block: pa.Table) -> pa.Table:
+    """The cells of a block that several texts have, and how many."""
+    low = np.frombuffer(b"".join(block.column("cells").to_pylist()), np.uint8).reshape(-1, 3).astype(np.int64)
+    cells, at = np.unique(low[:, 0] | low[:, 1] << 8 | low[:, 2] << 16, return_inverse=True)
+    n = np.bincount(at, np.frombuffer(b"".join(block.column("n").to_pylist()), np.uint32)).astype(np.int64)
+    first = block.column("block")[0].as_py() << CELL_BITS
+    return pa.table([pa.array(cells[n > 1] + first), pa.array(n[n > 1])], ["cell", "n"])
+
+
 def token_filters(texts: DataFrame, width: int) -> tuple[bytes, bytes]:
-    """Filters of tokens that several documents have, and of those that very many have.
+    """Filters of tokens that several documents have, and of those that very many have, by cell.
 
-    Counts are exact, over all documents, for one token in ``COUNTED`` by hash; tasks add theirs up first. The
+    Every token of every document is counted: tasks pack the cells of a batch by block, and each block is added up on its own. The
     least count is 2, or as much more as leaves ``LISTED`` tokens. Any filters give the same links: they only say in what order a
     set's tokens are taken, which is worth most where tokens of one document come first.
     """
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            parts = [s[s % np.uint64(COUNTED) == 0] for _, s in shingle_sets(batch.column("text"), width)]
-            if parts:
-                token, n = np.unique(np.concatenate(parts), return_counts=True)
-                for i in range(0, len(token), 200_000):
-                    yield pa.RecordBatch.from_arrays([pa.array(token[i : i + 200_000].view(np.int64)), pa.array(n[i : i + 200_000].astype(np.int32))], ["token", "n"])
-
-    counts = texts.select("text").mapInArrow(count, "token long, n int").groupBy("token").agg(F.sum("n").alias("n")).where("n > 1")
-    counts = stage(counts, "join-counts")
+    dealt = texts.select("text").mapInArrow(_in_blocks(width), "block int, cells binary, n binary")
+    counts = stage(dealt.groupBy("block").applyInArrow(_block_counts, "cell long, n long"), "join-counts")
     step = F.floor(F.log2("n") * 8).cast("int")
     steps = sorted(((r["s"], r["count"]) for r in counts.groupBy(step.alias("s")).count().collect()), reverse=True)
     least, listed = 1 << 30, 0
@@ -81,17 +120,17 @@ def token_filters(texts: DataFrame, width: int) -> tuple[bytes, bytes]:
         if listed + n > LISTED:
             break
         least, listed = s, listed + n
-    several = counts.where(step >= least).select("token")
-    many = counts.where(step >= least).where(F.col("n") >= 2 * HEAVIER).where(step >= least + 8).select("token")
-    return bloom(several, TOKEN_BITS), bloom(many, TOKEN_BITS)
+    several = counts.where(step >= least).select("cell")
+    many = counts.where(step >= least).where(F.col("n") >= 2 * HEAVIER).where(step >= least + 8).select("cell")
+    return bloom(several, TOKEN_BITS), bloom(many, HEAVIER_BITS)
 
 
 def ordered(tokens: np.ndarray, several: np.ndarray, many: np.ndarray) -> np.ndarray:
-    """Tokens as numbers in the common order: counted and rare, not counted, in several documents, in very many; then by hash."""
-    band = np.ones(len(tokens), np.uint64)
-    at = np.flatnonzero(tokens % np.uint64(COUNTED) == 0)
-    known = tokens[at]
-    band[at] = np.where(holds(several, known), np.where(holds(many, known), 3, 2), 0)
+    """Tokens as numbers in the common order: of one document, of several, of very many; then by hash."""
+    cells = _cells(tokens)
+    band = np.zeros(len(tokens), np.uint64)
+    at = np.flatnonzero(holds(several, cells))
+    band[at] = np.where(holds(many, cells[at]), 3, 2)
     return np.sort(tokens >> np.uint64(2) | band << np.uint64(62))
 
 
@@ -152,8 +191,15 @@ def node_of(tokens: np.ndarray) -> int:
     return int(mix(np.array([both], np.uint64)).view(np.int64)[0])
 
 
+def _text_keys(column) -> np.ndarray:
+    """A checksum and the length of each text: equal texts have equal keys, others seldom."""
+    raw, offsets = text_buffer(column)
+    sums = [zlib.crc32(raw[a:b]) for a, b in zip(offsets[:-1], offsets[1:])]
+    return np.array(sums, np.int64) << 31 ^ np.diff(offsets)
+
+
 def _described(width: int, share: int, filters):
-    """Function of tasks: each row's set as a number, its size and, at the first of equal sets of a batch, its prefix."""
+    """Function of tasks: each row's set as a number, its size, its text's key and, at the first of equal sets of a batch, its prefix."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         several, many = (np.frombuffer(f, np.uint8) for f in filters.value)
@@ -172,7 +218,8 @@ def _described(width: int, share: int, filters):
                 parts.append(longest.view(np.int64))
             bounds = np.concatenate([[0], np.cumsum([len(k) for k in parts])]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), lists], ["doc_id", "node", "n", "prefix"])
+            keys = pa.array(_text_keys(batch.column("text")))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), keys, lists], ["doc_id", "node", "n", "text_key", "prefix"])
 
     return emit
 
@@ -251,16 +298,17 @@ FILTER_BITS = 1 << 23
 
 
 def _candidate_sets(width: int, bits: bytes):
-    """Function of tasks: the tokens of sets that pass the filter, equal sets once a batch."""
+    """Function of tasks: the tokens of sets whose texts pass the filter, equal sets once a batch."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flags = np.frombuffer(bits, np.uint8)
         for batch in batches:
             found: dict[int, bytes] = {}
             held = 0
-            for _, s in shingle_sets(batch.column("text"), width):
+            hit = holds(flags, _text_keys(batch.column("text")).view(np.uint64))
+            for _, s in shingle_sets(batch.column("text").filter(pa.array(hit)), width):
                 node = node_of(s)
-                if len(s) and node not in found and holds(flags, np.array([node], np.int64).view(np.uint64))[0]:
+                if len(s) and node not in found:
                     found[node] = s.tobytes()
                     held += s.nbytes
                     if held > 8 << 20:
@@ -312,9 +360,10 @@ def _prefixes(described: DataFrame, nodes: DataFrame) -> DataFrame:
     return stage(known.join(nodes, "node", "left_semi").dropDuplicates(["node"]), "join-prefixes")
 
 
-def _sets(texts: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
-    """The whole sets of some nodes, in a pass over all texts that sends little else."""
-    near = texts.mapInArrow(_candidate_sets(width, bloom(nodes, FILTER_BITS)), "node long, tokens binary")
+def _sets(texts: DataFrame, described: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
+    """The whole sets of some nodes, in a pass over all texts that takes one text of each node apart, and few others."""
+    one = described.select("node", "text_key").join(nodes, "node", "left_semi").groupBy("node").agg(F.min("text_key").alias("text_key"))
+    near = texts.mapInArrow(_candidate_sets(width, bloom(one.select("text_key"), FILTER_BITS)), "node long, tokens binary")
     return stage(near.join(nodes, "node", "left_semi").dropDuplicates(["node"]), "join-tokens")
 
 
@@ -328,15 +377,16 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets)), pa.array(nodes)], ["token", "node"])
 
 
-#: Parts of the tokens, by hash, whose common ones are counted for each open set.
-PARTS = 64
+#: Parts of the tokens, by hash, whose common ones are counted for each open set, and 64-bit words of marks of all its tokens.
+PARTS, MARKS = 64, 8
 
 
 def _common(sets: DataFrame) -> DataFrame:
-    """``node, common, parts``: how many tokens of each set some other one of these sets has, altogether and by part. Exact.
+    """``node, common, parts, m0…``: how many tokens of each set some other one of these sets has, altogether and by part, and marks.
 
-    Two sets share, in each part, at most the smaller of their counts there; so the sum of those bounds what they share, and the
-    more parts there are the closer it comes.
+    Exact. Two sets share, in each part, at most the smaller of their counts there; so the sum of those bounds what they share, and
+    the more parts there are the closer it comes. Each token sets one bit of the marks; a bit that one set has
+    and the other lacks stands for a token, at least, that they do not share, which costs next to nothing to tell.
     """
     tokens = sets.mapInArrow(_tokens, "token long, node long")
     single = tokens.groupBy("token").agg(F.count("*").alias("n"), F.min("node").alias("node")).where("n = 1")
@@ -345,16 +395,21 @@ def _common(sets: DataFrame) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            told = []
-            for tokens, alone in zip(batch.column("tokens"), batch.column("alone")):
+            told, marks = [], np.zeros((batch.num_rows, 64 * MARKS), bool)
+            for k, (tokens, alone) in enumerate(zip(batch.column("tokens"), batch.column("alone"))):
+                marks[k, mix(np.frombuffer(tokens.as_buffer(), np.uint64)) % np.uint64(64 * MARKS)] = True
                 every = np.bincount(np.frombuffer(tokens.as_buffer(), np.int64) % PARTS, minlength=PARTS)
                 told.append(every - np.bincount(np.array(alone.as_py() or [], np.int64), minlength=PARTS))
             counts = np.array(told, np.int32).reshape(-1, PARTS)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(told) + 1, dtype=np.int32) * PARTS), pa.array(counts.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(counts.sum(1).astype(np.int64)), lists], ["node", "common", "parts"])
+            words = np.packbits(marks, axis=1).view(np.int64).reshape(-1, MARKS)
+            columns = [batch.column("node"), pa.array(counts.sum(1).astype(np.int64)), lists, *[pa.array(words[:, k].copy()) for k in range(MARKS)]]
+            yield pa.RecordBatch.from_arrays(columns, ["node", "common", "parts", *_MARKS])
+
+    return sets.join(alone, "node", "left").mapInArrow(count, "node long, common long, parts array<int>, " + ", ".join(f"{m} long" for m in _MARKS))
 
-    return sets.join(alone, "node", "left").mapInArrow(count, "node long, common long, parts array<int>")
 
+_MARKS = [f"m{k}" for k in range(MARKS)]
 
 #: Rows of a key that are compared with its others, round by round; the last round takes all that are left.
 HEADS = (4, 16, None)
@@ -362,14 +417,14 @@ HEADS = (4, 16, None)
 TOLD = 32
 
 
-def jaccard_links(texts: DataFrame, described: DataFrame, width: int, share: int) -> DataFrame:
-    """Links ``(a, b)`` between sets (as numbers), enough for their exact components.
+def jaccard_roots(texts: DataFrame, described: DataFrame, width: int, share: int) -> DataFrame:
+    """``(node, root)`` of linked sets (as numbers): their exact components, by links enough for those.
 
     The rows of one key are a star first: the smallest set against all others. Where that leaves a key's sets in
     several components, the tokens of these open sets are counted, all of them and exactly. A token that one open set
     has alone cannot be shared with another, so what a set has besides bounds its intersections: sets that can reach the
-    share with no other are done, and pairs that cannot are passed over, in the last round also by what they have in common
-    part by part (see :func:`_common`). Then sets of each key, those with the least
+    share with no other are done, and pairs that cannot are passed over, in the last round also by marks of their tokens and
+    by what they have in common part by part (see :func:`_common`). Then sets of each key, those with the least
     share of such tokens first and others by hash, are compared with those of other components, more each round, and
     at last all sets of different components. So no link between components is lost, and inside a component none is
     needed: of many near copies of one text, few pairs are looked at before they hang together.
@@ -381,40 +436,43 @@ def jaccard_links(texts: DataFrame, described: DataFrame, width: int, share: int
     # sizes further apart cannot reach the share; na is the smaller
     stars = stage(buckets.where(f"100 * na >= {share} * nb").select("a", "b").distinct(), "join-stars")
     hopeful = _hopeful_pairs(stars, _prefixes(described, _nodes(stars)), share)
-    links = _linked_pairs(hopeful, _sets(texts, stage(_nodes(hopeful), "join-nodes"), width), share)
+    links = _linked_pairs(hopeful, _sets(texts, described, stage(_nodes(hopeful), "join-nodes"), width), share)
 
     rows = stage(buckets.select("key", F.col("b").alias("node"), F.col("nb").alias("n")).union(buckets.select("key", "a", "na").distinct()), "join-rows")
-    tested, sets = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), None
+    tested, sets, roots = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), None, None
     for turn, heads in enumerate(HEADS):
         release(rows.sparkSession)
-        placed = rows.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
+        roots = roots or components(links)
+        placed = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         placed = stage(placed, "join-placed")
         mixed = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("key")
         rows = stage(placed.join(mixed, "key", "left_semi"), "join-open")
         if sets is None:
             prefixes = _prefixes(described, stage(rows.select("node").distinct(), "join-nodes"))
-            sets = _sets(texts, prefixes.select("node"), width)
+            sets = _sets(texts, described, prefixes.select("node"), width)
             common = stage(_common(sets), "join-common")
             rows = rows.join(common.select("node", "common"), "node")
             rows = stage(rows.where(f"100 * common >= {share} * n"), "join-open")
             told = rows.groupBy("node").agg(F.slice(F.sort_array(F.collect_set("key")), 1, TOLD).alias("keys"))
             rows = stage(rows.join(told, "node"), "join-open")
-        sides = rows if heads else rows.join(common.select("node", "parts"), "node")
+        sides = rows if heads else rows.join(common.select("node", "parts", *_MARKS), "node")
 
         def side(name: str) -> DataFrame:
-            told = {"n": "n", "root": "r", "common": "c", "keys": "k", "parts": "p"}
+            told = {"n": "n", "root": "r", "common": "c", "keys": "k", "parts": "p"} | {m: m for m in _MARKS}
             return sides.select("key", F.col("node").alias(name), *[F.col(c).alias(told[c] + name) for c in sides.columns if c in told])
 
         x, y = side("a"), side("b")
         if heads:
             first = F.col("na") / F.col("ca") if turn == 0 else F.xxhash64("a", F.lit(turn))
             x = x.withColumn("place", F.row_number().over(Window.partitionBy("key").orderBy(first, "a"))).where(F.col("place") <= heads)
-        # the intersection is at most what both have in common with any other, and at most the smaller set
-        most = "least(ca, cb, na, nb)"
-        fits = f"ra <> rb and 100 * {most} >= {share} * (na + nb - {most})"
-        if not heads:  # each pair once, under the first of the keys that both have, if its parts allow it
+        # the intersection is at most what both have in common with any other, and at most the smaller set; no bound stands twice
+        # in the condition, for Spark would work out such a one before all tests that come first
+        enough = f">= {share} * (na + nb)"
+        fits = f"ra <> rb and {100 + share} * least(ca, cb, na, nb) {enough}"
+        if not heads:  # each pair once, under the first of the keys that both have, if its marks and parts allow it
+            lacking = [f"{100 + share} * (n{x} - {' - '.join(f'bit_count({m}{x} & ~{m}{y})' for m in _MARKS)}) {enough}" for x, y in ("ab", "ba")]
             both = "aggregate(zip_with(pa, pb, (x, y) -> least(x, y)), 0, (s, x) -> s + x)"
-            fits = f"a < b and {fits} and key <= coalesce(array_min(array_intersect(ka, kb)), key) and 100 * {both} >= {share} * (na + nb - {both})"
+            fits = f"a < b and {fits} and {' and '.join(lacking)} and key <= coalesce(array_min(array_intersect(ka, kb)), key) and {100 + share} * {both} {enough}"
         apart = x.join(y, "key").where(fits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         pairs = stage(apart.join(tested, ["a", "b"], "left_anti"), "join-pairs")
         rows = rows.drop("root")
@@ -422,9 +480,12 @@ def jaccard_links(texts: DataFrame, described: DataFrame, width: int, share: int
             if heads is None or rows.isEmpty():
                 break
             continue
-        links = stage(links.union(_linked_pairs(_hopeful_pairs(pairs, prefixes, share), sets, share)), "join-links")
+        found = _linked_pairs(_hopeful_pairs(pairs, prefixes, share), sets, share)
         tested = tested.union(pairs)
-    return links
+        if not found.isEmpty():
+            # the roots stand for the links they come from
+            links, roots = stage(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(found), "join-links"), None
+    return roots or components(links)
 
 
 def jaccard_components(docs: DataFrame, width: int = 3, share: int = 90) -> DataFrame:
@@ -445,9 +506,10 @@ def jaccard_components(docs: DataFrame, width: int = 3, share: int = 90) -> Data
     texts = docs.select(col("doc_id").alias("doc_id"), F.coalesce(col("text"), F.lit("")).alias("text"))
     filters = docs.sparkSession.sparkContext.broadcast(token_filters(texts, width))
     kind = texts.schema["doc_id"].dataType.simpleString()
-    described = stage(texts.mapInArrow(_described(width, share, filters), f"doc_id {kind}, node long, n long, prefix array<long>"), "join-sets")
+    described = stage(texts.mapInArrow(_described(width, share, filters), f"doc_id {kind}, node long, n long, text_key long, prefix array<long>"), "join-sets")
     filters.destroy()
-    roots = components(jaccard_links(texts, described, width, share))
+    release(docs.sparkSession)
+    roots = jaccard_roots(texts, described, width, share)
     nodes = described.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
     rooted = stage(nodes.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root")), "join-roots")
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))

@@ -10,6 +10,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -129,6 +130,33 @@ def test_join_at_small_shares(spark, share):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == components_by_hand(rows, 1, share)
 
 
+def test_join_counts_every_token(spark):
+    """The order of a set's tokens comes from counts of all of them: two texts share these, the third has its own."""
+    from sluiceway.llm import ngram_join
+    from sluiceway.llm.textops import shingle_sets
+
+    shared, alone = (" ".join(f"{x}{i}" for i in range(400)) for x in ("both", "own"))
+    texts = spark.createDataFrame([(shared + " a",), (shared + " b",), (alone,)], "text string").repartition(3)
+    several, many = (np.frombuffer(f, np.uint8) for f in ngram_join.token_filters(texts, 3))
+    bands = [ngram_join.ordered(s, several, many) >> np.uint64(62) for _, s in shingle_sets(pa.array([shared, alone]), 3)]
+    assert (bands[0] == 2).all() and (bands[1] == 0).mean() > 0.98
+
+
+def test_join_bounds_of_open_sets(spark):
+    """Marks never allow less than what two sets share, and tell large sets apart."""
+    from sluiceway.llm import ngram_join
+
+    rng = np.random.default_rng(5)
+    pool = rng.integers(1, 1 << 62, 700)
+    sets = [np.unique(rng.choice(pool, n)) for n in (3, 80, 300, 300, 600, 600)]
+    rows = ngram_join._common(spark.createDataFrame([(k, bytearray(t.tobytes())) for k, t in enumerate(sets)], "node long, tokens binary")).collect()
+    marks = {r["node"]: [r[f"m{k}"] % (1 << 64) for k in range(ngram_join.MARKS)] for r in rows}
+    for a, b in itertools.permutations(range(len(sets)), 2):
+        lacking = sum((x & ~y).bit_count() for x, y in zip(marks[a], marks[b]))
+        assert len(np.intersect1d(sets[a], sets[b])) <= len(sets[a]) - lacking
+        assert lacking > 0 or min(len(sets[a]), len(sets[b])) < 200
+
+
 def test_join_on_odd_rows(spark):
     found = jaccard_join(docs(spark, ODD)).collect()
     assert len(found) == len(ODD)
