@@ -686,3 +686,13 @@ def test_key_order_in_a_message_does_not_matter(spark, database):
     turned = ['{"record":{"id":"bad","name":"x"},"stream":"people","type":"RECORD"}', '{"record":{"name":"y","id":5},"stream":"people","type":"RECORD"}']
     [result], _ = load(spark, database, people() + turned, fail_fast=False)
     assert (result.rows, result.rejected) == (1, 1) and names(spark, database) == [(5, "y")]
+
+
+def test_partitions_are_written_without_sorting_a_task(spark, tmp_path):
+    """A task writes a few partitions side by side; those beyond are sorted, and no row is lost."""
+    from sluiceway.session import prepare_session
+
+    prepare_session(spark)
+    assert int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")) > 0
+    spark.range(1000).selectExpr("id", "id % 9 AS part").coalesce(1).write.partitionBy("part").parquet(f"{tmp_path}/out")
+    assert sorted((r.id, r.part) for r in spark.read.parquet(f"{tmp_path}/out").collect()) == [(i, i % 9) for i in range(1000)]
