@@ -30,7 +30,7 @@ def components(links: DataFrame) -> DataFrame:
         small = joined.where("u <> m").select(F.col("u").alias("v"), F.col("m").alias("u")).union(low.select(F.col("w").alias("v"), F.col("m").alias("u")))
         small = stage(small.where("v <> u").distinct(), "star")
         # done when every node hangs on one root and no root hangs on anything
-        roots = small.select(F.col("u").alias("v")).distinct()
-        if small.join(roots, "v", "left_semi").isEmpty() and small.groupBy("v").count().where("count > 1").isEmpty():
+        ends = small.select("v", F.lit(1).alias("hangs"), F.lit(0).alias("holds")).union(small.select("u", F.lit(0), F.lit(1)))
+        if ends.groupBy("v").agg(F.sum("hangs").alias("hangs"), F.max("holds").alias("holds")).where("hangs > 1 or hangs = 1 and holds = 1").isEmpty():
             return small.select(F.col("v").alias("node"), F.col("u").alias("root"))
         edges = small

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluiceway.llm.staging import col, quoted, stage, without
+from sluiceway.llm.staging import col, quoted, release, stage, without
 from sluiceway.llm.textops import SLICE, text_buffer, word_slices
 
 #: Most labelled rows that the rules are fitted on (those of smallest id hash).
@@ -183,6 +183,7 @@ def fit_rules(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS
     rules = rules_of(forest.toDebugString)
     if not rules:
         return RuleModel((), (), math.log((good + 1) / (every - good + 1)))
+    release(docs.sparkSession)  # a forest and a logistic model are a hundred jobs
     held = F.array(*[condition(r).cast("double") for r in rules])
     lasso_model = LogisticRegression(featuresCol="__rules", labelCol="__label", elasticNetParam=1.0, regParam=lasso, maxIter=40).fit(
         told.select("__label", array_to_vector(held).alias("__rules"))
@@ -200,6 +201,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHO
     columns named like an output column are replaced.
     """
     model = fit_rules(docs, labels, **fit)
+    release(docs.sparkSession)
     base = without(docs, OUTPUT)
     scored = with_statistics(base)
     return scored.select(
