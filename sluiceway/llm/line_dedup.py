@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluiceway.llm.staging import WORD, col, numbered, quoted, stage, without
+from sluiceway.llm.staging import WORD, col, discard, numbered, quoted, release, stage, without
 
 #: A line of at least so many words is a chunk of its own: its content alone sets both its boundaries.
 LONG_LINE = 8
@@ -77,7 +77,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, long_line: int = LO
     short line that many documents share (a heading, a greeting) therefore stays, and so does a passage's first copy.
     Every row stays: a text of nothing but repeats becomes empty.
 
-    Only functions of Spark run. A passage in a third of all documents is counted before the shuffle and
+    Only functions of Spark run. Each step is staged, and what only it read is deleted then. A passage in a third of all documents is counted before the shuffle and
     found again by joins that adaptive execution can split. Null text: stays null. Null ids sort first. Repeated rows:
     the later ones repeat the first. Chunks without words never count as repeats. No rows: no rows. A column named
     ``lines_removed`` is replaced.
@@ -100,13 +100,17 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, long_line: int = LO
     by_row = marks.groupBy("__uid").agg(F.sort_array(F.collect_list(F.struct("pos", "hash"))).alias("marks"))
     by_row = by_row.join(kept.select("__uid", "__words", _room(long_line).alias("__room")), "__uid")
     runs = stage(_own(by_row, ("long", _long_runs(min_words))).where(F.size("long") > 0).select("__uid", "long"), "lines-runs")
+    release(docs.sparkSession)
     wanted = runs.select(F.inline(F.transform("long", lambda x: F.struct(x["hash"].alias("hash"), x["edge"].alias("edge")))))
     wanted = wanted.groupBy("hash").agg(F.max("edge").alias("edge"))
     heads = repeated.join(wanted, "hash").select(F.col("head.uid").alias("__uid"), F.col("head.pos").alias("pos"), "edge")
     asked = runs.select("__uid", F.inline(F.transform("long", lambda x: F.struct(x["pos"].alias("pos"), x["edge"].alias("edge"))))).union(heads)
     asked = asked.groupBy("__uid", "pos").agg(F.max("edge").alias("edge")).groupBy("__uid").agg(F.collect_list(F.struct("pos", "edge")).alias("asked"))
+    # a row for each of many texts: joined by a shuffle at any size, so that no executor holds the table whole
+    asked = stage(asked, "lines-asked")
+    discard(told, runs)
 
-    texts = kept.select(col("doc_id"), "__uid", "__chunks", "__starts", "__w").join(asked, "__uid")
+    texts = kept.select(col("doc_id"), "__uid", "__chunks", "__starts", "__w").join(asked.hint("merge"), "__uid")
     edged = F.exists("asked", lambda m: m["edge"])
     texts = _own(
         texts,
@@ -114,6 +118,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, long_line: int = LO
         ("__worded", F.when(edged, F.filter(F.sequence(F.lit(0), F.size("__w") - 1), lambda i: F.get("__w", i) > 0))),
     )
     texts = stage(texts.select("doc_id", "__uid", F.inline(F.transform("asked", lambda m: _asked(m, min_words)))), "lines-texts")
+    discard(asked)
     sides = F.struct(*place_fields, "above", "below")
     equal = texts.groupBy("chunk").agg(F.min(sides).alias("head"))
     later = texts.join(equal, "chunk").where((F.col("__uid") != F.col("head.uid")) | (F.col("pos") != F.col("head.pos")))
@@ -121,8 +126,9 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, long_line: int = LO
     later = later.select("__uid", F.coalesce(first, "first").alias("first"), F.coalesce(last, "last").alias("last"))
     before = F.max("last").over(Window.partitionBy("__uid").orderBy("first", "last").rowsBetween(Window.unboundedPreceding, -1))
     spans = later.select("__uid", "first", "last", before.alias("before"))
-    spans = spans.groupBy("__uid").agg(F.sort_array(F.collect_list(F.struct("first", "last", "before"))).alias("__spans"))
-    joined = _own(kept.join(spans, "__uid", "left"), ("__gone", _gone(min_words)))
+    spans = stage(spans.groupBy("__uid").agg(F.sort_array(F.collect_list(F.struct("first", "last", "before"))).alias("__spans")), "lines-spans")
+    discard(texts)
+    joined = _own(kept.join(spans.hint("merge"), "__uid", "left"), ("__gone", _gone(min_words)))
     lines = F.split(F.array_join("__chunks", "\n"), "\n", -1)
     joined = _own(joined, ("__lines", F.when(F.size("__gone") > 0, lines)))
 

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import itertools
 import math
+import pathlib
 import random
 import textwrap
 import zlib
@@ -606,3 +607,19 @@ def test_pipeline_stages(spark, tmp_path):
     digest = hashlib.sha256(repr(sorted(map(tuple, before.collect()))).encode()).hexdigest()
     again = hashlib.sha256(repr(sorted(map(tuple, corpus_pipeline.run(spark, SF).collect()))).encode()).hexdigest()
     assert digest == again
+
+
+def _staged(spark, label):
+    from sluiceway.session import scratch_root
+    return {p.name for p in pathlib.Path(scratch_root(spark)).glob(f"{label}-*")}
+
+
+def test_lines_leave_no_steps_behind(spark):
+    """What only an earlier step read is deleted; the texts and the spans to take out are read by the result."""
+    before = _staged(spark, "lines")
+    passage = " ".join(f"w{i}" for i in range(60))
+    rows = [(i, f"head {i}\n{passage}\ntail {i}") for i in range(6)]
+    found = dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    left = sorted(p.rsplit("-", 1)[0] for p in _staged(spark, "lines") - before)
+    assert left == ["lines-docs", "lines-spans"]
+    assert {r.doc_id: r.text for r in found.collect()} == {0: rows[0][1], **{i: f"head {i}\ntail {i}" for i in range(1, 6)}}
