@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sluiceway.llm.ngram_join import bloom, holds
-from sluiceway.llm.staging import col, numbered, stage
+from sluiceway.llm.staging import col, discard, numbered, release, stage
 from sluiceway.llm.textops import mix, word_slices
 
 #: Classes: the end, so many frequent words each alone, and for all others so many frequent endings (three bytes) each
@@ -25,9 +25,11 @@ SENT_WORDS = 1 << 18
 #: Gradient updates, and the strength of the Gaussian prior in counts.
 UPDATES, PRIOR = 24, 3.0
 
-#: Of the pairs of words before a token, one in so many (by hash) is a feature of the word; what is taken off its counts, the strength of
-#: the prior of its weights, their gradient updates, and the bits of the filter that keeps what can have a weight.
-ONE_IN, DISCOUNT, WORD_PRIOR, WORD_UPDATES, PAIR_BITS = 8, 0.5, 0.5, 1, 1 << 25
+#: The pair of words before a token is a feature of the word: what is taken off its counts, the strength of the prior of its
+#: weights, their gradient updates, and the bits of the filter that keeps what can have a weight.
+DISCOUNT, WORD_PRIOR, WORD_UPDATES, PAIR_BITS = 0.5, 0.5, 1, 1 << 25
+#: Tokens that a task adds up at once.
+ADDED = 1 << 20
 
 _END = np.uint64(0x5851F42D4C957F2D)  # the hash that stands for the end of a text
 _BEGIN, _ONE, _TWO = np.uint64(0x9FB21C651E98DF25), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
@@ -169,31 +171,36 @@ def count_events(texts: DataFrame, scheme: Scheme) -> DataFrame:
 
 
 def count_pairs(texts: DataFrame, scheme: Scheme) -> DataFrame:
-    """``pair, cls, h, n``: how often each word follows a pair of words that is a feature and occurs more than once.
+    """``pair, cls, h, n``: how often each word follows a pair of words that occurs more than once.
 
-    Tasks add up what a batch holds; rows are dealt by pair then, which serves both sums. As many rows as the corpus has, without
-    a bound.
+    Every token of every text counts. Tasks add up ``ADDED`` tokens at a time; rows are dealt by pair then, which serves both sums. As
+    many rows as the corpus has, without a bound.
     """
 
+    def summed(told: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
+        pairs, h, c = (np.concatenate(x) for x in zip(*told))
+        _, at, n = np.unique(weight_keys(pairs, c, h)[1], return_index=True, return_counts=True)
+        for i in range(0, len(at), 200_000):
+            j, m = at[i : i + 200_000], n[i : i + 200_000]
+            columns = [pa.array(pairs[j].view(np.int64)), pa.array(c[j].astype(np.int32)), pa.array(h[j].view(np.int64)), pa.array(m)]
+            yield pa.RecordBatch.from_arrays(columns, ["pair", "cls", "h", "n"])
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            told = []
+            told, held = [], 0
             for _, bounds, h, tails in _token_slices(batch.column(0)):
-                pairs = word_pairs(h, bounds[:-1])
-                some = np.flatnonzero(pairs % np.uint64(ONE_IN) == 0)
-                told.append((pairs[some], h[some], scheme.classes(h, tails)[some]))
+                told.append((word_pairs(h, bounds[:-1]), h, scheme.classes(h, tails)))
+                held += len(h)
+                if held >= ADDED:
+                    yield from summed(told)
+                    told, held = [], 0
             if told:
-                pairs, h, c = (np.concatenate(x) for x in zip(*told))
-                _, at, n = np.unique(weight_keys(pairs, c, h)[1], return_index=True, return_counts=True)
-                for i in range(0, len(at), 200_000):
-                    j, m = at[i : i + 200_000], n[i : i + 200_000]
-                    columns = [pa.array(pairs[j].view(np.int64)), pa.array(c[j].astype(np.int32)), pa.array(h[j].view(np.int64)), pa.array(m)]
-                    yield pa.RecordBatch.from_arrays(columns, ["pair", "cls", "h", "n"])
+                yield from summed(told)
 
     dealt = texts.select("text").mapInArrow(count, "pair long, cls int, h long, n long").repartition("pair")
-    summed = dealt.groupBy("pair", "cls", "h").agg(F.sum("n").alias("n"))
+    words = dealt.groupBy("pair", "cls", "h").agg(F.sum("n").alias("n"))
     total = F.sum("n").over(Window.partitionBy("pair"))
-    return summed.withColumn("all", total).where("all > 1").drop("all")
+    return words.withColumn("all", total).where("all > 1").drop("all")
 
 
 def train_words(counted: DataFrame, vocabulary: DataFrame, sizes: np.ndarray, updates: int = WORD_UPDATES) -> DataFrame:
@@ -202,26 +209,22 @@ def train_words(counted: DataFrame, vocabulary: DataFrame, sizes: np.ndarray, up
     Within class c, after a pair of words, a word has the chance b * exp(lam) / (1 + extra): b is its share of the class, lam its
     weight (0 without one), and extra the sum of b * (exp(lam) - 1) over the words that have one, so chances sum to 1. Counts less
     ``DISCOUNT`` are what the weights should make the model expect. They begin where model and counts are mixed evenly;
-    each update is a gradient step over all words, scaled by a bound of the curvature: sums by pair and class that combine
-    before the shuffle, joined back. The table grows with the corpus, and the driver sees nothing of it.
+    each update is a gradient step over all words, scaled by a bound of the curvature. Rows are dealt by pair once, and all sums are
+    over the rows of one pair and class. The table grows with the corpus, and the driver sees nothing of it.
     """
     size = F.get(F.array(*[F.lit(float(x)) for x in np.maximum(sizes, 1)]), F.col("cls"))
     words = counted.join(vocabulary.select("h", F.col("n").alias("c")), "h")
     target = F.greatest(F.col("n") - F.lit(DISCOUNT), F.lit(0.0))
-    table = stage(words.select("pair", "cls", "h", target.alias("n"), ((F.col("c") + 1.0) / size).alias("b")), "lm-pairs")
-    seen = table.groupBy("pair", "cls").agg(F.sum("n").alias("seen"))
-    table = stage(table.join(seen, ["pair", "cls"]).withColumn("lam", F.log1p(F.col("n") / (F.col("seen") * F.col("b")))), "lm-weights")
-
-    def normalised(rows: DataFrame) -> DataFrame:
-        extra = rows.groupBy("pair", "cls").agg(F.sum(F.col("b") * F.expm1("lam")).alias("extra"))
-        return rows.join(extra, ["pair", "cls"])
-
+    of_class = Window.partitionBy("pair", "cls")
+    table = words.select("pair", "cls", "h", target.alias("n"), ((F.col("c") + 1.0) / size).alias("b")).repartition("pair")
+    table = table.withColumn("seen", F.sum("n").over(of_class)).withColumn("lam", F.log1p(F.col("n") / (F.col("seen") * F.col("b"))))
+    extra = F.sum(F.col("b") * F.expm1("lam")).over(of_class)
     for _ in range(updates):
-        rows = normalised(table)
+        table = table.withColumn("extra", extra)
         expected = F.col("seen") * F.col("b") * F.exp("lam") / (1 + F.col("extra"))
         step = (F.col("n") - expected - WORD_PRIOR * F.col("lam")) / (F.greatest(expected, "n") + WORD_PRIOR)
-        table = stage(rows.withColumn("lam", F.col("lam") + step).drop("extra"), "lm-weights")
-    return normalised(table).select("pair", "cls", "h", "lam", "extra")
+        table = table.withColumn("lam", F.col("lam") + step)
+    return table.withColumn("extra", extra).select("pair", "cls", "h", "lam", "extra")
 
 
 def train_weights(events: DataFrame, updates: int = UPDATES) -> np.ndarray:
@@ -310,8 +313,12 @@ def fit_model(texts: DataFrame) -> tuple[Model, DataFrame, DataFrame]:
     size[1 + ALONE :] += 1  # a word not seen in training; classes of one word have none
     events = stage(count_events(texts, scheme).repartition(8, "context"), "lm-events")
     weights = train_weights(events)
-    after = stage(train_words(stage(count_pairs(texts, scheme), "lm-counted"), vocabulary, size), "lm-after")
-    known = bloom(after.select("pair").distinct(), PAIR_BITS)
+    discard(events)
+    counted = stage(count_pairs(texts, scheme), "lm-counted")
+    release(texts.sparkSession)
+    after = stage(train_words(counted, vocabulary, size), "lm-after")
+    discard(counted)
+    known = bloom(after.select("pair"), PAIR_BITS)
     return Model(scheme, words, counts, weights, np.log10(np.maximum(size, 1)), int(total), int(kinds), known), vocabulary, after
 
 
@@ -321,7 +328,7 @@ def score_texts(docs: DataFrame) -> DataFrame:
     Tokens are a text's words (A-Z lower-cased) and one end. ``base_score`` sums log10((c + 1) / (N + V + 1)) over
     tokens, with c, N and V counted over all training documents. ``score`` is the model's log10 probability: of a
     token's class given the two classes before, by a softmax over bias, bigram, skip and hashed trigram features, times that of the
-    token within its class, by a softmax whose weights are those of words after hashed pairs of words (see :func:`train_words`) and
+    token within its class, by a softmax whose weights are those of words after pairs of words (see :func:`train_words`) and
     whose base is the token's share, (c + 1) of the class's counts, kinds and one unseen word. Frequent words are a class each.
 
     Learned from documents that are not held out: word counts, class events and words after pairs, of all of them, then gradient
@@ -334,7 +341,8 @@ def score_texts(docs: DataFrame) -> DataFrame:
     """
     spark: SparkSession = docs.sparkSession
     base = docs.select(col("doc_id").alias("doc_id"), F.coalesce(col("text"), F.lit("")).alias("text"))
-    model, vocabulary, after = fit_model(base.where(~held_out(F.col("doc_id"))).select("text"))
+    base = base.withColumn("apart", held_out(F.col("doc_id")))
+    model, vocabulary, after = fit_model(base.where(~F.col("apart")).select("text"))
     sent = spark.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -356,21 +364,23 @@ def score_texts(docs: DataFrame) -> DataFrame:
                 rest = np.flatnonzero(~here)
                 cuts = np.searchsorted(rest, bounds).astype(np.int32)
                 pairs = word_pairs(h, starts)
-                tied = np.flatnonzero(pairs % np.uint64(ONE_IN) == 0)
-                tied = tied[holds(np.frombuffer(m.pairs, np.uint8), pairs[tied])]
-                keys = np.stack(weight_keys(pairs[tied], c[tied], h[tied]), axis=1).ravel()
-                ties = 2 * np.searchsorted(tied, bounds).astype(np.int32)
+                tied = np.flatnonzero(holds(np.frombuffer(m.pairs, np.uint8), pairs))
                 n = np.diff(bounds)
                 part = batch.slice(first, len(starts))
+                # after a pair that was learned from, every word of the text has a weight there; only words apart need the class too
+                apart = tied[np.repeat(np.array(part.column("apart").to_pylist(), bool), n)[tied]]
+                keys = np.concatenate([weight_keys(pairs[tied], c[tied], h[tied])[1], weight_keys(pairs[apart], c[apart], h[apart])[0]])
+                keys = keys[np.argsort(np.concatenate([tied, apart]), kind="stable")]
+                ties = (np.searchsorted(tied, bounds) + np.searchsorted(apart, bounds)).astype(np.int32)
                 sums = np.add.reduceat(own, starts)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column("doc_id"), pa.array(n.astype(np.int64)), pa.array(np.add.reduceat(here.astype(np.int64), starts)),
+                        part.column("doc_id"), part.column("apart"), pa.array(n.astype(np.int64)), pa.array(np.add.reduceat(here.astype(np.int64), starts)),
                         pa.array(sums - n * unseen_base), pa.array(sums + np.add.reduceat(chance, starts)),
                         pa.ListArray.from_arrays(pa.array(cuts), pa.array(h[rest].view(np.int64))),
                         pa.ListArray.from_arrays(pa.array(ties), pa.array(keys.view(np.int64))),
                     ],
-                    ["doc_id", "n_tokens", "known", "base", "model", "rest", "keys"],
+                    ["doc_id", "apart", "n_tokens", "known", "base", "model", "rest", "keys"],
                 )
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -378,20 +388,23 @@ def score_texts(docs: DataFrame) -> DataFrame:
             pairs, h = (batch.column(c).to_numpy().view(np.uint64) for c in ("pair", "h"))
             of_class, of_word = weight_keys(pairs, batch.column("cls").to_numpy(), h)
             lam, extra = batch.column("lam").to_numpy(), batch.column("extra").to_numpy()
-            keys, values = np.concatenate([of_class, of_word]), np.concatenate([-np.log10(1 + extra), lam / np.log(10)])
-            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(values)], ["key", "gain"])
+            weight, normaliser = lam / np.log(10), -np.log10(1 + extra)
+            keys, inner = np.concatenate([of_class, of_word]), np.concatenate([normaliser, weight])
+            columns = [pa.array(keys.view(np.int64)), pa.array(inner), pa.array(np.concatenate([normaliser, weight + normaliser]))]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "inner", "whole"])
 
-    fields = f"doc_id {base.schema['doc_id'].dataType.simpleString()}, n_tokens long, known long, base double, model double, rest array<long>, keys array<long>"
+    fields = f"doc_id {base.schema['doc_id'].dataType.simpleString()}, apart boolean, n_tokens long, known long, base double, model double, rest array<long>, keys array<long>"
     told = stage(numbered(base.mapInArrow(score, fields), "uid"), "lm-scores")
     rare = told.select("uid", F.explode("rest").alias("h")).join(vocabulary.select("h", "n"), "h")
     found = rare.groupBy("uid").agg(F.count("*").alias("more"), F.sum(F.log10(F.col("n") + 1.0)).alias("gain"))
     # a normaliser stands once for each word of its class
-    weights = after.mapInArrow(keyed, "key long, gain double").groupBy("key").agg(F.max("gain").alias("gain"))
-    tied = told.select("uid", F.explode("keys").alias("key")).join(weights, "key").groupBy("uid").agg(F.sum("gain").alias("tied"))
+    weights = after.mapInArrow(keyed, "key long, inner double, whole double").groupBy("key").agg(F.max("inner").alias("inner"), F.max("whole").alias("whole"))
+    tied = told.select("uid", "apart", F.explode("keys").alias("key")).join(weights, "key")
+    tied = tied.groupBy("uid").agg(F.sum(F.when(F.col("apart"), F.col("inner")).otherwise(F.col("whole"))).alias("tied"))
     gain = F.coalesce("gain", F.lit(0.0))
     return told.drop("rest", "keys").join(found, "uid", "left").join(tied, "uid", "left").select(
         "doc_id",
-        held_out(F.col("doc_id")).alias("held_out"),
+        F.col("apart").alias("held_out"),
         "n_tokens",
         (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"),
         F.lit(model.total).cast("long").alias("train_tokens"),

@@ -623,3 +623,22 @@ def test_lines_leave_no_steps_behind(spark):
     left = sorted(p.rsplit("-", 1)[0] for p in _staged(spark, "lines") - before)
     assert left == ["lines-docs", "lines-spans"]
     assert {r.doc_id: r.text for r in found.collect()} == {0: rows[0][1], **{i: f"head {i}\ntail {i}" for i in range(1, 6)}}
+
+
+
+def test_language_model_counts_words_after_every_pair(spark):
+    """All pairs that occur more than once, and each word after them; also where a task adds up its tokens in parts."""
+    from sluiceway.llm import maxent
+    from sluiceway.llm.textops import word_hash
+    rng = random.Random(5)
+    said = [" ".join(rng.choice("abcdefg") for _ in range(rng.randrange(40))) for _ in range(30)]
+    scheme = maxent.Scheme(np.zeros(0, np.uint64), np.zeros(0, np.uint32))
+    end, plain = int(np.array([maxent._END]).view(np.int64)[0]), collections.Counter()
+    for text in said:
+        h = np.array([*word_hash(text), end], np.int64).view(np.uint64)
+        plain.update(zip(maxent.word_pairs(h, np.array([0])).view(np.int64).tolist(), h.view(np.int64).tolist()))
+    often = collections.Counter()
+    for (pair, _), n in plain.items():
+        often[pair] += n
+    found = maxent.count_pairs(spark.createDataFrame([(t,) for t in said], "text string"), scheme).collect()
+    assert {(r.pair, r.h): r.n for r in found} == {k: n for k, n in plain.items() if often[k[0]] > 1}
