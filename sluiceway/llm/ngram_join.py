@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluiceway.llm.components import components
-from sluiceway.llm.staging import col, release, stage, without
+from sluiceway.llm.staging import col, discard, release, stage, without
 from sluiceway.llm.textops import mix, shingle_sets, text_buffer
 
 #: Tokens are counted by their first 36 bits: those of the block that counts them, and 24 within it.
@@ -122,7 +122,9 @@ def token_filters(texts: DataFrame, width: int) -> tuple[bytes, bytes]:
         least, listed = s, listed + n
     several = counts.where(step >= least).select("cell")
     many = counts.where(step >= least).where(F.col("n") >= 2 * HEAVIER).where(step >= least + 8).select("cell")
-    return bloom(several, TOKEN_BITS), bloom(many, HEAVIER_BITS)
+    filters = bloom(several, TOKEN_BITS), bloom(many, HEAVIER_BITS)
+    discard(counts)
+    return filters
 
 
 def ordered(tokens: np.ndarray, several: np.ndarray, many: np.ndarray) -> np.ndarray:
@@ -435,10 +437,16 @@ def jaccard_roots(texts: DataFrame, described: DataFrame, width: int, share: int
     )
     # sizes further apart cannot reach the share; na is the smaller
     stars = stage(buckets.where(f"100 * na >= {share} * nb").select("a", "b").distinct(), "join-stars")
-    hopeful = _hopeful_pairs(stars, _prefixes(described, _nodes(stars)), share)
-    links = _linked_pairs(hopeful, _sets(texts, described, stage(_nodes(hopeful), "join-nodes"), width), share)
-
     rows = stage(buckets.select("key", F.col("b").alias("node"), F.col("nb").alias("n")).union(buckets.select("key", "a", "na").distinct()), "join-rows")
+    discard(buckets)
+    prefixes = _prefixes(described, _nodes(stars))
+    hopeful = _hopeful_pairs(stars, prefixes, share)
+    discard(prefixes)
+    nodes = stage(_nodes(hopeful), "join-nodes")
+    sets = _sets(texts, described, nodes, width)
+    links = _linked_pairs(hopeful, sets, share)
+    discard(hopeful, nodes, sets)
+
     tested, sets, roots = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), None, None
     for turn, heads in enumerate(HEADS):
         release(rows.sparkSession)
@@ -447,6 +455,7 @@ def jaccard_roots(texts: DataFrame, described: DataFrame, width: int, share: int
         placed = stage(placed, "join-placed")
         mixed = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("key")
         rows = stage(placed.join(mixed, "key", "left_semi"), "join-open")
+        discard(placed)
         if sets is None:
             prefixes = _prefixes(described, stage(rows.select("node").distinct(), "join-nodes"))
             sets = _sets(texts, described, prefixes.select("node"), width)

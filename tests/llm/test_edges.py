@@ -625,6 +625,14 @@ def test_lines_leave_no_steps_behind(spark):
     assert {r.doc_id: r.text for r in found.collect()} == {0: rows[0][1], **{i: f"head {i}\ntail {i}" for i in range(1, 6)}}
 
 
+def test_join_leaves_no_counts_behind(spark):
+    before = _staged(spark, "join")
+    texts = [" ".join(f"w{i}" for i in range(40)) + tail for tail in ("", " x", " y", "")]
+    found = jaccard_components(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r.component_id for r in found} == {0}
+    left = {p.rsplit("-", 1)[0] for p in _staged(spark, "join") - before}
+    assert "join-sets" in left and not left & {"join-counts", "join-buckets", "join-hopeful", "join-placed"}
+
 
 def test_language_model_counts_words_after_every_pair(spark):
     """All pairs that occur more than once, and each word after them; also where a task adds up its tokens in parts."""
