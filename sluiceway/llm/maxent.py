@@ -10,9 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sluiceway.llm.ngram_join import bloom, holds
 from sluiceway.llm.staging import col, discard, numbered, release, stage
-from sluiceway.llm.textops import mix, word_slices
+from sluiceway.llm.textops import mix, text_buffer, word_slices
 
 #: Classes: the end, so many frequent words each alone, and for all others so many frequent endings (three bytes) each
 #: alone, the rest of the endings by hash.
@@ -26,8 +25,11 @@ SENT_WORDS = 1 << 18
 UPDATES, PRIOR = 24, 3.0
 
 #: The pair of words before a token is a feature of the word: what is taken off its counts, the strength of the prior of its
-#: weights, their gradient updates, and the bits of the filter that keeps what can have a weight.
-DISCOUNT, WORD_PRIOR, WORD_UPDATES, PAIR_BITS = 0.5, 0.5, 1, 1 << 25
+#: weights, and their gradient updates.
+DISCOUNT, WORD_PRIOR, WORD_UPDATES = 0.5, 0.5, 1
+#: Pairs are dealt to blocks by the first bits of their hashes, and blocks are learned from and looked up in so many turns; only one
+#: turn's tokens are on disk at a time.
+BLOCK_BITS, TURNS = 12, 4
 #: Tokens that a task adds up at once.
 ADDED = 1 << 20
 
@@ -114,11 +116,12 @@ class Model:
     scheme: Scheme
     words: np.ndarray  # sorted hashes of words whose counts are here
     counts: np.ndarray
+    classes: np.ndarray
     weights: np.ndarray
-    class_log: np.ndarray  # log10 of each class's count, kinds and one unseen word together
+    class_log: np.ndarray  # log10 of sizes
     total: int  # N
     kinds: int  # V
-    pairs: bytes  # a filter of the pairs of words that have weights
+    sizes: np.ndarray  # each class's count, kinds and one unseen word together
 
 
 def count_words(texts: DataFrame) -> DataFrame:
@@ -280,7 +283,7 @@ def train_weights(events: DataFrame, updates: int = UPDATES) -> np.ndarray:
 
 def fit_model(texts: DataFrame) -> tuple[Model, DataFrame, DataFrame]:
     """The model, the counts of all training words (``h, tail, n``) and the weights of words (see :func:`train_words`); the latter two
-    stay tables."""
+    stay tables, and the weights are worked out only if asked for: scoring learns them block by block (see :func:`tied_gains`)."""
     vocabulary = stage(count_words(texts), "lm-words")
     total, kinds = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     # the least count at which no more than SENT_WORDS words are left, from a histogram of bounded size
@@ -291,10 +294,10 @@ def fit_model(texts: DataFrame) -> tuple[Model, DataFrame, DataFrame]:
         if held + n > SENT_WORDS:
             break
         least, held = s, held + n
-    often = vocabulary.where(step >= least).select("h", "n").toArrow()
+    often = vocabulary.where(step >= least).select("h", "tail", "n").toArrow()
     words = often.column("h").to_numpy().view(np.uint64)
     order = np.argsort(words)
-    words, counts = words[order], often.column("n").to_numpy()[order]
+    words, counts, last = words[order], often.column("n").to_numpy()[order], often.column("tail").to_numpy()[order].astype(np.uint32)
     rank = np.lexsort((words, -counts))
     alone = np.sort(words[[i for i in rank[: ALONE + 1] if words[i] != _END][:ALONE]])
     tails = vocabulary.where(F.col("tail") != 0).groupBy("tail").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "tail").limit(ENDINGS)
@@ -314,12 +317,244 @@ def fit_model(texts: DataFrame) -> tuple[Model, DataFrame, DataFrame]:
     events = stage(count_events(texts, scheme).repartition(8, "context"), "lm-events")
     weights = train_weights(events)
     discard(events)
-    counted = stage(count_pairs(texts, scheme), "lm-counted")
     release(texts.sparkSession)
-    after = stage(train_words(counted, vocabulary, size), "lm-after")
-    discard(counted)
-    known = bloom(after.select("pair"), PAIR_BITS)
-    return Model(scheme, words, counts, weights, np.log10(np.maximum(size, 1)), int(total), int(kinds), known), vocabulary, after
+    after = train_words(count_pairs(texts, scheme), vocabulary, size)
+    sizes = np.maximum(size, 1)
+    return Model(scheme, words, counts, scheme.classes(words, last), weights, np.log10(sizes), int(total), int(kinds), sizes), vocabulary, after
+
+
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys in order, where each stands, and which each of the given ones is."""
+    order = np.argsort(keys)
+    new = np.ones(len(keys), bool)
+    new[1:] = keys[order[1:]] != keys[order[:-1]]
+    at = np.empty(len(keys), np.int64)
+    at[order] = np.cumsum(new) - 1
+    return keys[order[new]], order[new], at
+
+
+def word_weights(pairs: np.ndarray, words: np.ndarray, c: np.ndarray, classes: np.ndarray, n: np.ndarray, sizes: np.ndarray, updates: int = WORD_UPDATES):
+    """:func:`train_words` for all words after some pairs, each word after a pair once: sorted keys of words after pairs and their log10
+    weights less normalisers, then sorted keys of classes after pairs and their normalisers. Pairs that occur once have none."""
+    _, _, at = _distinct(pairs)
+    some = np.flatnonzero(np.bincount(at, n)[at] > 1)
+    pairs, words, c, classes, n = (x[some] for x in (pairs, words, c, classes, n))
+    of_class, of_word = weight_keys(pairs, classes, words)
+    of_class, _, at = _distinct(of_class)
+    target = np.maximum(n - DISCOUNT, 0.0)
+    b, seen = (c + 1.0) / sizes[classes], np.bincount(at, target, len(of_class))[at]
+    lam = np.log1p(target / (seen * b))
+    extra = np.bincount(at, b * np.expm1(lam), len(of_class))
+    for _ in range(updates):
+        expected = seen * b * np.exp(lam) / (1 + extra[at])
+        lam = lam + (target - expected - WORD_PRIOR * lam) / (np.maximum(expected, target) + WORD_PRIOR)
+        extra = np.bincount(at, b * np.expm1(lam), len(of_class))
+    normaliser = -np.log10(1 + extra)
+    order = np.argsort(of_word)
+    return of_word[order], (lam / np.log(10) + normaliser[at])[order], of_class, normaliser
+
+
+#: Words after pairs, packed: the seven last bytes of the pair (the first is the block's), and a frequent word's number, or what is
+#: known of another word.
+_PAIR_BYTES, _CODE_BYTES = 7, 3
+_RARE = np.dtype([("h", "<u8"), ("c", "<i8"), ("cls", "<i2")])
+_PACKED = "block int, kind int, rare boolean, base long, pairs binary, words binary, told binary"
+_COUNTS, _TOKENS = 0, 1  # kinds: how often training texts have a word after a pair, and which texts have it
+
+
+def _bytes(values: np.ndarray, width: int) -> np.ndarray:
+    values = np.ascontiguousarray(values)
+    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize)[:, :width])
+
+
+def _numbers(raw: np.ndarray, width: int, kind: str) -> np.ndarray:
+    out = np.zeros((len(raw) // width, np.dtype(kind).itemsize), np.uint8)
+    out[:, :width] = raw.reshape(-1, width)
+    return out.view(kind).ravel()
+
+
+def _packed(kind: int, base: int, pairs: np.ndarray, words: np.ndarray, told: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """A row for each block: its pairs, words and what is told of them. ``words``: numbers of frequent words, or ``_RARE``."""
+    rare = words.dtype == _RARE
+    block = (pairs >> np.uint64(64 - BLOCK_BITS)).astype(np.int64)
+    if len(block) and (np.diff(block) < 0).any():
+        order = np.argsort(pairs)
+        block, pairs, words, told = block[order], pairs[order], words[order], told[order]
+    cuts = np.concatenate([np.flatnonzero(np.diff(block, prepend=-1)), [len(block)]])
+    blocks = block[cuts[:-1]]
+
+    def column(values: np.ndarray) -> pa.Array:
+        return pa.Array.from_buffers(pa.binary(), len(blocks), [None, pa.py_buffer((cuts * values.shape[1]).astype(np.int32)), pa.py_buffer(values)])
+
+    width = _RARE.itemsize if rare else _CODE_BYTES
+    columns = [column(_bytes(pairs, _PAIR_BYTES)), column(_bytes(words, width)), column(_bytes(told, told.dtype.itemsize))]
+    fixed = [pa.array(blocks.astype(np.int32)), pa.array(np.full(len(blocks), kind, np.int32)), pa.array(np.full(len(blocks), rare)), pa.array(np.full(len(blocks), base))]
+    if len(blocks):
+        yield pa.RecordBatch.from_arrays([*fixed, *columns], ["block", "kind", "rare", "base", "pairs", "words", "told"])
+
+
+def _counted(pairs: np.ndarray, ids: np.ndarray, words: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """What training texts have, each word after a pair once. ``ids`` tell words apart."""
+    low = np.uint64((1 << 64 - BLOCK_BITS) - 1)
+    order = np.argsort(pairs & ~low | mix(pairs * _TWO + ids) & low)  # by block; what is alike stands together
+    pairs, ids, words = pairs[order], ids[order], words[order]
+    new = np.ones(len(pairs), bool)
+    new[1:] = (pairs[1:] != pairs[:-1]) | (ids[1:] != ids[:-1])
+    at = np.flatnonzero(new)
+    yield from _packed(_COUNTS, 0, pairs[at], words[at], np.diff(at, append=len(pairs)).astype("<u4"))
+
+
+def _coded_tokens(batch: pa.RecordBatch, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Token offsets of the rows of scored texts, the numbers of their tokens, hashes, and pairs before."""
+    data, offsets = text_buffer(batch.column("codes"))
+    codes = _numbers(data[offsets[0] : offsets[-1]], _CODE_BYTES, "<u4")
+    bounds = (offsets - offsets[0]) // _CODE_BYTES
+    h = words[np.minimum(codes, len(words) - 1)] if len(words) else np.zeros(len(codes), np.uint64)
+    h[codes >= SENT_WORDS] = batch.column("rest").flatten().to_numpy().view(np.uint64)
+    return bounds, codes, h, word_pairs(h, bounds[:-1])
+
+
+def _pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with rows numbered without a gap and no more tokens than a task adds up at once, unless in a single row."""
+    uid, n = batch.column("uid").to_numpy(), batch.column("n_tokens").to_numpy()
+    rows = np.arange(len(uid))
+    part = np.stack([np.cumsum(n) // ADDED, uid - rows, rows >> 16])
+    cuts = [0, *(np.flatnonzero((np.diff(part) != 0).any(0)) + 1).tolist(), len(uid)]
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        if b > a:
+            yield batch.slice(a, b - a)
+
+
+def tied_gains(told: DataFrame, rare: DataFrame, sent, turn: int) -> DataFrame:
+    """``uid, tied``: what the weights of words after pairs add to each text's score, of the pairs whose turn it is.
+
+    ``told`` has the texts as numbers of words, ``rare`` the tokens whose words have no number with their counts. Tokens are dealt by
+    block of pairs, packed. A block's counts come first and are added up to what training has after its pairs, each word once; the
+    weights are learned from all of them (see :func:`word_weights`) and its tokens then looked up as they pass by. So a task holds one
+    block's distinct words after pairs, however often texts repeat them.
+    """
+
+    def due(pairs: np.ndarray) -> np.ndarray:
+        return (pairs >> np.uint64(64 - BLOCK_BITS)) % np.uint64(TURNS) == np.uint64(turn)
+
+    def often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in _pieces(batch):
+                bounds, codes, _, pairs = _coded_tokens(part, sent.value.words)
+                own = np.flatnonzero((codes < SENT_WORDS) & due(pairs))
+                row = (np.searchsorted(bounds, own, "right") - 1).astype("<u2")
+                learned = own[~np.array(part.column("apart").to_pylist(), bool)[row]]
+                yield from _counted(pairs[learned], codes[learned].astype(np.uint64), codes[learned])
+                yield from _packed(_TOKENS, part.column("uid")[0].as_py(), pairs[own], codes[own], row)
+
+    def seldom(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def pack(tables: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            table = pa.Table.from_batches(tables)
+            pairs, h = (table.column(c).to_numpy().view(np.uint64) for c in ("pair", "h"))
+            words = np.empty(len(h), _RARE)
+            words["h"], words["c"], words["cls"] = h, table.column("n").to_numpy(), table.column("cls").to_numpy()
+            learned = ~np.array(table.column("apart").to_pylist(), bool)
+            yield from _counted(pairs[learned], h[learned], words[learned])
+            yield from _packed(_TOKENS, 0, pairs, words, table.column("uid").to_numpy().astype("<i8"))
+
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch.filter(pa.array(due(batch.column("pair").to_numpy().view(np.uint64)))))
+            if sum(x.num_rows for x in held) >= ADDED:
+                yield from pack(held)
+                held = []
+        if held:
+            yield from pack(held)
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = sent.value
+        none = np.zeros(0, np.uint64), np.zeros(0), np.zeros(0, np.uint64), np.zeros(0)
+        block, counts, tokens, table, gains = None, [], [], None, []
+        held = {"counts": 0, "tokens": 0, "gains": 0}
+
+        def add_up() -> None:
+            pairs, words, c, classes, n = (np.concatenate(x) for x in zip(*counts))
+            _, at, back = _distinct(mix(pairs * _TWO + words))
+            counts[:] = [(pairs[at], words[at], c[at], classes[at], np.bincount(back, n))]
+            held["counts"] = 0
+
+        def look_up() -> None:
+            pairs, words, classes, uid = (np.concatenate(x) for x in zip(*tokens))
+            tokens.clear()
+            held["tokens"] = 0
+            of_word, weight, of_class, normaliser = table
+            if not len(of_word):
+                return
+            by_class, by_word = weight_keys(pairs, classes, words)
+            at, cls = np.minimum(np.searchsorted(of_word, by_word), len(of_word) - 1), np.minimum(np.searchsorted(of_class, by_class), len(of_class) - 1)
+            gain = np.where(of_word[at] == by_word, weight[at], np.where(of_class[cls] == by_class, normaliser[cls], 0.0))
+            gains.append((uid, gain))
+            held["gains"] += len(uid)
+
+        def summed() -> Iterator[pa.RecordBatch]:
+            uid, gain = (np.concatenate(x) for x in zip(*gains))
+            gains.clear()
+            held["gains"] = 0
+            uid, _, at = _distinct(uid)
+            yield pa.RecordBatch.from_arrays([pa.array(uid), pa.array(np.bincount(at, gain))], ["uid", "tied"])
+
+        def runs(batch: pa.RecordBatch) -> Iterator[tuple]:
+            """Rows of one block and kind together."""
+            raws = [text_buffer(batch.column(x)) for x in ("pairs", "words", "told")]
+            fixed = [batch.column(x).to_numpy(zero_copy_only=False).astype(np.int64) for x in ("block", "kind", "rare")]
+            base = batch.column("base").to_numpy()
+            cuts = [0, *(np.flatnonzero((np.diff(np.stack(fixed)) != 0).any(0)) + 1).tolist(), batch.num_rows]
+            for i, j in zip(cuts[:-1], cuts[1:]):
+                of, kind, rare_words = (int(x[i]) for x in fixed)
+                pairs, words, said = (raw[offsets[i] : offsets[j]] for raw, offsets in raws)
+                pairs = _numbers(pairs, _PAIR_BYTES, "<u8") | np.uint64(of >> BLOCK_BITS - 8 << 8 * _PAIR_BYTES)
+                if rare_words:
+                    known = words.view(_RARE)
+                    words, c, classes = known["h"], known["c"], known["cls"].astype(np.int64)
+                else:
+                    codes = _numbers(words, _CODE_BYTES, "<u4")
+                    words, c, classes = codes.astype(np.uint64), m.counts[codes], m.classes[codes]
+                if kind == _COUNTS:
+                    yield of, kind, (pairs, words, c, classes, said.view("<u4").astype(np.float64))
+                elif rare_words:
+                    yield of, kind, (pairs, words, classes, said.view("<i8"))
+                else:
+                    uid = np.repeat(base[i:j], np.diff(raws[0][1][i : j + 1]) // _PAIR_BYTES) + said.view("<u2")
+                    yield of, kind, (pairs, words, classes, uid)
+
+        for batch in batches:
+            for of, kind, items in runs(batch) if batch.num_rows else ():
+                if of != block:
+                    if tokens:
+                        look_up()
+                    block, table = of, None
+                    counts.clear()
+                    held["counts"] = 0
+                if kind == _COUNTS:
+                    counts.append(items)
+                    held["counts"] += len(items[0])
+                    if held["counts"] >= ADDED:
+                        add_up()
+                    continue
+                if table is None:
+                    if counts:
+                        add_up()
+                    table = word_weights(*counts[0], m.sizes) if counts else none
+                    counts.clear()
+                tokens.append(items)
+                held["tokens"] += len(items[0])
+                if held["tokens"] >= ADDED:
+                    look_up()
+                if held["gains"] >= ADDED:
+                    yield from summed()
+        if tokens:
+            look_up()
+        if gains:
+            yield from summed()
+
+    packed = told.select("uid", "apart", "n_tokens", "codes", "rest").mapInArrow(often, _PACKED).union(rare.mapInArrow(seldom, _PACKED))
+    settled = packed.repartition("block").sortWithinPartitions("block", "kind", "rare").mapInArrow(settle, "uid long, tied double")
+    return settled.groupBy("uid").agg(F.sum("tied").alias("tied"))
 
 
 def score_texts(docs: DataFrame) -> DataFrame:
@@ -332,9 +567,9 @@ def score_texts(docs: DataFrame) -> DataFrame:
     whose base is the token's share, (c + 1) of the class's counts, kinds and one unseen word. Frequent words are a class each.
 
     Learned from documents that are not held out: word counts, class events and words after pairs, of all of them, then gradient
-    updates over either. Counts of at most ``SENT_WORDS`` frequent words are sent to tasks; those of all others, and all weights
-    of words, come by a join on hashes, so vocabulary and n-grams grow with the corpus. A filter of fixed size keeps tokens
-    whose pair has no weight out of that join; full, it lets more through, which changes no score.
+    updates over either. Counts of at most ``SENT_WORDS`` frequent words are sent to tasks; those of all others come by a join on
+    hashes, and the weights of words are learned and looked up by block of pairs, ``TURNS`` of them one after another (see
+    :func:`tied_gains`), so vocabulary and n-grams grow with the corpus. Texts are kept as numbers of words meanwhile.
 
     Null or empty text: the end alone. Null ids learn. Repeated rows count again. Without training documents every
     count is 0. No rows: no rows. Other columns are left out, so they cannot clash.
@@ -342,7 +577,7 @@ def score_texts(docs: DataFrame) -> DataFrame:
     spark: SparkSession = docs.sparkSession
     base = docs.select(col("doc_id").alias("doc_id"), F.coalesce(col("text"), F.lit("")).alias("text"))
     base = base.withColumn("apart", held_out(F.col("doc_id")))
-    model, vocabulary, after = fit_model(base.where(~F.col("apart")).select("text"))
+    model, vocabulary, _ = fit_model(base.where(~F.col("apart")).select("text"))
     sent = spark.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -363,46 +598,44 @@ def score_texts(docs: DataFrame) -> DataFrame:
                 own = np.where(here, ones[at] if len(ones) else 0.0, 0.0)
                 rest = np.flatnonzero(~here)
                 cuts = np.searchsorted(rest, bounds).astype(np.int32)
-                pairs = word_pairs(h, starts)
-                tied = np.flatnonzero(holds(np.frombuffer(m.pairs, np.uint8), pairs))
                 n = np.diff(bounds)
                 part = batch.slice(first, len(starts))
-                # after a pair that was learned from, every word of the text has a weight there; only words apart need the class too
-                apart = tied[np.repeat(np.array(part.column("apart").to_pylist(), bool), n)[tied]]
-                keys = np.concatenate([weight_keys(pairs[tied], c[tied], h[tied])[1], weight_keys(pairs[apart], c[apart], h[apart])[0]])
-                keys = keys[np.argsort(np.concatenate([tied, apart]), kind="stable")]
-                ties = (np.searchsorted(tied, bounds) + np.searchsorted(apart, bounds)).astype(np.int32)
+                # the number of a frequent word; of others their class, which counts on from there
+                codes = _bytes(np.where(here, at, SENT_WORDS + c).astype("<u4"), _CODE_BYTES)
+                places = pa.py_buffer((bounds * _CODE_BYTES).astype(np.int32))
                 sums = np.add.reduceat(own, starts)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"), part.column("apart"), pa.array(n.astype(np.int64)), pa.array(np.add.reduceat(here.astype(np.int64), starts)),
                         pa.array(sums - n * unseen_base), pa.array(sums + np.add.reduceat(chance, starts)),
                         pa.ListArray.from_arrays(pa.array(cuts), pa.array(h[rest].view(np.int64))),
-                        pa.ListArray.from_arrays(pa.array(ties), pa.array(keys.view(np.int64))),
+                        pa.Array.from_buffers(pa.binary(), len(n), [None, places, pa.py_buffer(codes)]),
                     ],
-                    ["doc_id", "apart", "n_tokens", "known", "base", "model", "rest", "keys"],
+                    ["doc_id", "apart", "n_tokens", "known", "base", "model", "rest", "codes"],
                 )
 
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rare_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            pairs, h = (batch.column(c).to_numpy().view(np.uint64) for c in ("pair", "h"))
-            of_class, of_word = weight_keys(pairs, batch.column("cls").to_numpy(), h)
-            lam, extra = batch.column("lam").to_numpy(), batch.column("extra").to_numpy()
-            weight, normaliser = lam / np.log(10), -np.log10(1 + extra)
-            keys, inner = np.concatenate([of_class, of_word]), np.concatenate([normaliser, weight])
-            columns = [pa.array(keys.view(np.int64)), pa.array(inner), pa.array(np.concatenate([normaliser, weight + normaliser]))]
-            yield pa.RecordBatch.from_arrays(columns, ["key", "inner", "whole"])
-
-    fields = f"doc_id {base.schema['doc_id'].dataType.simpleString()}, apart boolean, n_tokens long, known long, base double, model double, rest array<long>, keys array<long>"
+            for part in _pieces(batch):
+                bounds, codes, h, pairs = _coded_tokens(part, sent.value.words)
+                own = np.flatnonzero(codes >= SENT_WORDS)
+                row = pa.array(np.searchsorted(bounds, own, "right") - 1)
+                columns = [part.column("uid").take(row), part.column("apart").take(row), *[pa.array(x[own].view(np.int64)) for x in (pairs, h)]]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(codes[own].astype(np.int32) - SENT_WORDS)], ["uid", "apart", "pair", "h", "cls"])
+
+    fields = f"doc_id {base.schema['doc_id'].dataType.simpleString()}, apart boolean, n_tokens long, known long, base double, model double, rest array<long>, codes binary"
     told = stage(numbered(base.mapInArrow(score, fields), "uid"), "lm-scores")
-    rare = told.select("uid", F.explode("rest").alias("h")).join(vocabulary.select("h", "n"), "h")
-    found = rare.groupBy("uid").agg(F.count("*").alias("more"), F.sum(F.log10(F.col("n") + 1.0)).alias("gain"))
-    # a normaliser stands once for each word of its class
-    weights = after.mapInArrow(keyed, "key long, inner double, whole double").groupBy("key").agg(F.max("inner").alias("inner"), F.max("whole").alias("whole"))
-    tied = told.select("uid", "apart", F.explode("keys").alias("key")).join(weights, "key")
-    tied = tied.groupBy("uid").agg(F.sum(F.when(F.col("apart"), F.col("inner")).otherwise(F.col("whole"))).alias("tied"))
+    rare = told.mapInArrow(rare_tokens, "uid long, apart boolean, pair long, h long, cls int").join(vocabulary.select("h", "n"), "h", "left")
+    rare = stage(rare.withColumn("n", F.coalesce("n", F.lit(0)).cast("long")), "lm-rare")
+    found = rare.where("n > 0").groupBy("uid").agg(F.count("*").alias("more"), F.sum(F.log10(F.col("n") + 1.0)).alias("gain"))
+    tied = None
+    for turn in range(TURNS):
+        part = stage(tied_gains(told, rare, sent, turn), "lm-tied")
+        tied = part if tied is None else tied.union(part)
+        release(spark)
+    tied = tied.groupBy("uid").agg(F.sum("tied").alias("tied"))
     gain = F.coalesce("gain", F.lit(0.0))
-    return told.drop("rest", "keys").join(found, "uid", "left").join(tied, "uid", "left").select(
+    return told.drop("rest", "codes").join(found, "uid", "left").join(tied, "uid", "left").select(
         "doc_id",
         F.col("apart").alias("held_out"),
         "n_tokens",

@@ -650,3 +650,15 @@ def test_language_model_counts_words_after_every_pair(spark):
         often[pair] += n
     found = maxent.count_pairs(spark.createDataFrame([(t,) for t in said], "text string"), scheme).collect()
     assert {(r.pair, r.h): r.n for r in found} == {k: n for k, n in plain.items() if often[k[0]] > 1}
+
+
+def test_language_model_keeps_little_on_disk(spark):
+    """What scoring stages stays below the size of the texts: weights and lookups, as many as there are tokens nearly, are not kept."""
+    from sluiceway.session import scratch_root
+    rng = random.Random(31)
+    rows = [(i, " ".join(rng.choice("abcdefgh") + str(rng.randrange(1000, 1012)) for _ in range(300))) for i in range(200)]
+    before = _staged(spark, "lm")
+    found = score_texts(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(found) == 200 and any(r.score > r.base_score for r in found)
+    fresh = [pathlib.Path(scratch_root(spark)) / p for p in _staged(spark, "lm") - before]
+    assert sum(f.stat().st_size for p in fresh for f in p.rglob("*.parquet")) < sum(len(t) for _, t in rows)
