@@ -662,3 +662,12 @@ def test_language_model_keeps_little_on_disk(spark):
     assert len(found) == 200 and any(r.score > r.base_score for r in found)
     fresh = [pathlib.Path(scratch_root(spark)) / p for p in _staged(spark, "lm") - before]
     assert sum(f.stat().st_size for p in fresh for f in p.rglob("*.parquet")) < sum(len(t) for _, t in rows)
+
+
+def test_staging_frees_the_driver(spark, monkeypatch):
+    """Each written step has the driver let go of the query that wrote it."""
+    from sluiceway.llm import staging
+    freed = []
+    monkeypatch.setattr(staging, "release", freed.append)
+    assert staging.stage(spark.range(3), "freed").count() == 3
+    assert freed == [spark]
